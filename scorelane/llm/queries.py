@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from .bpe import bpe_encode
 from .exact_dedup import exact_dedup
+from .packing import best_fit_pack
 from .shared import table
 from .simhash import simhash_dedup
 
 
+def op1_bpe(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe_encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, with_ids=False)
+
+
+def op10_best_fit_packing(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return best_fit_pack(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op3_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -15,7 +29,12 @@ def op8_simhash(spark, sf_dir):
     return simhash_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_exact_dedup": op3_exact_dedup, "op8_simhash": op8_simhash}
+QUERIES = {
+    "op1_bpe": op1_bpe,
+    "op3_exact_dedup": op3_exact_dedup,
+    "op8_simhash": op8_simhash,
+    "op10_best_fit_packing": op10_best_fit_packing,
+}
 
 ORACLES = {
     "op3_exact_dedup": r"""
