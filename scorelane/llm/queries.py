@@ -7,6 +7,7 @@ import public_tokenizers
 from .bpe import bpe_encode
 from .exact_dedup import exact_dedup
 from .packing import best_fit_pack
+from .secrets import scan_report
 from .shared import table
 from .simhash import simhash_dedup
 
@@ -16,6 +17,10 @@ def op1_bpe(spark, sf_dir):
     return bpe_encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op9_secrets(spark, sf_dir):
+    return scan_report(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.json")
     return best_fit_pack(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -33,6 +38,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_exact_dedup": op3_exact_dedup,
     "op8_simhash": op8_simhash,
+    "op9_secrets": op9_secrets,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
