@@ -6,6 +6,7 @@ import public_tokenizers
 
 from .bpe import bpe_encode
 from .exact_dedup import exact_dedup
+from .langid import identify, sentencepiece_vocabulary
 from .packing import best_fit_pack
 from .secrets import scan_report
 from .shared import table
@@ -30,6 +31,11 @@ def op3_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark, sf_dir):
+    pieces = sentencepiece_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return identify(table(spark, sf_dir, "documents"), pieces)
+
+
 def op8_simhash(spark, sf_dir):
     return simhash_dedup(table(spark, sf_dir, "documents"))
 
@@ -37,6 +43,7 @@ def op8_simhash(spark, sf_dir):
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_language_id": op4_language_id,
     "op8_simhash": op8_simhash,
     "op9_secrets": op9_secrets,
     "op10_best_fit_packing": op10_best_fit_packing,
