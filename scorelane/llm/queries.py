@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from .bpe import bpe_encode
+from .embeddings import embedding_dedup
 from .exact_dedup import exact_dedup
 from .langid import identify, sentencepiece_vocabulary
 from .packing import best_fit_pack
@@ -36,6 +37,10 @@ def op4_language_id(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"), pieces)
 
 
+def op5_embedding_dedup(spark, sf_dir):
+    return embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash(spark, sf_dir):
     return simhash_dedup(table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op8_simhash": op8_simhash,
     "op9_secrets": op9_secrets,
     "op10_best_fit_packing": op10_best_fit_packing,
