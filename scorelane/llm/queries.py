@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from .bpe import bpe_encode
 from .embeddings import embedding_dedup
 from .exact_dedup import exact_dedup
 from .langid import identify, sentencepiece_vocabulary
 from .packing import best_fit_pack
+from .quality import score_quality
 from .secrets import scan_report
 from .shared import table
 from .simhash import simhash_dedup
@@ -41,6 +43,12 @@ def op5_embedding_dedup(spark, sf_dir):
     return embedding_dedup(table(spark, sf_dir, "embeddings"))
 
 
+def op6_quality(spark, sf_dir):
+    """Documents carry no URL: their source is the host and their language the section below it."""
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+
+
 def op8_simhash(spark, sf_dir):
     return simhash_dedup(table(spark, sf_dir, "documents"))
 
@@ -50,6 +58,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
     "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_quality": op6_quality,
     "op8_simhash": op8_simhash,
     "op9_secrets": op9_secrets,
     "op10_best_fit_packing": op10_best_fit_packing,
