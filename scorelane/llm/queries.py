@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from .bpe import bpe_encode
+from .chat import format_conversations
 from .embeddings import embedding_dedup
 from .exact_dedup import exact_dedup
 from .langid import identify, sentencepiece_vocabulary
+from .licenses import scan_licenses
 from .packing import best_fit_pack
 from .quality import score_quality
 from .secrets import scan_report
@@ -30,6 +32,10 @@ def op10_best_fit_packing(spark, sf_dir):
     return best_fit_pack(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op2_licenses(spark, sf_dir):
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -49,22 +55,29 @@ def op6_quality(spark, sf_dir):
     return score_quality(docs, table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
 
 
+def op7_chat(spark, sf_dir):
+    return format_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op8_simhash(spark, sf_dir):
     return simhash_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_licenses": op2_licenses,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_quality": op6_quality,
+    "op7_chat": op7_chat,
     "op8_simhash": op8_simhash,
     "op9_secrets": op9_secrets,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLES = {
+    "op2_licenses": op2_licenses,
     "op3_exact_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
