@@ -125,6 +125,14 @@ class MergeReplay:
         return [flat[4 * a : 4 * b] for a, b in zip(cut[starts].tolist(), cut[ends].tolist(), strict=True)]
 
 
+class Numbers(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key):
+        self[key] = number = len(self)
+        return number
+
+
 class WordEncoder:
     """Texts to id bytes, by a splitting pattern and an encoder of distinct words; remembers common words."""
 
@@ -135,11 +143,11 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         known = self.known
-        numbers: dict[str, int] = {}
+        numbers = Numbers()
         rows = []
         for text in texts:
             words = self.findall(text)
-            rows.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words)))
+            rows.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
         new = [w for w in numbers if w not in known]
         fresh = dict(zip(new, self.encode_words(new), strict=True))
         table = [known.get(w) or fresh.get(w, b"") for w in numbers]

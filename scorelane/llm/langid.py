@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import cached, slices
+from .bpe import Numbers, cached, slices
 from .shared import checkpointed
 
 RUN = 32
@@ -204,11 +204,11 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             texts = [t or "" for t in batch.column(1).to_pylist()]
             names, scores = [], []
             for lo, hi in slices(texts):
-                numbers: dict[str, int] = {}
+                numbers = Numbers()
                 rows = []
                 for text in texts[lo:hi]:
                     words = findall(text.lower())
-                    rows.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words)))
+                    rows.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
                 new = [w for w in numbers if w not in known]
                 fresh = dict(zip(new, lattice.log_likelihood([mark + w for w in new], p), strict=True)) if languages else {}
                 if languages and numbers:
