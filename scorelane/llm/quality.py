@@ -22,16 +22,31 @@ CUT = 0.5
 BROADCAST_ROWS = 100_000
 
 
-def features(text: Column) -> list[Column]:
-    """Shares and rates of a text, each of moderate size; 0 for an empty text."""
-    n = F.length(text).cast("double")
-    words = F.split(F.trim(text), r"\s+")
-    many, kinds = F.size(words).cast("double"), F.size(F.array_distinct(words)).cast("double")
-    odd = n - F.length(F.regexp_replace(text, r"""[^\p{L}\p{N}\s.,;:'"()/-]""", ""))
-    capitals = n - F.length(F.regexp_replace(text, r"\p{Lu}", ""))
-    digits = n - F.length(F.regexp_replace(text, r"\p{N}", ""))
-    shares = [10 * odd / n, 3 * capitals / n, 5 * digits / n, F.log(kinds) / F.log(many + 1), kinds / many, F.log1p(many) / 5, many * 5 / n]
-    return [F.coalesce(F.when(n > 0, x), F.lit(0.0)) for x in shares]
+FEATURES = [f"__f{k}" for k in range(7)]
+
+
+def with_features(rows: DataFrame, text_col: str) -> DataFrame:
+    """Adds FEATURES, shares and rates of moderate size, 0 for a null or empty text.
+
+    In steps, so that each count is taken once and the generated code stays small.
+    """
+    text, n = F.col("__text"), F.col("__n")
+    counted = rows.withColumn("__text", F.coalesce(F.col(text_col), F.lit(""))).withColumn("__words", F.split(F.trim(text), r"\s+"))
+    counted = counted.withColumns(
+        {
+            "__n": F.length(text).cast("double"),
+            "__odd": F.length(F.regexp_replace(text, r"""[^\p{L}\p{N}\s.,;:'"()/-]""", "")),
+            "__small": F.length(F.regexp_replace(text, r"\p{Lu}", "")),
+            "__plain": F.length(F.regexp_replace(text, r"\p{N}", "")),
+            "__many": F.size("__words").cast("double"),
+            "__kinds": F.size(F.array_distinct("__words")).cast("double"),
+        }
+    ).drop("__words", "__text")
+    many, kinds = F.col("__many"), F.col("__kinds")
+    shares = [10 * (n - F.col("__odd")) / n, 3 * (n - F.col("__small")) / n, 5 * (n - F.col("__plain")) / n]
+    shares += [F.log(kinds) / F.log(many + 1), kinds / many, F.log1p(many) / 5, many * 5 / n]
+    named = {k: F.when(n > 0, x).otherwise(F.lit(0.0)) for k, x in zip(FEATURES, shares, strict=True)}
+    return counted.withColumns(named).drop("__n", "__odd", "__small", "__plain", "__many", "__kinds")
 
 
 class Evidence:
@@ -40,10 +55,11 @@ class Evidence:
     def __init__(self, weights: np.ndarray, mean: np.ndarray, scale: np.ndarray):
         self.weights, self.mean, self.scale = weights, mean, scale
 
-    def logit(self, text: Column) -> Column:
+    def logit(self) -> Column:
+        """Of the columns FEATURES."""
         total = F.lit(float(self.weights[0]))
-        for x, w, m, s in zip(features(text), self.weights[1:], self.mean, self.scale, strict=True):
-            part = (x - float(m)) / float(s)
+        for x, w, m, s in zip(FEATURES, self.weights[1:], self.mean, self.scale, strict=True):
+            part = (F.col(x) - float(m)) / float(s)
             total = total + float(w) * F.greatest(F.lit(-6.0), F.least(F.lit(6.0), part))
         return F.greatest(F.lit(-15.0), F.least(F.lit(15.0), total))
 
@@ -70,7 +86,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     marks = marks.groupBy("__id").agg(F.avg("quality").alias("y"))
     text = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"))
     sample = text.join(F.broadcast(marks), "__id")  # bounded by TRAIN_DOCS
-    rows = sample.select("y", *[f.alias(f"f{k}") for k, f in enumerate(features(F.col("__t")))]).toPandas()
+    rows = with_features(sample, "__t").select("y", *FEATURES).toPandas()
     y = rows["y"].to_numpy() if len(rows) else np.zeros(0)
     if not ((y > 0.5).any() and (y <= 0.5).any()):
         return None
@@ -128,8 +144,10 @@ def with_quality(rows: DataFrame, sites: Sites) -> DataFrame:
 
 
 def _sited(docs: DataFrame, model: Evidence | None, text_col: str, host: Column, path: Column) -> DataFrame:
-    logit = model.logit(F.coalesce(F.col(text_col), F.lit(""))) if model else F.lit(0.0)
-    return docs.withColumns({"__host": F.coalesce(host.cast("string"), F.lit("")), "__path": F.coalesce(path.cast("string"), F.lit("")), "__logit": logit})
+    sited = docs.withColumns({"__host": F.coalesce(host.cast("string"), F.lit("")), "__path": F.coalesce(path.cast("string"), F.lit(""))})
+    if model is None:
+        return sited.withColumn("__logit", F.lit(0.0))
+    return with_features(sited, text_col).withColumn("__logit", model.logit()).drop(*FEATURES)
 
 
 def url_site(url: Column) -> tuple[Column, Column]:
