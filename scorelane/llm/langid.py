@@ -197,7 +197,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(batches):
         languages, pieces, p, key = shared.value
         lattice = cached(("lattice", len(pieces), hash(tuple(pieces))), lambda: Lattice(pieces))
-        known = cached(("langid", key), dict)
+        known: dict[str, int] = cached(("langid", key), dict)
+        memory = cached(("langid rows", key), lambda: np.zeros((MEMORY_WORDS, len(languages))))
         findall = regex.compile(WORD).findall
         mark = "▁"
         for batch in batches:
@@ -209,12 +210,18 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 for text in texts[lo:hi]:
                     words = findall(text.lower())
                     rows.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-                new = [w for w in numbers if w not in known]
-                fresh = dict(zip(new, lattice.log_likelihood([mark + w for w in new], p), strict=True)) if languages else {}
-                if languages and numbers:
-                    table = np.stack([known[w] if w in known else fresh[w] for w in numbers])
-                if len(known) < MEMORY_WORDS:
-                    known.update(fresh)
+                if not languages or not numbers:
+                    table = np.zeros((0, 0))
+                else:
+                    at = np.fromiter((known.get(w, -1) for w in numbers), np.int64, len(numbers))
+                    new = np.flatnonzero(at < 0)
+                    words = list(numbers)
+                    fresh = [words[k] for k in new]
+                    table = memory[at]
+                    table[new] = lattice.log_likelihood([mark + w for w in fresh], p)
+                    room = fresh[: MEMORY_WORDS - len(known)]
+                    memory[len(known) : len(known) + len(room)] = table[new[: len(room)]]
+                    known.update(zip(room, range(len(known), len(known) + len(room)), strict=True))
                 for row in rows:
                     if not len(row) or not languages:
                         names.append("und")
