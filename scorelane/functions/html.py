@@ -18,9 +18,14 @@ CHALLENGE_MARKERS = (
 ENTITIES = (("&amp;", "&"), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"))
 
 
+def non_empty(text: Column) -> Column:
+    """The text, or null if it is empty. NULLIF would work the text out twice."""
+    return F.get(F.filter(F.array(text), lambda s: s != ""), F.lit(0))
+
+
 def first_group(text: Column, pattern: str, group: int = 1) -> Column:
     """Group of the first match, or null if there is none or it is empty."""
-    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+    return non_empty(F.regexp_extract(text, pattern, group))
 
 
 def trimmed(text: Column) -> Column:
@@ -42,7 +47,7 @@ def capture_text(text: Column, *patterns: str) -> Column:
 def capture_number(text: Column, *patterns: str) -> Column:
     """As capture_text, without all but digits, dots and minus signs; null if that is no number."""
     digits = F.regexp_replace(capture_text(text, *patterns), "[^0-9.-]", "")
-    return F.nullif(digits, F.lit("")).try_cast("double")
+    return non_empty(digits).try_cast("double")
 
 
 def absolute(url: Column, base: str) -> Column:
@@ -54,7 +59,7 @@ def challenge_markers(html: Column) -> Column:
 
 
 def page_title(html: Column) -> Column:
-    return F.nullif(trimmed(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)), F.lit(""))
+    return non_empty(trimmed(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)))
 
 
 def instant_of_epoch(value: Column) -> Column:
