@@ -84,12 +84,12 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Rows that repeat both id and text count as copies too: one of them stays.
     """
     verdict = checkpointed(exact_dedup(docs, id_col, text_col))
-    gone = verdict.where("not kept").select(F.col(id_col).alias("gone_id"), F.col("text_sha256").alias("gone_sha"))
+    gone = verdict.where("not kept").select(F.col(id_col).alias("__gone_id"), F.col("text_sha256").alias("__gone_sha"))
     mark = F.sha2(normalised(F.col(text_col)), 256)
-    here = (F.col(id_col).eqNullSafe(F.col("gone_id"))) & (mark == F.col("gone_sha"))
+    here = (F.col(id_col).eqNullSafe(F.col("__gone_id"))) & (mark == F.col("__gone_sha"))
     stays = docs.join(gone.distinct(), here, "left_anti")
-    again = verdict.where("kept").groupBy(F.col(id_col).alias("gone_id"), F.col("text_sha256").alias("gone_sha"))
-    again = again.count().where("count > 1").drop("count")
+    again = verdict.where("kept").groupBy(F.col(id_col).alias("__gone_id"), F.col("text_sha256").alias("__gone_sha"))
+    again = again.agg(F.count("*").alias("__rows")).where("__rows > 1").drop("__rows")
     if again.isEmpty():
         return stays
     return stays.join(again, here, "left_anti").unionByName(

@@ -131,16 +131,19 @@ def gather(evidence: DataFrame) -> Sites:
 
 
 def with_quality(rows: DataFrame, sites: Sites) -> DataFrame:
-    """Adds p_host, p_path and quality to rows with columns __host, __path and __logit."""
-    right = sites.paths.select(F.col("host").alias("__h"), F.col("path").alias("__q"), "path_good", "path_n", "host_good", "host_n")
+    """Adds __p_host, __p_path and __quality to rows with columns __host, __path and __logit."""
+    right = sites.paths.select(
+        *[F.col(c).alias(f"__{k}") for c, k in (("host", "h"), ("path", "q"), ("path_good", "pg"), ("path_n", "pn"), ("host_good", "hg"), ("host_n", "hn"))]
+    )
     right = F.broadcast(right) if sites.rows <= BROADCAST_ROWS else right
     joined = rows.join(right, (F.col("__host") == F.col("__h")) & (F.col("__path") == F.col("__q")), "left")
     own = 1 / (1 + F.exp(-F.col("__logit")))
-    p_host = (F.col("host_good") - own + sites.host_prior * sites.mean) / (F.col("host_n") - 1 + sites.host_prior)
-    p_path = (F.col("path_good") - own + sites.path_prior * p_host) / (F.col("path_n") - 1 + sites.path_prior)
-    quality = 1 / (1 + F.exp(-(F.col("__logit") + _logit(p_path) - _logit(F.lit(sites.mean)))))
-    out = joined.withColumns({"p_host": p_host, "p_path": p_path, "quality": quality})
-    return out.drop("__h", "__q", "path_good", "path_n", "host_good", "host_n")
+    p_host = (F.col("__hg") - own + sites.host_prior * sites.mean) / (F.col("__hn") - 1 + sites.host_prior)
+    joined = joined.withColumn("__p_host", p_host)
+    p_path = (F.col("__pg") - own + sites.path_prior * F.col("__p_host")) / (F.col("__pn") - 1 + sites.path_prior)
+    joined = joined.withColumn("__p_path", p_path)
+    moved = F.col("__logit") + _logit(F.col("__p_path")) - _logit(F.lit(sites.mean))
+    return joined.withColumn("__quality", 1 / (1 + F.exp(-moved))).drop("__h", "__q", "__pg", "__pn", "__hg", "__hn")
 
 
 def _sited(docs: DataFrame, model: Evidence | None, text_col: str, host: Column, path: Column) -> DataFrame:
@@ -173,8 +176,10 @@ def score_quality(
     own = 1 / (1 + F.exp(-F.col("__logit")))
     sites = gather(rows.select(F.col("__host").alias("host"), F.col("__path").alias("path"), own.alias("p")))
     done = with_quality(rows, sites)
-    kept = F.lit(True) if model is None else F.col("quality") >= cut
-    return done.select(F.col("__id").alias(id_col), own.alias("p_doc"), "p_host", "p_path", "quality", kept.alias("kept"))
+    kept = F.lit(True) if model is None else F.col("__quality") >= cut
+    return done.select(
+        F.col("__id").alias(id_col), own.alias("p_doc"), F.col("__p_host").alias("p_host"), F.col("__p_path").alias("p_path"), F.col("__quality").alias("quality"), kept.alias("kept")
+    )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:
@@ -185,4 +190,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id
     rows = _sited(docs, model, text_col, host, path)
     own = 1 / (1 + F.exp(-F.col("__logit")))
     sites = gather(rows.select(F.col("__host").alias("host"), F.col("__path").alias("path"), own.alias("p")))
-    return with_quality(rows, sites).where(F.col("quality") >= cut).select(*docs.columns)
+    return with_quality(rows, sites).where(F.col("__quality") >= cut).select(*docs.columns)

@@ -214,5 +214,5 @@ def simhash_dedup(
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
     """The rows of docs that stay: of each component the row with the smallest id, columns as they came."""
     verdict = simhash_dedup(docs, id_col, text_col, width)
-    gone = checkpointed(verdict.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("gone")).distinct())
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("gone")), "left_anti")
+    gone = checkpointed(verdict.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__gone")).distinct())
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
