@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from itertools import pairwise
 
 import numpy as np
@@ -211,8 +212,208 @@ def simhash_dedup(
     return prints.join(named, "fp").select(F.col("doc_id").alias(id_col), hexed, "component_id")
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """The rows of docs that stay: of each component the row with the smallest id, columns as they came."""
-    verdict = simhash_dedup(docs, id_col, text_col, width)
-    gone = checkpointed(verdict.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__gone")).distinct())
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+# Near copies by word shingles: 64 bits are too few for a similarity of 0.8, where a seventh of them differ. Longer
+# fingerprints keep such pairs apart from others; samples of their bits bring pairs together, and the ring of
+# segments prunes what meets by chance before the full Hamming check.
+
+WIDE_BITS = 256
+WIDE_RING = 16
+SIMILARITY = 0.8
+RECALL = 0.99
+#: Standard deviations of the differing bits of a pair at the similarity that are allowed for.
+SLACK = 1.5
+
+
+def wide_fingerprint(text: str | None, width: int = 5) -> bytes:
+    """The 256-bit SimHash of all shingles of ``width`` words; zeros without words."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return bytes(WIDE_BITS // 8)
+    joined = b" ".join(words)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(lengths + 1) - 1
+    starts = ends - lengths
+    k = min(width, len(words))
+    spans = list(zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True))
+    digest, ones = xxhash.xxh128_digest, np.zeros(WIDE_BITS, np.int64)
+    for at in range(0, len(spans), 50_000):
+        part = [joined[s:e] for s, e in spans[at : at + 50_000]]
+        halves = [np.frombuffer(b"".join([digest(x, seed) for x in part]), np.uint8).reshape(-1, 16) for seed in (SEED, SEED + 1)]
+        ones += np.unpackbits(np.concatenate(halves, axis=1), axis=1).sum(0, dtype=np.int64)
+    return np.packbits(2 * ones > len(spans)).tobytes()
+
+
+def wide_parameters(n: int, similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[int, int, int]:
+    """(most differing bits, bits a key, tables) for n fingerprints: a pair at the similarity differs in the share
+    angle/pi of the bits, and SLACK standard deviations more are allowed for; the tables give it the recall."""
+    overlap = 2 * similarity / (1 + similarity)
+    share = math.acos(overlap) / math.pi
+    most = round(WIDE_BITS * share + SLACK * math.sqrt(WIDE_BITS * share * (1 - share)))
+    bits = min(32, max(12, math.ceil(math.log2(max(n, 2))) - 2))
+    return most, bits, math.ceil(math.log(1 - recall) / math.log(1 - (1 - share) ** bits))
+
+
+def _sampled(bits: int, tables: int):
+    """Rows (key, node, fp): each table's sample of the fingerprint's bits is a key."""
+    rng = np.random.default_rng([SEED, bits, tables])
+    chosen = np.stack([rng.permutation(WIDE_BITS)[:bits] for _ in range(tables)])
+    weights = np.int64(1) << np.arange(bits, dtype=np.int64)
+
+    def run(batches):
+        for batch in batches:
+            fps = batch.column(1).to_pylist()
+            if not fps:
+                continue
+            on = np.unpackbits(np.frombuffer(b"".join(fps), np.uint8).reshape(len(fps), -1), axis=1)
+            for t in range(tables):
+                key = on[:, chosen[t]] @ weights | np.int64(t) << np.int64(bits)
+                yield pa.RecordBatch.from_arrays([pa.array(key), batch.column(0), batch.column(1)], names=["key", "node", "fp"])
+
+    return run
+
+
+def _ring_holds(x: np.ndarray, most: int) -> np.ndarray:
+    """Whether some chain around the ring keeps the budget l * most / segments for every length l."""
+    diffs = np.bitwise_count(x.view("<u2")).astype(np.int32)
+    m = diffs.shape[1]
+    budget = (np.arange(1, m + 1) * most) // m
+    total = np.cumsum(np.concatenate([diffs, diffs], axis=1), axis=1)
+    total = np.concatenate([np.zeros((len(x), 1), np.int32), total], axis=1)
+    held = np.zeros(len(x), bool)
+    for start in range(m):
+        rest = ~held
+        if not rest.any():
+            break
+        held[rest] = (total[rest, start + 1 : start + m + 1] - total[rest, start : start + 1] <= budget).all(1)
+    return held
+
+
+def _near(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    x = a ^ b
+    near = _ring_holds(x, most)
+    near[near] = np.bitwise_count(x[near]).sum(1) <= most
+    return near
+
+
+class _Forest:
+    """Components of the nodes met so far in a batch, joined pair by pair."""
+
+    def __init__(self, nodes: np.ndarray):
+        self.nodes, self.at = np.unique(nodes, return_inverse=True)
+        self.label = np.arange(len(self.nodes))
+
+    def join(self, a: np.ndarray, b: np.ndarray, fa: np.ndarray, fb: np.ndarray, most: int) -> None:
+        """a and b: places of the rows; pairs within a component already are passed over."""
+        for lo in range(0, len(a), 50_000):
+            x, y = a[lo : lo + 50_000], b[lo : lo + 50_000]
+            apart = self.label[self.at[x]] != self.label[self.at[y]]
+            x, y = x[apart], y[apart]
+            good = _near(fa[x], fb[y], most) if len(x) else np.zeros(0, bool)
+            if good.any():
+                every = np.arange(len(self.nodes))
+                child, root = spanning_star(np.concatenate([self.label[self.at[x[good]]], every]), np.concatenate([self.label[self.at[y[good]]], self.label]))
+                self.label = every
+                self.label[child] = root
+
+    def batch(self) -> pa.RecordBatch:
+        own = self.label != np.arange(len(self.nodes))
+        return pa.RecordBatch.from_arrays([pa.array(self.nodes[own]), pa.array(self.nodes[self.label[own]])], names=["u", "v"])
+
+
+def _words(fps) -> np.ndarray:
+    return np.frombuffer(b"".join(fps.to_pylist()), "<u8").reshape(len(fps), WIDE_BITS // 64)
+
+
+def _wide_runs(most: int, rows_at_once: int = 50_000):
+    """Streams rows sorted by key and links the pairs within each run of a key."""
+
+    def flush(rows: pa.Table) -> pa.RecordBatch:
+        key, fps, forest = rows.column("key").to_numpy(), _words(rows.column("fp")), _Forest(rows.column("node").to_numpy())
+        active, d = np.arange(len(key)), 1
+        while True:
+            active = active[active + d < len(key)]
+            active = active[key[active] == key[active + d]]
+            if not len(active):
+                return forest.batch()
+            forest.join(active, active + d, fps, fps, most)
+            d += 1
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < rows_at_once:
+                continue
+            rows = pa.Table.from_batches(held).combine_chunks()
+            cut = int(np.searchsorted(rows.column("key").to_numpy(), rows.column("key")[-1].as_py(), "left"))
+            if cut:
+                yield flush(rows.slice(0, cut))
+            held = rows.slice(cut).to_batches()
+        if held:
+            yield flush(pa.Table.from_batches(held).combine_chunks())
+
+    return run
+
+
+def _wide_blocks(most: int):
+    """Links the pairs between two blocks of one large bucket, or within one block (bi = bj)."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        side, fps, forest = rows.column("side").to_numpy(), _words(rows.column("fp")), _Forest(rows.column("node").to_numpy())
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        within = rows.column("bi")[0].as_py() == rows.column("bj")[0].as_py()
+        for i in x:
+            other = x[x > i] if within else y
+            forest.join(np.full(len(other), i), other, fps, fps, most)
+        return pa.Table.from_batches([forest.batch()])
+
+    return run
+
+
+def near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = SIMILARITY, limit: int = BUCKET_LIMIT
+) -> DataFrame:
+    """One row per row of docs: id_col, component_id (the smallest id among near copies that chains of links reach).
+
+    Texts are near copies if the cosine of their shingle counts is that of sets with the given Jaccard similarity
+    or more, as far as 256 sign bits tell. A pair at the similarity meets in some table with probability RECALL.
+    Cases (nulls, empty texts, repeated rows, other columns, empty tables) as in ``simhash_dedup``.
+    """
+
+    def run(batches):
+        for batch in batches:
+            fps = pa.array([wide_fingerprint(t, width) for t in batch.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), fps], names=["doc_id", "fp"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    prints = docs.select(F.col(id_col).alias("doc_id"), text_col).mapInArrow(run, f"doc_id {kind}, fp binary")
+    prints = checkpointed(prints)
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("low")).withColumn("node", F.monotonically_increasing_id())
+    nodes = checkpointed(nodes)
+    most, bits, tables = wide_parameters(nodes.count(), similarity)
+    keyed = nodes.select("node", "fp").mapInArrow(_sampled(bits, tables), "key long, node long, fp binary")
+    counts = keyed.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > limit)
+    large = checkpointed(counts)
+    if large.isEmpty():
+        found = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_wide_runs(most), "u long, v long")
+    else:
+        small = keyed.join(large, "key", "left_anti").repartition("key").sortWithinPartitions("key")
+        block = F.ceil(F.col("many") / (limit // 2))
+        wide = keyed.join(large, "key").withColumn("blocks", block).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+        wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        side = F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")
+        wide = wide.select("key", "node", "fp", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), side)
+        pairs = wide.groupBy("key", "bi", "bj").applyInArrow(_wide_blocks(most), "u long, v long")
+        found = small.mapInArrow(_wide_runs(most), "u long, v long").unionByName(pairs)
+    comp = connected_components(found)
+    placed = nodes.join(comp, "node", "left").select("fp", "low", F.coalesce("component", "node").alias("component"))
+    lowest = placed.groupBy("component").agg(F.min("low").alias("component_id"))
+    named = placed.join(lowest, "component").select("fp", "component_id")
+    return prints.join(named, "fp").select(F.col("doc_id").alias(id_col), "component_id")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of docs that stay: of each group of near copies the row with the smallest id, columns as they came."""
+    verdict = near_copies(docs, id_col, text_col, width, similarity)
+    gone = verdict.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__gone")).distinct()
+    return docs.join(checkpointed(gone), F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")

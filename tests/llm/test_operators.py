@@ -306,3 +306,30 @@ def test_local_search_empties_bins():
                 for size in pattern:
                     held[size] += count
         assert held == lengths
+
+
+def test_near_copies_go_and_others_stay(spark, docs, nothing):
+    rng = random.Random(9)
+    clean = [" ".join(rng.choices(WORDS, k=200)) for _ in range(40)]
+    data = list(enumerate(clean))
+    for k in range(20):  # four words in two hundred are changed: similarity of about 0.8 to 0.9
+        words = clean[k].split()
+        for at in rng.sample(range(200), 4):
+            words[at] = "changed"
+        data.append((100 + k, " ".join(words)))
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    for limit in (simhash.BUCKET_LIMIT, 4):
+        got = {r["doc_id"]: r["component_id"] for r in rows(simhash.near_copies(frame, limit=limit))}
+        assert all(got[k] == k for k in range(40)) and sum(got[100 + k] == k for k in range(20)) >= 18
+    kept = simhash.drop_near_copies(docs)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in rows(kept)} == {1, 3, 7, 10, None}  # 9 repeats the words of 1
+    assert not rows(simhash.near_copies(nothing))
+
+
+def test_ring_filter_loses_no_pair_within_the_limit():
+    rng = np.random.default_rng(0)
+    bits = np.zeros((500, 256), np.uint8)
+    for row in bits:
+        row[rng.permutation(256)[: rng.integers(0, 48)]] = 1
+    x = np.packbits(bits, axis=1).view("<u8")
+    assert simhash._ring_holds(x, 47).all()
