@@ -77,7 +77,6 @@ QUERIES = {
 }
 
 ORACLES = {
-    "op2_licenses": op2_licenses,
     "op3_exact_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

@@ -33,3 +33,9 @@ def test_sql(spark, name):
     got = entry.queries()[name](spark, FOLDER).toPandas()[list(want.columns)]
     by = list(want.columns)
     assert got.sort_values(by).astype(str).values.tolist() == want.sort_values(by).astype(str).values.tolist()
+
+
+def test_oracles_are_sql_of_registered_queries():
+    found = entry.oracle_sql()
+    assert set(found) <= set(entry.queries())
+    assert all(isinstance(sql, str) for sql in found.values())
