@@ -23,21 +23,26 @@ BUCKET_LIMIT = 4096
 SEED = 42
 
 
-def fingerprint(text: str | None, width: int = 4, seed: int = SEED) -> int:
-    """The 64-bit SimHash of all word shingles; 0 without words."""
+def shingle_hashes(text: str | None, width: int, seed: int = SEED) -> np.ndarray:
+    """XXH64 of each word shingle, repeats included; of the whole sequence where there are fewer words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII space only
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
     starts = ends - lengths
     k = min(width, len(words))
-    digest = xxhash.xxh64_intdigest
-    hashes = [digest(joined[s:e], seed) for s, e in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)]
+    digest, n = xxhash.xxh64_intdigest, len(words) - k + 1
+    return np.fromiter((digest(joined[s:e], seed) for s, e in zip(starts[:n].tolist(), ends[k - 1 :].tolist(), strict=True)), np.uint64, n)
+
+
+def fingerprint(text: str | None, width: int = 4, seed: int = SEED) -> int:
+    """The 64-bit SimHash of all word shingles; 0 without words."""
+    hashes = shingle_hashes(text, width, seed)
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 100_000):
-        part = np.array(hashes[at : at + 100_000], "<u8").view(np.uint8).reshape(-1, 8)
+        part = hashes[at : at + 100_000].view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
@@ -214,43 +219,42 @@ def simhash_dedup(
 
 # Near copies by word shingles: 64 bits are too few for a similarity of 0.8, where a seventh of them differ. Longer
 # fingerprints keep such pairs apart from others; samples of their bits bring pairs together, and the ring of
-# segments prunes what meets by chance before the full Hamming check.
+# segments prunes what meets by chance before the full Hamming check. Pairs that the check leaves in doubt are
+# settled by their sets of shingles.
 
 WIDE_BITS = 256
 WIDE_RING = 16
 SIMILARITY = 0.8
 RECALL = 0.99
-#: Standard deviations of the differing bits of a pair at the similarity that are allowed for.
-SLACK = 1.5
-
-
-def wide_fingerprint(text: str | None, width: int = 5) -> bytes:
-    """The 256-bit SimHash of all shingles of ``width`` words; zeros without words."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return bytes(WIDE_BITS // 8)
-    joined = b" ".join(words)
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    k = min(width, len(words))
-    spans = list(zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True))
-    digest, ones = xxhash.xxh128_digest, np.zeros(WIDE_BITS, np.int64)
-    for at in range(0, len(spans), 50_000):
-        part = [joined[s:e] for s, e in spans[at : at + 50_000]]
-        halves = [np.frombuffer(b"".join([digest(x, seed) for x in part]), np.uint8).reshape(-1, 16) for seed in (SEED, SEED + 1)]
-        ones += np.unpackbits(np.concatenate(halves, axis=1), axis=1).sum(0, dtype=np.int64)
-    return np.packbits(2 * ones > len(spans)).tobytes()
-
-
-def wide_parameters(n: int, similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[int, int, int]:
-    """(most differing bits, bits a key, tables) for n fingerprints: a pair at the similarity differs in the share
-    angle/pi of the bits, and SLACK standard deviations more are allowed for; the tables give it the recall."""
-    overlap = 2 * similarity / (1 + similarity)
-    share = math.acos(overlap) / math.pi
-    most = round(WIDE_BITS * share + SLACK * math.sqrt(WIDE_BITS * share * (1 - share)))
+#: Standard deviations of the differing bits of a pair at the similarity: beyond them on the near side a pair is
+#: surely linked, beyond them on the far side it is surely not; between them the shingles decide.
+SLACK = 2.33
+#: Doubtful pairs that a task holds before it reduces them to a forest.
+DOUBT_AT_ONCE = 200_000
+
+
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """The 256-bit SimHash of distinct shingles: each hash is stretched to four words; zeros without shingles."""
+    ones = np.zeros(WIDE_BITS, np.int64)
+    for at in range(0, len(hashes), 50_000):
+        z = hashes[at : at + 50_000, None] + np.arange(1, WIDE_BITS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z ^= z >> np.uint64(31)
+        ones += np.unpackbits(z.view(np.uint8).reshape(len(z), -1), axis=1).sum(0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes)).tobytes()
+
+
+def wide_parameters(n: int, similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[int, int, int, int]:
+    """(differing bits of sure links, most differing bits, bits a key, tables) for n fingerprints.
+
+    The cosine of two sets of a Jaccard similarity is 2s/(1+s) at least; the share angle/pi of their bits differs.
+    The tables give a pair at the similarity the recall.
+    """
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    mean, slack = WIDE_BITS * share, SLACK * math.sqrt(WIDE_BITS * share * (1 - share))
     bits = min(32, max(12, math.ceil(math.log2(max(n, 2))) - 2))
-    return most, bits, math.ceil(math.log(1 - recall) / math.log(1 - (1 - share) ** bits))
+    return math.floor(mean - slack), math.ceil(mean + slack), bits, math.ceil(math.log(1 - recall) / math.log(1 - (1 - share) ** bits))
 
 
 def _sampled(bits: int, tables: int):
@@ -288,54 +292,93 @@ def _ring_holds(x: np.ndarray, most: int) -> np.ndarray:
     return held
 
 
-def _near(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
-    x = a ^ b
-    near = _ring_holds(x, most)
-    near[near] = np.bitwise_count(x[near]).sum(1) <= most
-    return near
+def _forest(x: np.ndarray, y: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Places of the pairs (x, y) that a minimum spanning forest by differing bits takes."""
+    parent, taken = {}, []
+
+    def find(k):
+        while (up := parent.setdefault(k, k)) != k:
+            parent[k] = parent.setdefault(up, up)
+            k = up
+        return k
+
+    order = np.argsort(bits, kind="stable")
+    for at, i, j in zip(order.tolist(), x[order].tolist(), y[order].tolist(), strict=True):
+        i, j = find(i), find(j)
+        if i != j:
+            parent[i] = j
+            taken.append(at)
+    return np.array(taken, np.int64)
+
 
+class _Links:
+    """Components by the sure links among the rows of a batch, and the doubtful pairs that would join components.
 
-class _Forest:
-    """Components of the nodes met so far in a batch, joined pair by pair."""
+    Of the doubtful pairs a minimum spanning forest is kept: a row adds one link at most, however large its bucket.
+    """
 
-    def __init__(self, nodes: np.ndarray):
+    def __init__(self, nodes: np.ndarray, fps: np.ndarray, sure: int, most: int):
         self.nodes, self.at = np.unique(nodes, return_inverse=True)
         self.label = np.arange(len(self.nodes))
+        self.fps, self.sure, self.most = fps, sure, most
+        self.doubt = np.zeros((3, 0), np.int64)
+        self.new: list[np.ndarray] = []
 
-    def join(self, a: np.ndarray, b: np.ndarray, fa: np.ndarray, fb: np.ndarray, most: int) -> None:
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
         """a and b: places of the rows; pairs within a component already are passed over."""
         for lo in range(0, len(a), 50_000):
             x, y = a[lo : lo + 50_000], b[lo : lo + 50_000]
             apart = self.label[self.at[x]] != self.label[self.at[y]]
             x, y = x[apart], y[apart]
-            good = _near(fa[x], fb[y], most) if len(x) else np.zeros(0, bool)
+            if not len(x):
+                continue
+            diff = self.fps[x] ^ self.fps[y]
+            bits = np.bitwise_count(diff).sum(1, dtype=np.int64)
+            near = np.flatnonzero(bits <= self.most)
+            near = near[_ring_holds(diff[near], self.most)]
+            x, y, bits = self.at[x[near]], self.at[y[near]], bits[near]
+            good = bits <= self.sure
             if good.any():
                 every = np.arange(len(self.nodes))
-                child, root = spanning_star(np.concatenate([self.label[self.at[x[good]]], every]), np.concatenate([self.label[self.at[y[good]]], self.label]))
+                child, root = spanning_star(np.concatenate([self.label[x[good]], every]), np.concatenate([self.label[y[good]], self.label]))
                 self.label = every
                 self.label[child] = root
+            if not good.all():
+                self.new.append(np.stack([x[~good], y[~good], bits[~good]]))
+                if sum(p.shape[1] for p in self.new) > DOUBT_AT_ONCE:
+                    self.reduce()
+
+    def reduce(self) -> None:
+        pairs = np.concatenate([self.doubt, *self.new], axis=1)
+        self.new = []
+        pairs = pairs[:, self.label[pairs[0]] != self.label[pairs[1]]]
+        self.doubt = pairs[:, _forest(self.label[pairs[0]], self.label[pairs[1]], pairs[2])]
 
     def batch(self) -> pa.RecordBatch:
-        own = self.label != np.arange(len(self.nodes))
-        return pa.RecordBatch.from_arrays([pa.array(self.nodes[own]), pa.array(self.nodes[self.label[own]])], names=["u", "v"])
+        """Rows (u, v, doubt)."""
+        self.reduce()
+        own = np.flatnonzero(self.label != np.arange(len(self.nodes)))
+        u, v = np.concatenate([own, self.doubt[0]]), np.concatenate([self.label[own], self.doubt[1]])
+        flags = pa.array(np.arange(len(u)) >= len(own))
+        return pa.RecordBatch.from_arrays([pa.array(self.nodes[u]), pa.array(self.nodes[v]), flags], names=["u", "v", "doubt"])
 
 
 def _words(fps) -> np.ndarray:
     return np.frombuffer(b"".join(fps.to_pylist()), "<u8").reshape(len(fps), WIDE_BITS // 64)
 
 
-def _wide_runs(most: int, rows_at_once: int = 50_000):
+def _wide_runs(sure: int, most: int, rows_at_once: int = 50_000):
     """Streams rows sorted by key and links the pairs within each run of a key."""
 
     def flush(rows: pa.Table) -> pa.RecordBatch:
-        key, fps, forest = rows.column("key").to_numpy(), _words(rows.column("fp")), _Forest(rows.column("node").to_numpy())
+        key, links = rows.column("key").to_numpy(), _Links(rows.column("node").to_numpy(), _words(rows.column("fp")), sure, most)
         active, d = np.arange(len(key)), 1
         while True:
             active = active[active + d < len(key)]
             active = active[key[active] == key[active + d]]
             if not len(active):
-                return forest.batch()
-            forest.join(active, active + d, fps, fps, most)
+                return links.batch()
+            links.join(active, active + d)
             d += 1
 
     def run(batches):
@@ -355,47 +398,76 @@ def _wide_runs(most: int, rows_at_once: int = 50_000):
     return run
 
 
-def _wide_blocks(most: int):
+def _wide_blocks(sure: int, most: int):
     """Links the pairs between two blocks of one large bucket, or within one block (bi = bj)."""
 
     def run(rows: pa.Table) -> pa.Table:
-        side, fps, forest = rows.column("side").to_numpy(), _words(rows.column("fp")), _Forest(rows.column("node").to_numpy())
+        side, links = rows.column("side").to_numpy(), _Links(rows.column("node").to_numpy(), _words(rows.column("fp")), sure, most)
         x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         within = rows.column("bi")[0].as_py() == rows.column("bj")[0].as_py()
         for i in x:
             other = x[x > i] if within else y
-            forest.join(np.full(len(other), i), other, fps, fps, most)
-        return pa.Table.from_batches([forest.batch()])
+            links.join(np.full(len(other), i), other)
+        return pa.Table.from_batches([links.batch()])
 
     return run
 
 
+def _shingled(docs: DataFrame, id_col: str, text_col: str, width: int, with_set: bool) -> DataFrame:
+    """Rows (doc_id, fp, n[, shingles]): the wide fingerprint, the number of distinct shingles and their hashes."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [np.unique(shingle_hashes(t, width)) for t in part.column(1).to_pylist()]
+                sizes = np.array([len(x) for x in sets], np.int32)
+                columns = [part.column(0), pa.array([wide_fingerprint(x) for x in sets], pa.binary()), pa.array(sizes)]
+                if with_set:
+                    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                    columns.append(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets).view(np.int64))))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "n", "shingles"][: len(columns)])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    sets = ", shingles array<bigint>" if with_set else ""
+    return docs.select(F.col(id_col).alias("doc_id"), text_col).mapInArrow(run, f"doc_id {kind}, fp binary, n int{sets}")
+
+
+def _settle(docs: DataFrame, nodes: DataFrame, doubt: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
+    """The doubtful pairs (u, v, ...) whose sets of shingles reach the similarity; only texts in doubt are read again."""
+    ends = doubt.select(F.col("u").alias("node")).unionByName(doubt.select(F.col("v").alias("node"))).distinct()
+    ends = checkpointed(ends.join(nodes, "node").select("node", "fp", "n", "low"))
+    wanted = ends.select(F.col("low").alias("__low")).distinct()
+    texts = docs.select(id_col, text_col).join(wanted, F.col(id_col).eqNullSafe(F.col("__low")), "left_semi")
+    sets = _shingled(texts, id_col, text_col, width, True).dropDuplicates(["fp", "n"]).drop("doc_id")
+    sets = checkpointed(sets.join(ends.drop("low"), ["fp", "n"]).select("node", "shingles"))
+    first = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
+    second = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
+    both = F.size(F.array_intersect("a", "b"))
+    met = doubt.join(first, "u").join(second, "v").withColumn("both", both)
+    return met.where(F.col("both") / (F.size("a") + F.size("b") - F.col("both")) >= similarity).drop("a", "b", "both")
+
+
 def near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = SIMILARITY, limit: int = BUCKET_LIMIT
 ) -> DataFrame:
     """One row per row of docs: id_col, component_id (the smallest id among near copies that chains of links reach).
 
-    Texts are near copies if the cosine of their shingle counts is that of sets with the given Jaccard similarity
-    or more, as far as 256 sign bits tell. A pair at the similarity meets in some table with probability RECALL.
-    Cases (nulls, empty texts, repeated rows, other columns, empty tables) as in ``simhash_dedup``.
+    Texts are near copies if the Jaccard similarity of their sets of shingles is the given one or more: decided by
+    256 sign bits where these leave no doubt (one pair at the similarity in a hundred on either side), and by the
+    sets themselves between. A pair at the similarity meets in some table with probability RECALL. Cases (nulls,
+    empty texts, repeated rows, other columns, empty tables) as in ``simhash_dedup``.
     """
-
-    def run(batches):
-        for batch in batches:
-            fps = pa.array([wide_fingerprint(t, width) for t in batch.column(1).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], names=["doc_id", "fp"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    prints = docs.select(F.col(id_col).alias("doc_id"), text_col).mapInArrow(run, f"doc_id {kind}, fp binary")
-    prints = checkpointed(prints)
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("low")).withColumn("node", F.monotonically_increasing_id())
+    prints = checkpointed(_shingled(docs, id_col, text_col, width, False))
+    nodes = prints.groupBy("fp", "n").agg(F.min("doc_id").alias("low")).withColumn("node", F.monotonically_increasing_id())
     nodes = checkpointed(nodes)
-    most, bits, tables = wide_parameters(nodes.count(), similarity)
+    sure, most, bits, tables = wide_parameters(nodes.count(), similarity)
     keyed = nodes.select("node", "fp").mapInArrow(_sampled(bits, tables), "key long, node long, fp binary")
     counts = keyed.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > limit)
     large = checkpointed(counts)
+    out = "u long, v long, doubt boolean"
     if large.isEmpty():
-        found = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_wide_runs(most), "u long, v long")
+        found = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_wide_runs(sure, most), out)
     else:
         small = keyed.join(large, "key", "left_anti").repartition("key").sortWithinPartitions("key")
         block = F.ceil(F.col("many") / (limit // 2))
@@ -403,13 +475,24 @@ def near_copies(
         wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         side = F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")
         wide = wide.select("key", "node", "fp", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), side)
-        pairs = wide.groupBy("key", "bi", "bj").applyInArrow(_wide_blocks(most), "u long, v long")
-        found = small.mapInArrow(_wide_runs(most), "u long, v long").unionByName(pairs)
-    comp = connected_components(found)
-    placed = nodes.join(comp, "node", "left").select("fp", "low", F.coalesce("component", "node").alias("component"))
+        pairs = wide.groupBy("key", "bi", "bj").applyInArrow(_wide_blocks(sure, most), out)
+        found = small.mapInArrow(_wide_runs(sure, most), out).unionByName(pairs)
+    found = checkpointed(found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"), "doubt").distinct())
+    comp = connected_components(found.where("not doubt"))
+    placed = nodes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = checkpointed(placed.select("node", "fp", "n", "low", "component"))
+    end = lambda k: placed.select(F.col("node").alias(k), F.col("component").alias(f"c{k}"), F.col("n").alias(f"n{k}"))
+    doubt = found.where("doubt").select("u", "v").join(end("u"), "u").join(end("v"), "v")
+    doubt = doubt.where(F.col("cu") != F.col("cv")).where(F.least("nu", "nv") >= similarity * F.greatest("nu", "nv"))
+    doubt = checkpointed(doubt.select("u", "v", "cu", "cv"))
+    if not doubt.isEmpty():
+        settled = _settle(docs, placed, doubt, id_col, text_col, width, similarity)
+        joined = connected_components(settled.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
+        placed = placed.join(joined.withColumnsRenamed({"node": "component", "component": "whole"}), "component", "left")
+        placed = placed.withColumn("component", F.coalesce("whole", "component"))
     lowest = placed.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = placed.join(lowest, "component").select("fp", "component_id")
-    return prints.join(named, "fp").select(F.col("doc_id").alias(id_col), "component_id")
+    named = placed.join(lowest, "component").select("fp", "n", "component_id")
+    return prints.join(named, ["fp", "n"]).select(F.col("doc_id").alias(id_col), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = SIMILARITY) -> DataFrame:
