@@ -488,7 +488,8 @@ def near_copies(
     if not doubt.isEmpty():
         settled = _settle(docs, placed, doubt, id_col, text_col, width, similarity)
         joined = connected_components(settled.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
-        placed = placed.join(joined.withColumnsRenamed({"node": "component", "component": "whole"}), "component", "left")
+        joined = joined.select(F.col("component").alias("whole"), F.col("node").alias("component"))
+        placed = placed.join(joined, "component", "left")
         placed = placed.withColumn("component", F.coalesce("whole", "component"))
     lowest = placed.groupBy("component").agg(F.min("low").alias("component_id"))
     named = placed.join(lowest, "component").select("fp", "n", "component_id")
