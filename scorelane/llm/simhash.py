@@ -398,10 +398,17 @@ def _wide_runs(sure: int, most: int, rows_at_once: int = 50_000):
     return run
 
 
+def _in_order(keyed: DataFrame) -> DataFrame:
+    """The rows of a key together, always in the same partitions and order: which doubtful pairs are kept depends on it."""
+    parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return keyed.repartition(parts, "key").sortWithinPartitions("key", "fp", "node")
+
+
 def _wide_blocks(sure: int, most: int):
     """Links the pairs between two blocks of one large bucket, or within one block (bi = bj)."""
 
     def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("fp", "ascending"), ("node", "ascending")])
         side, links = rows.column("side").to_numpy(), _Links(rows.column("node").to_numpy(), _words(rows.column("fp")), sure, most)
         x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         within = rows.column("bi")[0].as_py() == rows.column("bj")[0].as_py()
@@ -467,11 +474,11 @@ def near_copies(
     large = checkpointed(counts)
     out = "u long, v long, doubt boolean"
     if large.isEmpty():
-        found = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_wide_runs(sure, most), out)
+        found = _in_order(keyed).mapInArrow(_wide_runs(sure, most), out)
     else:
-        small = keyed.join(large, "key", "left_anti").repartition("key").sortWithinPartitions("key")
+        small = _in_order(keyed.join(large, "key", "left_anti"))
         block = F.ceil(F.col("many") / (limit // 2))
-        wide = keyed.join(large, "key").withColumn("blocks", block).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+        wide = keyed.join(large, "key").withColumn("blocks", block).withColumn("own", F.pmod(F.xxhash64("fp"), "blocks"))
         wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         side = F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")
         wide = wide.select("key", "node", "fp", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), side)

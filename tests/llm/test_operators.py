@@ -321,6 +321,8 @@ def test_near_copies_go_and_others_stay(spark, docs, nothing):
     for limit in (simhash.BUCKET_LIMIT, 4):
         got = {r["doc_id"]: r["component_id"] for r in rows(simhash.near_copies(frame, limit=limit))}
         assert all(got[k] == k for k in range(40)) and sum(got[100 + k] == k for k in range(20)) >= 18
+        again = simhash.near_copies(frame.repartition(7, "text"), limit=limit)
+        assert {r["doc_id"]: r["component_id"] for r in rows(again)} == got  # whatever the order of the rows
     kept = simhash.drop_near_copies(docs)
     assert kept.columns == docs.columns and {r["doc_id"] for r in rows(kept)} == {1, 3, 7, 10, None}  # 9 repeats the words of 1
     assert not rows(simhash.near_copies(nothing))
