@@ -219,18 +219,17 @@ def simhash_dedup(
 
 # Near copies by word shingles: 64 bits are too few for a similarity of 0.8, where a seventh of them differ. Longer
 # fingerprints keep such pairs apart from others; samples of their bits bring pairs together, and the ring of
-# segments prunes what meets by chance before the full Hamming check. Pairs that the check leaves in doubt are
-# settled by their sets of shingles.
+# segments prunes what meets by chance before the full Hamming check. That is a search for candidates only: every
+# link is settled by the sets of shingles.
 
 WIDE_BITS = 256
 WIDE_RING = 16
 SIMILARITY = 0.8
 RECALL = 0.99
-#: Standard deviations of the differing bits of a pair at the similarity: beyond them on the near side a pair is
-#: surely linked, beyond them on the far side it is surely not; between them the shingles decide.
+#: Standard deviations of the differing bits of a pair at the similarity: beyond them on the far side it is no candidate.
 SLACK = 2.33
-#: Doubtful pairs that a task holds before it reduces them to a forest.
-DOUBT_AT_ONCE = 200_000
+#: Rounds in which each component's one link to another is settled, before all links that are left.
+ROUNDS = 2
 
 
 def wide_fingerprint(hashes: np.ndarray) -> bytes:
@@ -245,8 +244,8 @@ def wide_fingerprint(hashes: np.ndarray) -> bytes:
     return np.packbits(2 * ones > len(hashes)).tobytes()
 
 
-def wide_parameters(n: int, similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[int, int, int, int]:
-    """(differing bits of sure links, most differing bits, bits a key, tables) for n fingerprints.
+def wide_parameters(n: int, similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[int, int, int]:
+    """(most differing bits, bits a key, tables) for n fingerprints.
 
     The cosine of two sets of a Jaccard similarity is 2s/(1+s) at least; the share angle/pi of their bits differs.
     The tables give a pair at the similarity the recall.
@@ -254,7 +253,7 @@ def wide_parameters(n: int, similarity: float = SIMILARITY, recall: float = RECA
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     mean, slack = WIDE_BITS * share, SLACK * math.sqrt(WIDE_BITS * share * (1 - share))
     bits = min(32, max(12, math.ceil(math.log2(max(n, 2))) - 2))
-    return math.floor(mean - slack), math.ceil(mean + slack), bits, math.ceil(math.log(1 - recall) / math.log(1 - (1 - share) ** bits))
+    return math.ceil(mean + slack), bits, math.ceil(math.log(1 - recall) / math.log(1 - (1 - share) ** bits))
 
 
 def _sampled(bits: int, tables: int):
@@ -312,17 +311,14 @@ def _forest(x: np.ndarray, y: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 
 class _Links:
-    """Components by the sure links among the rows of a batch, and the doubtful pairs that would join components.
+    """A spanning forest of the candidate pairs among the rows of a batch: a row adds one pair at most, however
+    large its bucket, and the pairs left out join rows that the forest connects."""
 
-    Of the doubtful pairs a minimum spanning forest is kept: a row adds one link at most, however large its bucket.
-    """
-
-    def __init__(self, nodes: np.ndarray, fps: np.ndarray, sure: int, most: int):
+    def __init__(self, nodes: np.ndarray, fps: np.ndarray, most: int):
         self.nodes, self.at = np.unique(nodes, return_inverse=True)
         self.label = np.arange(len(self.nodes))
-        self.fps, self.sure, self.most = fps, sure, most
-        self.doubt = np.zeros((3, 0), np.int64)
-        self.new: list[np.ndarray] = []
+        self.fps, self.most = fps, most
+        self.taken: list[np.ndarray] = [np.zeros((2, 0), np.int64)]
 
     def join(self, a: np.ndarray, b: np.ndarray) -> None:
         """a and b: places of the rows; pairs within a component already are passed over."""
@@ -336,42 +332,32 @@ class _Links:
             bits = np.bitwise_count(diff).sum(1, dtype=np.int64)
             near = np.flatnonzero(bits <= self.most)
             near = near[_ring_holds(diff[near], self.most)]
-            x, y, bits = self.at[x[near]], self.at[y[near]], bits[near]
-            good = bits <= self.sure
-            if good.any():
-                every = np.arange(len(self.nodes))
-                child, root = spanning_star(np.concatenate([self.label[x[good]], every]), np.concatenate([self.label[y[good]], self.label]))
-                self.label = every
-                self.label[child] = root
-            if not good.all():
-                self.new.append(np.stack([x[~good], y[~good], bits[~good]]))
-                if sum(p.shape[1] for p in self.new) > DOUBT_AT_ONCE:
-                    self.reduce()
-
-    def reduce(self) -> None:
-        pairs = np.concatenate([self.doubt, *self.new], axis=1)
-        self.new = []
-        pairs = pairs[:, self.label[pairs[0]] != self.label[pairs[1]]]
-        self.doubt = pairs[:, _forest(self.label[pairs[0]], self.label[pairs[1]], pairs[2])]
+            if not len(near):
+                continue
+            x, y = self.at[x[near]], self.at[y[near]]
+            kept = _forest(self.label[x], self.label[y], bits[near])
+            x, y = x[kept], y[kept]
+            self.taken.append(np.stack([x, y]))
+            every = np.arange(len(self.nodes))
+            child, root = spanning_star(np.concatenate([self.label[x], every]), np.concatenate([self.label[y], self.label]))
+            self.label = every
+            self.label[child] = root
 
     def batch(self) -> pa.RecordBatch:
-        """Rows (u, v, doubt)."""
-        self.reduce()
-        own = np.flatnonzero(self.label != np.arange(len(self.nodes)))
-        u, v = np.concatenate([own, self.doubt[0]]), np.concatenate([self.label[own], self.doubt[1]])
-        flags = pa.array(np.arange(len(u)) >= len(own))
-        return pa.RecordBatch.from_arrays([pa.array(self.nodes[u]), pa.array(self.nodes[v]), flags], names=["u", "v", "doubt"])
+        """Rows (u, v)."""
+        u, v = np.concatenate(self.taken, axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(self.nodes[u]), pa.array(self.nodes[v])], names=["u", "v"])
 
 
 def _words(fps) -> np.ndarray:
     return np.frombuffer(b"".join(fps.to_pylist()), "<u8").reshape(len(fps), WIDE_BITS // 64)
 
 
-def _wide_runs(sure: int, most: int, rows_at_once: int = 50_000):
+def _wide_runs(most: int, rows_at_once: int = 50_000):
     """Streams rows sorted by key and links the pairs within each run of a key."""
 
     def flush(rows: pa.Table) -> pa.RecordBatch:
-        key, links = rows.column("key").to_numpy(), _Links(rows.column("node").to_numpy(), _words(rows.column("fp")), sure, most)
+        key, links = rows.column("key").to_numpy(), _Links(rows.column("node").to_numpy(), _words(rows.column("fp")), most)
         active, d = np.arange(len(key)), 1
         while True:
             active = active[active + d < len(key)]
@@ -399,17 +385,17 @@ def _wide_runs(sure: int, most: int, rows_at_once: int = 50_000):
 
 
 def _in_order(keyed: DataFrame) -> DataFrame:
-    """The rows of a key together, always in the same partitions and order: which doubtful pairs are kept depends on it."""
+    """The rows of a key together, always in the same partitions and order: which links are settled first depends on it."""
     parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return keyed.repartition(parts, "key").sortWithinPartitions("key", "fp", "node")
 
 
-def _wide_blocks(sure: int, most: int):
+def _wide_blocks(most: int):
     """Links the pairs between two blocks of one large bucket, or within one block (bi = bj)."""
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("fp", "ascending"), ("node", "ascending")])
-        side, links = rows.column("side").to_numpy(), _Links(rows.column("node").to_numpy(), _words(rows.column("fp")), sure, most)
+        side, links = rows.column("side").to_numpy(), _Links(rows.column("node").to_numpy(), _words(rows.column("fp")), most)
         x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         within = rows.column("bi")[0].as_py() == rows.column("bj")[0].as_py()
         for i in x:
@@ -440,41 +426,75 @@ def _shingled(docs: DataFrame, id_col: str, text_col: str, width: int, with_set:
     return docs.select(F.col(id_col).alias("doc_id"), text_col).mapInArrow(run, f"doc_id {kind}, fp binary, n int{sets}")
 
 
-def _settle(docs: DataFrame, nodes: DataFrame, doubt: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
-    """The doubtful pairs (u, v, ...) whose sets of shingles reach the similarity; only texts in doubt are read again."""
-    ends = doubt.select(F.col("u").alias("node")).unionByName(doubt.select(F.col("v").alias("node"))).distinct()
-    ends = checkpointed(ends.join(nodes, "node").select("node", "fp", "n", "low"))
+def _sets(docs: DataFrame, nodes: DataFrame, ends: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """Rows (node, shingles) of the nodes in ``ends``; only their texts are read again."""
+    ends = checkpointed(nodes.join(ends.select("node"), "node", "left_semi"))
     wanted = ends.select(F.col("low").alias("__low")).distinct()
     texts = docs.select(id_col, text_col).join(wanted, F.col(id_col).eqNullSafe(F.col("__low")), "left_semi")
     sets = _shingled(texts, id_col, text_col, width, True).dropDuplicates(["fp", "n"]).drop("doc_id")
-    sets = checkpointed(sets.join(ends.drop("low"), ["fp", "n"]).select("node", "shingles"))
+    return checkpointed(sets.join(ends.drop("low"), ["fp", "n"]).select("node", "shingles"))
+
+
+def _holding(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v, ...) whose sets of shingles reach the similarity."""
     first = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
     second = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
-    met = doubt.join(first, "u").join(second, "v").withColumn("both", both)
+    met = pairs.join(first, "u").join(second, "v")
+    met = met.where(F.least(F.size("a"), F.size("b")) >= similarity * F.greatest(F.size("a"), F.size("b"))).withColumn("both", both)
     return met.where(F.col("both") / (F.size("a") + F.size("b") - F.col("both")) >= similarity).drop("a", "b", "both")
 
 
+def _joined(placed: DataFrame, edges: DataFrame) -> DataFrame:
+    """placed with the components renamed that the edges (cu, cv) between components join."""
+    whole = connected_components(edges.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
+    whole = whole.select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    placed = placed.join(whole, "component", "left").withColumn("component", F.coalesce("whole", "component"))
+    return checkpointed(placed.drop("whole"))
+
+
+def _settle(placed: DataFrame, links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """placed (node, component, ...) with the components joined by those links (u, v) whose sets reach the similarity.
+
+    At first each component's link to its smallest neighbour is settled, then, of what is left, every link between
+    two components: links within a component need no answer.
+    """
+    for k in range(ROUNDS + 1):
+        end = lambda x: placed.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+        links = links.select("u", "v").join(end("u"), "u").join(end("v"), "v").where("cu <> cv")
+        links = checkpointed(links.select("u", "v", "cu", "cv"))
+        if links.isEmpty():
+            break
+        tried = links
+        if k < ROUNDS:
+            way = lambda own, other: links.select(F.col(own).alias("own"), F.struct(F.col(other).alias("other"), "u", "v", "cu", "cv").alias("link"))
+            first = way("cu", "cv").unionByName(way("cv", "cu")).groupBy("own").agg(F.min("link").alias("link"))
+            tried = checkpointed(first.select("link.u", "link.v", "link.cu", "link.cv").distinct())
+            links = links.join(tried, ["u", "v"], "left_anti")
+        placed = _joined(placed, checkpointed(_holding(tried, sets, similarity)))
+    return placed
+
+
 def near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = SIMILARITY, limit: int = BUCKET_LIMIT
 ) -> DataFrame:
     """One row per row of docs: id_col, component_id (the smallest id among near copies that chains of links reach).
 
-    Texts are near copies if the Jaccard similarity of their sets of shingles is the given one or more: decided by
-    256 sign bits where these leave no doubt (one pair at the similarity in a hundred on either side), and by the
-    sets themselves between. A pair at the similarity meets in some table with probability RECALL. Cases (nulls,
-    empty texts, repeated rows, other columns, empty tables) as in ``simhash_dedup``.
+    Texts are near copies if the Jaccard similarity of their sets of shingles is the given one or more. Candidates
+    are pairs that meet in some table and differ in few of 256 sign bits; each of the two holds for a pair at the
+    similarity with a probability of about RECALL. No two components are joined but by a pair whose sets reach the
+    similarity. Cases (nulls, empty texts, repeated rows, other columns, empty tables) as in ``simhash_dedup``.
     """
     prints = checkpointed(_shingled(docs, id_col, text_col, width, False))
     nodes = prints.groupBy("fp", "n").agg(F.min("doc_id").alias("low")).withColumn("node", F.monotonically_increasing_id())
     nodes = checkpointed(nodes)
-    sure, most, bits, tables = wide_parameters(nodes.count(), similarity)
+    most, bits, tables = wide_parameters(nodes.count(), similarity)
     keyed = nodes.select("node", "fp").mapInArrow(_sampled(bits, tables), "key long, node long, fp binary")
     counts = keyed.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > limit)
     large = checkpointed(counts)
-    out = "u long, v long, doubt boolean"
+    out = "u long, v long"
     if large.isEmpty():
-        found = _in_order(keyed).mapInArrow(_wide_runs(sure, most), out)
+        found = _in_order(keyed).mapInArrow(_wide_runs(most), out)
     else:
         small = _in_order(keyed.join(large, "key", "left_anti"))
         block = F.ceil(F.col("many") / (limit // 2))
@@ -482,22 +502,16 @@ def near_copies(
         wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         side = F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")
         wide = wide.select("key", "node", "fp", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), side)
-        pairs = wide.groupBy("key", "bi", "bj").applyInArrow(_wide_blocks(sure, most), out)
-        found = small.mapInArrow(_wide_runs(sure, most), out).unionByName(pairs)
-    found = checkpointed(found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"), "doubt").distinct())
-    comp = connected_components(found.where("not doubt"))
-    placed = nodes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = checkpointed(placed.select("node", "fp", "n", "low", "component"))
-    end = lambda k: placed.select(F.col("node").alias(k), F.col("component").alias(f"c{k}"), F.col("n").alias(f"n{k}"))
-    doubt = found.where("doubt").select("u", "v").join(end("u"), "u").join(end("v"), "v")
-    doubt = doubt.where(F.col("cu") != F.col("cv")).where(F.least("nu", "nv") >= similarity * F.greatest("nu", "nv"))
-    doubt = checkpointed(doubt.select("u", "v", "cu", "cv"))
-    if not doubt.isEmpty():
-        settled = _settle(docs, placed, doubt, id_col, text_col, width, similarity)
-        joined = connected_components(settled.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
-        joined = joined.select(F.col("component").alias("whole"), F.col("node").alias("component"))
-        placed = placed.join(joined, "component", "left")
-        placed = placed.withColumn("component", F.coalesce("whole", "component"))
+        pairs = wide.groupBy("key", "bi", "bj").applyInArrow(_wide_blocks(most), out)
+        found = small.mapInArrow(_wide_runs(most), out).unionByName(pairs)
+    found = checkpointed(found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    placed = nodes.withColumn("component", F.col("node"))
+    if not found.isEmpty():
+        # a pair left out by the forests lies within a group
+        groups = connected_components(found).withColumnRenamed("component", "group")
+        sets = _sets(docs, nodes, groups, id_col, text_col, width)
+        met = _settle(checkpointed(groups.withColumn("component", F.col("node"))), found, sets, similarity)
+        placed = nodes.join(met.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = placed.groupBy("component").agg(F.min("low").alias("component_id"))
     named = placed.join(lowest, "component").select("fp", "n", "component_id")
     return prints.join(named, ["fp", "n"]).select(F.col("doc_id").alias(id_col), "component_id")

@@ -335,3 +335,23 @@ def test_ring_filter_loses_no_pair_within_the_limit():
         row[rng.permutation(256)[: rng.integers(0, 48)]] = 1
     x = np.packbits(bits, axis=1).view("<u8")
     assert simhash._ring_holds(x, 47).all()
+
+
+def jaccard_roots(texts, similarity):
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    linked = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j])]
+    return roots(len(texts), linked)
+
+
+def template_texts(n, own, seed=5):
+    """Texts of one shared template and words of their own: all pairs are about equally similar."""
+    rng = random.Random(seed)
+    template = [f"t{rng.random()}" for _ in range(300)]
+    return [" ".join([*template, *(f"{k}x{w}" for w in range(own))]) for k in range(n)]
+
+
+def test_near_copies_settle_links_of_few_differing_bits(spark):
+    texts = template_texts(300, 39)  # all pairs at 0.79; some differ in less than 26 of 256 bits
+    assert jaccard_roots(texts, 0.8) == list(range(300))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert all(r["component_id"] == r["doc_id"] for r in rows(simhash.near_copies(frame)))
