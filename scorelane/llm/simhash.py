@@ -230,6 +230,8 @@ RECALL = 0.99
 SLACK = 2.33
 #: Rounds in which each component's one link to another is settled, before all links that are left.
 ROUNDS = 2
+#: Texts, and shingles of them, in a block of a group whose pairs are all compared.
+BLOCK_TEXTS, BLOCK_SHINGLES = 512, 1_000_000
 
 
 def wide_fingerprint(hashes: np.ndarray) -> bytes:
@@ -475,6 +477,68 @@ def _settle(placed: DataFrame, links: DataFrame, sets: DataFrame, similarity: fl
     return placed
 
 
+def _all_pairs(similarity: float):
+    """Rows (cu, cv): components of one group that a pair of sets joins, of the pairs between two blocks or within one."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("group", "ascending"), ("node", "ascending")]).combine_chunks()
+        group, side, parts = (rows.column(c).to_numpy() for c in ("group", "side", "component"))
+        within = rows.column("bi")[0].as_py() == rows.column("bj")[0].as_py()
+        components, label = np.unique(parts, return_inverse=True)
+        sizes = rows.column("n").to_numpy().astype(np.int64)
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        lists = rows.column("shingles").combine_chunks()
+        known, code = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        mark, u, v = np.zeros(len(known), bool), [], []
+        ends = np.searchsorted(group, group, "right")
+        starts = np.arange(1, len(group) + 1) if within else np.searchsorted(group, group, "left")
+        for x in np.flatnonzero(side == 0):
+            lo, hi = starts[x], ends[x]
+            ok = label[lo:hi] != label[x]
+            if not within:
+                ok &= side[lo:hi] == 1
+            ok &= np.minimum(sizes[lo:hi], sizes[x]) >= similarity * np.maximum(sizes[lo:hi], sizes[x])
+            y = lo + np.flatnonzero(ok)
+            if not len(y):
+                continue
+            mark[code[at[x] : at[x + 1]]] = True
+            hits = np.concatenate([[0], np.cumsum(mark[code[at[lo] : at[hi]]])])
+            mark[code[at[x] : at[x + 1]]] = False
+            both = hits[at[y + 1] - at[lo]] - hits[at[y] - at[lo]]
+            for other in np.unique(label[y[both / (sizes[x] + sizes[y] - both) >= similarity]]):
+                u.append(components[label[x]])
+                v.append(components[other])
+                label[label == other] = label[x]
+        return pa.table({"cu": pa.array(u, pa.int64()), "cv": pa.array(v, pa.int64())})
+
+    return run
+
+
+def _completed(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """placed (node, group, component, n) with all components joined that some pair of a group joins.
+
+    Only groups of several components are looked at; all pairs between their components are compared, in blocks.
+    """
+    split = placed.groupBy("group").agg(
+        F.count("*").alias("many"), F.sum("n").alias("weight"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    split = checkpointed(split.where("low < high").drop("low", "high"))
+    total = split.agg(F.sum("many"), F.sum("weight")).first()
+    if total[0] is None:
+        return placed
+    cut = lambda many, weight: F.ceil(F.greatest(many / BLOCK_TEXTS, weight / BLOCK_SHINGLES)).cast("long")
+    lots = cut(F.lit(total[0]), F.lit(total[1]))
+    rows = placed.join(split, "group").withColumn("blocks", F.greatest(cut(F.col("many"), F.col("weight")), F.lit(1)))
+    # groups of one block share tasks; a larger group has its own
+    rows = rows.withColumn("lot", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("group"), lots)).otherwise(F.col("group") + lots))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    side = F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")
+    rows = rows.select("lot", "group", "node", "component", "n", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), side)
+    found = rows.join(sets, "node").groupBy("lot", "bi", "bj").applyInArrow(_all_pairs(similarity), "cu long, cv long")
+    return _joined(placed, checkpointed(found.distinct()))
+
+
 def near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = SIMILARITY, limit: int = BUCKET_LIMIT
 ) -> DataFrame:
@@ -483,7 +547,7 @@ def near_copies(
     Texts are near copies if the Jaccard similarity of their sets of shingles is the given one or more. Candidates
     are pairs that meet in some table and differ in few of 256 sign bits; each of the two holds for a pair at the
     similarity with a probability of about RECALL. No two components are joined but by a pair whose sets reach the
-    similarity. Cases (nulls, empty texts, repeated rows, other columns, empty tables) as in ``simhash_dedup``.
+    similarity; among the texts that chains of candidates connect, every such pair is found. Cases (nulls, empty texts, repeated rows, other columns, empty tables) as in ``simhash_dedup``.
     """
     prints = checkpointed(_shingled(docs, id_col, text_col, width, False))
     nodes = prints.groupBy("fp", "n").agg(F.min("doc_id").alias("low")).withColumn("node", F.monotonically_increasing_id())
@@ -508,9 +572,10 @@ def near_copies(
     placed = nodes.withColumn("component", F.col("node"))
     if not found.isEmpty():
         # a pair left out by the forests lies within a group
-        groups = connected_components(found).withColumnRenamed("component", "group")
+        groups = connected_components(found).withColumnRenamed("component", "group").join(nodes.select("node", "n"), "node")
         sets = _sets(docs, nodes, groups, id_col, text_col, width)
         met = _settle(checkpointed(groups.withColumn("component", F.col("node"))), found, sets, similarity)
+        met = _completed(met, sets, similarity)
         placed = nodes.join(met.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = placed.groupBy("component").agg(F.min("low").alias("component_id"))
     named = placed.join(lowest, "component").select("fp", "n", "component_id")

@@ -355,3 +355,15 @@ def test_near_copies_settle_links_of_few_differing_bits(spark):
     assert jaccard_roots(texts, 0.8) == list(range(300))
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert all(r["component_id"] == r["doc_id"] for r in rows(simhash.near_copies(frame)))
+
+
+def test_near_copies_are_found_among_nearer_untrue_pairs(spark, monkeypatch):
+    texts = template_texts(300, 60)  # all pairs at 0.71
+    for k in range(60):  # planted pairs at 0.81: a shared stretch of own words
+        texts[2 * k + 1] = " ".join([*texts[2 * k].split()[:336], *(f"{k}y{w}" for w in range(24))])
+    want = jaccard_roots(texts, 0.8)
+    assert sum(k != w for k, w in enumerate(want)) == 60
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in rows(simhash.near_copies(frame))} == dict(enumerate(want))
+    monkeypatch.setattr(simhash, "BLOCK_TEXTS", 100)  # several blocks a group
+    assert {r["doc_id"]: r["component_id"] for r in rows(simhash.near_copies(frame))} == dict(enumerate(want))
