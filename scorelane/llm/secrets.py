@@ -3,8 +3,9 @@
 Candidate runs are tested under the encoding that their characters suggest. The null hypothesis is that a run
 is written, not drawn: the symbols of its encoding have the falling frequencies that written text has. A small
 chi-squared statistic against the uniform alphabet, here in its coincidence form (pairs of equal characters),
-speaks for a random string. The number of runs of high and low symbols and the serial correlation of neighbours
-must agree with randomness. False discoveries are held by Benjamini-Hochberg within classes of length, over all
+speaks for a random string, and so do many changes between small letters, capitals and digits, which written
+words and numbers keep in stretches; both become one p-value. The number of runs of high and low symbols and the
+serial correlation of neighbours must agree with randomness. False discoveries are held by Benjamini-Hochberg within classes of length, over all
 candidates of the corpus.
 """
 
@@ -29,6 +30,12 @@ KIND_RANDOM = "random"
 ALPHABETS = (("hex_lower", "^[0-9a-f]+$", 16), ("hex_upper", "^[0-9A-F]+$", 16), ("base32", "^[A-Z2-7]+$", 32), ("base36", "^[A-Z0-9]+$", 36), ("base36_lower", "^[a-z0-9]+$", 36), ("base64", "^[A-Za-z0-9+/]+$", 64), ("base64url", "^[A-Za-z0-9_-]+$", 64), ("mixed", "^.+$", 66))
 FDR = 0.05
 LEVEL = 0.001
+#: Share of neighbours of different kinds (small letter, capital, digit) in written text: two a stretch of ten where
+#: the encoding has one case, two a word of six or seven letters where it has both (capitals within names).
+CHANGES = {"hex_lower": 0.2, "hex_upper": 0.2, "base32": 0.2, "base36": 0.2, "base36_lower": 0.2}
+CHANGES_MIXED = 0.3
+#: Neighbours up to which the chance of so many changes is summed term by term; a bound is taken for more.
+EXACT = 1000
 
 
 def _written_powers(symbols: int) -> tuple[float, float]:
@@ -78,10 +85,29 @@ def _normal_below(z: Column) -> Column:
     return F.when(z >= 0, 1 - tail).otherwise(tail)
 
 
+def _changes_reach(count: Column, among: Column, share: Column) -> Column:
+    """P(X >= count) of a binomial X: its terms added up, or the Chernoff bound beyond EXACT."""
+    one, x = F.lit(1.0), count / among
+
+    def step(acc, k):
+        term = acc["term"] * (among - k + 1) / k * share / (1 - share)
+        return F.struct(term.alias("term"), (acc["sum"] + F.when(k >= count, term).otherwise(0.0)).alias("sum"))
+
+    first = F.pow(1 - share, among)
+    start = F.struct(first.alias("term"), F.when(count <= 0, first).otherwise(0.0).alias("sum"))
+    terms = F.transform(F.sequence(F.lit(1), F.least(among, F.lit(EXACT)).cast("int")), lambda k: k.cast("double"))
+    summed = F.aggregate(terms, start, step, lambda acc: F.least(acc["sum"], one))
+    rest = F.when(x < 1, (1 - x) * F.log((1 - x) / (1 - share))).otherwise(0.0)
+    bound = F.when(x > share, F.exp(-among * (x * F.log(x / share) + rest))).otherwise(one)
+    return F.when(among < 1, one).when(among <= EXACT, summed).otherwise(bound)
+
+
 def test_battery(candidates: DataFrame, value: str = "value") -> DataFrame:
-    """Adds encoding, n, p_written, p_runs, p_serial to rows with a string column of two characters or more.
+    """Adds encoding, n, p_written, p_changes, p, p_runs, p_serial to rows with a string column of two characters or more.
 
     p_written: chance that written text of this length and encoding repeats so few characters (small: random).
+    p_changes: chance that written text changes so often between small letters, capitals and digits (small: random).
+    p: the two together, by Fisher's product.
     p_runs, p_serial: two-sided chance, for a random string, of so odd a number of runs of symbols above or below
     the mean, and of so large a correlation of neighbours (small: not random).
     """
@@ -106,6 +132,12 @@ def test_battery(candidates: DataFrame, value: str = "value") -> DataFrame:
     s2, s3 = F.col("__s2"), F.col("__s3")
     spread = F.sqrt(2 * n * (n - 1) * (s2 + 2 * (n - 2) * s3 - (2 * n - 3) * s2 * s2))
     # chi-squared against k equal cells is k/n (pairs + n) - n: it falls with the number of equal pairs
+    # marks between words are no change: the kinds are those of the letters and digits alone
+    kinds = F.translate(F.regexp_replace(v, "[^A-Za-z0-9]", ""), "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])), "0" * 10 + "A" * 26 + "a" * 26)
+    c = c.withColumn("__among", F.greatest(F.length(kinds) - 1, F.lit(0)).cast("double"))
+    c = c.withColumn("__changes", (F.size(F.split(kinds, r"(?<=(.))(?!\1)(?=.)")) - 1).cast("double"))
+    share = F.coalesce(*[F.when(F.col("encoding") == k, F.lit(q)) for k, q in CHANGES.items()], F.lit(CHANGES_MIXED))
+    c = c.withColumn("p_changes", _changes_reach(F.col("__changes"), F.col("__among"), share))
     mean = F.aggregate("__x", F.lit(0.0), lambda a, x: a + x) / n
     c = c.withColumns({"p_written": _normal_below((F.col("__pairs") - n * (n - 1) * s2) / spread), "__mean": mean})
     c = c.withColumn("__d", F.transform("__x", lambda x: x - F.col("__mean")))
@@ -120,22 +152,24 @@ def test_battery(candidates: DataFrame, value: str = "value") -> DataFrame:
             "__lag": total(F.zip_with(following, "__d", lambda a, b: F.coalesce(a * b, F.lit(0.0))), 0.0),
         }
     )
+    product = F.greatest(F.col("p_written") * F.col("p_changes"), F.lit(1e-300))
+    c = c.withColumn("p", product * (1 - F.log(product)))
     mu = 2 * F.col("__above") * (n - F.col("__above")) / n + 1
     var = (mu - 1) * (mu - 2) / (n - 1)
     two_sided = lambda z: 2 * _normal_below(-F.abs(z))
     serial = (F.col("__lag") / F.nullif(F.col("__ss"), F.lit(0.0)) + 1 / n) * F.sqrt(n)
     c = c.withColumn("p_runs", F.when(var > 0, two_sided((F.col("__runs") - mu) / F.sqrt(var))).otherwise(F.lit(0.0)))
     c = c.withColumn("p_serial", F.coalesce(two_sided(serial), F.lit(0.0)))
-    return c.drop("__s", "__x", "__s2", "__s3", "__pairs", "__mean", "__d", "__above", "__runs", "__ss", "__lag")
+    return c.drop("__s", "__x", "__s2", "__s3", "__pairs", "__mean", "__d", "__above", "__runs", "__ss", "__lag", "__among", "__changes")
 
 
 def discoveries(tested: DataFrame, fdr: float = FDR) -> DataFrame:
-    """Adds ``secret``: Benjamini-Hochberg on p_written within classes of length, and no test against randomness.
+    """Adds ``secret``: Benjamini-Hochberg on p within classes of length, and no test against randomness.
 
     The p-values are rounded up to a grid of 1/100 powers of ten, so that counts per step of the grid suffice;
     classes and steps are bounded, whatever the number of candidates. Rounding up errs to fewer discoveries.
     """
-    step = F.greatest(F.lit(-3000), F.ceil(100 * F.log10(F.greatest("p_written", F.lit(1e-300))))).cast("int")
+    step = F.greatest(F.lit(-3000), F.ceil(100 * F.log10(F.greatest("p", F.lit(1e-300))))).cast("int")
     classed = tested.withColumns({"__class": F.least(F.floor(F.log2("n") * 2), F.lit(40)).cast("int"), "__step": step})
     grid = classed.groupBy("__class", "__step").agg(F.count("*").alias("__m"))
     w = Window.partitionBy("__class")

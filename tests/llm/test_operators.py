@@ -367,3 +367,15 @@ def test_near_copies_are_found_among_nearer_untrue_pairs(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in rows(simhash.near_copies(frame))} == dict(enumerate(want))
     monkeypatch.setattr(simhash, "BLOCK_TEXTS", 100)  # several blocks a group
     assert {r["doc_id"]: r["component_id"] for r in rows(simhash.near_copies(frame))} == dict(enumerate(want))
+
+
+def test_single_secrets_among_long_words(spark):
+    rng = random.Random(4)
+    alphabets = {"hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "b64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"}
+    drawn = ["".join(rng.choices(a, k=n)) for a in alphabets.values() for n in (40, 44, 48)] + ["9233A8EC7F1D40B6E95A2C8037D4F16B8E2A90C5"]
+    words = ["reader", "Tournament", "match", "Capital", "letter", "history", "european", "Interview"]
+    written = ["".join(rng.choices(words, k=6)) + str(rng.randrange(1900, 2030)) for _ in range(200)]
+    written += ["-".join(rng.choices(words, k=6)) + f"/{k}" for k in range(200)]
+    frame = spark.createDataFrame([(v, v in drawn) for v in drawn + written], "value string, truth boolean")
+    got = secrets.discoveries(secrets.test_battery(frame))
+    assert got.where("truth and secret").count() >= 8 and got.where("not truth and secret").count() <= 1
