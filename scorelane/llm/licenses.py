@@ -1,12 +1,13 @@
 """License scans by conditional compression.
 
 Windows of text around a licence word are compressed with zstandard alone and with each template as a raw
-dictionary. The templates are ranked by the bytes they save, as a share of their own compressed size; the best
-are confirmed by their exact differences in wording from the window, word by word.
+dictionary. The templates are ranked by the bytes they save, as a share of their own compressed size; all that save
+any are confirmed by their exact differences in wording from the window, word by word.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from difflib import SequenceMatcher
 
@@ -47,11 +48,10 @@ TEMPLATES = {
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
 }
 HINT = r"(?i)licen[cs]e|redistribut|permission (?:is|to) |\bspdx"
-#: Share of a template's words that may differ, and words around a hint that a window takes.
+#: Share of a template's words that may differ.
 TOLERANCE = 0.08
+#: Words around a hint that a window takes at least; long templates widen it.
 BEFORE, AFTER = 12, 90
-#: Templates looked at word by word, best savings first.
-RANKED = 6
 
 _WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
 #: Words that tell licences apart: they must agree exactly.
@@ -70,6 +70,15 @@ class Matcher:
                 words = [w.lower() for w in _WORD.findall(wording)]
                 self.items.append((name, words, packer, self.plain(wording.lower().encode())))
         self.hint = re.compile(HINT)
+        self.before, self.after = BEFORE, AFTER
+        for wordings in (templates or TEMPLATES).values():
+            for wording in wordings:
+                ends = [m.end() for m in _WORD.finditer(wording)]
+                spare = math.ceil(TOLERANCE * len(ends))
+                hint = self.hint.search(wording)
+                ahead = sum(end <= hint.start() for end in ends) if hint else 0
+                self.before = max(self.before, ahead + spare)
+                self.after = max(self.after, len(ends) - ahead + spare)
 
     def windows(self, text: str):
         """Lists of (word, start, end) around each hint; hints close together share one."""
@@ -81,11 +90,11 @@ class Matcher:
         for at in hints:
             while k < len(words) and words[k][2] <= at:
                 k += 1
-            lo, hi = max(0, k - BEFORE), min(len(words), k + AFTER)
+            lo, hi = max(0, k - self.before), min(len(words), k + self.after)
             if lo > last:
                 last = lo
                 yield words[lo:hi]
-            elif hi > last + AFTER:
+            elif hi > last + self.after:
                 last = lo
                 yield words[lo:hi]
 
@@ -110,7 +119,7 @@ class Matcher:
             block = text[window[0][1] : window[-1][2]].lower().encode("utf-8", "replace")
             alone = self.plain(block)
             sizes = [(alone - len(packer.compress(block)), own, name, words) for name, words, packer, own in self.items]
-            for saved, _, name, words in sorted(sizes, key=lambda x: (-x[0] / x[1], x[2], len(x[3])))[:RANKED]:
+            for saved, _, name, words in sorted(sizes, key=lambda x: (-x[0] / x[1], x[2], len(x[3]))):
                 if saved <= 0:
                     break
                 at = self.differences(window, words)

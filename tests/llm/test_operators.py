@@ -379,3 +379,13 @@ def test_single_secrets_among_long_words(spark):
     frame = spark.createDataFrame([(v, v in drawn) for v in drawn + written], "value string, truth boolean")
     got = secrets.discoveries(secrets.test_battery(frame))
     assert got.where("truth and secret").count() >= 8 and got.where("not truth and secret").count() <= 1
+
+
+def test_licenses_in_lists_of_notices():
+    short = {name: min(wordings, key=len) for name, wordings in licenses.TEMPLATES.items() if min(map(len, wordings)) < 90}
+    names = ["MIT", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "GPL-3.0", "CC-BY-4.0", "LGPL-3.0", "AGPL-3.0", "CC-BY-NC-4.0"]
+    matcher = licenses.Matcher()
+    assert [f[0] for f in matcher.find("\n".join(short[n] for n in names))] == names
+    mpl = "Prose before the notice. " + licenses.TEMPLATES["MPL-2.0"][0]
+    assert [(f[0], f[1], f[3]) for f in matcher.find(mpl)] == [("MPL-2.0", mpl.index("This"), 0)]
+    assert [f[0] for f in matcher.find(mpl.replace("the terms", "terms"))] == ["MPL-2.0"]
