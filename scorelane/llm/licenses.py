@@ -16,7 +16,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Public licence notices, one wording a line, by SPDX identifier.
+#: Public licence notices, one wording a line, by SPDX identifier; BSD is the head that its licences share,
+#: for texts in which neither set of clauses is found.
 TEMPLATES = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
@@ -35,19 +36,44 @@ TEMPLATES = {
         "This work is licensed under the GNU General Public License, version 2.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     ),
-    "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",),
-    "AGPL-3.0": ("This work is licensed under the GNU Affero General Public License, version 3.",),
-    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
+    "LGPL-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ),
+    "BSD-2-Clause": (
+        "Released under the BSD 2-Clause License.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
     ),
+    "BSD": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",),
+    "Unlicense": ("This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",),
+    "BSL-1.0": ("Distributed under the Boost Software License, Version 1.0.",),
+    "EPL-2.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0",),
     "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "CC-BY-ND-4.0": ("Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    "CC-BY-NC-SA-4.0": ("Licensed under CC BY-NC-SA 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    "CC-BY-NC-ND-4.0": ("Licensed under CC BY-NC-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    "CC0-1.0": ("Licensed under CC0 1.0.", "This work is licensed under a Creative Commons CC0 1.0 Universal License."),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
 }
-HINT = r"(?i)licen[cs]e|redistribut|permission (?:is|to) |\bspdx"
+HINT = r"(?i)licen[cs]e|redistribut|permission (?:is|to) |\bspdx|public domain"
 #: Share of a template's words that may differ.
 TOLERANCE = 0.08
 #: Words around a hint that a window takes at least; long templates widen it.
@@ -55,7 +81,9 @@ BEFORE, AFTER = 12, 90
 
 _WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
 #: Words that tell licences apart: they must agree exactly.
-_TELLING = re.compile(r"^(?:\d[\d.]*|v|nc|sa|nd|by|by-.*|affero|lesser|apache|mit|gnu|bsd|mozilla|creative|commons|.*commercial|.*sharealike|\d-clause)$")
+_TELLING = re.compile(r"^(?:\d[\d.]*|v|nc|sa|nd|by|by-.*|affero|lesser|apache|mit|gnu|bsd|mozilla|creative|commons|.*commercial|.*sharealike|.*noderivatives|\d-clause)$")
+#: Of these, words that a stretch may not add to a template.
+_FOREIGN = re.compile(r"^(?:nc|sa|nd|by-.*|affero|lesser|apache|mit|bsd|mozilla|eclipse|boost|.*noncommercial|.*sharealike|.*noderivatives|\d-clause)$")
 
 
 class Matcher:
@@ -110,6 +138,8 @@ class Matcher:
         present = set(a[first:last])
         if any(_TELLING.match(w) and w not in present for w in template):
             return None
+        if any(_FOREIGN.match(w) for w in present.difference(template)):
+            return None
         return first, last, differing
 
     def find(self, text: str) -> list[tuple[str, int, int, int, int]]:

@@ -389,3 +389,20 @@ def test_licenses_in_lists_of_notices():
     mpl = "Prose before the notice. " + licenses.TEMPLATES["MPL-2.0"][0]
     assert [(f[0], f[1], f[3]) for f in matcher.find(mpl)] == [("MPL-2.0", mpl.index("This"), 0)]
     assert [f[0] for f in matcher.find(mpl.replace("the terms", "terms"))] == ["MPL-2.0"]
+
+
+def test_licenses_of_like_wording_are_told_apart():
+    matcher, gpl = licenses.Matcher(), licenses.TEMPLATES["GPL-3.0"][1]
+    found = lambda text: [f[0] for f in matcher.find("Copyright of nobody. " + text + " The end.")]
+    assert found(gpl) == ["GPL-3.0"]
+    assert found(gpl.replace("GNU General", "GNU Affero General")) == ["AGPL-3.0"]
+    assert found(gpl.replace("GNU General", "GNU Lesser General")) == ["LGPL-3.0"]
+    assert found(licenses.TEMPLATES["GPL-2.0"][1]) == ["GPL-2.0"]
+    head = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    one = " 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
+    two = " 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+    three = " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    assert found(head + one + two) == ["BSD-2-Clause"] and found(head + one + two + three) == ["BSD-3-Clause"]
+    assert found(head) == ["BSD"]
+    for name, wordings in licenses.TEMPLATES.items():
+        assert all(found(w) == [name] for w in wordings), name
