@@ -84,11 +84,30 @@ def best_fit(histogram: dict[int, int], capacity: int) -> Bins:
     return bins
 
 
-def _improve(bins: Bins, donor: tuple) -> tuple | None:
-    """One exchange that raises the squared fill: the donor bin's next content, or None if there is none.
+def _exchange(donor: tuple, target: tuple, room: int) -> tuple[tuple, tuple] | None:
+    """New contents of donor and target: a document of the donor for a smaller one, or two smaller together, of the target."""
+    have = sorted(set(target))
+    for x in sorted(set(donor), reverse=True):
+        gives = [(y,) for y in have if 0 < x - y <= room]
+        gives += [(y, z) for k, y in enumerate(have) for z in have[k:] if 0 < x - y - z <= room and (y != z or target.count(y) > 1)]
+        if not gives:
+            continue
+        give = min(gives, key=sum)
+        rest, grown = list(donor), list(target)
+        rest.remove(x)
+        for y in give:
+            grown.remove(y)
+        return tuple(sorted((*rest, *give))), tuple(sorted((*grown, x)))
+    return None
 
-    Tried for each document of the donor, largest first: a move into the fullest bin with room; then an exchange
-    for a smaller document, or for two that are smaller together, of a bin that is no less full than the donor.
+
+def _improve(bins: Bins, donor: tuple, most: int, refused: set) -> tuple[tuple, int] | None:
+    """One exchange that raises the squared fill, for as many of ``most`` equal donor bins as there are equal targets.
+
+    The donor bins' next content and their number, or None if there is no exchange. Tried for each document of the
+    donor, largest first: a move into the fullest bin with room; then an exchange for a smaller document, or for two
+    that are smaller together, of a bin that is no less full than the donor. ``refused`` remembers pairs of patterns
+    without one, for it depends on the patterns alone.
     """
     own = sum(donor)
     for x in sorted(set(donor), reverse=True):
@@ -96,64 +115,60 @@ def _improve(bins: Bins, donor: tuple) -> tuple | None:
         rest.remove(x)
         target = bins.fullest_with_room(x)
         if target is not None and sum(target) + x > own:
-            bins.take(target, 1)
-            bins.add(tuple(sorted((*target, x))), 1)
-            return tuple(rest)
+            k = min(most, bins.groups[sum(target)][target])
+            bins.take(target, k)
+            bins.add(tuple(sorted((*target, x))), k)
+            return tuple(rest), k
     for fill in reversed(bins.fills):
-        if fill == bins.capacity or fill < own:
+        if fill == bins.capacity:
             continue
-        room = bins.capacity - fill
+        if fill < own:
+            break
         for target in list(bins.groups[fill]):
-            have = sorted(set(target))
-            for x in sorted(set(donor), reverse=True):
-                gives = [(y,) for y in have if 0 < x - y <= room]
-                gives += [
-                    (y, z)
-                    for k, y in enumerate(have)
-                    for z in have[k:]
-                    if 0 < x - y - z <= room and (y != z or target.count(y) > 1)
-                ]
-                if not gives:
-                    continue
-                give = min(gives, key=sum)
-                rest, grown = list(donor), list(target)
-                rest.remove(x)
-                for y in give:
-                    grown.remove(y)
-                bins.take(target, 1)
-                bins.add(tuple(sorted((*grown, x))), 1)
-                return tuple(sorted((*rest, *give)))
+            if (donor, target) in refused:
+                continue
+            after = _exchange(donor, target, bins.capacity - fill)
+            if after is None:
+                refused.add((donor, target))
+                continue
+            k = min(most, bins.groups[fill][target])
+            bins.take(target, k)
+            bins.add(after[1], k)
+            return after[0], k
     return None
 
 
-def local_search(bins: Bins, steps: int = 20_000) -> Bins:
-    """Empty the least filled bins by moves and exchanges, until the bound is met or no exchange is left.
+def local_search(bins: Bins) -> Bins:
+    """Empty the least filled bins by moves and exchanges, until the bound is met or no pattern has an exchange left.
 
-    Every step raises the sum of squared fills, so the search ends; ``steps`` bounds the driver's time and
-    affects only how tight the packing is, never which documents are packed.
+    Every step raises the sum of squared fills, so the search ends. A step takes half of the equal bins of a pattern
+    (the other half are targets), so the work depends on the patterns and, by a logarithm, on their counts. Stuck
+    bins are put back as targets and tried again after a pass that changed any.
     """
     volume = sum(f * sum(g.values()) for f, g in bins.groups.items())
-    bound, stuck = -(-volume // bins.capacity), []
-    count = bins.total()
-    while count > bound and bins.fills and steps > 0:
-        if bins.fills[0] == bins.capacity:
-            break
-        donor = next(iter(bins.groups[bins.fills[0]]))
-        bins.take(donor, 1)
-        while donor and steps > 0:
-            steps -= 1
-            after = _improve(bins, donor)
-            if after is None:
-                break
-            donor = after
-        if donor:
-            stuck.append(donor)
-            if len(stuck) > 8:
-                break
-        else:
-            count -= 1
-    for donor in stuck:
-        bins.add(donor, 1)
+    bound, refused = -(-volume // bins.capacity), set()
+    count, changed = bins.total(), True
+    while changed and count > bound:
+        changed, stuck = False, []
+        while count > bound and bins.fills and bins.fills[0] < bins.capacity:
+            donor = next(iter(bins.groups[bins.fills[0]]))
+            many = -(-bins.groups[bins.fills[0]][donor] // 2)
+            many = min(many, count - bound)
+            bins.take(donor, many)
+            while donor:
+                step = _improve(bins, donor, many, refused)
+                if step is None:
+                    break
+                changed = True
+                if step[1] < many:
+                    bins.add(donor, many - step[1])
+                donor, many = step
+            if donor:
+                stuck.append((donor, many))
+            else:
+                count -= many
+        for donor, many in stuck:
+            bins.add(donor, many)
     return bins
 
 

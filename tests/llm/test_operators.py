@@ -406,3 +406,21 @@ def test_licenses_of_like_wording_are_told_apart():
     assert found(head) == ["BSD"]
     for name, wordings in licenses.TEMPLATES.items():
         assert all(found(w) == [name] for w in wordings), name
+
+
+def test_local_search_has_no_budget_and_goes_past_stuck_bins():
+    rng = random.Random(6)
+    lengths = Counter()
+    for _ in range(400):  # kinds of bins that fill exactly, each many times
+        a, b = sorted(rng.sample(range(200, 1848), 2))
+        for size in (a, b - a, 2048 - b):
+            lengths[size] += 100
+    before = packing.best_fit(lengths, 2048).total()
+    after = packing.local_search(packing.best_fit(lengths, 2048))
+    held = Counter()
+    for group in after.groups.values():
+        for pattern, count in group.items():
+            assert sum(pattern) <= 2048
+            for size in pattern:
+                held[size] += count
+    assert held == lengths and after.total() < before
