@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import checkpointed, connected_components, spanning_star
+from .shared import checkpointed, connected_components, hot_join, spanning_star
 
 #: The ring: 64 bits cut into five segments; a pair within 4 bits has a chain start whose l first segments
 #: differ in at most floor(4 l / 5) bits, for every l.
@@ -208,13 +208,14 @@ def simhash_dedup(
     Repeated rows share a component. Only id_col and text_col are read. An empty table gives no rows.
     """
     prints = checkpointed(fingerprints(docs, id_col, text_col, width))
-    groups = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    groups = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("many")))
     comp = connected_components(links(groups.select("fp"), limit))
-    placed = groups.join(comp, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("component", "fp").alias("component"))
-    lowest = placed.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = placed.join(lowest, "component").select("fp", "component_id")
+    placed = groups.join(comp, F.col("fp") == F.col("node"), "left").select("fp", "low", "many", F.coalesce("component", "fp").alias("component"))
+    placed = checkpointed(placed)
+    lowest = checkpointed(placed.groupBy("component").agg(F.min("low").alias("component_id"), F.count("*").alias("nodes")))
+    named = checkpointed(hot_join(placed.drop("low"), lowest, "component", "nodes").select("fp", "component_id", "many"))
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
-    return prints.join(named, "fp").select(F.col("doc_id").alias(id_col), hexed, "component_id")
+    return hot_join(prints, named, "fp").select(F.col("doc_id").alias(id_col), hexed, "component_id")
 
 
 # Near copies by word shingles: 64 bits are too few for a similarity of 0.8, where a seventh of them differ. Longer
@@ -228,8 +229,6 @@ SIMILARITY = 0.8
 RECALL = 0.99
 #: Standard deviations of the differing bits of a pair at the similarity: beyond them on the far side it is no candidate.
 SLACK = 2.33
-#: Rounds in which each component's one link to another is settled, before all links that are left.
-ROUNDS = 2
 #: Texts, and shingles of them, in a block of a group whose pairs are all compared.
 BLOCK_TEXTS, BLOCK_SHINGLES = 512, 1_000_000
 
@@ -293,191 +292,168 @@ def _ring_holds(x: np.ndarray, most: int) -> np.ndarray:
     return held
 
 
-def _forest(x: np.ndarray, y: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Places of the pairs (x, y) that a minimum spanning forest by differing bits takes."""
-    parent, taken = {}, []
-
-    def find(k):
-        while (up := parent.setdefault(k, k)) != k:
-            parent[k] = parent.setdefault(up, up)
-            k = up
-        return k
-
-    order = np.argsort(bits, kind="stable")
-    for at, i, j in zip(order.tolist(), x[order].tolist(), y[order].tolist(), strict=True):
-        i, j = find(i), find(j)
-        if i != j:
-            parent[i] = j
-            taken.append(at)
-    return np.array(taken, np.int64)
-
-
-class _Links:
-    """A spanning forest of the candidate pairs among the rows of a batch: a row adds one pair at most, however
-    large its bucket, and the pairs left out join rows that the forest connects."""
+class _Groups:
+    """Groups of the rows of a batch that chains of candidate pairs connect, as stars: a row adds one edge at most,
+    however large its bucket. No link is decided here."""
 
     def __init__(self, nodes: np.ndarray, fps: np.ndarray, most: int):
         self.nodes, self.at = np.unique(nodes, return_inverse=True)
         self.label = np.arange(len(self.nodes))
         self.fps, self.most = fps, most
-        self.taken: list[np.ndarray] = [np.zeros((2, 0), np.int64)]
 
     def join(self, a: np.ndarray, b: np.ndarray) -> None:
-        """a and b: places of the rows; pairs within a component already are passed over."""
+        """a and b: places of the rows; pairs within a group already are passed over."""
         for lo in range(0, len(a), 50_000):
             x, y = a[lo : lo + 50_000], b[lo : lo + 50_000]
             apart = self.label[self.at[x]] != self.label[self.at[y]]
             x, y = x[apart], y[apart]
-            if not len(x):
-                continue
-            diff = self.fps[x] ^ self.fps[y]
-            bits = np.bitwise_count(diff).sum(1, dtype=np.int64)
-            near = np.flatnonzero(bits <= self.most)
-            near = near[_ring_holds(diff[near], self.most)]
-            if not len(near):
+            near = _candidates(self.fps[x] ^ self.fps[y], self.most)
+            if not near.any():
                 continue
-            x, y = self.at[x[near]], self.at[y[near]]
-            kept = _forest(self.label[x], self.label[y], bits[near])
-            x, y = x[kept], y[kept]
-            self.taken.append(np.stack([x, y]))
             every = np.arange(len(self.nodes))
-            child, root = spanning_star(np.concatenate([self.label[x], every]), np.concatenate([self.label[y], self.label]))
+            ends = (np.concatenate([self.label[self.at[z[near]]], w]) for z, w in ((x, every), (y, self.label)))
+            child, root = spanning_star(*ends)
             self.label = every
             self.label[child] = root
 
-    def batch(self) -> pa.RecordBatch:
-        """Rows (u, v)."""
-        u, v = np.concatenate(self.taken, axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(self.nodes[u]), pa.array(self.nodes[v])], names=["u", "v"])
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        own = self.label != np.arange(len(self.nodes))
+        return self.nodes[own], self.nodes[self.label[own]]
+
+
+def _candidates(x: np.ndarray, most: int) -> np.ndarray:
+    """Which differing bits x are of candidate pairs: the ring prunes before the full count."""
+    near = _ring_holds(x, most)
+    near[near] = np.bitwise_count(x[near]).sum(1, dtype=np.int64) <= most
+    return near
 
 
 def _words(fps) -> np.ndarray:
     return np.frombuffer(b"".join(fps.to_pylist()), "<u8").reshape(len(fps), WIDE_BITS // 64)
 
 
-def _wide_runs(most: int, rows_at_once: int = 50_000):
-    """Streams rows sorted by key and links the pairs within each run of a key."""
+def _found(u, v, key) -> pa.RecordBatch:
+    """Rows (u, v, key): edges with a null key; rows of too large a bucket with a null v."""
+    nothing = np.zeros(len(v), np.int64)
+    hot = np.concatenate([np.zeros(len(v), bool), np.ones(len(key), bool)])
+    arrays = [pa.array(u), pa.array(np.concatenate([v, np.zeros(len(key), np.int64)]), mask=hot), pa.array(np.concatenate([nothing, key]), mask=~hot)]
+    return pa.RecordBatch.from_arrays(arrays, names=["u", "v", "key"])
+
+
+def _wide_runs(most: int, limit: int, rows_at_once: int = 50_000):
+    """Streams rows (key, node, fp) sorted by key and groups those of a key; rows of larger buckets than the limit are passed on."""
 
     def flush(rows: pa.Table) -> pa.RecordBatch:
-        key, links = rows.column("key").to_numpy(), _Links(rows.column("node").to_numpy(), _words(rows.column("fp")), most)
-        active, d = np.arange(len(key)), 1
-        while True:
-            active = active[active + d < len(key)]
-            active = active[key[active] == key[active + d]]
-            if not len(active):
-                return links.batch()
-            links.join(active, active + d)
+        key, node = rows.column("key").to_numpy(), rows.column("node").to_numpy()
+        bounds = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
+        large = np.repeat(np.diff(bounds), np.diff(bounds)) > limit
+        groups = _Groups(node, _words(rows.column("fp")), most)
+        active, d = np.flatnonzero(~large), 1
+        while len(active := active[active + d < len(key)]) and len(active := active[key[active] == key[active + d]]):
+            groups.join(active, active + d)
             d += 1
+        u, v = groups.edges()
+        return _found(np.concatenate([u, node[large]]), v, key[large])
 
     def run(batches):
-        held: list[pa.RecordBatch] = []
+        held, many, passed = [], 0, None
+        none = np.zeros(0, np.int64)
         for batch in batches:
+            if passed is not None:  # the rest of a bucket that was too large already
+                key = batch.column("key").to_numpy()
+                same = int(np.searchsorted(key, passed, "right"))
+                if same:
+                    yield _found(batch.column("node").to_numpy()[:same], none, key[:same])
+                batch = batch.slice(same)
+                if not batch.num_rows:
+                    continue
+                passed = None
             held.append(batch)
-            if sum(b.num_rows for b in held) < rows_at_once:
+            many += batch.num_rows
+            if many < rows_at_once:
                 continue
             rows = pa.Table.from_batches(held).combine_chunks()
-            cut = int(np.searchsorted(rows.column("key").to_numpy(), rows.column("key")[-1].as_py(), "left"))
+            key = rows.column("key").to_numpy()
+            cut = int(np.searchsorted(key, key[-1], "left"))
+            if len(key) - cut > limit:
+                passed, cut = key[-1], len(key)
             if cut:
                 yield flush(rows.slice(0, cut))
             held = rows.slice(cut).to_batches()
+            many = sum(b.num_rows for b in held)
         if held:
             yield flush(pa.Table.from_batches(held).combine_chunks())
 
     return run
 
 
-def _in_order(keyed: DataFrame) -> DataFrame:
-    """The rows of a key together, always in the same partitions and order: which links are settled first depends on it."""
-    parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return keyed.repartition(parts, "key").sortWithinPartitions("key", "fp", "node")
-
-
 def _wide_blocks(most: int):
-    """Links the pairs between two blocks of one large bucket, or within one block (bi = bj)."""
+    """Groups the rows of two blocks of one large bucket, or of one block (bi = bj), by the pairs between them."""
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("fp", "ascending"), ("node", "ascending")])
-        side, links = rows.column("side").to_numpy(), _Links(rows.column("node").to_numpy(), _words(rows.column("fp")), most)
+        rows = rows.combine_chunks()
+        side, groups = rows.column("side").to_numpy(), _Groups(rows.column("node").to_numpy(), _words(rows.column("fp")), most)
         x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         within = rows.column("bi")[0].as_py() == rows.column("bj")[0].as_py()
         for i in x:
             other = x[x > i] if within else y
-            links.join(np.full(len(other), i), other)
-        return pa.Table.from_batches([links.batch()])
+            groups.join(np.full(len(other), i), other)
+        u, v = groups.edges()
+        return pa.table({"u": u, "v": v})
 
     return run
 
 
-def _shingled(docs: DataFrame, id_col: str, text_col: str, width: int, with_set: bool) -> DataFrame:
-    """Rows (doc_id, fp, n[, shingles]): the wide fingerprint, the number of distinct shingles and their hashes."""
+def _shingled(docs: DataFrame, width: int, with_set: bool) -> DataFrame:
+    """Rows (doc_id, mark, fp, n[, shingles]) of rows (doc_id, mark, text): the wide fingerprint, the number of distinct shingles and their hashes."""
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                sets = [np.unique(shingle_hashes(t, width)) for t in part.column(1).to_pylist()]
+                sets = [np.unique(shingle_hashes(t, width)) for t in part.column(2).to_pylist()]
                 sizes = np.array([len(x) for x in sets], np.int32)
-                columns = [part.column(0), pa.array([wide_fingerprint(x) for x in sets], pa.binary()), pa.array(sizes)]
+                columns = [part.column(0), part.column(1), pa.array([wide_fingerprint(x) for x in sets], pa.binary()), pa.array(sizes)]
                 if with_set:
                     offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
                     columns.append(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets).view(np.int64))))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "n", "shingles"][: len(columns)])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "fp", "n", "shingles"][: len(columns)])
 
-    kind = docs.schema[id_col].dataType.simpleString()
+    kind = docs.schema["doc_id"].dataType.simpleString()
     sets = ", shingles array<bigint>" if with_set else ""
-    return docs.select(F.col(id_col).alias("doc_id"), text_col).mapInArrow(run, f"doc_id {kind}, fp binary, n int{sets}")
+    return docs.select("doc_id", "mark", "text").mapInArrow(run, f"doc_id {kind}, mark long, fp binary, n int{sets}")
+
 
+def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows (doc_id, mark, text): the mark tells rows of one id apart by their texts."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
-def _sets(docs: DataFrame, nodes: DataFrame, ends: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """Rows (node, shingles) of the nodes in ``ends``; only their texts are read again."""
-    ends = checkpointed(nodes.join(ends.select("node"), "node", "left_semi"))
-    wanted = ends.select(F.col("low").alias("__low")).distinct()
-    texts = docs.select(id_col, text_col).join(wanted, F.col(id_col).eqNullSafe(F.col("__low")), "left_semi")
-    sets = _shingled(texts, id_col, text_col, width, True).dropDuplicates(["fp", "n"]).drop("doc_id")
-    return checkpointed(sets.join(ends.drop("low"), ["fp", "n"]).select("node", "shingles"))
 
+#: Rows (doc_id, mark) up to which a list of wanted texts is broadcast, some 20 MB; beyond it the texts are shuffled.
+BROADCAST_ROWS = 500_000
 
-def _holding(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (u, v, ...) whose sets of shingles reach the similarity."""
-    first = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
-    second = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    met = pairs.join(first, "u").join(second, "v")
-    met = met.where(F.least(F.size("a"), F.size("b")) >= similarity * F.greatest(F.size("a"), F.size("b"))).withColumn("both", both)
-    return met.where(F.col("both") / (F.size("a") + F.size("b") - F.col("both")) >= similarity).drop("a", "b", "both")
+
+def _sets(marked: DataFrame, grouped: DataFrame, width: int) -> DataFrame:
+    """Rows (node, shingles) of ``grouped`` (node, low); only the texts of low are read again."""
+    wanted = grouped.select(F.col("low.id").alias("__id"), F.col("low.mark").alias("__mark"), "node")
+    wanted = F.broadcast(wanted) if grouped.count() <= BROADCAST_ROWS else wanted
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark"))
+    texts = marked.join(wanted, same).select(F.col("node").alias("doc_id"), "mark", "text")
+    sets = _shingled(texts, width, True).select(F.col("doc_id").alias("node"), "shingles")
+    return checkpointed(sets.dropDuplicates(["node"]))  # a row may be there twice
 
 
 def _joined(placed: DataFrame, edges: DataFrame) -> DataFrame:
     """placed with the components renamed that the edges (cu, cv) between components join."""
     whole = connected_components(edges.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
     whole = whole.select(F.col("node").alias("component"), F.col("component").alias("whole"))
-    placed = placed.join(whole, "component", "left").withColumn("component", F.coalesce("whole", "component"))
-    return checkpointed(placed.drop("whole"))
-
-
-def _settle(placed: DataFrame, links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """placed (node, component, ...) with the components joined by those links (u, v) whose sets reach the similarity.
-
-    At first each component's link to its smallest neighbour is settled, then, of what is left, every link between
-    two components: links within a component need no answer.
-    """
-    for k in range(ROUNDS + 1):
-        end = lambda x: placed.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
-        links = links.select("u", "v").join(end("u"), "u").join(end("v"), "v").where("cu <> cv")
-        links = checkpointed(links.select("u", "v", "cu", "cv"))
-        if links.isEmpty():
-            break
-        tried = links
-        if k < ROUNDS:
-            way = lambda own, other: links.select(F.col(own).alias("own"), F.struct(F.col(other).alias("other"), "u", "v", "cu", "cv").alias("link"))
-            first = way("cu", "cv").unionByName(way("cv", "cu")).groupBy("own").agg(F.min("link").alias("link"))
-            tried = checkpointed(first.select("link.u", "link.v", "link.cu", "link.cv").distinct())
-            links = links.join(tried, ["u", "v"], "left_anti")
-        placed = _joined(placed, checkpointed(_holding(tried, sets, similarity)))
-    return placed
+    sizes = placed.groupBy("component").agg(F.count("*").alias("nodes"))
+    names = sizes.join(whole, "component", "left").select("component", F.coalesce("whole", "component").alias("whole"), "nodes")
+    return checkpointed(hot_join(placed, checkpointed(names), "component", "nodes").drop("component").withColumnRenamed("whole", "component"))
 
 
-def _all_pairs(similarity: float):
+def _all_pairs(similarity: float, most: int):
     """Rows (cu, cv): components of one group that a pair of sets joins, of the pairs between two blocks or within one."""
 
     def run(rows: pa.Table) -> pa.Table:
@@ -485,7 +461,7 @@ def _all_pairs(similarity: float):
         group, side, parts = (rows.column(c).to_numpy() for c in ("group", "side", "component"))
         within = rows.column("bi")[0].as_py() == rows.column("bj")[0].as_py()
         components, label = np.unique(parts, return_inverse=True)
-        sizes = rows.column("n").to_numpy().astype(np.int64)
+        sizes, fps = rows.column("n").to_numpy().astype(np.int64), _words(rows.column("fp"))
         at = np.concatenate([[0], np.cumsum(sizes)])
         lists = rows.column("shingles").combine_chunks()
         known, code = np.unique(lists.flatten().to_numpy(), return_inverse=True)
@@ -497,15 +473,21 @@ def _all_pairs(similarity: float):
             ok = label[lo:hi] != label[x]
             if not within:
                 ok &= side[lo:hi] == 1
-            ok &= np.minimum(sizes[lo:hi], sizes[x]) >= similarity * np.maximum(sizes[lo:hi], sizes[x])
+            ok &= np.minimum(sizes[lo:hi], sizes[x]) / np.maximum(np.maximum(sizes[lo:hi], sizes[x]), 1) >= similarity
             y = lo + np.flatnonzero(ok)
+            y = y[_candidates(fps[y] ^ fps[x], most)] if len(y) else y
             if not len(y):
                 continue
-            mark[code[at[x] : at[x + 1]]] = True
-            hits = np.concatenate([[0], np.cumsum(mark[code[at[lo] : at[hi]]])])
-            mark[code[at[x] : at[x + 1]]] = False
-            both = hits[at[y + 1] - at[lo]] - hits[at[y] - at[lo]]
-            for other in np.unique(label[y[both / (sizes[x] + sizes[y] - both) >= similarity]]):
+            own = code[at[x] : at[x + 1]]
+            mark[own] = True
+            if len(y) * 4 < hi - lo:
+                both = np.array([mark[code[at[k] : at[k + 1]]].sum() for k in y])
+            else:
+                hits = np.concatenate([[0], np.cumsum(mark[code[at[lo] : at[hi]]])])
+                both = hits[at[y + 1] - at[lo]] - hits[at[y] - at[lo]]
+            mark[own] = False
+            reach = both / (sizes[x] + sizes[y] - both) >= similarity
+            for other in np.unique(label[y[reach]]):
                 u.append(components[label[x]])
                 v.append(components[other])
                 label[label == other] = label[x]
@@ -514,29 +496,96 @@ def _all_pairs(similarity: float):
     return run
 
 
-def _completed(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """placed (node, group, component, n) with all components joined that some pair of a group joins.
+def _blocks(many, weight):
+    return F.ceil(F.greatest(many / BLOCK_TEXTS, weight / BLOCK_SHINGLES, F.lit(1.0))).cast("long")
+
+
+def _settled(grouped: DataFrame, sets: DataFrame, most: int, similarity: float) -> DataFrame:
+    """grouped (node, group, fp, n, ...) with ``component``: chains of candidate pairs whose sets reach the similarity.
 
-    Only groups of several components are looked at; all pairs between their components are compared, in blocks.
+    All candidate pairs of a group are compared: those within a block, which is all there is to a group of one; in a
+    larger group those with a first block, so that what is common to most of it becomes one component; then, ordered by
+    component, those of every two blocks but such of one component alone.
     """
-    split = placed.groupBy("group").agg(
-        F.count("*").alias("many"), F.sum("n").alias("weight"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    split = checkpointed(split.where("low < high").drop("low", "high"))
-    total = split.agg(F.sum("many"), F.sum("weight")).first()
-    if total[0] is None:
-        return placed
-    cut = lambda many, weight: F.ceil(F.greatest(many / BLOCK_TEXTS, weight / BLOCK_SHINGLES)).cast("long")
-    lots = cut(F.lit(total[0]), F.lit(total[1]))
-    rows = placed.join(split, "group").withColumn("blocks", F.greatest(cut(F.col("many"), F.col("weight")), F.lit(1)))
-    # groups of one block share tasks; a larger group has its own
-    rows = rows.withColumn("lot", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("group"), lots)).otherwise(F.col("group") + lots))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    side = F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")
-    rows = rows.select("lot", "group", "node", "component", "n", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), side)
-    found = rows.join(sets, "node").groupBy("lot", "bi", "bj").applyInArrow(_all_pairs(similarity), "cu long, cv long")
-    return _joined(placed, checkpointed(found.distinct()))
+    sizes = grouped.groupBy("group").agg(F.count("*").alias("many"), F.sum("n").alias("weight"))
+    sizes = checkpointed(sizes.select("group", "many", _blocks(F.col("many"), F.col("weight")).alias("blocks"), "weight"))
+    total = sizes.agg(F.sum("many"), F.sum("weight")).first()
+    lots = _blocks(F.lit(total[0]), F.lit(total[1]))
+    rows = hot_join(grouped.withColumn("component", F.col("node")), sizes.drop("weight"), "group")
+    rows = checkpointed(rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")))
+
+    def compare(pairs: DataFrame) -> DataFrame:
+        """pairs: rows with lot, bi, bj and side."""
+        columns = ["lot", "bi", "bj", "side", "group", "node", "component", "n", "fp"]
+        found = pairs.select(*columns).join(sets, "node").groupBy("lot", "bi", "bj").applyInArrow(_all_pairs(similarity, most), "cu long, cv long")
+        return checkpointed(found.distinct())
+
+    def between(rows: DataFrame, plan: DataFrame) -> DataFrame:
+        """plan: rows group, bi, bj of two blocks."""
+        first = rows.join(plan, (rows["group"] == plan["group"]) & (rows["block"] == plan["bi"])).drop(plan["group"]).withColumn("side", F.lit(0))
+        second = rows.join(plan, (rows["group"] == plan["group"]) & (rows["block"] == plan["bj"])).drop(plan["group"]).withColumn("side", F.lit(1))
+        return compare(first.unionByName(second).withColumn("lot", F.col("group")))
+
+    # groups of one block share tasks
+    lot = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("group"), lots)).otherwise(F.col("group") + lots)
+    mine = rows.withColumns({"lot": lot, "bi": F.col("block"), "bj": F.col("block"), "side": F.lit(0)})
+    rows = _joined(rows, compare(mine))
+    open_ = lambda: rows.groupBy("group", "blocks").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high and blocks > 1")
+    large = checkpointed(open_())
+    if large.isEmpty():
+        return rows
+    plan = large.select("group", F.lit(0).cast("long").alias("bi"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1)).alias("bj"))
+    rows = _joined(rows, between(rows, checkpointed(plan)))
+    large = checkpointed(open_().select("group"))
+    if large.isEmpty():
+        return rows
+    # blocks anew: a large component has blocks of its own
+    rest = checkpointed(rows.join(large, "group", "left_semi").select("group", "node", "component", "n", "fp"))
+    own = rest.groupBy("group", "component").agg(F.count("*").alias("size"), F.sum("n").alias("load")).withColumn("parts", _blocks(F.col("size"), F.col("load")))
+    small = own.where("parts = 1").groupBy("group").agg(F.sum("size").alias("s"), F.sum("load").alias("l")).select("group", _blocks(F.col("s"), F.col("l")).alias("lots"))
+    own = checkpointed(own.join(small, "group", "left").select(F.col("component").alias("c"), "parts", F.coalesce("lots", F.lit(1)).alias("lots"), F.col("size").alias("many")))
+    rest = hot_join(rest.withColumnRenamed("component", "c"), own, "c").withColumnRenamed("c", "component")
+    name = F.when(F.col("parts") == 1, F.xxhash64(F.lit(-1), F.pmod(F.xxhash64("component"), "lots"))).otherwise(F.xxhash64("component", F.pmod(F.xxhash64("node"), "parts")))
+    rest = checkpointed(rest.withColumn("block", name))
+    ends = checkpointed(rest.groupBy("group", "block").agg(F.min("component").alias("low"), F.max("component").alias("high")))
+    other = ends.select(F.col("group").alias("g"), F.col("block").alias("bj"), F.col("low").alias("l"), F.col("high").alias("h"))
+    plan = ends.join(other, (F.col("group") == F.col("g")) & (F.col("block") < F.col("bj"))).where("least(low, l) < greatest(high, h)")
+    inside = rest.join(ends.where("low < high").select("group", "block"), ["group", "block"], "left_semi")
+    inside = inside.withColumns({"lot": F.col("group"), "bi": F.col("block"), "bj": F.col("block"), "side": F.lit(0)})
+    edges = compare(inside).unionByName(between(rest, checkpointed(plan.select("group", F.col("block").alias("bi"), "bj"))))
+    return _joined(rows, checkpointed(edges))
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float, limit: int) -> DataFrame:
+    """Rows (doc_id, mark, low): low is the struct (no id, id, mark) of the first row of the component."""
+    marked = _marked(docs, id_col, text_col)
+    prints = checkpointed(_shingled(marked, width, False))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "mark")
+    nodes = prints.groupBy("fp", "n").agg(F.min(order).alias("low"), F.count("*").alias("many"))
+    nodes = checkpointed(nodes.withColumn("node", F.monotonically_increasing_id()))
+    most, bits, tables = wide_parameters(nodes.count(), similarity)
+    keyed = nodes.select("node", "fp").mapInArrow(_sampled(bits, tables), "key long, node long, fp binary")
+    found = checkpointed(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_wide_runs(most, limit), "u long, v long, key long").distinct())
+    edges, large = found.where("key is null").select("u", "v"), found.where("key is not null").select("key", F.col("u").alias("node"))
+    if not large.isEmpty():
+        counts = checkpointed(large.groupBy("key").agg(F.ceil(F.count("*") / (limit // 2 or 1)).alias("blocks"), F.count("*").alias("many")))
+        wide = hot_join(large, counts, "key").withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+        wide = wide.join(nodes.select("node", "fp"), "node")
+        wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        side = F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")
+        wide = wide.select("key", "node", "fp", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), side)
+        edges = edges.unionByName(wide.groupBy("key", "bi", "bj").applyInArrow(_wide_blocks(most), "u long, v long"))
+    groups = connected_components(edges).withColumnRenamed("component", "group")
+    placed = nodes.withColumn("component", F.col("node"))
+    if not groups.isEmpty():
+        grouped = checkpointed(nodes.drop("many").join(groups, "node"))
+        met = _settled(grouped.drop("low"), _sets(marked, grouped, width), most, similarity)
+        placed = placed.drop("component").join(met.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = checkpointed(placed)
+    lowest = checkpointed(placed.groupBy("component").agg(F.min("low").alias("first"), F.count("*").alias("nodes")))
+    print_ = F.struct("fp", "n").alias("print")
+    named = checkpointed(hot_join(placed.drop("low"), lowest, "component", "nodes").select(print_, "first", "many"))
+    return hot_join(prints.select("doc_id", "mark", print_), named, "print").select("doc_id", "mark", F.col("first").alias("low"))
 
 
 def near_copies(
@@ -545,45 +594,24 @@ def near_copies(
     """One row per row of docs: id_col, component_id (the smallest id among near copies that chains of links reach).
 
     Texts are near copies if the Jaccard similarity of their sets of shingles is the given one or more. Candidates
-    are pairs that meet in some table and differ in few of 256 sign bits; each of the two holds for a pair at the
-    similarity with a probability of about RECALL. No two components are joined but by a pair whose sets reach the
-    similarity; among the texts that chains of candidates connect, every such pair is found. Cases (nulls, empty texts, repeated rows, other columns, empty tables) as in ``simhash_dedup``.
+    are pairs that differ in few of 256 sign bits, ring and all, and that some table or a chain of other candidates
+    brings together; each of the two holds for a pair at the similarity with a probability of about RECALL. No two
+    components are joined but by a pair whose sets reach the similarity, and of the candidates none is left untried.
+    Cases (nulls, empty texts, very long texts, repeated rows, other columns, empty tables) as in ``simhash_dedup``.
     """
-    prints = checkpointed(_shingled(docs, id_col, text_col, width, False))
-    nodes = prints.groupBy("fp", "n").agg(F.min("doc_id").alias("low")).withColumn("node", F.monotonically_increasing_id())
-    nodes = checkpointed(nodes)
-    most, bits, tables = wide_parameters(nodes.count(), similarity)
-    keyed = nodes.select("node", "fp").mapInArrow(_sampled(bits, tables), "key long, node long, fp binary")
-    counts = keyed.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > limit)
-    large = checkpointed(counts)
-    out = "u long, v long"
-    if large.isEmpty():
-        found = _in_order(keyed).mapInArrow(_wide_runs(most), out)
-    else:
-        small = _in_order(keyed.join(large, "key", "left_anti"))
-        block = F.ceil(F.col("many") / (limit // 2))
-        wide = keyed.join(large, "key").withColumn("blocks", block).withColumn("own", F.pmod(F.xxhash64("fp"), "blocks"))
-        wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        side = F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")
-        wide = wide.select("key", "node", "fp", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), side)
-        pairs = wide.groupBy("key", "bi", "bj").applyInArrow(_wide_blocks(most), out)
-        found = small.mapInArrow(_wide_runs(most), out).unionByName(pairs)
-    found = checkpointed(found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    placed = nodes.withColumn("component", F.col("node"))
-    if not found.isEmpty():
-        # a pair left out by the forests lies within a group
-        groups = connected_components(found).withColumnRenamed("component", "group").join(nodes.select("node", "n"), "node")
-        sets = _sets(docs, nodes, groups, id_col, text_col, width)
-        met = _settle(checkpointed(groups.withColumn("component", F.col("node"))), found, sets, similarity)
-        met = _completed(met, sets, similarity)
-        placed = nodes.join(met.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    lowest = placed.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = placed.join(lowest, "component").select("fp", "n", "component_id")
-    return prints.join(named, ["fp", "n"]).select(F.col("doc_id").alias(id_col), "component_id")
+    return _named(docs, id_col, text_col, width, similarity, limit).select(F.col("doc_id").alias(id_col), F.col("low.id").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of docs that stay: of each group of near copies the row with the smallest id, columns as they came."""
-    verdict = near_copies(docs, id_col, text_col, width, similarity)
-    gone = verdict.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(checkpointed(gone), F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+    """The rows of docs that stay: of each group of near copies the row with the smallest id, columns as they came.
+
+    Null texts count as empty; texts without words are near copies of each other. A null id comes after all others.
+    Of rows that share id, those with another text than the first go if they are near copies; rows that repeat both
+    id and text stay or go together (``drop_exact_copies`` tells them apart). Very long texts count whole, columns
+    may have any names, and an empty table gives no rows.
+    """
+    verdict = _named(docs, id_col, text_col, width, similarity, BUCKET_LIMIT)
+    same = F.col("doc_id").eqNullSafe(F.col("low.id")) & (F.col("mark") == F.col("low.mark"))
+    gone = checkpointed(verdict.where(~same).select("doc_id", "mark").distinct())
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("sum"))
+    return rows.join(gone, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("sum") == F.col("mark")), "left_anti").select("row.*")
