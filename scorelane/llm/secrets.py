@@ -1,16 +1,17 @@
 """Secret scans: fixed patterns, and a battery of randomness tests, in DataFrame functions alone.
 
-Candidate runs are tested under the encoding that their characters suggest. The null hypothesis is that a run
-is written, not drawn: the symbols of its encoding have the falling frequencies that written text has. A small
-chi-squared statistic against the uniform alphabet, here in its coincidence form (pairs of equal characters),
-speaks for a random string, and so do many changes between small letters, capitals and digits, which written
-words and numbers keep in stretches; both become one p-value. The number of runs of high and low symbols and the
-serial correlation of neighbours must agree with randomness. False discoveries are held by Benjamini-Hochberg within classes of length, over all
-candidates of the corpus.
+Candidate runs are tested under the encoding that their characters suggest, by the places of their symbols in its
+alphabet. Three tests ask whether a run could have been drawn at random: chi-squared uniformity over the alphabet, the
+number of runs of high and low symbols, and the serial correlation of neighbours; Simes' rule makes them one p-value,
+and a run that it rejects is no secret. The null hypothesis of a discovery is the other one, that the run was written:
+then its letters have the frequencies of prose, vowels and consonants alternate, and small letters, capitals and digits
+come in stretches. Its p-value is held by Benjamini-Hochberg within classes of length, over all candidates of the corpus.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +27,28 @@ KINDS = (
 HINTS = {"hex": r"[0-9a-f]{24}", "access": r"AKIA[A-Z0-9]{16}"}
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 KIND_RANDOM = "random"
-#: Symbols of each encoding, smallest first: a candidate has the first that its characters allow.
-ALPHABETS = (("hex_lower", "^[0-9a-f]+$", 16), ("hex_upper", "^[0-9A-F]+$", 16), ("base32", "^[A-Z2-7]+$", 32), ("base36", "^[A-Z0-9]+$", 36), ("base36_lower", "^[a-z0-9]+$", 36), ("base64", "^[A-Za-z0-9+/]+$", 64), ("base64url", "^[A-Za-z0-9_-]+$", 64), ("mixed", "^.+$", 66))
+_DIGITS, _CAPITALS, _SMALL = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Encodings, smallest alphabet first, with the order of their symbols: a candidate has the first that holds its characters.
+ALPHABETS = (
+    ("hex_lower", _DIGITS + "abcdef"),
+    ("hex_upper", _DIGITS + "ABCDEF"),
+    ("base32", _CAPITALS + "234567"),
+    ("base36", _DIGITS + _CAPITALS),
+    ("base36_lower", _DIGITS + _SMALL),
+    ("base64", _CAPITALS + _SMALL + _DIGITS + "+/"),
+    ("base64url", _CAPITALS + _SMALL + _DIGITS + "-_"),
+    ("mixed", _CAPITALS + _SMALL + _DIGITS + "+/-_"),
+)
+#: Letters of English prose, in per mille.
+LETTERS = {
+    "a": 82, "b": 15, "c": 28, "d": 43, "e": 127, "f": 22, "g": 20, "h": 61, "i": 70, "j": 2, "k": 8, "l": 40, "m": 24,
+    "n": 67, "o": 75, "p": 19, "q": 1, "r": 60, "s": 63, "t": 91, "u": 28, "v": 10, "w": 24, "x": 2, "y": 20, "z": 1,
+}
+VOWELS = "aeiouy"
+#: Share of vowels in prose after a vowel, after a consonant, and at the start of a stretch of letters.
+VOWEL_AFTER = {"v": 0.2, "c": 0.6, "-": 0.4}
+#: Letters of a text depend on its words: the variance of their likelihood is taken so many times as large.
+INFLATION = 1.3
 FDR = 0.05
 LEVEL = 0.001
 #: Share of neighbours of different kinds (small letter, capital, digit) in written text: two a stretch of ten where
@@ -39,10 +60,7 @@ EXACT = 1000
 
 
 def _written_powers(symbols: int) -> tuple[float, float]:
-    """Sums of squares and cubes of the null's symbol frequencies: 26 symbols at most, falling as 1/(rank + 2).
-
-    That is close to the letters of European prose, whose squares add up to 0.06 to 0.08.
-    """
+    """Sums of squares and cubes of the symbol frequencies of written hexadecimal runs (numbers, dates, counters): falling as 1/(rank + 3)."""
     weights = [1 / (k + 3) for k in range(min(symbols, 26))]
     total = sum(weights)
     return sum((w / total) ** 2 for w in weights), sum((w / total) ** 3 for w in weights)
@@ -102,69 +120,120 @@ def _changes_reach(count: Column, among: Column, share: Column) -> Column:
     return F.when(among < 1, one).when(among <= EXACT, summed).otherwise(bound)
 
 
-def test_battery(candidates: DataFrame, value: str = "value") -> DataFrame:
-    """Adds encoding, n, p_written, p_changes, p, p_runs, p_serial to rows with a string column of two characters or more.
+def letter_costs() -> dict[str, tuple[dict[str, float], float, float]]:
+    """By what comes before (v, c, or - for no letter): -log of the chance of each letter, and the mean and variance of that."""
+    group = {x: sum(w for c, w in LETTERS.items() if (c in VOWELS) == (x == "v")) for x in "vc"}
+    out = {}
+    for before, vowel in VOWEL_AFTER.items():
+        chance = {c: (vowel if c in VOWELS else 1 - vowel) * w / group["v" if c in VOWELS else "c"] for c, w in LETTERS.items()}
+        cost = {c: -math.log(p) for c, p in chance.items()}
+        mean = sum(chance[c] * cost[c] for c in cost)
+        out[before] = cost, mean, sum(chance[c] * (cost[c] - mean) ** 2 for c in cost)
+    return out
+
+
+def _total(xs: Column) -> Column:
+    return F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+
 
-    p_written: chance that written text of this length and encoding repeats so few characters (small: random).
-    p_changes: chance that written text changes so often between small letters, capitals and digits (small: random).
-    p: the two together, by Fisher's product.
-    p_runs, p_serial: two-sided chance, for a random string, of so odd a number of runs of symbols above or below
-    the mean, and of so large a correlation of neighbours (small: not random).
+def _by_encoding(of) -> Column:
+    """The double that ``of`` gives for the alphabet of each encoding."""
+    return F.coalesce(*[F.when(F.col("encoding") == name, F.lit(float(of(symbols)))) for name, symbols in ALPHABETS])
+
+
+def test_battery(candidates: DataFrame, value: str = "value") -> DataFrame:
+    """Adds encoding, n, p_uniform, p_runs, p_serial, p_random, p_letters, p_changes, p to rows with a string column of two characters or more.
+
+    p_uniform: chance that a random string of this length and alphabet has so large a chi-squared statistic.
+    p_runs, p_serial: two-sided chance, for a random string, of so odd a number of runs of symbols above or below the
+    middle of the alphabet, and of so large a correlation of neighbours.
+    p_random: the three by Simes' rule (small: not random).
+    p_letters: chance that written text has so unlikely letters; in hexadecimal, that it repeats so few symbols.
+    p_changes: chance that written text changes so often between small letters, capitals and digits.
+    p: the two together, by Fisher's product (small: not written).
     """
-    v = F.col(value)
+    v, n, k = F.col(value), F.col("n"), F.col("__k")
+    quoted = lambda symbols: "^[" + symbols.replace("-", r"\-") + "]+$"
     c = candidates.withColumns(
         {
-            "encoding": F.coalesce(*[F.when(v.rlike(pattern), F.lit(name)) for name, pattern, _ in ALPHABETS]),
+            "encoding": F.coalesce(*[F.when(v.rlike(quoted(symbols)), F.lit(name)) for name, symbols in ALPHABETS]),
             "n": F.length(v).cast("double"),
             "__s": F.filter(F.split(v, ""), lambda x: F.length(x) > 0),
         }
     )
-    # the place of a symbol in the alphabet; ASCII keeps digits, capitals and small letters in order
-    c = c.withColumn("__x", F.transform("__s", lambda x: F.ascii(x).cast("double")))
-    n = F.col("n")
+    alphabet = F.coalesce(*[F.when(F.col("encoding") == name, F.lit(symbols)) for name, symbols in ALPHABETS])
+    c = c.withColumns({"__k": _by_encoding(len), "__alphabet": alphabet})
+    middle = (k - 1) / 2
     many = lambda s: n - F.size(F.array_remove(F.col("__s"), s))
-    pairs = F.aggregate(F.array_distinct("__s"), F.lit(0.0), lambda acc, s: acc + many(s) * (many(s) - 1))
-
-    def power(k: int) -> Column:
-        return F.coalesce(*[F.when(F.col("encoding") == name, F.lit(_written_powers(size)[k])) for name, _, size in ALPHABETS])
-
-    c = c.withColumns({"__s2": power(0), "__s3": power(1), "__pairs": pairs})
-    s2, s3 = F.col("__s2"), F.col("__s3")
-    spread = F.sqrt(2 * n * (n - 1) * (s2 + 2 * (n - 2) * s3 - (2 * n - 3) * s2 * s2))
-    # chi-squared against k equal cells is k/n (pairs + n) - n: it falls with the number of equal pairs
-    # marks between words are no change: the kinds are those of the letters and digits alone
-    kinds = F.translate(F.regexp_replace(v, "[^A-Za-z0-9]", ""), "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])), "0" * 10 + "A" * 26 + "a" * 26)
-    c = c.withColumn("__among", F.greatest(F.length(kinds) - 1, F.lit(0)).cast("double"))
-    c = c.withColumn("__changes", (F.size(F.split(kinds, r"(?<=(.))(?!\1)(?=.)")) - 1).cast("double"))
-    share = F.coalesce(*[F.when(F.col("encoding") == k, F.lit(q)) for k, q in CHANGES.items()], F.lit(CHANGES_MIXED))
-    c = c.withColumn("p_changes", _changes_reach(F.col("__changes"), F.col("__among"), share))
-    mean = F.aggregate("__x", F.lit(0.0), lambda a, x: a + x) / n
-    c = c.withColumns({"p_written": _normal_below((F.col("__pairs") - n * (n - 1) * s2) / spread), "__mean": mean})
-    c = c.withColumn("__d", F.transform("__x", lambda x: x - F.col("__mean")))
+    pairs = F.aggregate(F.array_distinct("__s"), F.lit(0.0), lambda acc, s: acc + many(s) * (many(s) - 1) / 2)
+    c = c.withColumns(
+        {
+            "__d": F.transform("__s", lambda x: F.instr(F.col("__alphabet"), x).cast("double") - 1 - middle),
+            "__pairs": pairs,
+            "__all": n * (n - 1) / 2,
+        }
+    )
+    # chi-squared against k equal cells is 2k/n times the equal pairs, plus k - n: its tail is that of the pairs
+    few = F.col("__all") <= EXACT
+    z = (F.col("__pairs") - F.col("__all") / k) / F.sqrt(F.col("__all") / k * (1 - 1 / k))
+    c = c.withColumn("p_uniform", F.when(few, _changes_reach(F.col("__pairs"), F.col("__all"), 1 / k)).otherwise(_normal_below(-z)))
     following = F.slice("__d", F.lit(2), F.greatest(F.size("__d") - 1, F.lit(0)))
     change = lambda a, b: F.when(a.isNull() | b.isNull(), 0.0).when((a > 0) != (b > 0), 1.0).otherwise(0.0)
-    total = lambda xs, start: F.aggregate(xs, F.lit(start), lambda a, x: a + x)
+    c = c.withColumn("__mean", _total(F.col("__d")) / n)
+    around = lambda x: x - F.col("__mean")
     c = c.withColumns(
         {
             "__above": F.size(F.filter("__d", lambda d: d > 0)).cast("double"),
-            "__runs": total(F.zip_with(following, "__d", change), 1.0),
-            "__ss": total(F.transform("__d", lambda d: d * d), 0.0),
-            "__lag": total(F.zip_with(following, "__d", lambda a, b: F.coalesce(a * b, F.lit(0.0))), 0.0),
+            "__runs": 1 + _total(F.zip_with(following, "__d", change)),
+            "__ss": _total(F.transform("__d", lambda d: around(d) * around(d))),
+            "__lag": _total(F.zip_with(following, "__d", lambda a, b: F.coalesce(around(a) * around(b), F.lit(0.0)))),
         }
     )
-    product = F.greatest(F.col("p_written") * F.col("p_changes"), F.lit(1e-300))
-    c = c.withColumn("p", product * (1 - F.log(product)))
     mu = 2 * F.col("__above") * (n - F.col("__above")) / n + 1
     var = (mu - 1) * (mu - 2) / (n - 1)
     two_sided = lambda z: 2 * _normal_below(-F.abs(z))
     serial = (F.col("__lag") / F.nullif(F.col("__ss"), F.lit(0.0)) + 1 / n) * F.sqrt(n)
     c = c.withColumn("p_runs", F.when(var > 0, two_sided((F.col("__runs") - mu) / F.sqrt(var))).otherwise(F.lit(0.0)))
     c = c.withColumn("p_serial", F.coalesce(two_sided(serial), F.lit(0.0)))
-    return c.drop("__s", "__x", "__s2", "__s3", "__pairs", "__mean", "__d", "__above", "__runs", "__ss", "__lag", "__among", "__changes")
+    low, high = F.least("p_uniform", "p_runs", "p_serial"), F.greatest("p_uniform", "p_runs", "p_serial")
+    middle_p = F.col("p_uniform") + F.col("p_runs") + F.col("p_serial") - low - high
+    c = c.withColumn("p_random", F.least(3 * low, 1.5 * middle_p, high))
+
+    # the null of a discovery: letters
+    costs = letter_costs()
+    small = F.lower(v)
+    vowels, consonants = VOWELS, "".join(x for x in _SMALL if x not in VOWELS)
+    kinds = F.translate(F.regexp_replace(small, "[^a-z]", "-"), vowels + consonants, "v" * len(vowels) + "c" * len(consonants))
+    before = F.concat(F.lit("-"), kinds)
+    table = F.create_map(*[F.lit(x) for b, (cost, _, _) in costs.items() for letter, w in cost.items() for x in (b + letter, float(w))])
+    means = F.create_map(*[F.lit(x) for b, (_, mean, _) in costs.items() for x in (b, float(mean))])
+    spreads = F.create_map(*[F.lit(x) for b, (_, _, spread) in costs.items() for x in (b, float(spread))])
+    chars = F.filter(F.split(small, ""), lambda x: F.length(x) > 0)
+    steps = F.zip_with(F.filter(F.split(before, ""), lambda x: F.length(x) > 0), chars, lambda b, x: F.concat(b, x))
+    c = c.withColumn("__steps", F.filter(steps, lambda x: x.rlike("^.[a-z]$")))
+    own = lambda table, key: F.transform("__steps", lambda x: F.element_at(table, key(x)))
+    first = lambda x: F.substring(x, 1, 1)
+    c = c.withColumns({"__cost": _total(own(table, lambda x: x)), "__expected": _total(own(means, first)), "__spread": _total(own(spreads, first))})
+    unlikely = _normal_below((F.col("__expected") - F.col("__cost")) / F.sqrt(INFLATION * F.col("__spread")))
+    s2, s3 = (F.lit(x) for x in _written_powers(16))
+    spread = F.sqrt(2 * n * (n - 1) * (s2 + 2 * (n - 2) * s3 - (2 * n - 3) * s2 * s2))
+    few_pairs = _normal_below((2 * F.col("__pairs") - n * (n - 1) * s2) / spread)
+    hexadecimal = F.col("encoding").isin("hex_lower", "hex_upper")
+    c = c.withColumn("p_letters", F.when(hexadecimal, few_pairs).when(F.size("__steps") > 0, unlikely).otherwise(F.lit(1.0)))
+
+    # and stretches; marks between words are no change: the kinds are those of the letters and digits alone
+    kinds = F.translate(F.regexp_replace(v, "[^A-Za-z0-9]", ""), _DIGITS + _CAPITALS + _SMALL, "0" * 10 + "A" * 26 + "a" * 26)
+    c = c.withColumn("__among", F.greatest(F.length(kinds) - 1, F.lit(0)).cast("double"))
+    c = c.withColumn("__changes", (F.size(F.split(kinds, r"(?<=(.))(?!\1)(?=.)")) - 1).cast("double"))
+    share = F.coalesce(*[F.when(F.col("encoding") == e, F.lit(q)) for e, q in CHANGES.items()], F.lit(CHANGES_MIXED))
+    c = c.withColumn("p_changes", _changes_reach(F.col("__changes"), F.col("__among"), share))
+    product = F.greatest(F.col("p_letters") * F.col("p_changes"), F.lit(1e-300))
+    c = c.withColumn("p", product * (1 - F.log(product)))
+    return c.drop("__s", "__k", "__alphabet", "__d", "__pairs", "__all", "__mean", "__above", "__runs", "__ss", "__lag", "__steps", "__cost", "__expected", "__spread", "__among", "__changes")
 
 
 def discoveries(tested: DataFrame, fdr: float = FDR) -> DataFrame:
-    """Adds ``secret``: Benjamini-Hochberg on p within classes of length, and no test against randomness.
+    """Adds ``secret``: Benjamini-Hochberg on p within classes of length, and p_random not below LEVEL.
 
     The p-values are rounded up to a grid of 1/100 powers of ten, so that counts per step of the grid suffice;
     classes and steps are bounded, whatever the number of candidates. Rounding up errs to fewer discoveries.
@@ -177,7 +246,7 @@ def discoveries(tested: DataFrame, fdr: float = FDR) -> DataFrame:
     holds = F.pow(F.lit(10.0), F.col("__step") / 100) <= fdr * F.col("__rank") / F.col("__all")
     cut = grid.where(holds).groupBy("__class").agg(F.max("__step").alias("__cut"))
     joined = classed.join(F.broadcast(cut), "__class", "left")  # 41 classes at most
-    random = (F.col("p_runs") >= LEVEL) & (F.col("p_serial") >= LEVEL)
+    random = F.col("p_random") >= LEVEL
     return joined.withColumn("secret", F.coalesce((F.col("__step") <= F.col("__cut")) & random, F.lit(False))).drop("__class", "__step", "__cut")
 
 
@@ -230,26 +299,27 @@ def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """docs with each span (overlapping ones together) replaced by [SECRET]; count_col, if there, is counted anew.
 
     The scan is repeated on the rows themselves for base spans; added spans are joined by id and the text's hash,
-    so rows that share an id keep apart. Texts without spans, nulls among them, stay as they are.
+    so rows that share an id keep apart. Texts without spans, nulls among them, stay as they are. Very long texts are
+    treated whole, other columns may have any names, repeated rows stay repeated, and an empty table gives no rows.
     """
-    marked = docs.withColumn("__sha", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    spans = secret_spans(marked.select(F.struct(F.col(id_col).alias("id"), F.col("__sha").alias("sha")).alias("__k"), F.col(text_col).alias("__t")), "__k", "__t")
-    hit = spans.where(F.size("base") + F.size("added") > 0).select(
-        F.col("__k.id").alias("__hit"), F.col("__k.sha").alias("__hit_sha"), F.array_sort(F.concat("base", "added")).alias("__spans")
-    )
-    hit = checkpointed(hit.dropDuplicates(["__hit", "__hit_sha"]))
-    joined = marked.join(hit, F.col(id_col).eqNullSafe(F.col("__hit")) & (F.col("__sha") == F.col("__hit_sha")), "left")
-    text = F.col(text_col)
+    counted = count_col in docs.columns
+    count = F.col(count_col) if counted else F.lit(None).cast("long")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), count.alias("count"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("sha"))
+    spans = secret_spans(rows.select(F.struct("id", "sha").alias("key"), "text"), "key", "text")
+    hit = spans.where(F.size("base") + F.size("added") > 0).select(F.col("key.id").alias("hit_id"), F.col("key.sha").alias("hit_sha"), F.array_sort(F.concat("base", "added")).alias("spans"))
+    hit = checkpointed(hit.dropDuplicates(["hit_id", "hit_sha"]))
+    joined = rows.join(hit, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("sha") == F.col("hit_sha")), "left")
+    text, none = F.col("text"), F.col("spans").isNull()
 
     def step(acc, s):
         gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], gap, F.lit("[SECRET]"))).otherwise(acc["out"])
+        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(gap))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
 
-    done = F.aggregate(
-        "__spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-    )
-    masked = joined.withColumn(text_col, F.when(F.col("__spans").isNotNull(), done).otherwise(text))
-    if count_col in docs.columns:
-        masked = masked.withColumn(count_col, F.when(F.col("__spans").isNotNull(), F.length(text_col).cast(docs.schema[count_col].dataType)).otherwise(F.col(count_col)))
-    return masked.select(*docs.columns)
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    rest = lambda acc: F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, F.length(text))))
+    done = F.array_join(F.aggregate("spans", start, step, rest), "[SECRET]")
+    joined = joined.withColumn("fresh", F.when(none, text).otherwise(done))
+    recounted = F.when(none, F.col("count")).otherwise(F.length("fresh").cast(docs.schema[count_col].dataType if counted else "long"))
+    changed = {text_col: F.col("fresh")} | ({count_col: recounted} if counted else {})
+    return joined.select(*[changed[c].alias(c) if c in changed else F.col("row")[c].alias(c) for c in docs.columns])

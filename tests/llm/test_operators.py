@@ -268,10 +268,11 @@ def test_packing_pieces_and_places(docs, nothing):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
-    got = rows(packing.best_fit_pack(docs, JSON, public_tokenizers.PATTERN))
+    extra = [(20, "<|endoftext|>"), (21, "ends <|endoftext|>  starts<|endoftext|><|endoftext|>\n x"), (22, "<|endoftext| >")]
+    extra = docs.sparkSession.createDataFrame(extra, "doc_id long, text string")
+    got = rows(packing.best_fit_pack(docs.unionByName(extra, allowMissingColumns=True), JSON, public_tokenizers.PATTERN))
     want = Counter()
-    for i, text, *_ in DOCS:
+    for i, text, *_ in [*DOCS, *map(tuple, extra.collect())]:
         ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
         cuts = [0, *range(len(ids) % 2048 or 2048, len(ids) + 1, 2048)]
         for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
@@ -424,3 +425,72 @@ def test_local_search_has_no_budget_and_goes_past_stuck_bins():
             for size in pattern:
                 held[size] += count
     assert held == lengths and after.total() < before
+
+
+def plain_battery(v):
+    """p_random and p of a candidate, in plain Python."""
+    import math
+
+    name, symbols = next((k, a) for k, a in secrets.ALPHABETS if set(v) <= set(a))
+    n, k = len(v), len(symbols)
+    below = lambda z: 0.5 * math.erfc(-z / math.sqrt(2))
+
+    def reach(count, among, share):
+        if among < 1:
+            return 1.0
+        if among <= secrets.EXACT:
+            return min(1.0, sum(math.exp(math.lgamma(among + 1) - math.lgamma(j + 1) - math.lgamma(among - j + 1) + j * math.log(share) + (among - j) * math.log(1 - share)) for j in range(count, among + 1)))
+        x = count / among
+        return math.exp(-among * (x * math.log(x / share) + ((1 - x) * math.log((1 - x) / (1 - share)) if x < 1 else 0))) if x > share else 1.0
+
+    pairs, every = sum(c * (c - 1) // 2 for c in Counter(v).values()), n * (n - 1) // 2
+    uniform = reach(pairs, every, 1 / k) if every <= secrets.EXACT else below(-(pairs - every / k) / math.sqrt(every / k * (1 - 1 / k)))
+    d = [symbols.index(c) - (k - 1) / 2 for c in v]
+    above = sum(x > 0 for x in d)
+    mu = 2 * above * (n - above) / n + 1
+    var = (mu - 1) * (mu - 2) / (n - 1)
+    number = 1 + sum((a > 0) != (b > 0) for a, b in zip(d, d[1:], strict=False))
+    p_runs = 2 * below(-abs(number - mu) / math.sqrt(var)) if var > 0 else 0.0
+    e = [x - sum(d) / n for x in d]
+    ss = sum(x * x for x in e)
+    p_serial = 2 * below(-abs(sum(a * b for a, b in zip(e, e[1:], strict=False)) / ss + 1 / n) * math.sqrt(n)) if ss else 0.0
+    low, middle, high = sorted([uniform, p_runs, p_serial])
+    costs, cost, mean, spread, before = secrets.letter_costs(), 0.0, 0.0, 0.0, "-"
+    for c in v.lower():
+        if c in secrets.LETTERS:
+            own = costs[before]
+            cost, mean, spread = cost + own[0][c], mean + own[1], spread + own[2]
+        before = "-" if c not in secrets.LETTERS else "v" if c in secrets.VOWELS else "c"
+    letters = below((mean - cost) / math.sqrt(secrets.INFLATION * spread)) if spread else 1.0
+    if name.startswith("hex"):
+        s2, s3 = secrets._written_powers(16)
+        letters = below((2 * pairs - n * (n - 1) * s2) / math.sqrt(2 * n * (n - 1) * (s2 + 2 * (n - 2) * s3 - (2 * n - 3) * s2 * s2)))
+    kind = ["0" if c.isdigit() else "A" if c.isupper() else "a" for c in v if c.isalnum()]
+    changes = reach(sum(a != b for a, b in zip(kind, kind[1:], strict=False)), len(kind) - 1, secrets.CHANGES.get(name, secrets.CHANGES_MIXED))
+    product = max(letters * changes, 1e-300)
+    return min(3 * low, 1.5 * middle, high), product * (1 - math.log(product))
+
+
+ENCODED = {name: symbols for name, symbols in secrets.ALPHABETS if name != "mixed"}
+
+
+def made_identifiers(rng, many):
+    words = [w for w in re.findall(r"[a-z]{3,9}", " ".join(licenses.TEMPLATES["GPL-3.0"] + licenses.TEMPLATES["BSD-3-Clause"]).lower())]
+    shapes = [lambda w: "_".join(w), lambda w: "".join(x.title() for x in w), lambda w: "-".join(w).upper(), lambda w: "/".join(w), lambda w: "".join(w)]
+    return [rng.choice(shapes)(rng.choices(words, k=rng.randint(4, 8))) + str(rng.randint(0, 2030)) for _ in range(many)]
+
+
+def test_battery_equals_plain_version_and_finds_keys(spark):
+    rng = random.Random(8)
+    drawn = ["".join(rng.choices(symbols, k=n)) for symbols in ENCODED.values() for n in (20, 32, 40, 64) for _ in range(10)]
+    drawn = [v for v in drawn if re.search("[0-9]", v) and re.search("[A-Za-z]", v)]
+    written = made_identifiers(rng, 1500) + ["a1" * 400, "0" * 19 + "a", "Ab+/" * 30]
+    frame = spark.createDataFrame([(v, v in set(drawn)) for v in drawn + written if len(v) >= 20], "value string, truth boolean")
+    got = secrets.discoveries(secrets.test_battery(frame)).collect()
+    for r in got:
+        p_random, p = plain_battery(r["value"])
+        assert r["p_random"] == pytest.approx(p_random, abs=2e-6, rel=1e-3)
+        assert r["p"] == pytest.approx(p, abs=3e-6, rel=2e-2)
+    found = [r for r in got if r["truth"] and r["secret"]]
+    assert len(found) >= 0.75 * len(drawn)
+    assert sum(r["secret"] and not r["truth"] for r in got) <= 0.05 * len(found) + 1
