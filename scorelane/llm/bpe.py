@@ -134,19 +134,32 @@ class Numbers(dict):
 
 
 class WordEncoder:
-    """Texts to id bytes, by a splitting pattern and an encoder of distinct words; remembers common words."""
+    """Texts to id bytes, by a splitting pattern and an encoder of distinct words; remembers common words.
 
-    def __init__(self, pattern: str, encode_words):
+    Strings of ``special`` (to id bytes) are cut out of a text first, and what is between them is split by itself.
+    """
+
+    def __init__(self, pattern: str, encode_words, special: dict[str, bytes] | None = None):
         self.findall = regex.compile(pattern).findall
         self.encode_words = encode_words
-        self.known: dict[str, bytes] = {}
+        self.special = special or {}
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split
+        self.known: dict[str | tuple, bytes] = {(s,): ids for s, ids in self.special.items()}
+
+    def words(self, text: str) -> list:
+        if not any(s in text for s in self.special):
+            return self.findall(text)
+        out = []
+        for k, part in enumerate(self.cut(text)):
+            out.extend([(part,)] if k % 2 else self.findall(part))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         known = self.known
         numbers = Numbers()
         rows = []
         for text in texts:
-            words = self.findall(text)
+            words = self.words(text)
             rows.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
         new = [w for w in numbers if w not in known]
         fresh = dict(zip(new, self.encode_words(new), strict=True))

@@ -8,8 +8,9 @@ with a count. Pieces are then dealt to the places of these patterns by their ran
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ from .shared import checkpointed
 
 CAPACITY = 2048
 SALTS = 64
+#: Places up to which their list is broadcast, some 8 MB; a longer list is joined by shuffle on the length.
+BROADCAST_PLACES = 200_000
 
 
 class Bins:
@@ -47,7 +50,7 @@ class Bins:
             del self.groups[fill]
             self.fills.pop(bisect_left(self.fills, fill))
 
-    def fullest_with_room(self, size: int, most: int | None = None):
+    def fullest_with_room(self, size: int):
         """A pattern of the fullest bins that ``size`` fits in (best fit)."""
         k = bisect_left(self.fills, self.capacity - size + 1) - 1
         return None if k < 0 else next(iter(self.groups[self.fills[k]]))
@@ -84,30 +87,43 @@ def best_fit(histogram: dict[int, int], capacity: int) -> Bins:
     return bins
 
 
+@lru_cache(maxsize=200_000)
+def _given(pattern: tuple) -> tuple[list[tuple], list[tuple], list[int]]:
+    """What a bin may give away: single documents, then pairs, largest first; both together, with their negated sums, sorted by these."""
+    have = sorted(set(pattern), reverse=True)
+    pairs = [(y, z) for k, y in enumerate(have) for z in have[k:] if y != z or pattern.count(y) > 1]
+    both = sorted([*((y,) for y in have), *pairs], key=sum, reverse=True)
+    return [*((y,) for y in have), *sorted(pairs, key=sum, reverse=True)], both, [-sum(x) for x in both]
+
+
 def _exchange(donor: tuple, target: tuple, room: int) -> tuple[tuple, tuple] | None:
-    """New contents of donor and target: a document of the donor for a smaller one, or two smaller together, of the target."""
-    have = sorted(set(target))
-    for x in sorted(set(donor), reverse=True):
-        gives = [(y,) for y in have if 0 < x - y <= room]
-        gives += [(y, z) for k, y in enumerate(have) for z in have[k:] if 0 < x - y - z <= room and (y != z or target.count(y) > 1)]
-        if not gives:
-            continue
-        give = min(gives, key=sum)
-        rest, grown = list(donor), list(target)
-        rest.remove(x)
-        for y in give:
-            grown.remove(y)
-        return tuple(sorted((*rest, *give))), tuple(sorted((*grown, x)))
+    """New contents of donor and target after an exchange of one document for one, one for two, or two for one that
+    fills the target up as far as any for the same documents of the donor does; None if there is none."""
+    _, takes, sums = _given(target)
+    for give in _given(donor)[0]:
+        own = sum(give)
+        # the smallest sum that is no less than own - room fills up most
+        for at in range(bisect_right(sums, room - own) - 1, -1, -1):
+            take = takes[at]
+            if sums[at] + own <= 0:
+                break
+            if len(give) + len(take) < 4:
+                rest, grown = list(donor), list(target)
+                for x in give:
+                    rest.remove(x)
+                for y in take:
+                    grown.remove(y)
+                return tuple(sorted((*rest, *take))), tuple(sorted((*grown, *give)))
     return None
 
 
 def _improve(bins: Bins, donor: tuple, most: int, refused: set) -> tuple[tuple, int] | None:
     """One exchange that raises the squared fill, for as many of ``most`` equal donor bins as there are equal targets.
 
-    The donor bins' next content and their number, or None if there is no exchange. Tried for each document of the
-    donor, largest first: a move into the fullest bin with room; then an exchange for a smaller document, or for two
-    that are smaller together, of a bin that is no less full than the donor. ``refused`` remembers pairs of patterns
-    without one, for it depends on the patterns alone.
+    The donor bins' next content and their number, or None if there is no exchange. First each document of the donor,
+    largest first, is to move into the fullest bin with room; then one or two of them are exchanged with a bin that is no
+    less full than the donor, the fullest first. ``refused`` remembers pairs of patterns without an exchange, for it
+    depends on the patterns alone.
     """
     own = sum(donor)
     for x in sorted(set(donor), reverse=True):
@@ -196,34 +212,40 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(rest)}
 
 
-def _tokenizer_words(definition: str, pattern: str):
-    """An encoder of distinct words for a tokenizer's JSON definition.
+def _tokenizer_encoder(definition: str, pattern: str):
+    """A function of texts to id bytes, as the tokenizers library gives them for a JSON definition as it is loaded.
 
-    If its merges come in the order of their ids, ids are ranks, and a rank encoder gives the same ids at a
-    quarter of the time; otherwise the tokenizers library encodes the words.
+    Of a plain byte-level tokenizer whose merges come in the order of their ids, ids are ranks, and a rank encoder of
+    distinct words gives the same ids at a quarter of the time: added tokens are cut out of a text first. For all other
+    definitions the library encodes the texts.
     """
     import json
     from array import array
 
-    model = json.loads(definition)["model"]
+    whole = json.loads(definition)
+    model, split = whole["model"], whole.get("pre_tokenizer") or {}
     vocabulary = model["vocab"]
-    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
     ids = [vocabulary.get("".join(pair), -1) for pair in pairs]
-    if model["type"] == "BPE" and not model.get("dropout") and len(vocabulary) == 256 + len(ids) and ids == list(range(256, 256 + len(ids))):
+    added = whole.get("added_tokens") or []
+    plain = model["type"] == "BPE" and not model.get("dropout") and not whole.get("normalizer")
+    plain = plain and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    plain = plain and len(vocabulary) == 256 + len(ids) and ids == list(range(256, 256 + len(ids)))
+    if plain and all(t["content"] and not (t["single_word"] or t["lstrip"] or t["rstrip"]) for t in added):
         import tiktoken
 
         byte = byte_alphabet()
         ranks = {bytes(byte[c] for c in token): k for token, k in vocabulary.items()}
         encode = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        return lambda new: [array("I", encode(w)).tobytes() for w in new]
+        special = {t["content"]: array("I", [t["id"]]).tobytes() for t in added}
+        return WordEncoder(pattern, lambda new: [array("I", encode(w)).tobytes() for w in new], special).encode
 
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_str(definition)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
     t.no_padding()
     t.no_truncation()
-    return lambda new: [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(new, add_special_tokens=False)]
+    return lambda texts: [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, pattern: str, capacity: int, id_col: str, text_col: str) -> DataFrame:
@@ -235,12 +257,12 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, pattern: str, capacit
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = cached((tokenizer_path, pattern, "words"), lambda: WordEncoder(pattern, _tokenizer_words(vocabulary.value, pattern)))
+        encode = cached((tokenizer_path, pattern, "encoder"), lambda: _tokenizer_encoder(vocabulary.value, pattern))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for lo, hi in slices(texts):
                 row, piece, start, length, crc = [], [], [], [], []
-                for k, packed in enumerate(encoder.encode(texts[lo:hi])):
+                for k, packed in enumerate(encode(texts[lo:hi])):
                     packed += b"\0\0\0\0"
                     total, at, number = len(packed) // 4, 0, 0
                     while at < total:
@@ -272,12 +294,12 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     within = Window.partitionBy("length", "__salt").orderBy("doc_id", "piece", "start", "ids_crc32")
     ranked = pieces.withColumn("__rank", F.row_number().over(within) - 1)
     ranked = ranked.join(base, ["length", "__salt"]).withColumn("__rank", F.col("__rank") + F.col("__base"))
-    places = spark.createDataFrame(
-        pack_lengths(histogram, capacity) or [(0, 0, -1, 0, 0)], "length long, first long, last long, sequence long, offset long"
-    )
-    # the places are bounded by the number of patterns, which grows with capacity and not with the corpus
+    dealt = pack_lengths(histogram, capacity)
+    places = spark.createDataFrame(dealt or [(0, 0, -1, 0, 0)], "length long, first long, last long, sequence long, offset long")
+    if len(dealt) <= BROADCAST_PLACES:
+        places = F.broadcast(places)
     inside = (ranked["length"] == places["length"]) & ranked["__rank"].between(F.col("first"), F.col("last"))
-    placed = ranked.join(F.broadcast(places), inside).withColumn("sequence_id", F.col("sequence") + F.col("__rank") - F.col("first"))
+    placed = ranked.join(places, inside).withColumn("sequence_id", F.col("sequence") + F.col("__rank") - F.col("first"))
     return placed.select("doc_id", "piece", "start", ranked["length"], "ids_crc32", "sequence_id", "offset")
 
 
