@@ -45,17 +45,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 HOT_SHARE = 1_000
 
 
-def hot_join(left: DataFrame, right: DataFrame, key: str, many: str = "many") -> DataFrame:
-    """left joined with the row of right that has its key; hot keys do not meet in one task.
+def hot_join(left: DataFrame, right: DataFrame, key: str, many: str = "many", how: str = "inner") -> DataFrame:
+    """left joined (inner or left) with the row of right that has its key; hot keys do not meet in one task.
 
     ``right`` has one row a key, with the number of left's rows of that key in the column ``many``, which is left
-    out of the result. Fewer than HOT_SHARE keys can each hold more than a share of 1 / HOT_SHARE of the rows, so
-    these are broadcast; the others are joined by shuffle. Both sides are read twice: pass tables or checkpoints.
+    out of the result. Fewer than HOT_SHARE keys can each hold more than a share of 1 / HOT_SHARE of the rows that
+    right counts, so these are broadcast; the others are joined by shuffle. Both sides are read twice: pass tables or
+    checkpoints.
     """
     total = right.agg(F.sum(many)).first()[0] or 0
     hot = right.where(F.col(many) * HOT_SHARE > F.lit(total)).drop(many)
-    others = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(right.where(F.col(many) * HOT_SHARE <= F.lit(total)).drop(many), key)
-    return left.join(F.broadcast(hot), key).unionByName(others)
+    rest = left.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return left.join(F.broadcast(hot), key).unionByName(rest.join(right.where(F.col(many) * HOT_SHARE <= F.lit(total)).drop(many), key, how))
 
 
 def spanning_star(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

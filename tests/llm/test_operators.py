@@ -103,7 +103,7 @@ def _dedup_want():
     return Counter((i, low[t], len(groups[t]), i == low[t], hashlib.sha256(t.encode()).hexdigest()) for (i, *_), t in zip(DOCS, norm, strict=True))
 
 
-@pytest.mark.parametrize("digest", [exact_dedup.sha256_digest, lambda t: F.substring(F.sha2(t, 256), 1, 1), lambda t: F.lit("same")])
+@pytest.mark.parametrize("digest", [exact_dedup.sha256_digest, lambda sha, text: F.substring(sha, 1, 1), lambda sha, text: F.lit(b"same")])
 def test_exact_dedup_even_with_digests_that_collide(docs, nothing, digest):
     got = rows(exact_dedup.exact_dedup(docs, digest=digest))
     assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in got) == _dedup_want()
