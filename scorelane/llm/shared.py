@@ -80,6 +80,59 @@ def spanning_star(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return nodes[own], nodes[label[own]]
 
 
+def whole_buckets(batches, limit: int, rows_at_once: int = 50_000):
+    """(rows, large) from batches sorted by the column key: rows of whole buckets of up to ``limit`` rows, or, with large
+    true, some rows of larger buckets. No more than about rows_at_once rows are held."""
+
+    def parted(rows: pa.Table):
+        key = rows.column("key").to_numpy()
+        bounds = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
+        large = np.repeat(np.diff(bounds), np.diff(bounds)) > limit
+        for kind in (False, True):
+            part = rows.filter(pa.array(large == kind))
+            if part.num_rows:
+                yield part.combine_chunks(), kind
+
+    held, many, passed = [], 0, None
+    for batch in batches:
+        if passed is not None:  # the rest of a bucket that was too large already
+            same = int(np.searchsorted(batch.column("key").to_numpy(), passed, "right"))
+            if same:
+                yield pa.Table.from_batches([batch.slice(0, same)]), True
+            batch = batch.slice(same)
+            if not batch.num_rows:
+                continue
+            passed = None
+        held.append(batch)
+        many += batch.num_rows
+        if many < rows_at_once:
+            continue
+        rows = pa.Table.from_batches(held).combine_chunks()
+        key = rows.column("key").to_numpy()
+        cut = int(np.searchsorted(key, key[-1], "left"))
+        if len(key) - cut > limit:
+            passed, cut = key[-1], len(key)
+        if cut:
+            yield from parted(rows.slice(0, cut))
+        held = rows.slice(cut).to_batches()
+        many = sum(b.num_rows for b in held)
+    if held:
+        yield from parted(pa.Table.from_batches(held).combine_chunks())
+
+
+def block_pairs(rows: DataFrame, many: int) -> DataFrame:
+    """rows (key, node, ...) of large buckets, once for each pair of blocks of about ``many`` rows, with bi, bj and side.
+
+    Each block meets each other one and itself; ``side`` tells the two apart (0 for both where bi = bj).
+    """
+    sizes = checkpointed(rows.groupBy("key").agg(F.count("*").alias("many")).withColumn("blocks", F.ceil(F.col("many") / many)))
+    wide = hot_join(rows, sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    side = F.when(F.col("own") <= F.col("other"), 0).otherwise(1)
+    wide = wide.withColumns({"bi": F.least("own", "other"), "bj": F.greatest("own", "other"), "side": side})
+    return wide.drop("blocks", "own", "other")
+
+
 def _contract(batches):
     """Replace the edges of each batch by a star per component: never more rows than it got."""
     for batch in batches:

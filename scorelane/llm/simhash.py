@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import checkpointed, connected_components, hot_join, spanning_star
+from .shared import block_pairs, checkpointed, connected_components, hot_join, spanning_star, whole_buckets
 
 #: The ring: 64 bits cut into five segments; a pair within 4 bits has a chain start whose l first segments
 #: differ in at most floor(4 l / 5) bits, for every l.
@@ -332,57 +332,23 @@ def _words(fps) -> np.ndarray:
     return np.frombuffer(b"".join(fps.to_pylist()), "<u8").reshape(len(fps), WIDE_BITS // 64)
 
 
-def _found(u, v, key) -> pa.RecordBatch:
-    """Rows (u, v, key): edges with a null key; rows of too large a bucket with a null v."""
-    nothing = np.zeros(len(v), np.int64)
-    hot = np.concatenate([np.zeros(len(v), bool), np.ones(len(key), bool)])
-    arrays = [pa.array(u), pa.array(np.concatenate([v, np.zeros(len(key), np.int64)]), mask=hot), pa.array(np.concatenate([nothing, key]), mask=~hot)]
-    return pa.RecordBatch.from_arrays(arrays, names=["u", "v", "key"])
-
-
-def _wide_runs(most: int, limit: int, rows_at_once: int = 50_000):
-    """Streams rows (key, node, fp) sorted by key and groups those of a key; rows of larger buckets than the limit are passed on."""
-
-    def flush(rows: pa.Table) -> pa.RecordBatch:
-        key, node = rows.column("key").to_numpy(), rows.column("node").to_numpy()
-        bounds = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
-        large = np.repeat(np.diff(bounds), np.diff(bounds)) > limit
-        groups = _Groups(node, _words(rows.column("fp")), most)
-        active, d = np.flatnonzero(~large), 1
-        while len(active := active[active + d < len(key)]) and len(active := active[key[active] == key[active + d]]):
-            groups.join(active, active + d)
-            d += 1
-        u, v = groups.edges()
-        return _found(np.concatenate([u, node[large]]), v, key[large])
+def _wide_runs(most: int, limit: int):
+    """Groups the rows (key, node, fp) of a key, given sorted by key: edges (u, v) with a null key, and (node, null, key) for
+    rows of buckets beyond the limit."""
 
     def run(batches):
-        held, many, passed = [], 0, None
-        none = np.zeros(0, np.int64)
-        for batch in batches:
-            if passed is not None:  # the rest of a bucket that was too large already
-                key = batch.column("key").to_numpy()
-                same = int(np.searchsorted(key, passed, "right"))
-                if same:
-                    yield _found(batch.column("node").to_numpy()[:same], none, key[:same])
-                batch = batch.slice(same)
-                if not batch.num_rows:
-                    continue
-                passed = None
-            held.append(batch)
-            many += batch.num_rows
-            if many < rows_at_once:
+        for rows, large in whole_buckets(batches, limit):
+            key, node = rows.column("key").to_numpy(), rows.column("node").to_numpy()
+            if large:
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.nulls(len(node), pa.int64()), pa.array(key)], names=["u", "v", "key"])
                 continue
-            rows = pa.Table.from_batches(held).combine_chunks()
-            key = rows.column("key").to_numpy()
-            cut = int(np.searchsorted(key, key[-1], "left"))
-            if len(key) - cut > limit:
-                passed, cut = key[-1], len(key)
-            if cut:
-                yield flush(rows.slice(0, cut))
-            held = rows.slice(cut).to_batches()
-            many = sum(b.num_rows for b in held)
-        if held:
-            yield flush(pa.Table.from_batches(held).combine_chunks())
+            groups = _Groups(node, _words(rows.column("fp")), most)
+            active, d = np.arange(len(key)), 1
+            while len(active := active[active + d < len(key)]) and len(active := active[key[active] == key[active + d]]):
+                groups.join(active, active + d)
+                d += 1
+            u, v = groups.edges()
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.nulls(len(u), pa.int64())], names=["u", "v", "key"])
 
     return run
 
@@ -566,15 +532,10 @@ def _named(docs: DataFrame, id_col: str, text_col: str, width: int, similarity:
     most, bits, tables = wide_parameters(nodes.count(), similarity)
     keyed = nodes.select("node", "fp").mapInArrow(_sampled(bits, tables), "key long, node long, fp binary")
     found = checkpointed(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_wide_runs(most, limit), "u long, v long, key long").distinct())
-    edges, large = found.where("key is null").select("u", "v"), found.where("key is not null").select("key", F.col("u").alias("node"))
+    edges, large = found.where("key is null").select("u", "v"), checkpointed(found.where("key is not null").select("key", F.col("u").alias("node")))
     if not large.isEmpty():
-        counts = checkpointed(large.groupBy("key").agg(F.ceil(F.count("*") / (limit // 2 or 1)).alias("blocks"), F.count("*").alias("many")))
-        wide = hot_join(large, counts, "key").withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
-        wide = wide.join(nodes.select("node", "fp"), "node")
-        wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        side = F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")
-        wide = wide.select("key", "node", "fp", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), side)
-        edges = edges.unionByName(wide.groupBy("key", "bi", "bj").applyInArrow(_wide_blocks(most), "u long, v long"))
+        wide = block_pairs(large, limit // 2 or 1).join(nodes.select("node", "fp"), "node")
+        edges = edges.unionByName(wide.select("key", "bi", "bj", "side", "node", "fp").groupBy("key", "bi", "bj").applyInArrow(_wide_blocks(most), "u long, v long"))
     groups = connected_components(edges).withColumnRenamed("component", "group")
     placed = nodes.withColumn("component", F.col("node"))
     if not groups.isEmpty():
