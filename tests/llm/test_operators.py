@@ -260,10 +260,58 @@ def test_chat_threads(spark):
     assert len(got) == len(data)
     one = sorted((r for r in got if r["conv_id"] == 1), key=lambda r: r["position"])
     assert [(r["turn"], r["parent_turn"], r["depth"]) for r in one] == [(0, None, 0), (2, 0, 1), (3, 2, 2), (1, None, 0), (1, None, 0), (4, None, 0), (5, None, 0)]
-    assert one[1]["text"] == "I reply" and one[5]["role"] == "unknown" and [r["position"] for r in one] == list(range(7))
+    assert one[1]["text"] == "I reply" and one[5]["role"] == "unknown" and [r["position"] for r in one] == [0, 1, 2, 3, 3, 5, 6]
     assert not rows(chat.format_conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")))
 
 
+def plain_threads(messages):
+    """{(conv, turn): (parent, root, depth, position)} by one pass over each conversation and a walk down its trees."""
+    out = {}
+    for conv in {m[0] for m in messages if m[0] is not None}:
+        mine = sorted((m for m in messages if m[0] == conv and m[1] is not None), key=lambda m: m[1])
+        weight, parent, replies = Counter(m[1] for m in mine), {}, defaultdict(set)
+        for _, turn, _, text in mine:
+            lowest = {}
+            for level, passage in chat.parse(text)[1]:
+                for unit in {chat.normal(passage), *map(chat.normal, passage.split("\n"))} - {""}:
+                    source = max((t for _, t, _, x in mine if t < turn and unit in chat.parse(x)[2]), default=None)
+                    if source is not None:
+                        lowest[level] = max(source, lowest.get(level, source))
+            if lowest and (turn not in parent or min(lowest) < parent[turn][0]):
+                parent[turn] = min(lowest), lowest[min(lowest)]
+        for turn, (_, up) in parent.items():
+            replies[up].add(turn)
+        position, stack = 0, [(t, t, 0) for t in sorted(weight, reverse=True) if t not in parent]
+        while stack:
+            turn, root, depth = stack.pop()
+            out[conv, turn] = parent[turn][1] if turn in parent else None, root, depth, position
+            position += weight[turn]
+            stack += [(t, root, depth + 1) for t in sorted(replies[turn], reverse=True)]
+    return out
+
+
+def test_chat_equals_plain_version(spark, monkeypatch):
+    rng, data = random.Random(12), []
+    for conv in range(6):
+        said = []
+        for turn in rng.sample(range(60), 25):
+            own = f"words {rng.randrange(12)} of {conv}\nand a line {rng.randrange(40)}"
+            if said and rng.random() < 0.7:
+                old = rng.choice(said)
+                own = "\n".join([*("> " + x for x in old.split("\n")), own]) if rng.random() < 0.5 else "> " + old.split("\n")[-1] + "\n" + own
+            said.append(own)
+            data.append((conv, turn, "user", own))
+    data += data[3:6] + [(None, 4, "user", "> words"), (3, None, "user", "x"), (5, 70, None, "long " * 20_000)]
+    want = plain_threads(data)
+    assert sum(p is not None for p, *_ in want.values()) > 60 and max(d for _, _, d, _ in want.values()) > 2
+    frame = spark.createDataFrame(data, "conv_id long, turn long, role string, text string")
+    monkeypatch.setattr(chat, "TURNS_A_BLOCK", 7)
+    got = rows(chat.format_conversations(frame))
+    assert len(got) == len(data)
+    placed = {(r["conv_id"], r["turn"]): (r["parent_turn"], r["root_turn"], r["depth"], r["position"]) for r in got if None not in (r["conv_id"], r["turn"])}
+    assert placed == want
+
+
 def test_packing_pieces_and_places(docs, nothing):
     from tokenizers import Tokenizer
 
