@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Numbers, cached, slices
-from .shared import checkpointed
+from .shared import checkpointed, drawn
 
 RUN = 32
 WORD = rf"\p{{L}}{{1,{RUN}}}"
@@ -154,8 +154,8 @@ def fit(
     languages = sorted(sizes)
     if not languages:
         return Model([], pieces, np.zeros((len(pieces) + 1, 0)), "none")
-    share = F.coalesce(*[F.when(F.col(lang_col) == k, F.lit(int(1e6 * min(1.0, per_language / n)))) for k, n in sizes.items()])
-    sample = may.where(F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1_000_000)) < share)
+    hashed = F.xxhash64(F.col(id_col), F.lit("sample"))
+    sample = may.where(F.coalesce(*[F.when(F.col(lang_col) == k, drawn(hashed, per_language, n)) for k, n in sizes.items()]))
     words = sample.select(F.col(lang_col).alias("lang"), F.explode(F.regexp_extract_all(F.lower(text_col), F.lit(WORD), F.lit(0))).alias("word"))
     counts = checkpointed(words.groupBy("lang", "word").count().repartition("word"))
     mark = "▁"

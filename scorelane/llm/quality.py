@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import checkpointed
+from .shared import checkpointed, drawn, hot_join
 
 #: The classifier is fitted on about so many labelled documents at most, drawn by hash.
 TRAIN_DOCS = 20_000
@@ -81,8 +81,7 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS) -> Evidence | None:
     """The model, or None without both good and bad labelled documents."""
     marks = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id"), "quality")
-    n = marks.count()
-    marks = marks.where(F.pmod(F.xxhash64("__id", F.lit("train")), F.lit(1_000_000)) < int(1e6 * min(1.0, most / max(n, 1))))
+    marks = marks.where(drawn(F.xxhash64("__id", F.lit("train")), most, marks.count()))
     marks = marks.groupBy("__id").agg(F.avg("quality").alias("y"))
     text = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"))
     sample = text.join(F.broadcast(marks), "__id")  # bounded by TRAIN_DOCS
@@ -119,38 +118,40 @@ class Sites:
 
 
 def gather(evidence: DataFrame) -> Sites:
-    """From rows (host, path, p) the grouped sums; partial sums come before each shuffle."""
-    paths = checkpointed(evidence.groupBy("host", "path").agg(F.sum("p").alias("good"), F.count("*").cast("double").alias("n")))
-    hosts = paths.groupBy("host").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
-    all_ = hosts.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
+    """From rows (site, p) the grouped sums, where a site is a struct (host, path); partial sums come before each shuffle."""
+    paths = checkpointed(evidence.groupBy("site").agg(F.sum("p").alias("good"), F.count("*").cast("double").alias("n")))
+    hosts = checkpointed(paths.groupBy(F.col("site.host").alias("host")).agg(F.sum("good").alias("host_good"), F.sum("n").alias("host_n"), F.count("*").alias("many")))
+    all_ = hosts.agg(F.sum("host_good").alias("good"), F.sum("host_n").alias("n")).first()
     total = all_["n"] or 0.0
     mean = all_["good"] / total if total else 0.5
-    named = hosts.select("host", F.col("good").alias("host_good"), F.col("n").alias("host_n"))
-    both = checkpointed(paths.select("host", "path", F.col("good").alias("path_good"), F.col("n").alias("path_n")).join(named, "host"))
-    return Sites(both, both.count(), mean, _strength(hosts, total, mean), _strength(paths, total, mean))
+    named = paths.select("site", F.col("site.host").alias("host"), F.col("good").alias("path_good"), F.col("n").alias("path_n"))
+    both = checkpointed(hot_join(named, hosts, "host").drop("host"))
+    levels = hosts.select(F.col("host_good").alias("good"), F.col("host_n").alias("n"))
+    return Sites(both, both.count(), mean, _strength(levels, total, mean), _strength(paths, total, mean))
 
 
 def with_quality(rows: DataFrame, sites: Sites) -> DataFrame:
-    """Adds __p_host, __p_path and __quality to rows with columns __host, __path and __logit."""
-    right = sites.paths.select(
-        *[F.col(c).alias(f"__{k}") for c, k in (("host", "h"), ("path", "q"), ("path_good", "pg"), ("path_n", "pn"), ("host_good", "hg"), ("host_n", "hn"))]
-    )
-    right = F.broadcast(right) if sites.rows <= BROADCAST_ROWS else right
-    joined = rows.join(right, (F.col("__host") == F.col("__h")) & (F.col("__path") == F.col("__q")), "left")
-    own = 1 / (1 + F.exp(-F.col("__logit")))
-    p_host = (F.col("__hg") - own + sites.host_prior * sites.mean) / (F.col("__hn") - 1 + sites.host_prior)
-    joined = joined.withColumn("__p_host", p_host)
-    p_path = (F.col("__pg") - own + sites.path_prior * F.col("__p_host")) / (F.col("__pn") - 1 + sites.path_prior)
-    joined = joined.withColumn("__p_path", p_path)
-    moved = F.col("__logit") + _logit(F.col("__p_path")) - _logit(F.lit(sites.mean))
-    return joined.withColumn("__quality", 1 / (1 + F.exp(-moved))).drop("__h", "__q", "__pg", "__pn", "__hg", "__hn")
-
-
-def _sited(docs: DataFrame, model: Evidence | None, text_col: str, host: Column, path: Column) -> DataFrame:
-    sited = docs.withColumns({"__host": F.coalesce(host.cast("string"), F.lit("")), "__path": F.coalesce(path.cast("string"), F.lit(""))})
+    """Adds p_host, p_path and quality to rows with columns site and logit; a hot site's rows stay where they are."""
+    if sites.rows <= BROADCAST_ROWS:
+        joined = rows.join(F.broadcast(sites.paths), "site")
+    else:
+        joined = hot_join(checkpointed(rows), sites.paths.withColumn("many", F.col("path_n")), "site")
+    own = 1 / (1 + F.exp(-F.col("logit")))
+    p_host = (F.col("host_good") - own + sites.host_prior * sites.mean) / (F.col("host_n") - 1 + sites.host_prior)
+    joined = joined.withColumn("p_host", p_host)
+    p_path = (F.col("path_good") - own + sites.path_prior * F.col("p_host")) / (F.col("path_n") - 1 + sites.path_prior)
+    joined = joined.withColumn("p_path", p_path)
+    moved = F.col("logit") + _logit(F.col("p_path")) - _logit(F.lit(sites.mean))
+    return joined.withColumn("quality", 1 / (1 + F.exp(-moved)))
+
+
+def _sited(docs: DataFrame, model: Evidence | None, id_col: str, text_col: str, host: Column, path: Column) -> DataFrame:
+    """Rows (row, id, site, logit): each row of docs in a struct of its own, so that no name of docs matters."""
+    site = F.struct(F.coalesce(host.cast("string"), F.lit("")).alias("host"), F.coalesce(path.cast("string"), F.lit("")).alias("path"))
+    sited = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), site.alias("site"))
     if model is None:
-        return sited.withColumn("__logit", F.lit(0.0))
-    return with_features(sited, text_col).withColumn("__logit", model.logit()).drop(*FEATURES)
+        return sited.withColumn("logit", F.lit(0.0)).drop("text")
+    return with_features(sited, "text").withColumn("logit", model.logit()).drop("text", *FEATURES)
 
 
 def url_site(url: Column) -> tuple[Column, Column]:
@@ -166,28 +167,28 @@ def score_quality(
     """One row per row of docs: id_col, p_doc, p_host, p_path, quality, kept.
 
     ``host`` and ``path`` are expressions of docs' columns; nulls form a site of their own. Null texts count as
-    empty. Labels without quality or id are left out; several for one document are averaged. Without labels of
-    both kinds there is no evidence: every document is kept at quality one half or more. Rows with null or
-    repeated ids are scored like others. Empty tables give no rows.
+    empty, very long ones are read whole. Labels without quality or id are left out; several for one document are
+    averaged, and a tie counts as bad. A quality of exactly ``cut`` is kept. Without labels of both kinds there is no
+    evidence: every document is kept at quality one half or more. Rows with null or repeated ids are scored like others.
+    Columns of docs may have any names. Empty tables give no rows.
     """
     model = fit(docs, labels, id_col, text_col)
-    rows = _sited(docs, model, text_col, host, path).select(F.col(id_col).alias("__id"), "__host", "__path", "__logit")
-    rows = checkpointed(rows)
-    own = 1 / (1 + F.exp(-F.col("__logit")))
-    sites = gather(rows.select(F.col("__host").alias("host"), F.col("__path").alias("path"), own.alias("p")))
-    done = with_quality(rows, sites)
-    kept = F.lit(True) if model is None else F.col("__quality") >= cut
-    return done.select(
-        F.col("__id").alias(id_col), own.alias("p_doc"), F.col("__p_host").alias("p_host"), F.col("__p_path").alias("p_path"), F.col("__quality").alias("quality"), kept.alias("kept")
-    )
+    rows = checkpointed(_sited(docs, model, id_col, text_col, host, path).select("id", "site", "logit"))
+    own = 1 / (1 + F.exp(-F.col("logit")))
+    done = with_quality(rows, gather(rows.select("site", own.alias("p"))))
+    kept = F.lit(True) if model is None else F.col("quality") >= cut
+    return done.select(F.col("id").alias(id_col), own.alias("p_doc"), "p_host", "p_path", "quality", kept.alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:
-    """The rows of docs with enough quality, columns as they came. Reads the texts twice instead of shuffling them."""
+    """The rows of docs with enough quality, columns as they came; cases as in ``score_quality``.
+
+    Reads the texts twice instead of shuffling them (with more sites than BROADCAST_ROWS they are shuffled once).
+    """
     model = fit(docs, labels, id_col, text_col)
     if model is None:
         return docs
-    rows = _sited(docs, model, text_col, host, path)
-    own = 1 / (1 + F.exp(-F.col("__logit")))
-    sites = gather(rows.select(F.col("__host").alias("host"), F.col("__path").alias("path"), own.alias("p")))
-    return with_quality(rows, sites).where(F.col("__quality") >= cut).select(*docs.columns)
+    rows = _sited(docs, model, id_col, text_col, host, path)
+    own = 1 / (1 + F.exp(-F.col("logit")))
+    sites = gather(rows.select("site", own.alias("p")))
+    return with_quality(rows, sites).where(F.col("quality") >= cut).select("row.*")

@@ -7,7 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -41,6 +41,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def drawn(of: Column, most: int, n: int) -> Column:
+    """Whether a row is in the sample of about ``most`` of n rows that its 64-bit hash draws."""
+    if n <= most:
+        return F.lit(True)
+    return of < F.lit(most * 2**64 // n - 2**63)
+
+
 #: A key is hot if it holds more than one in so many rows: there are fewer hot keys than this, whatever the data.
 HOT_SHARE = 1_000
 

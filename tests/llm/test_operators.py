@@ -542,3 +542,77 @@ def test_battery_equals_plain_version_and_finds_keys(spark):
     found = [r for r in got if r["truth"] and r["secret"]]
     assert len(found) >= 0.75 * len(drawn)
     assert sum(r["secret"] and not r["truth"] for r in got) <= 0.05 * len(found) + 1
+
+
+def plain_quality(data, model):
+    """{doc_id: (p_doc, p_host, p_path, quality)} of rows (id, text, host, path), by sums over lists."""
+    import math
+
+    def features(text):
+        n, words = len(text), re.split(r"\s+", text.strip(" "))
+        if not n:
+            return [0.0] * 7
+        odd = sum(not (c.isalnum() or c in "\t\n\v\f\r .,;:'\"()/-") for c in text)
+        many, kinds = len(words), len(set(words))
+        return [10 * odd / n, 3 * sum(c.isupper() for c in text) / n, 5 * sum(c.isdigit() for c in text) / n, math.log(kinds) / math.log(many + 1), kinds / many, math.log1p(many) / 5, many * 5 / n]
+
+    def logit(text):
+        z = [min(6, max(-6, (x - m) / s)) for x, m, s in zip(features(text or ""), model.mean, model.scale, strict=True)]
+        return min(15, max(-15, model.weights[0] + sum(w * x for w, x in zip(model.weights[1:], z, strict=True))))
+
+    own = {i: 1 / (1 + math.exp(-logit(t))) for i, t, *_ in data}
+    host, path = defaultdict(list), defaultdict(list)
+    for i, _, h, p in data:
+        host[h or ""].append(own[i])
+        path[h or "", p or ""].append(own[i])
+    mean = sum(own.values()) / len(own)
+
+    def strength(groups):
+        inside, k = mean * (1 - mean), len(groups)
+        effective = len(own) - sum(len(g) ** 2 for g in groups) / len(own)
+        spread = (sum(len(g) * (sum(g) / len(g) - mean) ** 2 for g in groups) - (k - 1) * inside) / effective if k > 1 and effective > 0 else 0
+        return min(1e6, max(1.0, inside / spread - 1)) if spread > 0 else 1e6
+
+    s_host, s_path = strength(host.values()), strength(path.values())
+    odds = lambda p: math.log(min(1 - 1e-6, max(1e-6, p)) / (1 - min(1 - 1e-6, max(1e-6, p))))
+    out = {}
+    for i, t, h, p in data:
+        ph = (sum(host[h or ""]) - own[i] + s_host * mean) / (len(host[h or ""]) - 1 + s_host)
+        pp = (sum(path[h or "", p or ""]) - own[i] + s_path * ph) / (len(path[h or "", p or ""]) - 1 + s_path)
+        out[i] = own[i], ph, pp, 1 / (1 + math.exp(-(logit(t) + odds(pp) - odds(mean))))
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_quality_equals_plain_version(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(quality, "BROADCAST_ROWS", broadcast)
+    rng = random.Random(3)
+    make = lambda bad: "".join(rng.choices("#@ab 1" if bad else "abcd efghij. ", k=rng.randint(30, 200)))
+    data = [(k, make(k % 3 == 0 or k % 5 == 1), f"h{k % 5}" if k % 11 else None, f"p{k % 2}" if k % 7 else None) for k in range(200)]
+    data += [(300, None, "h1", "p0"), (301, "", "h1", "p0"), (302, "word " * 30_000, "lone", "p")]
+    frame = spark.createDataFrame([(*d, "x", 1.0) for d in data], "doc_id long, text string, source string, lang string, host string, __f0 double")
+    labels = spark.createDataFrame([(k, int(k % 3 != 0)) for k in range(200)], "doc_id long, quality int")
+    model = quality.fit(frame, labels)
+    want = plain_quality(data, model)
+    for r in rows(quality.score_quality(frame, labels, F.col("source"), F.col("lang"))):
+        assert (r["p_doc"], r["p_host"], r["p_path"], r["quality"]) == pytest.approx(want[r["doc_id"]], abs=1e-9)
+        assert r["kept"] == (r["quality"] >= quality.CUT)
+    kept = quality.keep_good(frame, labels, F.col("source"), F.col("lang"))
+    assert kept.columns == frame.columns and {r["doc_id"] for r in rows(kept)} == {i for i, w in want.items() if w[3] >= quality.CUT}
+
+
+CLASHING = ["id", "row", "text2", "sha", "spans", "fresh", "count", "what", "mine", "gone", "mark", "sum", "site", "logit", "quality", "key", "many", "__n", "__f0", "__spans", "__gone_id", "__mark", "__gone", "__host", "__logit", "__sha", "path", "low"]
+
+
+def test_stages_take_columns_of_any_name_and_empty_tables(spark):
+    texts = ["Plain prose of some words here.", "Plain prose  of some words here.", "token = abcdefgh", None, "#@# 11 #@#", "other words entirely, then"]
+    base = spark.createDataFrame([(k, t, "s", "en") for k, t in enumerate(texts)], "doc_id long, text string, source string, lang string")
+    frame = base.selectExpr("*", *[f"'v{k}' AS `{c}`" for k, c in enumerate(CLASHING)], "'.' AS `a.b`")
+    labels = spark.createDataFrame([(0, 1), (1, 1), (2, 1), (4, 0), (5, 1)], "doc_id long, quality int")
+    stages = [lambda d: quality.keep_good(d, labels, F.col("source"), F.col("lang")), exact_dedup.drop_exact_copies, simhash.drop_near_copies, secrets.redact_secrets]
+    for stage in stages:
+        out = stage(frame)
+        assert out.columns == frame.columns
+        got = rows(out)
+        assert got and all(r[c] == f"v{k}" for r in got for k, c in enumerate(CLASHING))
+        assert not rows(stage(frame.where("false")))
