@@ -141,33 +141,48 @@ def block_pairs(rows: DataFrame, many: int) -> DataFrame:
 
 
 def _contract(batches):
-    """Replace the edges of each batch by a star per component: never more rows than it got."""
+    """Replace the edges of each partition, in portions, by a star per component: never more rows than it got."""
+    u, v = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for batch in batches:
-        u, v = spanning_star(batch.column("u").to_numpy(), batch.column("v").to_numpy())
-        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+        u, v = np.concatenate([u, batch.column("u").to_numpy()]), np.concatenate([v, batch.column("v").to_numpy()])
+        if len(u) > 2 * EDGES_A_TASK:
+            u, v = spanning_star(u, v)
+            if len(u) > EDGES_A_TASK:
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+                u, v = u[:0], v[:0]
+    u, v = spanning_star(u, v)
+    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+
+#: Edges that a task of connected_components takes; fewer tasks than LEAST_TASKS are never used.
+EDGES_A_TASK, LEAST_TASKS = 200_000, 16
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Rows (node, component): the smallest node reachable, for each node with an edge to another.
 
     ``edges`` has long columns u and v; direction, repeats, loops and nulls do not matter. Alternates
-    large-star and small-star steps on an edge table in the shared folder until it no longer changes, so
-    neither edges nor labels ever meet in one place.
+    large-star and small-star steps, and stars within each partition, on an edge table in the shared folder until it no
+    longer changes, so neither edges nor labels ever meet in one place.
     """
-    e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    e = checkpointed(e.mapInArrow(_contract, "u long, v long").distinct())
-    seen = None
+
+    def kept(e: DataFrame, tasks: int | None = None):
+        """The edges as stars within each partition, materialised, and what tells two sets of edges apart."""
+        e = e if tasks is None else e.coalesce(tasks)
+        e = checkpointed(e.mapInArrow(_contract, "u long, v long"))
+        return e, e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+    e, seen = kept(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
     for _ in range(rounds):
+        if not seen[0]:
+            break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         step = large.join(low, "u")
-        small = step.select("u", F.col("m").alias("v")).unionByName(
-            step.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        )
-        e = checkpointed(small.distinct())
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        small = step.select("u", F.col("m").alias("v")).unionByName(step.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        e, now = kept(small, max(LEAST_TASKS, -(-2 * seen[0] // EDGES_A_TASK)))
         if now == seen:
             break
         seen = now

@@ -410,54 +410,66 @@ def _sets(marked: DataFrame, grouped: DataFrame, width: int) -> DataFrame:
     return checkpointed(sets.dropDuplicates(["node"]))  # a row may be there twice
 
 
-def _joined(placed: DataFrame, edges: DataFrame) -> DataFrame:
-    """placed with the components renamed that the edges (cu, cv) between components join."""
-    whole = connected_components(edges.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
-    whole = whole.select(F.col("node").alias("component"), F.col("component").alias("whole"))
-    sizes = placed.groupBy("component").agg(F.count("*").alias("nodes"))
-    names = sizes.join(whole, "component", "left").select("component", F.coalesce("whole", "component").alias("whole"), "nodes")
-    return checkpointed(hot_join(placed, checkpointed(names), "component", "nodes").drop("component").withColumnRenamed("whole", "component"))
+def _compared(rows: pa.Table, similarity: float, most: int) -> tuple[np.ndarray, list[int], list[int]]:
+    """Of rows sorted by group: the components with those joined that a candidate pair of sets joins, and the joins (u, v).
 
-
-def _all_pairs(similarity: float, most: int):
-    """Rows (cu, cv): components of one group that a pair of sets joins, of the pairs between two blocks or within one."""
+    The pairs of a group within one block (bi = bj) are looked at, or those between two, by side.
+    """
+    group, side, parts = (rows.column(c).to_numpy() for c in ("group", "side", "component"))
+    within = rows.column("bi")[0].as_py() == rows.column("bj")[0].as_py()
+    components, label = np.unique(parts, return_inverse=True)
+    sizes, fps = rows.column("n").to_numpy().astype(np.int64), _words(rows.column("fp"))
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    lists = rows.column("shingles").combine_chunks()
+    known, code = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    mark, u, v = np.zeros(len(known), bool), [], []
+    ends = np.searchsorted(group, group, "right")
+    starts = np.arange(1, len(group) + 1) if within else np.searchsorted(group, group, "left")
+    for x in np.flatnonzero(side == 0):
+        lo, hi = starts[x], ends[x]
+        ok = label[lo:hi] != label[x]
+        if not within:
+            ok &= side[lo:hi] == 1
+        ok &= np.minimum(sizes[lo:hi], sizes[x]) / np.maximum(np.maximum(sizes[lo:hi], sizes[x]), 1) >= similarity
+        y = lo + np.flatnonzero(ok)
+        y = y[_candidates(fps[y] ^ fps[x], most)] if len(y) else y
+        if not len(y):
+            continue
+        own = code[at[x] : at[x + 1]]
+        mark[own] = True
+        if len(y) * 4 < hi - lo:
+            both = np.array([mark[code[at[k] : at[k + 1]]].sum() for k in y])
+        else:
+            hits = np.concatenate([[0], np.cumsum(mark[code[at[lo] : at[hi]]])])
+            both = hits[at[y + 1] - at[lo]] - hits[at[y] - at[lo]]
+        mark[own] = False
+        reach = both / (sizes[x] + sizes[y] - both) >= similarity
+        for other in np.unique(label[y[reach]]):
+            low, high = sorted((label[x], other))
+            u.append(components[high])
+            v.append(components[low])
+            label[label == high] = low
+    return components[label], u, v
+
+
+def _within_blocks(similarity: float, most: int):
+    """The rows of a block without their sets, and with its components."""
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("group", "ascending"), ("node", "ascending")]).combine_chunks()
-        group, side, parts = (rows.column(c).to_numpy() for c in ("group", "side", "component"))
-        within = rows.column("bi")[0].as_py() == rows.column("bj")[0].as_py()
-        components, label = np.unique(parts, return_inverse=True)
-        sizes, fps = rows.column("n").to_numpy().astype(np.int64), _words(rows.column("fp"))
-        at = np.concatenate([[0], np.cumsum(sizes)])
-        lists = rows.column("shingles").combine_chunks()
-        known, code = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-        mark, u, v = np.zeros(len(known), bool), [], []
-        ends = np.searchsorted(group, group, "right")
-        starts = np.arange(1, len(group) + 1) if within else np.searchsorted(group, group, "left")
-        for x in np.flatnonzero(side == 0):
-            lo, hi = starts[x], ends[x]
-            ok = label[lo:hi] != label[x]
-            if not within:
-                ok &= side[lo:hi] == 1
-            ok &= np.minimum(sizes[lo:hi], sizes[x]) / np.maximum(np.maximum(sizes[lo:hi], sizes[x]), 1) >= similarity
-            y = lo + np.flatnonzero(ok)
-            y = y[_candidates(fps[y] ^ fps[x], most)] if len(y) else y
-            if not len(y):
-                continue
-            own = code[at[x] : at[x + 1]]
-            mark[own] = True
-            if len(y) * 4 < hi - lo:
-                both = np.array([mark[code[at[k] : at[k + 1]]].sum() for k in y])
-            else:
-                hits = np.concatenate([[0], np.cumsum(mark[code[at[lo] : at[hi]]])])
-                both = hits[at[y + 1] - at[lo]] - hits[at[y] - at[lo]]
-            mark[own] = False
-            reach = both / (sizes[x] + sizes[y] - both) >= similarity
-            for other in np.unique(label[y[reach]]):
-                u.append(components[label[x]])
-                v.append(components[other])
-                label[label == other] = label[x]
-        return pa.table({"cu": pa.array(u, pa.int64()), "cv": pa.array(v, pa.int64())})
+        component, _, _ = _compared(rows, similarity, most)
+        rows = rows.set_column(rows.schema.get_field_index("component"), "component", pa.array(component))
+        return rows.select(["group", "blocks", "block", "node", "component", "n", "fp"])
+
+    return run
+
+
+def _between_blocks(similarity: float, most: int):
+    """Rows (u, v): components that the pairs between two blocks join, or those within one."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        _, u, v = _compared(rows.sort_by([("group", "ascending"), ("node", "ascending")]).combine_chunks(), similarity, most)
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     return run
 
@@ -466,8 +478,17 @@ def _blocks(many, weight):
     return F.ceil(F.greatest(many / BLOCK_TEXTS, weight / BLOCK_SHINGLES, F.lit(1.0))).cast("long")
 
 
+def _renamed(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """rows with the components joined that the edges (u, v) between components join."""
+    whole = connected_components(edges)
+    sizes = rows.groupBy("component").agg(F.count("*").alias("nodes"))
+    whole = whole.select(F.col("node").alias("component"), F.col("component").alias("whole")).join(sizes, "component")
+    named = hot_join(rows, checkpointed(whole), "component", "nodes", how="left")
+    return checkpointed(named.withColumn("component", F.coalesce("whole", "component")).drop("whole"))
+
+
 def _settled(grouped: DataFrame, sets: DataFrame, most: int, similarity: float) -> DataFrame:
-    """grouped (node, group, fp, n, ...) with ``component``: chains of candidate pairs whose sets reach the similarity.
+    """(node, component) for rows (node, group, fp, n): chains of candidate pairs whose sets reach the similarity.
 
     All candidate pairs of a group are compared: those within a block, which is all there is to a group of one; in a
     larger group those with a first block, so that what is common to most of it becomes one component; then, ordered by
@@ -478,48 +499,47 @@ def _settled(grouped: DataFrame, sets: DataFrame, most: int, similarity: float)
     total = sizes.agg(F.sum("many"), F.sum("weight")).first()
     lots = _blocks(F.lit(total[0]), F.lit(total[1]))
     rows = hot_join(grouped.withColumn("component", F.col("node")), sizes.drop("weight"), "group")
-    rows = checkpointed(rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    # groups of one block share tasks
+    lot = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("group"), lots)).otherwise(F.col("group") + lots)
+    rows = rows.withColumns({"lot": lot, "bi": F.col("block"), "bj": F.col("block"), "side": F.lit(0)}).join(sets, "node")
+    kept = "group long, blocks long, block long, node long, component long, n int, fp binary"
+    rows = checkpointed(rows.groupBy("lot", "bi", "bj").applyInArrow(_within_blocks(similarity, most), kept))
 
-    def compare(pairs: DataFrame) -> DataFrame:
-        """pairs: rows with lot, bi, bj and side."""
-        columns = ["lot", "bi", "bj", "side", "group", "node", "component", "n", "fp"]
-        found = pairs.select(*columns).join(sets, "node").groupBy("lot", "bi", "bj").applyInArrow(_all_pairs(similarity, most), "cu long, cv long")
-        return checkpointed(found.distinct())
+    def unsettled(rows: DataFrame) -> DataFrame:
+        """The rows of groups of several blocks that have several components."""
+        parts = rows.where("blocks > 1").groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("many"))
+        return checkpointed(hot_join(rows, checkpointed(parts.where("low < high").select("group", "many")), "group"))
 
     def between(rows: DataFrame, plan: DataFrame) -> DataFrame:
-        """plan: rows group, bi, bj of two blocks."""
-        first = rows.join(plan, (rows["group"] == plan["group"]) & (rows["block"] == plan["bi"])).drop(plan["group"]).withColumn("side", F.lit(0))
-        second = rows.join(plan, (rows["group"] == plan["group"]) & (rows["block"] == plan["bj"])).drop(plan["group"]).withColumn("side", F.lit(1))
-        return compare(first.unionByName(second).withColumn("lot", F.col("group")))
-
-    # groups of one block share tasks
-    lot = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("group"), lots)).otherwise(F.col("group") + lots)
-    mine = rows.withColumns({"lot": lot, "bi": F.col("block"), "bj": F.col("block"), "side": F.lit(0)})
-    rows = _joined(rows, compare(mine))
-    open_ = lambda: rows.groupBy("group", "blocks").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high and blocks > 1")
-    large = checkpointed(open_())
-    if large.isEmpty():
+        """plan: rows group, bi, bj of two blocks, or of one twice."""
+        sides = F.explode(F.when(F.col("bi") == F.col("bj"), F.array(F.struct(F.col("bi").alias("block"), F.lit(0).alias("side")))).otherwise(F.array(F.struct(F.col("bi").alias("block"), F.lit(0).alias("side")), F.struct(F.col("bj").alias("block"), F.lit(1).alias("side")))))
+        plan = plan.select("group", "bi", "bj", sides.alias("of")).select("group", "bi", "bj", "of.block", "of.side")
+        pairs = rows.join(plan, ["group", "block"]).join(sets, "node")
+        return checkpointed(pairs.groupBy("group", "bi", "bj").applyInArrow(_between_blocks(similarity, most), "u long, v long"))
+
+    rest = unsettled(rows)
+    if rest.isEmpty():
         return rows
+    met = rows.join(rest.select("node"), "node", "left_anti").select("node", "component")
+    large = rest.select("group", "blocks").distinct()
     plan = large.select("group", F.lit(0).cast("long").alias("bi"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1)).alias("bj"))
-    rows = _joined(rows, between(rows, checkpointed(plan)))
-    large = checkpointed(open_().select("group"))
-    if large.isEmpty():
-        return rows
-    # blocks anew: a large component has blocks of its own
-    rest = checkpointed(rows.join(large, "group", "left_semi").select("group", "node", "component", "n", "fp"))
-    own = rest.groupBy("group", "component").agg(F.count("*").alias("size"), F.sum("n").alias("load")).withColumn("parts", _blocks(F.col("size"), F.col("load")))
-    small = own.where("parts = 1").groupBy("group").agg(F.sum("size").alias("s"), F.sum("load").alias("l")).select("group", _blocks(F.col("s"), F.col("l")).alias("lots"))
-    own = checkpointed(own.join(small, "group", "left").select(F.col("component").alias("c"), "parts", F.coalesce("lots", F.lit(1)).alias("lots"), F.col("size").alias("many")))
-    rest = hot_join(rest.withColumnRenamed("component", "c"), own, "c").withColumnRenamed("c", "component")
-    name = F.when(F.col("parts") == 1, F.xxhash64(F.lit(-1), F.pmod(F.xxhash64("component"), "lots"))).otherwise(F.xxhash64("component", F.pmod(F.xxhash64("node"), "parts")))
-    rest = checkpointed(rest.withColumn("block", name))
-    ends = checkpointed(rest.groupBy("group", "block").agg(F.min("component").alias("low"), F.max("component").alias("high")))
-    other = ends.select(F.col("group").alias("g"), F.col("block").alias("bj"), F.col("low").alias("l"), F.col("high").alias("h"))
-    plan = ends.join(other, (F.col("group") == F.col("g")) & (F.col("block") < F.col("bj"))).where("least(low, l) < greatest(high, h)")
-    inside = rest.join(ends.where("low < high").select("group", "block"), ["group", "block"], "left_semi")
-    inside = inside.withColumns({"lot": F.col("group"), "bi": F.col("block"), "bj": F.col("block"), "side": F.lit(0)})
-    edges = compare(inside).unionByName(between(rest, checkpointed(plan.select("group", F.col("block").alias("bi"), "bj"))))
-    return _joined(rows, checkpointed(edges))
+    rest = _renamed(rest, between(rest, plan))
+    again = unsettled(rest)
+    if not again.isEmpty():
+        met = met.unionByName(rest.join(again.select("node"), "node", "left_anti").select("node", "component"))
+        # blocks anew: a large component has blocks of its own
+        own = again.groupBy("group", "component").agg(F.count("*").alias("size"), F.sum("n").alias("load")).withColumn("parts", _blocks(F.col("size"), F.col("load")))
+        own = checkpointed(own)
+        small = own.where("parts = 1").groupBy("group").agg(F.sum("size").alias("s"), F.sum("load").alias("l")).select("group", _blocks(F.col("s"), F.col("l")).alias("lots"))
+        own = checkpointed(own.join(small, "group", "left").select("component", "parts", F.coalesce("lots", F.lit(1)).alias("lots"), F.col("size").alias("many")))
+        name = F.when(F.col("parts") == 1, F.xxhash64(F.lit(-1), F.pmod(F.xxhash64("component"), "lots"))).otherwise(F.xxhash64("component", F.pmod(F.xxhash64("node"), "parts")))
+        rest = checkpointed(hot_join(again.drop("block"), own, "component").withColumn("block", name).drop("parts", "lots"))
+        ends = checkpointed(rest.groupBy("group", "block").agg(F.min("component").alias("low"), F.max("component").alias("high")))
+        other = ends.select("group", F.col("block").alias("bj"), F.col("low").alias("l"), F.col("high").alias("h"))
+        plan = ends.join(other, "group").where("block <= bj and least(low, l) < greatest(high, h)")
+        rest = _renamed(rest, between(rest, plan.select("group", F.col("block").alias("bi"), "bj")))
+    return met.unionByName(rest.select("node", "component"))
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float, limit: int) -> DataFrame:
@@ -534,7 +554,7 @@ def _named(docs: DataFrame, id_col: str, text_col: str, width: int, similarity:
     found = checkpointed(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_wide_runs(most, limit), "u long, v long, key long").distinct())
     edges, large = found.where("key is null").select("u", "v"), checkpointed(found.where("key is not null").select("key", F.col("u").alias("node")))
     if not large.isEmpty():
-        wide = block_pairs(large, limit // 2 or 1).join(nodes.select("node", "fp"), "node")
+        wide = block_pairs(checkpointed(large), limit // 2 or 1).join(nodes.select("node", "fp"), "node")
         edges = edges.unionByName(wide.select("key", "bi", "bj", "side", "node", "fp").groupBy("key", "bi", "bj").applyInArrow(_wide_blocks(most), "u long, v long"))
     groups = connected_components(edges).withColumnRenamed("component", "group")
     placed = nodes.withColumn("component", F.col("node"))
