@@ -37,3 +37,44 @@ def running_accuracy(rows: DataFrame, group: str, order: str, p: Column, first_w
 
 def stale(rows: DataFrame, by: str, ts: str, now: Column, hours: float) -> DataFrame:
     return rows.groupBy(by).agg(F.max(ts).alias("last_seen")).withColumn("stale", F.col("last_seen") < now - F.expr(f"INTERVAL '{int(hours * 3600)}' SECOND"))
+
+
+def first_results(predictions: DataFrame, results: DataFrame, key: list[str], order: str, decisive: Column) -> DataFrame:
+    """Each prediction with the first decisive result of its key, if any; ``decisive`` is over columns of results."""
+    columns = [c for c in results.columns if c not in key]
+    first = results.where(decisive).groupBy(*key).agg(F.min_by(F.struct(*columns), order).alias("r"))
+    return predictions.join(first.select(*key, "r.*"), key, "left")
+
+
+def overall_accuracy(rows: DataFrame, right: Column) -> DataFrame:
+    """Right, wrong, and the percentage of right among both; rows where ``right`` is null count as neither."""
+    counts = rows.agg(F.count_if(right).alias("good"), F.count_if(~right).alias("bad"))
+    return counts.withColumn("percent", F.round(100.0 * F.col("good") / F.nullif(F.col("good") + F.col("bad"), F.lit(0)), 4))
+
+
+def distinct_records(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Unlike records, as JSON text."""
+    return rows.select(F.to_json(F.struct(*columns)).alias("record")).distinct()
+
+
+def pick_sides(odds1: Column, odds2: Column) -> Column:
+    """The side (0 or 1) of the larger odds, and that of the favourite; the first of equal ones."""
+    return F.struct(F.when(odds1 >= odds2, 0).otherwise(1).alias("max_odds_side"), F.when(odds1 <= odds2, 0).otherwise(1).alias("favourite_side"))
+
+
+def last_rows(rows: DataFrame, order: str, n: int) -> DataFrame:
+    """The last n rows, latest first."""
+    return rows.orderBy(F.col(order).desc()).limit(n)
+
+
+def player_features(games: DataFrame, player: str, kind: str, value: str, ts: str, wanted: str, since: Column) -> DataFrame:
+    """Per player: games of the wanted kind, value since an instant, and the number of kinds."""
+    late = F.when(F.col(ts) >= since, F.col(value))
+    return games.groupBy(player).agg(
+        F.count_if(F.col(kind) == wanted).alias("clicks"), F.round(F.sum(late), 4).alias("late_value"), F.count_distinct(kind).alias("kinds")
+    )
+
+
+def latest_value(rows: DataFrame, by: list, value: str, order: list[str], name: str) -> DataFrame:
+    """The value of the last row in order of each group."""
+    return rows.groupBy(*by).agg(F.max_by(value, F.struct(*order)).alias(name))

@@ -45,7 +45,7 @@ def player_row(tokens: Column, link: Column) -> Column:
         tokens[0].alias("name"),
         trimmed(pair[0]).try_cast("int").alias("kills"),
         trimmed(F.get(pair, F.lit(1))).try_cast("int").alias("deaths"),
-        F.when(long_, F.get(tokens, F.lit(-2)).try_cast("double")).otherwise(F.lit(-1.0)).alias("adr"),
+        F.when(long_, F.element_at(tokens, -2).try_cast("double")).otherwise(F.lit(-1.0)).alias("adr"),
         F.when(long_, F.element_at(tokens, -1).try_cast("double")).otherwise(F.lit(-1.0)).alias("rating"),
     )
 
@@ -76,3 +76,65 @@ def split_ten(players: Column) -> Column:
 def last_match(items: DataFrame, links: DataFrame, key: str, pos: str, url: str) -> DataFrame:
     """Each item with its last link, if any."""
     return items.join(links.groupBy(key).agg(F.max_by(url, pos).alias(url)), key, "left")
+
+
+def teams(names: Column, links: Column) -> Column:
+    """(team1, team2) of id and name: the first two names, and the first two unlike ids of the links in page order."""
+    ids = F.array_compact(F.transform(links, lambda u: F.nullif(F.regexp_extract(u, r"/team/(\d+)/", 1), F.lit("")).try_cast("long")))
+    ids = F.array_distinct(ids)
+    side = lambda k: F.struct(F.get(ids, F.lit(k)).alias("team_id"), trimmed(F.get(names, F.lit(k))).alias("name"))
+    return F.struct(side(0).alias("team1"), side(1).alias("team2"))
+
+
+def played_maps(maps: Column) -> Column:
+    """The maps of structs (name, played, score1, score2) that were played, without the placeholder named Default.
+
+    Scores are numbers where they are digits alone, else null.
+    """
+    digits = lambda s: F.when(trimmed(s).rlike(r"^\d+$"), trimmed(s).try_cast("int"))
+    kept = F.filter(maps, lambda m: m["played"] & (trimmed(m["name"]) != "Default"))
+    return F.transform(kept, lambda m: F.struct(trimmed(m["name"]).alias("map"), digits(m["score1"]).alias("score1"), digits(m["score2"]).alias("score2")))
+
+
+def match_records(pages: DataFrame) -> DataFrame:
+    """Match records of pages with match_id, url, day, clock, event, names, team_links, maps and scores."""
+    sides = teams(F.col("names"), F.col("team_links"))
+    maps = played_maps(F.col("maps"))
+    won = lambda a, b: F.size(F.filter(F.col("played"), lambda m: m[a] > m[b]))
+    rows = pages.withColumn("sides", sides).withColumn("played", maps).withColumn("scheduled_at", match_date(F.col("day"), F.col("clock")))
+    return rows.select(
+        "match_id", "url", "scheduled_at", "event", "sides.team1", "sides.team2", won("score1", "score2").alias("maps1"), won("score2", "score1").alias("maps2"), F.size("played").alias("n_maps")
+    )
+
+
+def game_records(pages: DataFrame) -> DataFrame:
+    """One record for each played map: match_id, game (from 0), map, score1, score2, winner (1, 2 or null)."""
+    games = pages.select("match_id", F.posexplode(played_maps(F.col("maps"))).alias("game", "m")).select("match_id", "game", "m.*")
+    return games.withColumn("winner", F.when(F.col("score1") > F.col("score2"), 1).when(F.col("score1") < F.col("score2"), 2))
+
+
+def player_records(rows: DataFrame) -> DataFrame:
+    """Player records of table rows (match_id, game, side, tokens, link); rows without a player's id are left out."""
+    read = rows.select("match_id", "game", "side", player_row(F.col("tokens"), F.col("link")).alias("p")).select("match_id", "game", "side", "p.*")
+    return read.where("player_id is not null")
+
+
+def provider_odds(rows: DataFrame, matches: DataFrame, provider: str = "gg.bet", match: str = "match_id") -> DataFrame:
+    """Each match with the decimal odds of one provider, null where it has none; the last row of a provider counts."""
+    mine = odds(rows).where(F.col("provider") == provider).select(match, F.col("odds1").try_cast("double").alias("odds1"), F.col("odds2").try_cast("double").alias("odds2"))
+    return matches.join(mine, match, "left")
+
+
+def odds_map(rows: DataFrame, match: str = "match_id") -> DataFrame:
+    """One row a match: a map from provider to its odds."""
+    pair = F.struct(F.col("odds1").try_cast("double").alias("odds1"), F.col("odds2").try_cast("double").alias("odds2"))
+    return odds(rows).groupBy(match).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("provider", pair)))).alias("odds"))
+
+
+def page_sections(html: Column) -> Column:
+    """What a diagnostic lists: ids of statistics sections, ids of the map menu, and the number of map blocks."""
+    return F.struct(
+        F.regexp_extract_all(html, F.lit(r'id="(\d+|all)-content"'), F.lit(1)).alias("sections"),
+        F.regexp_extract_all(html, F.lit(r'id="(\d+|all)"'), F.lit(1)).alias("menu"),
+        F.size(F.regexp_extract_all(html, F.lit(r'class="mapholder'), F.lit(0))).alias("n_maps"),
+    )

@@ -72,3 +72,63 @@ def retry_after_ms(value: Column) -> Column:
 def dead_letters(messages: DataFrame, failed: Column) -> DataFrame:
     """Adds outcome: ``done``, ``dropped`` (invalid, acknowledged) or ``retry``."""
     return messages.withColumn("outcome", F.when(F.col("error").isNotNull(), "dropped").when(failed, "retry").otherwise("done"))
+
+
+#: The modes of acquisition, and the errors of request bodies.
+MODES = ("http", "browser", "browser-session")
+BODY_ERRORS = {
+    "ingest": ("Match ingest body must be an object", "Expected either matchUrl or matchId"),
+    "discover": ("Results discovery body must be an object",),
+    "demo": ("Demo ingest body must be an object", "Demo ingest requires a numeric matchId", "Demo ingest requires rawDemoUrl", "Demo ingest requires demoR2Key"),
+}
+_INGEST = ("matchUrl", "matchId", "html", "persistHtml", "acquisitionMode", "browserSessionKey")
+_DISCOVER = ("pageUrl", "html", "acquisitionMode", "browserSessionKey", "maxMatches")
+_DEMO = ("matchId", "rawDemoUrl", "demoR2Key", "downloadFileName", "contentType", "byteSize")
+
+
+def optional_text(v: Column, path: str) -> Column:
+    """A JSON field as text if it is text and not empty, else null."""
+    return F.when(_field(v, path) == "STRING", F.nullif(F.try_variant_get(v, f"$.{path}", "string"), F.lit("")))
+
+
+def optional_number(v: Column, path: str) -> Column:
+    return F.when(_field(v, path).isin("BIGINT", "DOUBLE", "DECIMAL"), F.try_variant_get(v, f"$.{path}", "double"))
+
+
+def optional_flag(v: Column, path: str) -> Column:
+    return F.when(_field(v, path) == "BOOLEAN", F.try_variant_get(v, f"$.{path}", "boolean"))
+
+
+def optional_mode(v: Column, path: str) -> Column:
+    text = optional_text(v, path)
+    return F.when(text.isin(*MODES), text)
+
+
+def _read(v: Column, name: str) -> Column:
+    if name in ("matchId", "byteSize"):
+        return optional_number(v, name)
+    if name == "maxMatches":
+        return positive_integer(optional_number(v, name))
+    if name == "persistHtml":
+        return optional_flag(v, name)
+    return optional_mode(v, name) if name == "acquisitionMode" else optional_text(v, name)
+
+
+def read_requests(bodies: DataFrame, kind: str, body: str = "body") -> DataFrame:
+    """Adds ``request`` (a struct of the fields of a body of this kind; null if invalid) and ``error`` (null if valid).
+
+    ``kind`` is ingest, discover or demo. Fields of the wrong type count as missing; JSON that is no object or array is
+    an error. The first error in order counts.
+    """
+    v = F.try_parse_json(F.col(body))
+    fields = {"ingest": _INGEST, "discover": _DISCOVER, "demo": _DEMO}[kind]
+    shape = F.coalesce(F.regexp_extract(F.schema_of_variant(v), r"^[A-Z]+", 0), F.lit(""))
+    errors = BODY_ERRORS[kind]
+    error = F.when(~shape.isin("OBJECT", "ARRAY"), errors[0])
+    if kind == "ingest":
+        error = error.when(optional_text(v, "matchUrl").isNull() & optional_number(v, "matchId").isNull(), errors[1])
+    if kind == "demo":
+        for field, text in zip(_DEMO, errors[1:], strict=False):
+            error = error.when(_read(v, field).isNull(), text)
+    request = F.struct(*[_read(v, name).alias(name) for name in fields])
+    return bodies.withColumn("error", error).withColumn("request", F.when(F.col("error").isNull(), request))

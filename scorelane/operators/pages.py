@@ -88,5 +88,12 @@ def keyword_context(texts: DataFrame, key: str, text: str, word: str, before: in
 
 
 def round_robin(items: DataFrame, order: str, n: int) -> DataFrame:
-    """Deals items to n numbers in turn, in order within each range partition's rank."""
-    return items.withColumn("slot", F.pmod(F.row_number().over(Window.orderBy(order)) - 1, F.lit(n)))
+    """Deals items to n numbers in turn, in order: by the rank within a range partition and the sizes of those before it."""
+    from scorelane.sources.files import checkpointed
+
+    placed = checkpointed(items.repartitionByRange(order).select(F.struct("*").alias("row"), F.col(order).alias("by"), F.spark_partition_id().alias("part")))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    sizes = placed.groupBy("part").count().withColumn("base", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    ranked = placed.withColumn("rank", F.row_number().over(Window.partitionBy("part").orderBy("by")) - 1)
+    ranked = ranked.join(F.broadcast(sizes.select("part", "base")), "part")
+    return ranked.select("row.*", F.pmod(F.col("base") + F.col("rank"), F.lit(n)).alias("slot"))

@@ -45,25 +45,70 @@ def implied(odds: Column) -> Column:
     return F.round(1 / F.nullif(odds, F.lit(0.0)), 2)
 
 
-def elo_fold(games: DataFrame, league: str = "league", order: str = "game_id", side_a: str = "a", side_b: str = "b", won: str = "a_won") -> DataFrame:
+#: Games are replayed in batches of about so many, in order: what a task holds is a league's share of one.
+GAMES_A_BATCH = 2_000_000
+
+
+def _replay(games: DataFrame, league: str, order: str, players: Column, fold, out: str, state: str, batch: int) -> tuple[DataFrame, DataFrame]:
+    """(rows that ``fold`` gives for games, final state) of a replay in order.
+
+    fold(games, known) takes one league's games of a batch, in order, and a dict from player to a tuple of state columns; it
+    changes the dict and returns rows as a frame with the columns of ``out``. Leagues of a batch run side by side; batches
+    follow each other, and between them the state is a table in the shared folder, of which a batch reads its own players.
+    """
+    from scorelane.sources.files import checkpointed
+
+    kind = dict(games.dtypes)
+    names = [f.split()[0] for f in state.split(", ")]
+    n = games.count()
+    many = max(1, -(-n // batch))
+    cuts = games.approxQuantile(order, [k / many for k in range(1, many)], 0.1 / many) if many > 1 else []
+    bounds = list(zip([None, *cuts], [*cuts, None], strict=True))
+    player = games.select(players.alias("p")).schema["p"].dataType.elementType.simpleString()
+    known = games.sparkSession.createDataFrame([], f"`{league}` {kind[league]}, player {player}, {state}")
+    made = []
+    columns = [f.split()[0].strip("`") for f in out.split(", ")]
+    schema = f"`{league}` {kind[league]}, player {player}, {state}, {out}"
+
+    def run(key, pdf: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
+        held = {row[0]: tuple(row[1:]) for row in before[["player", *names]].itertuples(index=False)}
+        rows = fold(pdf.sort_values(order), held)
+        after = pd.DataFrame([(p, *v) for p, v in held.items()], columns=["player", *names])
+        both = pd.concat([after.astype(object), rows[columns].astype(object)], ignore_index=True) if len(rows) else after.astype(object)
+        both[league] = key[0]
+        both = both.reindex(columns=[league, "player", *names, *columns])
+        return both.astype(object).where(both.notna(), None)
+
+    for low, high in bounds:
+        part = games
+        part = part if low is None else part.where(F.col(order) > low)
+        part = part if high is None else part.where(F.col(order) <= high)
+        mine = known.join(part.select(league, F.explode(players).alias("player")).distinct(), [league, "player"], "left_semi")
+        both = checkpointed(part.groupBy(league).cogroup(mine.groupBy(league)).applyInPandas(run, schema))
+        fresh = both.where(F.col("player").isNotNull()).select(league, "player", *names)
+        known = checkpointed(known.join(fresh, [league, "player"], "left_anti").unionByName(fresh))
+        made.append(both.where(F.col("player").isNull()).select(league, *columns))
+    rows = made[0]
+    for more in made[1:]:
+        rows = rows.unionByName(more)
+    return rows, known
+
+
+def elo_fold(games: DataFrame, league: str = "league", order: str = "game_id", side_a: str = "a", side_b: str = "b", won: str = "a_won", batch: int = GAMES_A_BATCH) -> DataFrame:
     """Final (league, player, elo, games) of one-against-one games replayed in order.
 
-    Ratings depend on all earlier games of a league, so a league is folded in order by one task; leagues, the
-    closed sets of players, are spread over tasks.
+    Ratings depend on all earlier games of a league, so its games are sequential by nature; see ``_replay``.
     """
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        elo: dict = {}
-        played: dict = {}
-        for x, y, w in pdf.sort_values(order)[[side_a, side_b, won]].itertuples(index=False):
-            rx, ry = elo.get(x, START), elo.get(y, START)
+    def fold(pdf: pd.DataFrame, held: dict) -> pd.DataFrame:
+        for x, y, w in pdf[[side_a, side_b, won]].itertuples(index=False):
+            (rx, nx), (ry, ny) = held.get(x, (START, 0)), held.get(y, (START, 0))
             ex = 1 / (1 + 10 ** ((ry - rx) / SPREAD))
-            elo[x], elo[y] = rx + K * (w - ex), ry + K * ((1 - w) - (1 - ex))
-            played[x], played[y] = played.get(x, 0) + 1, played.get(y, 0) + 1
-        return pd.DataFrame({league: pdf[league].iloc[0], "player": list(elo), "elo": list(elo.values()), "games": list(played.values())})
+            held[x], held[y] = (rx + K * (w - ex), nx + 1), (ry + K * ((1 - w) - (1 - ex)), ny + 1)
+        return pd.DataFrame({"none": []})
 
-    kind = dict(games.dtypes)
-    return games.select(league, order, side_a, side_b, won).groupBy(league).applyInPandas(fold, f"`{league}` {kind[league]}, player {kind[side_a]}, elo double, games long")
+    used = games.select(league, order, side_a, side_b, won)
+    return _replay(used, league, order, F.array(side_a, side_b), fold, "none int", "elo double, games long", batch)[1]
 
 
 def _cdf(x: float) -> float:
@@ -86,30 +131,116 @@ def gaussian_update(winners: list[tuple[float, float]], losers: list[tuple[float
     return new(winners, s2[0], 1), new(losers, s2[1], -1)
 
 
-def gaussian_fold(games: DataFrame, league: str = "league", order: str = "game_id", inverted: bool = False) -> DataFrame:
-    """Per game: game_id, p (chance of the first side before the game) and first_won, replayed in order.
+def gaussian_fold(games: DataFrame, league: str = "league", order: str = "game_id", inverted: bool = False, batch: int = GAMES_A_BATCH) -> DataFrame:
+    """Per game: game_id, p (chance of the first side before the game), first_won and league, replayed in order.
 
     Games have players1, players2 (arrays) and first_won. ``inverted`` credits the losing side, as a rank
-    convention the wrong way round would.
+    convention the wrong way round would. See ``_replay``.
     """
     start = (MU, SIGMA)
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        state: dict = {}
+    def fold(pdf: pd.DataFrame, held: dict) -> pd.DataFrame:
         out = []
-        for game, one, two, won in pdf.sort_values(order)[[order, "players1", "players2", "first_won"]].itertuples(index=False):
-            a, b = [state.get(p, start) for p in one], [state.get(p, start) for p in two]
+        for game, one, two, won in pdf[[order, "players1", "players2", "first_won"]].itertuples(index=False):
+            a, b = [held.get(p, start) for p in one], [held.get(p, start) for p in two]
             spread = math.sqrt((len(a) + len(b)) * BETA * BETA + sum(s * s for _, s in a + b))
             out.append((game, _cdf((sum(m for m, _ in a) - sum(m for m, _ in b)) / spread), bool(won)))
             if bool(won) != inverted:
                 a, b = gaussian_update(a, b)
             else:
                 b, a = gaussian_update(b, a)
-            state.update(zip([*one, *two], [*a, *b], strict=True))
-        return pd.DataFrame(out, columns=[order, "p", "first_won"]).assign(**{league: pdf[league].iloc[0]})
+            held.update(zip([*one, *two], [*a, *b], strict=True))
+        return pd.DataFrame(out, columns=[order, "p", "first_won"])
 
-    kind = dict(games.dtypes)
-    return games.groupBy(league).applyInPandas(fold, f"`{order}` {kind[order]}, p double, first_won boolean, `{league}` {kind[league]}")
+    used = games.select(league, order, "players1", "players2", "first_won")
+    out = f"`{order}` {dict(games.dtypes)[order]}, p double, first_won boolean"
+    rows, _ = _replay(used, league, order, F.concat("players1", "players2"), fold, out, "mu double, sigma double", batch)
+    return rows.select(order, "p", "first_won", league)
+
+
+def percent_text(p: Column, faithful: bool = False) -> Column:
+    """A chance in whole percent: truncated, or, faithful, the first two digits after the point of its text (0.5 gives 5)."""
+    text = F.substring(F.element_at(F.split(p.cast("string"), r"\."), 2), 1, 2)
+    return text.try_cast("int") if faithful else F.floor(100 * p).cast("int")
+
+
+def team_mean(ratings: Column, faithful: bool = False, first_size: Column | None = None) -> Column:
+    """Mean rating of a team; faithful, a sum that starts at -1, divided by the size of the first team for both."""
+    total = F.aggregate(ratings, F.lit(0.0), lambda a, x: a + x)
+    if faithful:
+        return (total - 1) / (F.size(ratings) if first_size is None else first_size)
+    return total / F.nullif(F.size(ratings), F.lit(0))
+
+
+def predicted_pair(p: Column) -> Column:
+    """Both sides' chances in two digits, the first rounded half to even."""
+    first = F.bround(p, 2)
+    return F.struct(first.alias("p1"), F.round(1 - first, 2).alias("p2"))
+
+
+def with_ratings(players: DataFrame, ratings: DataFrame, key: str, defaults: dict[str, float]) -> DataFrame:
+    """players with their stored ratings, or the defaults."""
+    joined = players.join(ratings.select(key, *defaults), key, "left")
+    return joined.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in defaults.items()})
+
+
+def with_new_players(ratings: DataFrame, players: DataFrame, key: str, defaults: dict[str, float]) -> DataFrame:
+    """Stored ratings and a row of defaults for each player without one."""
+    fresh = players.select(key).distinct().join(ratings.select(key), key, "left_anti")
+    return ratings.select(key, *defaults).unionByName(fresh.withColumns({c: F.lit(v) for c, v in defaults.items()}))
+
+
+def write_back(ratings: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
+    """Stored ratings with those of a run written over, one row a player; players without a row are not added."""
+    n = fresh.select(key, *[F.col(c).alias(f"new_{c}") for c in ratings.columns if c != key])
+    joined = ratings.join(n, key, "left")
+    return joined.select(key, *[F.coalesce(f"new_{c}", c).alias(c) for c in ratings.columns if c != key])
+
+
+def five_a_side(games: DataFrame, first: str = "players1", second: str = "players2") -> DataFrame:
+    """Games with exactly five players on each side."""
+    return games.where((F.size(first) == 5) & (F.size(second) == 5))
+
+
+def since(rows: DataFrame, key: str, mark: int) -> tuple[DataFrame, DataFrame]:
+    """(rows beyond the high-water mark, rows at or below it, which a run refuses)."""
+    return rows.where(F.col(key) > mark), rows.where(F.col(key) <= mark)
+
+
+def rating_run(games: DataFrame, mark: int, league: str = "league", order: str = "game_id", batch: int = GAMES_A_BATCH) -> tuple[DataFrame, DataFrame, Column]:
+    """(predictions, skipped, new mark) of the games beyond a mark: those without five a side are skipped, and pass the mark too."""
+    fresh, _ = since(games, order, mark)
+    good = five_a_side(fresh)
+    skipped = fresh.join(good.select(order), order, "left_anti")
+    return gaussian_fold(good, league, order, batch=batch), skipped, F.coalesce(F.max(order), F.lit(mark))
+
+
+def resume_mark(rows: DataFrame, key: str, start: int) -> DataFrame:
+    """The id to go on from: the largest there is, or a start; and the number of rows."""
+    return rows.agg(F.coalesce(F.max(key), F.lit(start)).alias("last_id"), F.count("*").alias("n"))
+
+
+def games_before(games: DataFrame, matches: DataFrame, game_match: str, match: str, day: Column) -> DataFrame:
+    """Games of matches before a day, with the matches' columns; ``day`` is a condition on these."""
+    return games.join(matches.where(day), F.col(game_match) == F.col(match)).drop(match)
+
+
+def assembled_games(rows: DataFrame, game: str, player: str, first: Column) -> DataFrame:
+    """Per game: both sides' players as text in numeric order, and the number of rows; games without one side are left out."""
+    from scorelane.operators.state import roster_key
+
+    side = lambda c: F.collect_list(F.when(c, F.col(player)))  # noqa: E731 (the players of one game)
+    games = rows.groupBy(game).agg(side(first).alias("p1"), side(~first).alias("p2"), F.count("*").alias("n"))
+    return games.where("size(p1) > 0 and size(p2) > 0").select(game, roster_key(F.col("p1")).alias("players1"), roster_key(F.col("p2")).alias("players2"), "n")
+
+
+def upcoming_predictions(matches: DataFrame, ratings: DataFrame, team1: str, team2: str, day: Column) -> DataFrame:
+    """Matches of the wanted days with the chances of both sides, from team ratings (team, mu, var, players)."""
+    side = lambda k: ratings.select(F.col("team").alias(f"team{k}"), *[F.col(c).alias(f"{c}{k}") for c in ("mu", "var", "players")])
+    joined = matches.where(day).withColumnsRenamed({team1: "team1", team2: "team2"}).join(side(1), "team1").join(side(2), "team2")
+    p = win_probability(F.col("mu1"), F.col("mu2"), F.col("var1") + F.col("var2"), F.col("players1") + F.col("players2"))
+    drop = [f"{c}{k}" for c in ("mu", "var", "players") for k in (1, 2)]
+    return joined.withColumn("pair", predicted_pair(p)).select("*", "pair.*").drop("pair", *drop)
 
 
 def round_winners(scores: Column) -> Column:

@@ -63,27 +63,81 @@ def run_ledger(log: DataFrame, key: str, order: list[str], status: str, message:
     return log.groupBy(key).agg(F.min(order[0]).alias("created_at"), F.max(order[0]).alias("finished_at"), last).select(key, "created_at", "finished_at", "l.*")
 
 
-def lock_timeline(events: DataFrame, key: str, at_ms: str, action: str, token: str, ttl_ms: int, tie: str) -> DataFrame:
-    """Folds acquire and release events of each lock in order; adds acquired (for acquire events).
+def _next_at(asks: DataFrame, marks: DataFrame, keys: list[str], block_ms: int) -> DataFrame:
+    """asks (keys, at, tie, ...) with ``then``, the (at, tie) of the first mark after each, if any.
+
+    Within blocks of time by one sorted pass, and from the first of later blocks where there is none: no task sorts all
+    rows of a key.
+    """
+    place = F.struct("at", "tie")
+    block = F.floor(F.col("at") / block_ms).alias("block")
+    both = asks.select("*", block, F.lit(None).cast("struct<at:bigint,tie:bigint>").alias("mark"))
+    both = both.unionByName(marks.select(*keys, "at", "tie", block, place.alias("mark")), allowMissingColumns=True)
+    near = Window.partitionBy(*keys, "block").orderBy("at", "tie").rowsBetween(1, Window.unboundedFollowing)
+    near = both.withColumn("near", F.min("mark").over(near)).where("mark is null").drop("mark")
+    firsts = both.groupBy(*keys, "block").agg(F.min("mark").alias("first"))
+    later = Window.partitionBy(*keys).orderBy("block").rowsBetween(1, Window.unboundedFollowing)
+    firsts = firsts.withColumn("later", F.min("first").over(later)).drop("first")
+    return near.join(firsts, [*keys, "block"]).withColumn("then", F.coalesce("near", "later")).drop("near", "later", "block")
+
+
+def lock_timeline(events: DataFrame, key: str, at_ms: str, action: str, token: str, ttl_ms: int, tie: str, block_ms: int = 86_400_000, rounds: int = 64) -> DataFrame:
+    """Adds acquired (for acquire events) to acquire and release events of locks, each taken in order.
 
     A lock is taken if it is free or its time to live is over strictly before now, and released only by the token
-    that holds it. A lock's events are folded in one task; locks are spread over tasks.
+    that holds it. ``tie`` (whole numbers, unique) orders events of one instant.
+
+    Were an acquire to succeed, the next success would be the first acquire after its own token's next release or after its
+    time is over, whatever came before. So every acquire points at one other, and those that the first acquire of a lock
+    leads to succeed; they are found by pointer doubling, in as many joins as the logarithm of the successes of a lock.
+    """
+    from scorelane.sources.files import checkpointed
+
+    rows = events.select(F.struct("*").alias("row"), F.col(key).alias("lock"), F.col(at_ms).cast("long").alias("at"), F.col(tie).cast("long").alias("tie"), F.col(action).alias("what"), F.col(token).alias("who"))
+    rows = checkpointed(rows)
+    acquires = rows.where("what = 'acquire'").select("lock", "at", "tie", "who")
+    releases = rows.where("what <> 'acquire'").select("lock", "at", "tie", "who")
+    freed = _next_at(acquires, releases, ["lock", "who"], block_ms).withColumnRenamed("then", "freed").drop("who")
+    last = F.lit(2**63 - 1)
+    marks = acquires.drop("who")
+    after = lambda at, tie: freed.select("lock", at.alias("at"), tie.alias("tie"), F.struct("at", "tie").alias("own"))
+    by_release = _next_at(after(F.col("freed.at"), F.col("freed.tie")).where("at is not null"), marks, ["lock"], block_ms).select("lock", "own", "then")
+    by_time = _next_at(after(F.col("at") + ttl_ms, last), marks, ["lock"], block_ms).select("lock", "own", "then")
+    to = by_release.unionByName(by_time).groupBy("lock", "own").agg(F.min("then").alias("to"))
+    to = checkpointed(to)
+    won = checkpointed(acquires.groupBy("lock").agg(F.min(F.struct("at", "tie")).alias("own")))
+    jump = to.where("to is not null")
+    for _ in range(rounds):
+        ahead = won.join(jump, ["lock", "own"]).select("lock", F.col("to").alias("own"))
+        fresh = checkpointed(ahead.join(won, ["lock", "own"], "left_anti"))
+        if fresh.isEmpty():
+            break
+        won = checkpointed(won.unionByName(fresh))
+        on = jump.select("lock", F.col("own").alias("to"), F.col("to").alias("on"))
+        jump = checkpointed(jump.join(on, ["lock", "to"]).select("lock", "own", F.col("on").alias("to")))
+    else:
+        raise RuntimeError(f"the successes did not end in {rounds} doublings")
+    won = won.select("lock", "own.at", "own.tie", F.lit(True).alias("won"))
+    acquired = F.when(F.col("what") == "acquire", F.coalesce("won", F.lit(False)))
+    return rows.join(won, ["lock", "at", "tie"], "left").withColumn("acquired", acquired).select("row.*", "acquired")
+
+
+def record_demos(matches: DataFrame, artifacts: DataFrame, demos: DataFrame, key: str = "match_id") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(matches, artifacts, missing) after demos (match_id, demo_key, demo_url, byte_size) are recorded.
+
+    A match that is there takes the key and URL, and an artifact of kind ``demo`` is written or written over; demos of a
+    match that is not there are returned as missing and change nothing.
     """
-    import pandas as pd
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        holder, until, out = None, None, []
-        for now, what, who in pdf.sort_values([at_ms, tie])[[at_ms, action, token]].itertuples(index=False):
-            if what == "acquire":
-                won = holder is None or until < now
-                if won:
-                    holder, until = who, now + ttl_ms
-                out.append(won)
-            else:
-                if holder == who:
-                    holder = until = None
-                out.append(None)
-        return pdf.sort_values([at_ms, tie]).assign(acquired=pd.array(out, dtype="boolean"))
-
-    schema = ", ".join(f"`{c}` {t}" for c, t in events.dtypes) + ", acquired boolean"
-    return events.groupBy(key).applyInPandas(fold, schema)
+    known = demos.join(matches.select(key), key, "left_semi")
+    updated = merge(matches, known.select(key, "demo_key", "demo_url"), [key])
+    made = known.select(key, F.lit("demo").alias("kind"), F.col("demo_key").alias("object_key"), "byte_size")
+    return updated, merge(artifacts, made, [key, "kind"]), demos.join(matches.select(key), key, "left_anti")
+
+
+def append_new(old: DataFrame, new: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows after a plain append, rows refused because their key is there already, or came first in the batch)."""
+    w = Window.partitionBy(*key).orderBy(*new.columns)
+    once = new.withColumn("first_of_key", F.row_number().over(w) == 1)
+    known = old.select(*key).distinct().withColumn("known", F.lit(True))
+    marked = once.join(known, key, "left").withColumn("taken", F.col("first_of_key") & F.col("known").isNull())
+    return old.unionByName(marked.where("taken").select(*old.columns)), marked.where(~F.col("taken")).select(*new.columns)

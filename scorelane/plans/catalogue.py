@@ -35,10 +35,13 @@ def flagship(spark, sf_dir):
 
 
 def queries():
+    from scorelane.plans import runs  # noqa: F401 (registers its queries)
+
     return dict(_QUERIES)
 
 
 def oracles():
+    queries()
     return dict(_ORACLES)
 
 
@@ -305,7 +308,13 @@ def fan_out_messages(spark, sf_dir):
     return messages.fan_out(urls, "link", {"persistHtml": F.lit(True), "source": F.lit("cron")})
 
 
-@_query()
+@_query("""WITH RECURSIVE e AS (SELECT event_id, user_id % 10 AS lock, epoch_us(ts) // 1000 AS now, event_type = 'error' AS asks, user_id::VARCHAR AS token,
+        row_number() OVER (PARTITION BY user_id % 10 ORDER BY ts, event_id) AS k FROM events WHERE event_type IN ('error', 'click')),
+      f(lock, k, holder, until, acquired) AS (SELECT DISTINCT lock, 0::BIGINT, NULL::VARCHAR, 0::BIGINT, NULL::BOOLEAN FROM e
+        UNION ALL SELECT e.lock, e.k, CASE WHEN asks AND (holder IS NULL OR until < now) THEN token WHEN NOT asks AND holder = token THEN NULL ELSE holder END,
+          CASE WHEN asks AND (holder IS NULL OR until < now) THEN now + 600000 ELSE until END, CASE WHEN asks THEN holder IS NULL OR until < now END
+        FROM f JOIN e ON e.lock = f.lock AND e.k = f.k + 1)
+      SELECT event_id, lock, now AS "at", CASE WHEN asks THEN 'acquire' ELSE 'release' END AS action, token, acquired FROM e JOIN f USING (lock, k)""")
 def lock_timeline(spark, sf_dir):
     """Error events acquire and click events release a lock of their user's group."""
     e = _read(spark, sf_dir, "events").where("event_type in ('error', 'click')")
@@ -326,22 +335,21 @@ def run_ledger(spark, sf_dir):
 @_query("SELECT l_orderkey, l_linenumber, l_quantity, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag <> 'R' AND o_orderdate < DATE '1996-01-01'")
 def games_before_day(spark, sf_dir):
     games = _read(spark, sf_dir, "lineitem").where("l_returnflag <> 'R'").select("l_orderkey", "l_linenumber", "l_quantity")
-    day = _read(spark, sf_dir, "orders").where("o_orderdate < DATE '1996-01-01'").select("o_orderkey", "o_custkey")
-    return games.join(day, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    found = ratings.games_before(games, orders, "l_orderkey", "o_orderkey", F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
+    return found.drop("o_orderdate")
 
 
 @_query("SELECT coalesce(max(o_orderkey), 2328088) AS last_id, count(*) AS n FROM orders WHERE o_orderstatus = 'F'")
 def resume_point(spark, sf_dir):
-    return _read(spark, sf_dir, "orders").where("o_orderstatus = 'F'").agg(F.coalesce(F.max("o_orderkey"), F.lit(2328088)).alias("last_id"), F.count("*").alias("n"))
+    return ratings.resume_mark(_read(spark, sf_dir, "orders").where("o_orderstatus = 'F'"), "o_orderkey", 2328088)
 
 
 @_query("""SELECT o_orderkey, array_to_string(list_sort(list(l_suppkey) FILTER (WHERE l_linenumber <= 3)), ';') AS players1, array_to_string(list_sort(list(l_suppkey) FILTER (WHERE l_linenumber > 3)), ';') AS players2, count(*) AS n
       FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1 HAVING count(*) FILTER (WHERE l_linenumber <= 3) > 0 AND count(*) FILTER (WHERE l_linenumber > 3) > 0""")
 def game_assembly(spark, sf_dir):
     joined = _read(spark, sf_dir, "orders").join(_read(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
-    side = lambda c: F.collect_list(F.when(c, F.col("l_suppkey")))
-    games = joined.groupBy("o_orderkey").agg(side(F.col("l_linenumber") <= 3).alias("p1"), side(F.col("l_linenumber") > 3).alias("p2"), F.count("*").alias("n"))
-    return games.where("size(p1) > 0 and size(p2) > 0").select("o_orderkey", state.roster_key(F.col("p1")).alias("players1"), state.roster_key(F.col("p2")).alias("players2"), "n")
+    return ratings.assembled_games(joined, "o_orderkey", "l_suppkey", F.col("l_linenumber") <= 3)
 
 
 @_query("""SELECT event_type, count(*) AS n, round(sum(value), 4) AS total, round(avg(value), 4) AS avg, quantile_disc(value, 0.5) AS median, quantile_disc(value, 0.95) AS p95, min(value) AS least, max(value) AS most FROM events GROUP BY 1""")
@@ -387,7 +395,14 @@ def _games(spark, sf_dir):
     return e.select((F.col("user_id") % 4).alias("league"), F.col("event_id").alias("game_id"), F.col("user_id").alias("a"), (F.col("user_id") + 4 * (1 + F.col("event_id") % 3)).alias("b"), F.col("value").alias("v"))
 
 
-@_query()
+@_query("""WITH RECURSIVE g AS (SELECT user_id % 4 AS league, user_id AS a, user_id + 4 * (1 + event_id % 3) AS b, (value > 15)::INT AS w, row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) AS k FROM events),
+      f(league, k, m) AS (SELECT DISTINCT league, 0::BIGINT, MAP {-1::BIGINT: 0.0::DOUBLE} FROM g
+        UNION ALL SELECT league, k, map_concat(m, MAP {a: x + 128.0 * (w - ex), b: y + 128.0 * ((1 - w) - (1 - ex))}) FROM (
+          SELECT f.league, g.k, f.m, g.a, g.b, g.w, coalesce(f.m[g.a], 1000.0) AS x, coalesce(f.m[g.b], 1000.0) AS y,
+                 1 / (1 + pow(10.0, (coalesce(f.m[g.b], 1000.0) - coalesce(f.m[g.a], 1000.0)) / 400.0)) AS ex FROM f JOIN g ON g.league = f.league AND g.k = f.k + 1)),
+      l AS (SELECT league, unnest(map_entries(arg_max(m, k))) AS e FROM f GROUP BY league),
+      c AS (SELECT league, player, count(*) AS games FROM (SELECT league, a AS player FROM g UNION ALL SELECT league, b FROM g) GROUP BY ALL)
+      SELECT league, player, round(e.value, 4) AS elo, games FROM l JOIN c USING (league) WHERE e.key = player""")
 def elo_fold(spark, sf_dir):
     won = (F.col("v") > 15).cast("int")
     return ratings.elo_fold(_games(spark, sf_dir).withColumn("a_won", won)).withColumn("elo", F.round("elo", 4))
@@ -432,9 +447,8 @@ def implied_odds(spark, sf_dir):
 
 @_query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_quantity >= l_partkey % 50 THEN 0 ELSE 1 END AS max_odds_side, CASE WHEN l_quantity <= l_partkey % 50 THEN 0 ELSE 1 END AS favourite_side FROM lineitem""")
 def pick_comparison(spark, sf_dir):
-    odds = F.array(F.col("l_quantity"), (F.col("l_partkey") % 50).cast("double"))
-    side = lambda best: (F.array_position(odds, best(odds)) - 1).cast("int")
-    return _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", side(F.array_max).alias("max_odds_side"), side(F.array_min).alias("favourite_side"))
+    side = evaluation.pick_sides(F.col("l_quantity"), (F.col("l_partkey") % 50).cast("double"))
+    return _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", side.alias("s")).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "s.*")
 
 
 PREDICTED_SQL = "SELECT o_custkey, o_orderkey, (o_orderkey % 10) / 10 AS p, CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS first_won FROM orders"
@@ -455,13 +469,8 @@ def running_accuracy(spark, sf_dir):
 @_query(f"""WITH d AS (SELECT (p > 0.5) = first_won AS good FROM ({PREDICTED_SQL}) WHERE first_won IS NOT NULL AND p <> 0.5)
       SELECT count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE NOT good) AS bad, round(100.0 * count(*) FILTER (WHERE good) / count(*), 4) AS percent FROM d""")
 def prediction_rate(spark, sf_dir):
-    d = _predicted(spark, sf_dir).where("first_won is not null and p <> 0.5").select(((F.col("p") > 0.5) == F.col("first_won")).alias("good"))
-    return d.agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"), F.round(100.0 * F.count_if("good") / F.count("*"), 4).alias("percent"))
-
-
-@_query("SELECT user_id, event_type AS provider, arg_max(value, (ts, event_id)) AS odds FROM events GROUP BY 1, 2")
-def odds_latest_by_provider(spark, sf_dir):
-    return _read(spark, sf_dir, "events").groupBy("user_id", F.col("event_type").alias("provider")).agg(F.max_by("value", F.struct("ts", "event_id")).alias("odds"))
+    d = _predicted(spark, sf_dir).where("first_won is not null and p <> 0.5")
+    return evaluation.overall_accuracy(d, (F.col("p") > 0.5) == F.col("first_won"))
 
 
 @_query("SELECT user_id, max(ts) AS last_seen, max(ts) < TIMESTAMP '2024-01-20 00:00:00' - INTERVAL 24 HOUR AS stale FROM events GROUP BY 1")
@@ -500,6 +509,5 @@ _ORACLES["page_tables"] = """SELECT n_nationkey, 0 AS "table", 0 AS "row", c AS
 @_query(r"""SELECT user_id, sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS clicks, round(sum(value) FILTER (WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'), 4) AS late_value, count(DISTINCT event_type) AS kinds FROM events GROUP BY 1""")
 def player_features(spark, sf_dir):
     """Per player: counts, value in the last span, kinds of games (the planned feature set in plain aggregates)."""
-    e = _read(spark, sf_dir, "events")
-    late = F.col("ts") >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
-    return e.groupBy("user_id").agg(F.count_if(F.col("event_type") == "click").alias("clicks"), F.round(F.sum(F.when(late, F.col("value"))), 4).alias("late_value"), F.count_distinct("event_type").alias("kinds"))
+    since = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    return evaluation.player_features(_read(spark, sf_dir, "events"), "user_id", "event_type", "value", "ts", "click", since)

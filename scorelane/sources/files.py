@@ -72,17 +72,25 @@ def html_tables(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
 
 
 def publish(tables: dict[str, DataFrame], root: str, version: int) -> str:
-    """Writes all tables as one version, then the pointer to it; readers see whole versions only."""
-    for name, df in tables.items():
-        df.write.parquet(f"{root}/{name}/v={version}")
+    """Writes all tables to a fresh folder each, then a pointer to these for the version; readers see whole versions only.
+
+    A second try of a version writes to folders of its own; of two that end, the later pointer counts.
+    """
+    import uuid
+
     spark = next(iter(tables.values())).sparkSession
-    spark.range(1).select(F.lit(version).alias("version")).coalesce(1).write.mode("append").parquet(f"{root}/_pointer")
+    made = []
+    for name, df in tables.items():
+        made.append((version, name, f"{root}/{name}/v={version}-{uuid.uuid4().hex}"))
+        df.write.parquet(made[-1][2])
+    pointer = spark.createDataFrame(made, "version long, name string, path string").withColumn("at", F.current_timestamp())
+    pointer.coalesce(1).write.mode("append").parquet(f"{root}/_pointer")
     return root
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    version = spark.read.parquet(f"{root}/_pointer").agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{root}/{name}/v={version}")
+    pointer = spark.read.parquet(f"{root}/_pointer").where(F.col("name") == name)
+    return spark.read.parquet(pointer.agg(F.max_by("path", F.struct("version", "at", "path"))).first()[0])
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -96,3 +104,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="scorelane-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df materialised under spark.checkpoint.dir, its lineage cut."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or shared_folder(df.sparkSession, "checkpoints"))
+    return df.checkpoint(eager=True)

@@ -22,13 +22,13 @@ def plain(frame, columns):
     frame = frame[columns].copy()
     for c in columns:
         if pd.api.types.is_bool_dtype(frame[c]):
-            frame[c] = frame[c].astype(str)
+            frame[c] = frame[c].map(lambda v: "" if v is None or v is pd.NA else str(bool(v)))
         elif pd.api.types.is_numeric_dtype(frame[c]):
             frame[c] = frame[c].astype(float).round(6).astype(str)
         elif str(frame[c].dtype).startswith("datetime"):
             frame[c] = frame[c].astype("datetime64[us]").astype(str)
         else:
-            frame[c] = frame[c].map(lambda v: "" if v is None or v != v else str(v))
+            frame[c] = frame[c].map(lambda v: "" if v is None or v is pd.NA or v != v else str(v))
     return sorted(map(tuple, frame.values.tolist()))
 
 
