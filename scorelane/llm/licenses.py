@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -16,17 +18,19 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Public licence notices, one wording a line, by SPDX identifier; BSD is the head that its licences share,
-#: for texts in which neither set of clauses is found.
+#: Public licence notices and short licence texts, one wording a line, by SPDX identifier; BSD is the head that
+#: its licences share, for texts in which neither set of clauses is found.
 TEMPLATES = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0',
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
     ),
     "MIT": (
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software',
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -62,9 +66,18 @@ TEMPLATES = {
     ),
     "BSD": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",),
     "Unlicense": ("This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",),
-    "BSL-1.0": ("Distributed under the Boost Software License, Version 1.0.",),
+    "BSL-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so',
+    ),
     "EPL-2.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0",),
-    "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.',
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    ),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     "CC-BY-ND-4.0": ("Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
@@ -96,7 +109,7 @@ class Matcher:
                 data = zstandard.ZstdCompressionDict(wording.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 packer = zstandard.ZstdCompressor(level=3, dict_data=data)
                 words = [w.lower() for w in _WORD.findall(wording)]
-                self.items.append((name, words, packer, self.plain(wording.lower().encode())))
+                self.items.append((name, words, packer, self.plain(wording.lower().encode()), Counter(words)))
         self.hint = re.compile(HINT)
         self.before, self.after = BEFORE, AFTER
         for wordings in (templates or TEMPLATES).values():
@@ -109,58 +122,85 @@ class Matcher:
                 self.after = max(self.after, len(ends) - ahead + spare)
 
     def windows(self, text: str):
-        """Lists of (word, start, end) around each hint; hints close together share one."""
+        """Lists of (word, start, end) that cover the surroundings of all hints, each template's length twice at most.
+
+        Surroundings that overlap are one region; windows of it overlap by the longest template, so that each notice lies
+        within one of them, and their number depends on the length of the text, not on its hints.
+        """
         hints = [m.start() for m in self.hint.finditer(text)]
         if not hints:
             return
         words = [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
-        k, last = 0, -1
+        ends = [w[2] for w in words]
+        regions = []
         for at in hints:
-            while k < len(words) and words[k][2] <= at:
-                k += 1
+            k = bisect_right(ends, at)
             lo, hi = max(0, k - self.before), min(len(words), k + self.after)
-            if lo > last:
-                last = lo
-                yield words[lo:hi]
-            elif hi > last + self.after:
-                last = lo
-                yield words[lo:hi]
-
-    def differences(self, window, template):
-        """(first word, last word, differing words) of the closest stretch of the window, or None."""
-        a = [w for w, _, _ in window]
-        blocks = [b for b in SequenceMatcher(None, a, template, autojunk=False).get_matching_blocks() if b.size]
-        if not blocks:
+            if regions and lo <= regions[-1][1]:
+                regions[-1][1] = max(hi, regions[-1][1])
+            elif lo < hi:
+                regions.append([lo, hi])
+        span = self.before + self.after
+        for lo, hi in regions:
+            for at in range(lo, max(hi - span, lo) + 1, span):
+                yield words[at : min(at + 2 * span, hi)]
+            if hi - span > lo and (hi - span - lo) % span:
+                yield words[max(lo, hi - 2 * span) : hi]
+
+    def closest(self, words: list[str], template: list[str]):
+        """(first word, last word, differing words) of the stretch of words that is closest to the template, or None.
+
+        It lies around the longest run that both share; shared words at its ends go if more words between them do not.
+        """
+        run = SequenceMatcher(None, words, template, autojunk=False).find_longest_match()
+        if not run.size:
             return None
-        first, last = blocks[0].a, blocks[-1].a + blocks[-1].size
-        matched = sum(b.size for b in blocks)
-        differing = (len(template) - matched) + (last - first - matched)
-        present = set(a[first:last])
-        if any(_TELLING.match(w) and w not in present for w in template):
-            return None
-        if any(_FOREIGN.match(w) for w in present.difference(template)):
-            return None
-        return first, last, differing
+        spare = math.ceil(TOLERANCE * len(template)) + 1
+        lo, hi = max(0, run.a - run.b - spare), run.a - run.b + len(template) + spare
+        blocks = [(m.a + lo, m.size) for m in SequenceMatcher(None, words[lo:hi], template, autojunk=False).get_matching_blocks() if m.size]
+        while len(blocks) > 1 and blocks[1][0] - sum(blocks[0]) > blocks[0][1]:
+            del blocks[0]
+        while len(blocks) > 1 and blocks[-1][0] - sum(blocks[-2]) > blocks[-1][1]:
+            del blocks[-1]
+        first, last, matched = blocks[0][0], sum(blocks[-1]), sum(size for _, size in blocks)
+        return first, last, (len(template) - matched) + (last - first - matched)
+
+    def confirmed(self, words: list[str], template: list[str], many: Counter, at: int = 0):
+        """(first word, last word, differing words) of all stretches within the tolerance of the template's wording."""
+        most = TOLERANCE * len(template)
+        if len(template) - (Counter(words) & many).total() > most:  # even in the best order too many would differ
+            return
+        found = self.closest(words, template)
+        if found is None or found[2] > most:
+            return
+        first, last, differing = found
+        present = set(words[first:last])
+        told = all(w in present for w in template if _TELLING.match(w)) and not any(_FOREIGN.match(w) for w in present.difference(template))
+        if told:
+            yield at + first, at + last, differing
+        yield from self.confirmed(words[:first], template, many, at)
+        yield from self.confirmed(words[last:], template, many, at + last)
 
     def find(self, text: str) -> list[tuple[str, int, int, int, int]]:
         """(licence, start, end, differing words, bytes saved) without overlaps, in order of place."""
-        found = []
+        found = {}
         for window in self.windows(text):
             block = text[window[0][1] : window[-1][2]].lower().encode("utf-8", "replace")
-            alone = self.plain(block)
-            sizes = [(alone - len(packer.compress(block)), own, name, words) for name, words, packer, own in self.items]
-            for saved, _, name, words in sorted(sizes, key=lambda x: (-x[0] / x[1], x[2], len(x[3]))):
+            alone, words = self.plain(block), [w for w, _, _ in window]
+            sizes = [(alone - len(packer.compress(block)), own, name, template, many) for name, template, packer, own, many in self.items]
+            for saved, _, name, template, many in sorted(sizes, key=lambda x: (-x[0] / x[1], x[2], len(x[3]))):
                 if saved <= 0:
                     break
-                at = self.differences(window, words)
-                if at and at[2] <= TOLERANCE * len(words):
-                    found.append((window[at[0]][1], window[at[1] - 1][2], at[2], saved, name, len(words)))
-        found.sort(key=lambda f: (f[2] - f[5], f[0], f[4]))  # most words agreed upon first
-        taken = []
-        for f in found:
-            if all(f[1] <= t[0] or t[1] <= f[0] for t in taken):
-                taken.append(f)
-        return [(name, start, end, differing, saved) for start, end, differing, saved, name, _ in sorted(taken)]
+                for first, last, differing in self.confirmed(words, template, many):
+                    key = window[first][1], window[last - 1][2], name, len(template)
+                    found[key] = min(found.get(key, (differing, saved)), (differing, saved))
+        best = sorted((differing - length, start, name, end, differing, saved) for (start, end, name, length), (differing, saved) in found.items())
+        taken: list[tuple] = []  # most words agreed upon first
+        for _, start, name, end, differing, saved in best:
+            k = bisect_right(taken, (start,))
+            if (k == len(taken) or end <= taken[k][0]) and (not k or taken[k - 1][1] <= start):
+                taken.insert(k, (start, end, name, differing, saved))
+        return [(name, start, end, differing, saved) for start, end, name, differing, saved in taken]
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -616,3 +616,28 @@ def test_stages_take_columns_of_any_name_and_empty_tables(spark):
         got = rows(out)
         assert got and all(r[c] == f"v{k}" for r in got for k, c in enumerate(CLASHING))
         assert not rows(stage(frame.where("false")))
+
+
+def test_licenses_planted_with_edits_in_long_texts(spark):
+    rng, matcher = random.Random(21), licenses.Matcher()
+    filler = lambda n: " ".join(rng.choices(WORDS + ["license", "licence", "of", "the", "and"], k=n))
+    for _ in range(25):
+        text, want = filler(rng.randint(0, 300)), []
+        for name in rng.sample(sorted(licenses.TEMPLATES), 6):
+            words = rng.choice(licenses.TEMPLATES[name]).split(" ")
+            if name == "BSD":
+                continue
+            for at in rng.sample(range(5, len(words)), int(0.03 * len(words))) if len(words) > 20 else []:
+                if not licenses._TELLING.match(words[at].lower().strip(".,()")):
+                    words[at] = "changed"
+            start = len(text) + 1
+            text += " " + " ".join(words)
+            want.append((name, start))
+            text += " " + filler(rng.randint(40, 400))
+        assert [(f[0], f[1]) for f in matcher.find(text)] == want
+    close = "license " * 2000
+    assert sum(1 for _ in matcher.windows(close)) < 20 and matcher.find(close) == []
+    data = [(1, None), (2, ""), (None, None), (3, licenses.TEMPLATES["MIT"][0]), (3, licenses.TEMPLATES["MIT"][0]), (4, "word " * 200_000 + licenses.TEMPLATES["ISC"][1])]
+    got = rows(licenses.scan_licenses(spark.createDataFrame(data, "doc_id long, text string")))
+    assert sorted((str(r["doc_id"]), r["licenses"]) for r in got) == [("1", ""), ("2", ""), ("3", "MIT"), ("3", "MIT"), ("4", "ISC"), ("None", "")]
+    assert not rows(licenses.scan_licenses(spark.createDataFrame([], "doc_id long, text string")))
