@@ -166,9 +166,14 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     longer changes, so neither edges nor labels ever meet in one place.
     """
 
-    def kept(e: DataFrame, tasks: int | None = None):
+    def tasks(rows: int) -> int:
+        return max(LEAST_TASKS, -(-2 * rows // EDGES_A_TASK))
+
+    def kept_small(df: DataFrame, rows: int) -> DataFrame:
+        return checkpointed(df.coalesce(tasks(rows)))
+
+    def kept(e: DataFrame):
         """The edges as stars within each partition, materialised, and what tells two sets of edges apart."""
-        e = e if tasks is None else e.coalesce(tasks)
         e = checkpointed(e.mapInArrow(_contract, "u long, v long"))
         return e, e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
@@ -176,13 +181,15 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         if not seen[0]:
             break
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # large star: what points at v points at the smallest neighbour of v; the root of a large star is a hot key
+        low = e.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m"))
+        ends = e.groupBy("v").agg(F.count("*").alias("many")).join(low, "v", "left").select("v", F.coalesce("m", "v").alias("m"), "many")
+        large = hot_join(e, kept_small(ends, seen[0]), "v").select("u", F.col("m").alias("v"))
+        # small star: so do all neighbours of u
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         step = large.join(low, "u")
         small = step.select("u", F.col("m").alias("v")).unionByName(step.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        e, now = kept(small, max(LEAST_TASKS, -(-2 * seen[0] // EDGES_A_TASK)))
+        e, now = kept(small.coalesce(tasks(seen[0])))
         if now == seen:
             break
         seen = now

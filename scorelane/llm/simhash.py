@@ -253,7 +253,7 @@ def wide_parameters(n: int, similarity: float = SIMILARITY, recall: float = RECA
     """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     mean, slack = WIDE_BITS * share, SLACK * math.sqrt(WIDE_BITS * share * (1 - share))
-    bits = min(32, max(12, math.ceil(math.log2(max(n, 2))) - 2))
+    bits = min(32, max(8, math.ceil(math.log2(max(n, 2))) - 6))  # some dozens of unlike texts a bucket
     return math.ceil(mean + slack), bits, math.ceil(math.log(1 - recall) / math.log(1 - (1 - share) ** bits))
 
 
