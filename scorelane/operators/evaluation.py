@@ -78,3 +78,10 @@ def player_features(games: DataFrame, player: str, kind: str, value: str, ts: st
 def latest_value(rows: DataFrame, by: list, value: str, order: list[str], name: str) -> DataFrame:
     """The value of the last row in order of each group."""
     return rows.groupBy(*by).agg(F.max_by(value, F.struct(*order)).alias(name))
+
+
+def alerts(staleness: DataFrame, last: DataFrame, by: str, now: Column, hours: float, alerted: str = "alerted_at") -> DataFrame:
+    """Stale groups whose last alert, if any, is longer ago than so many hours."""
+    ago = now - F.expr(f"INTERVAL '{int(hours * 3600)}' SECOND")
+    due = staleness.where("stale").join(last.select(by, alerted), by, "left")
+    return due.where(F.col(alerted).isNull() | (F.col(alerted) < ago))

@@ -9,6 +9,9 @@ from scorelane.functions.html import absolute, capture_number, capture_text, cha
 
 from .pages import match_id, match_slug
 
+#: Of the records that this parser gives.
+PARSER_VERSION = "1"
+#: The markup of match pages, here and in the patterns below.
 MAP_OPEN, SECTION_OPEN = r'(?i)<div class="mapholder">', r'(?i)<div class="stats-content" id="[^"\s]+-content">'
 SECTION = r'(?i)<div class="stats-content"'
 MAP_LINK = r'(?i)href="([^"]*/stats/matches/(?:performance/)?mapstatsid/(\d+)/[^"]+)"'
@@ -123,7 +126,7 @@ def parse_matches(pages: DataFrame, base: str, url: str = "match_url", html: str
     s1, s2 = F.col("team1_score"), F.col("team2_score")
     status = F.when(F.col("__c"), "challenge").when((F.size("maps") > 0) & (F.size("player_stats") > 0), "parsed").otherwise("partial")
     winner = F.when(s1 > s2, F.col("team1.team_id")).when(s2 > s1, F.col("team2.team_id"))
-    return record.withColumns({"winner_team_id": winner, "status": status}).drop("__c")
+    return record.withColumns({"winner_team_id": winner, "status": status, "parser_version": F.lit(PARSER_VERSION)}).drop("__c")
 
 
 def maps_of(parsed: DataFrame) -> DataFrame:

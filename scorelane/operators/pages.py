@@ -49,9 +49,14 @@ def match_url(base: str, url: Column, number: Column) -> Column:
     return F.coalesce(F.nullif(url, F.lit("")), F.when(number != 0, F.concat(F.lit(base), F.lit("/matches/"), number.cast("string"), F.lit("/_"))))
 
 
-def summary(pages: DataFrame, base: str, pattern: str = MATCH_LINK) -> DataFrame:
-    """Per page: title, challenge markers, number and sample of links, characters and bytes."""
+def summary(pages: DataFrame, base: str, pattern: str = MATCH_LINK, url: Column | None = None) -> DataFrame:
+    """Per page: title, challenge markers, number and sample of links, characters and bytes.
+
+    With ``url``, only pages of results (/results within it) are searched for links.
+    """
     html, found = F.col("html"), links(F.col("html"), base, pattern)
+    if url is not None:
+        found = F.when(F.contains(url, F.lit("/results")), found).otherwise(F.slice(found, 1, 0))
     return pages.select(
         "page_id",
         page_title(html).alias("title"),
@@ -97,3 +102,12 @@ def round_robin(items: DataFrame, order: str, n: int) -> DataFrame:
     ranked = placed.withColumn("rank", F.row_number().over(Window.partitionBy("part").orderBy("by")) - 1)
     ranked = ranked.join(F.broadcast(sizes.select("part", "base")), "part")
     return ranked.select("row.*", F.pmod(F.col("base") + F.col("rank"), F.lit(n)).alias("slot"))
+
+
+def archive_key(number: Column, at: Column) -> Column:
+    """storage/html/<number>_<instant>.html, as the archive names its pages."""
+    return F.concat(F.lit("storage/html/"), number.cast("string"), F.lit("_"), F.date_format(at, "yyyy-MM-dd_HH-mm-ss"), F.lit(".html"))
+
+
+def iso_instant(at: Column) -> Column:
+    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")

@@ -253,7 +253,16 @@ def round_winners(scores: Column) -> Column:
     return F.array_compact(won)
 
 
-def series_to_rounds(score1: Column, score2: Column) -> Column:
-    """Side numbers 0 and 1: one for each point below 15 points in all, else the winner alone; -1 if unknown."""
+def series_to_rounds(score1: Column, score2: Column, faithful: bool = False) -> Column:
+    """Side numbers 0 and 1: one for each point below 15 points in all, else the winner alone; -1 if unknown.
+
+    faithful: the winner of a long game is found by comparing the scores as text ('9' is more than '16').
+    """
     few = F.concat(F.array_repeat(F.lit(0), score1), F.array_repeat(F.lit(1), score2))
-    return F.when(score1.isNull() | score2.isNull(), F.array(F.lit(-1))).when(score1 + score2 < 15, few).otherwise(F.array(F.when(score1 > score2, 0).otherwise(1)))
+    first = score1.cast("string") > score2.cast("string") if faithful else score1 > score2
+    return F.when(score1.isNull() | score2.isNull(), F.array(F.lit(-1))).when(score1 + score2 < 15, few).otherwise(F.array(F.when(first, 0).otherwise(1)))
+
+
+def winner_number(score1: Column, score2: Column) -> Column:
+    """1 or 2 for the side with more points, 0 for a tie; null if a score is missing."""
+    return F.when(score1 > score2, 1).when(score1 < score2, 2).when(score1 == score2, 0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scorelane.operators import evaluation, legacy, messages, orchestration, pages, ratings, state
+from scorelane.operators import evaluation, legacy, messages, orchestration, pages, ratings, state, store
 from scorelane.plans.catalogue import BASE, _query, _read
 
 # discovery runs
@@ -351,3 +351,97 @@ def odds_latest_by_provider(spark, sf_dir):
 def dealt_in_turn(spark, sf_dir):
     e = _read(spark, sf_dir, "events").select("event_id", (-F.col("event_id")).alias("back"))
     return pages.round_robin(e, "back", 7).select("event_id", F.col("slot").cast("long").alias("slot"))
+
+
+# tables of parsed matches: even orders are there already, and those beyond them that 3 divides come in a batch
+
+
+def _records(orders):
+    """Records as the parser gives them, written from orders and their lines; every 30th is a challenge page."""
+    text = lambda c: F.col(c).cast("string")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    challenge = k % 30 == 0
+    team = lambda number: F.struct(F.when(~challenge & (number % 10 != 0), number).alias("team_id"), F.concat(F.lit("T"), number.cast("string"), F.lit("/"), (k % 2).cast("string")).alias("name"))
+    game = F.struct(k.alias("map_id"), F.concat(F.lit("M"), text("o_orderkey")).alias("map_name"))
+    player = F.struct(c.alias("player_id"), F.concat(F.lit("P"), (k % 2).cast("string")).alias("nickname"), F.lit(5).alias("kills"))
+    none = lambda kind: F.lit(None).cast(kind)
+    nothing = lambda x: F.when(challenge, F.slice(F.array(x), 1, 0)).otherwise(F.array(x))
+    return orders.select(
+        k.alias("match_id"), none("string").alias("slug"), F.lit("/u").alias("source_url"), F.when(~challenge, F.col("o_orderpriority")).alias("event_name"), none("int").alias("best_of"), none("timestamp_ntz").alias("scheduled_at"),
+        none("long").alias("winner_team_id"), team(c).alias("team1"), team(c + 1).alias("team2"), none("int").alias("team1_score"), none("int").alias("team2_score"), F.when(challenge, "challenge").otherwise("parsed").alias("status"),
+        none("string").alias("raw_demo_url"), F.lit("1").alias("parser_version"), nothing(game).alias("maps"), nothing(player).alias("player_stats"),
+    )
+
+
+def _ingested(spark, sf_dir, preserve=False):
+    o = _read(spark, sf_dir, "orders")
+    batch = _records(o.where("o_orderkey % 3 = 0"))
+    before = _records(o.where("o_orderkey % 2 = 0")).withColumns({"team1_id": F.col("team1.team_id"), "team2_id": F.col("team2.team_id"), "team1_name": F.col("team1.name"), "team2_name": F.col("team2.name")})
+    old, now = F.lit("2024-01-01").cast("timestamp_ntz"), F.lit("2024-02-02").cast("timestamp_ntz")
+    before = before.withColumns({"event_name": F.lit("old"), "html_key": F.lit("old.html"), "demo_key": F.lit("d"), "first_seen_at": old, "last_ingested_at": old, "ingest_error": F.lit("e")})
+    keys = o.where("o_orderkey % 4 = 0").select(F.col("o_orderkey").alias("match_id"), F.lit("new.html").alias("html_key"))
+    c = _read(spark, sf_dir, "customer").where("c_custkey % 2 = 0")
+    tables = {
+        "teams": c.select(F.col("c_custkey").alias("team_id"), F.lit("old").alias("name"), old.alias("created_at"), old.alias("updated_at")),
+        "matches": before.select("match_id", *store.PARSED, "html_key", "demo_key", "first_seen_at", "last_ingested_at", "ingest_error"),
+        "maps": o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("match_id"), F.lit(7).alias("pos"), F.lit(1).cast("long").alias("map_id"), F.lit("old").alias("map_name")),
+        "players": c.select(F.col("c_custkey").alias("player_id"), F.lit("old").alias("nickname"), old.alias("created_at"), old.alias("updated_at")),
+        "stats": o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("match_id"), F.lit(1).cast("long").alias("player_id"), F.lit("old").alias("nickname"), F.lit(0).alias("kills")),
+    }
+    return store.ingested(tables, batch, keys, now, preserve)
+
+
+_OLD, _NOW = "TIMESTAMP '2024-01-01 00:00:00'", "TIMESTAMP '2024-02-02 00:00:00'"
+_BATCH = """WITH b AS (SELECT *, o_orderkey % 30 = 0 AS challenge FROM orders WHERE o_orderkey % 3 = 0),
+      s AS (SELECT o_orderkey, o_custkey + i AS id, 'T' || (o_custkey + i) || '/' || o_orderkey % 2 AS name FROM b, (VALUES (0), (1)) v(i) WHERE NOT challenge AND (o_custkey + i) % 10 <> 0),
+      c AS (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) """
+
+
+@_query(_BATCH + f"""SELECT coalesce(n.id, c_custkey) AS team_id, coalesce(n.name, 'old') AS name, CASE WHEN c_custkey IS NULL THEN {_NOW} ELSE {_OLD} END AS created_at, CASE WHEN n.id IS NULL THEN {_OLD} ELSE {_NOW} END AS updated_at
+      FROM c FULL JOIN (SELECT id, arg_max(name, o_orderkey) AS name FROM s GROUP BY id) n ON id = c_custkey""")
+def teams_upserted(spark, sf_dir):
+    return _ingested(spark, sf_dir)["teams"]
+
+
+def _matches_sql(kept: str) -> str:
+    fresh = f"(b.o_orderkey IS NOT NULL AND NOT ({kept}))"
+    return _BATCH + f"""SELECT o.o_orderkey AS match_id, CASE WHEN {fresh} THEN CASE WHEN NOT challenge THEN o.o_orderpriority END ELSE 'old' END AS event_name, CASE WHEN o.o_orderkey % 30 = 0 THEN 'challenge' ELSE 'parsed' END AS status,
+      CASE WHEN {fresh} AND o.o_orderkey % 4 = 0 THEN 'new.html' WHEN o.o_orderkey % 2 = 0 THEN 'old.html' END AS html_key, CASE WHEN o.o_orderkey % 2 = 0 THEN 'd' END AS demo_key,
+      CASE WHEN o.o_orderkey % 2 = 0 THEN {_OLD} ELSE {_NOW} END AS first_seen_at, CASE WHEN {fresh} THEN {_NOW} ELSE {_OLD} END AS last_ingested_at, CASE WHEN NOT {fresh} THEN 'e' END AS ingest_error
+      FROM orders o LEFT JOIN b ON b.o_orderkey = o.o_orderkey WHERE o.o_orderkey % 2 = 0 OR o.o_orderkey % 3 = 0"""
+
+
+_MATCH_COLUMNS = ["match_id", "event_name", "status", "html_key", "demo_key", "first_seen_at", "last_ingested_at", "ingest_error"]
+
+
+@_query(_matches_sql("false"))
+def matches_upserted(spark, sf_dir):
+    return _ingested(spark, sf_dir)["matches"].select(*_MATCH_COLUMNS)
+
+
+@_query(_matches_sql("coalesce(challenge, false) AND o.o_orderkey % 2 = 0"))
+def matches_preserved(spark, sf_dir):
+    return _ingested(spark, sf_dir, True)["matches"].select(*_MATCH_COLUMNS)
+
+
+@_query(_BATCH + """SELECT o_orderkey AS match_id, 7 AS pos, 1::BIGINT AS map_id, 'old' AS map_name FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0 UNION ALL SELECT o_orderkey, 0, o_orderkey, 'M' || o_orderkey FROM b WHERE NOT challenge""")
+def maps_replaced(spark, sf_dir):
+    return _ingested(spark, sf_dir)["maps"]
+
+
+@_query(_BATCH + f"""SELECT coalesce(p.id, c_custkey) AS player_id, coalesce(p.name, 'old') AS nickname, CASE WHEN c_custkey IS NULL THEN {_NOW} ELSE {_OLD} END AS created_at, CASE WHEN p.id IS NULL THEN {_OLD} ELSE {_NOW} END AS updated_at
+      FROM c FULL JOIN (SELECT o_custkey AS id, arg_max('P' || o_orderkey % 2, o_orderkey) AS name FROM b WHERE NOT challenge GROUP BY 1) p ON id = c_custkey""")
+def players_upserted(spark, sf_dir):
+    return _ingested(spark, sf_dir)["players"]
+
+
+@_query(_BATCH + """SELECT o_orderkey AS match_id, 1::BIGINT AS player_id, 'old' AS nickname, 0 AS kills FROM orders WHERE o_orderkey % 2 = 0 AND (o_orderkey % 3 <> 0 OR o_orderkey % 30 = 0) UNION ALL SELECT o_orderkey, o_custkey, 'P' || o_orderkey % 2, 5 FROM b WHERE NOT challenge""")
+def stats_preserved(spark, sf_dir):
+    return _ingested(spark, sf_dir, True)["stats"]
+
+
+@_query("""SELECT user_id, max(ts) AS last_seen FROM events GROUP BY 1 HAVING max(ts) < TIMESTAMP '2024-01-20 00:00:00' - INTERVAL 24 HOUR AND (user_id % 3 <> 0 OR user_id % 2 = 0)""")
+def staleness_alerts(spark, sf_dir):
+    e, now = _read(spark, sf_dir, "events"), F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    last = e.where("user_id % 3 = 0").select("user_id", F.when(F.col("user_id") % 2 == 0, F.lit("2024-01-18 00:00:00")).otherwise("2024-01-19 12:00:00").cast("timestamp_ntz").alias("alerted_at")).distinct()
+    return evaluation.alerts(evaluation.stale(e, "user_id", "ts", now, 24), last, "user_id", now, 24).select("user_id", "last_seen")

@@ -31,6 +31,18 @@ def read_demos(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"))
 
 
+def read_table(spark: SparkSession, at: str | dict, name: str | None = None) -> DataFrame:
+    """A table as Parquet at a path, or, from a dict of options, by JDBC."""
+    if isinstance(at, dict):
+        return spark.read.format("jdbc").options(**at, **({"dbtable": name} if name else {})).load()
+    return spark.read.parquet(f"{at}/{name}" if name else at)
+
+
+def append_rows(rows: DataFrame, path: str, place: str = "place") -> None:
+    """Appends rows as text with semicolons; their order is in a column of its own, so a reader can take newest or oldest first."""
+    rows.select(F.concat_ws(";", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (place, *[x for x in rows.columns if x != place])]).alias("value")).write.mode("append").text(path)
+
+
 class _Tables(HTMLParser):
     def __init__(self):
         super().__init__()
