@@ -39,12 +39,18 @@ def decoded(text: Column) -> Column:
     return text
 
 
-def capture_text(text: Column, *patterns: str) -> Column:
-    """The first pattern with a non-empty group, trimmed, then decoded."""
-    return decoded(trimmed(F.coalesce(*[first_group(text, p) for p in patterns])))
+def first_of(texts: Column | tuple, *patterns: str) -> Column:
+    """The first pattern with a non-empty group; each is sought in the texts in turn (a part that likely holds it, then the whole)."""
+    texts = texts if isinstance(texts, tuple) else (texts,)
+    return F.coalesce(*[first_group(t, p) for p in patterns for t in texts])
 
 
-def capture_number(text: Column, *patterns: str) -> Column:
+def capture_text(text: Column | tuple, *patterns: str) -> Column:
+    """As first_of, trimmed, then decoded."""
+    return decoded(trimmed(first_of(text, *patterns)))
+
+
+def capture_number(text: Column | tuple, *patterns: str) -> Column:
     """As capture_text, without all but digits, dots and minus signs; null if that is no number."""
     digits = F.regexp_replace(capture_text(text, *patterns), "[^0-9.-]", "")
     return non_empty(digits).try_cast("double")

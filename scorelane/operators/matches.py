@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorelane.functions.html import absolute, capture_number, capture_text, challenge_markers, first_group, instant_of_epoch, trimmed
+from scorelane.functions.html import absolute, capture_number, capture_text, challenge_markers, first_group, first_of, instant_of_epoch, trimmed
 
 from .pages import match_id, match_slug
 
@@ -13,6 +13,7 @@ from .pages import match_id, match_slug
 PARSER_VERSION = "1"
 #: The markup of match pages, here and in the patterns below.
 MAP_OPEN, SECTION_OPEN = r'(?i)<div class="mapholder">', r'(?i)<div class="stats-content" id="[^"\s]+-content">'
+HEAD_END = r'(?i)<div class="(?:mapholder|stats-content)"'
 SECTION = r'(?i)<div class="stats-content"'
 MAP_LINK = r'(?i)href="([^"]*/stats/matches/(?:performance/)?mapstatsid/(\d+)/[^"]+)"'
 SKIPPED_MAPS = ("Default", "TBA")
@@ -23,15 +24,18 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _team(html: Column, n: int) -> Column:
-    block = F.regexp_extract(html, rf'(?is)<div[^>]*class="team{n}-gradient[^"]*".*?</div>', 0)
+def _team(head: Column, html: Column, n: int) -> Column:
+    pattern = rf'(?is)(<div[^>]*class="team{n}-gradient[^"]*".*?</div>)'
+    block = F.coalesce(first_of((head, html), pattern), F.lit(""))
     name = F.coalesce(F.nullif(capture_text(block, r'(?i)class="teamName[^"]*"[^>]*>([^<]+)'), F.lit("")), F.lit("Unknown"))
     return F.struct(first_group(block, r"(?i)/team/(\d+)/").cast("long").alias("team_id"), name.alias("name"))
 
 
-def _score(html: Column, n: int, faithful: bool) -> Column:
+def _score(head: Column, html: Column, n: int, faithful: bool) -> Column:
     """faithful: the search runs on past the team's own block, as far as the end of the page."""
     if not faithful:
+        # a block ends at the first map; the other team's may come first, and the head holds both or the page does
+        html = F.when(F.contains(head, F.lit(f'class="team{n}-gradient')), head).otherwise(html)
         html = F.concat(F.lit('class="team'), F.lit(f"{n}-gradient"), F.regexp_extract(html, rf'(?is)class="team{n}-gradient(.*?)(?:class="team{3 - n}-gradient|<div class="mapholder"|\z)', 1))
     return capture_number(html, *[rf'(?is)class="team{n}-gradient.*?class="{c}"[^>]*>(\d+)' for c in ("won", "score")]).cast("int")
 
@@ -104,20 +108,22 @@ def parse_matches(pages: DataFrame, base: str, url: str = "match_url", html: str
     page = pages.select(u.alias("source_url"), h.alias("__h"), (F.size(challenge_markers(h)) > 0).alias("__c"))
     h, c = F.when(F.col("__c"), F.lit("")).otherwise(F.col("__h")), F.col("__c")
     page = page.withColumn("__h", h)
-    h = F.col("__h")
-    teams = page.withColumns({"team1": _team(h, 1), "team2": _team(h, 2), "maps": _maps(h, F.col("source_url"), base)})
-    demo = F.coalesce(first_group(h, r'(?i)data-demo-link="([^"]+)"'), first_group(h, r'(?i)href="([^"]*/download/demo/[^"]+)"'))
+    # what is said of the match as a whole stands before its maps and sections: that part is searched first
+    page = page.withColumn("__head", F.split("__h", HEAD_END, 2)[0])
+    h, head = F.col("__h"), (F.col("__head"), F.col("__h"))
+    teams = page.withColumns({"team1": _team(*head, 1), "team2": _team(*head, 2), "maps": _maps(h, F.col("source_url"), base)})
+    demo = first_of(head, r'(?i)data-demo-link="([^"]+)"', r'(?i)href="([^"]*/download/demo/[^"]+)"')
     record = teams.select(
         match_id(F.col("source_url")).alias("match_id"),
         match_slug(F.col("source_url")).alias("slug"),
         "source_url",
-        capture_text(h, r'(?i)class="event text-ellipsis"[^>]*title="([^"]+)', r'(?i)class="event"[^>]*>\s*<a[^>]*>([^<]+)').alias("event_name"),
-        capture_number(h, r"(?i)Best of (\d+)", r"(?i)bo(\d+)").cast("int").alias("best_of"),
-        instant_of_epoch(capture_number(h, r'(?i)data-unix="(\d{10,13})"')).alias("scheduled_at"),
+        capture_text(head, r'(?i)class="event text-ellipsis"[^>]*title="([^"]+)', r'(?i)class="event"[^>]*>\s*<a[^>]*>([^<]+)').alias("event_name"),
+        capture_number(head, r"(?i)Best of (\d+)", r"(?i)bo(\d+)").cast("int").alias("best_of"),
+        instant_of_epoch(capture_number(head, r'(?i)data-unix="(\d{10,13})"')).alias("scheduled_at"),
         "team1",
         "team2",
-        _score(h, 1, faithful_scores).alias("team1_score"),
-        _score(h, 2, faithful_scores).alias("team2_score"),
+        _score(*head, 1, faithful_scores).alias("team1_score"),
+        _score(*head, 2, faithful_scores).alias("team2_score"),
         "maps",
         _stats(h, F.col("maps"), F.col("team1"), F.col("team2")).alias("player_stats"),
         absolute(demo, base).alias("raw_demo_url"),
