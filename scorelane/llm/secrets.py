@@ -11,6 +11,7 @@ come in stretches. Its p-value is held by Benjamini-Hochberg within classes of l
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,8 +24,10 @@ KINDS = (
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]+", 0, 24),
 )
-#: What is cheap to look for before the pattern itself; a text without it has no match that is long enough.
-HINTS = {"hex": r"[0-9a-f]{24}", "access": r"AKIA[A-Z0-9]{16}"}
+#: What is cheap to look for before the pattern itself; a text without it has no match that is long enough. Looking behind
+#: spares the search from trying each place within a run.
+NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
+HINTS = {"hex": r"(?<![0-9a-f])[0-9a-f]{24}", "access": r"AKIA[A-Z0-9]{16}", "random": r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20}"}
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 KIND_RANDOM = "random"
 _DIGITS, _CAPITALS, _SMALL = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -92,7 +95,9 @@ def _spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Col
 
     nothing = F.array().cast(spans)
     found = F.aggregate(rows, F.struct(F.lit(0).alias("at"), nothing.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.rlike(HINTS.get(kind, pattern)), found).otherwise(nothing)
+    lowered = F.lower(text)
+    hint = reduce(Column.__or__, [F.contains(lowered, F.lit(n)) for n in NAMES]) if kind == "assign" else text.rlike(HINTS[kind])
+    return F.when(hint, found).otherwise(nothing)
 
 
 def _normal_below(z: Column) -> Column:
