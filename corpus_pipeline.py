@@ -49,10 +49,19 @@ STAGES = [("quality", quality), ("exact_dedup", exact_copies), ("simhash_dedup",
 ORACLE_SQL = None
 
 
+def _remove(spark, path):
+    """Deletes a folder of the shared file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def run(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:  # the stage after it is whole, so nothing reads it again
+            _remove(spark, before)
+        before = path
     return docs
