@@ -48,22 +48,23 @@ def drawn(of: Column, most: int, n: int) -> Column:
     return of < F.lit(most * 2**64 // n - 2**63)
 
 
-#: A key is hot if it holds more than one in so many rows: there are fewer hot keys than this, whatever the data.
-HOT_SHARE = 1_000
+#: A key is hot if it holds more than one in HOT_SHARE rows, or than HOT_ROWS where that is less, but never one in less than
+#: one in MOST_HOT: there are fewer hot keys than MOST_HOT, whatever the data.
+HOT_SHARE, HOT_ROWS, MOST_HOT = 1_000, 1_000_000, 100_000
 
 
 def hot_join(left: DataFrame, right: DataFrame, key: str, many: str = "many", how: str = "inner") -> DataFrame:
     """left joined (inner or left) with the row of right that has its key; hot keys do not meet in one task.
 
     ``right`` has one row a key, with the number of left's rows of that key in the column ``many``, which is left
-    out of the result. Fewer than HOT_SHARE keys can each hold more than a share of 1 / HOT_SHARE of the rows that
-    right counts, so these are broadcast; the others are joined by shuffle. Both sides are read twice: pass tables or
-    checkpoints.
+    out of the result. Few keys can each hold more rows than the limit (see HOT_SHARE), so these are broadcast; the others
+    are joined by shuffle. Both sides are read twice: pass tables or checkpoints.
     """
     total = right.agg(F.sum(many)).first()[0] or 0
-    hot = right.where(F.col(many) * HOT_SHARE > F.lit(total)).drop(many)
+    limit = min(total // HOT_SHARE, max(HOT_ROWS, total // MOST_HOT))
+    hot = right.where(F.col(many) > limit).drop(many)
     rest = left.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return left.join(F.broadcast(hot), key).unionByName(rest.join(right.where(F.col(many) * HOT_SHARE <= F.lit(total)).drop(many), key, how))
+    return left.join(F.broadcast(hot), key).unionByName(rest.join(right.where(F.col(many) <= limit).drop(many), key, how))
 
 
 def spanning_star(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
