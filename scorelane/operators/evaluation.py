@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scorelane.operators.ordering import ROWS_A_PART, nearest_ranks, prefix_scan
+
 
 def sample_summary(rows: DataFrame, by: str, value: str) -> DataFrame:
-    """Count, total, mean, median, p95, least and most per group; percentiles are nearest ranks."""
-    rank = lambda p: F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {value})")
-    return rows.groupBy(by).agg(
-        F.count("*").alias("n"),
-        F.round(F.sum(value), 4).alias("total"),
-        F.round(F.avg(value), 4).alias("avg"),
-        rank(0.5).alias("median"),
-        rank(0.95).alias("p95"),
-        F.min(value).alias("least"),
-        F.max(value).alias("most"),
-    )
+    """Count, total, mean, median, p95, least and most per group; percentiles are nearest ranks.
+
+    Null values do not count; a group of nulls alone has n 0 and nulls.
+    """
+    sums = rows.groupBy(by).agg(F.count(value).alias("n"), F.round(F.sum(value), 4).alias("total"), F.round(F.avg(value), 4).alias("avg"), F.min(value).alias("least"), F.max(value).alias("most"))
+    ranks = nearest_ranks(rows, by, value, {"median": "0.5", "p95": "0.95"}).withColumnRenamed(by, "of")
+    return sums.join(ranks, F.col(by).eqNullSafe(F.col("of")), "left").select(by, "n", "total", "avg", "median", "p95", "least", "most")
 
 
 def speed_up(rows: DataFrame, kind: str, value: str, cold: str, warm: str) -> DataFrame:
@@ -26,13 +24,24 @@ def speed_up(rows: DataFrame, kind: str, value: str, cold: str, warm: str) -> Da
     return sums.select(F.round(F.col("cold") - F.col("warm"), 2).alias("delta"), F.round(F.col("cold") / F.nullif("warm", F.lit(0.0)), 2).alias("ratio"))
 
 
-def running_accuracy(rows: DataFrame, group: str, order: str, p: Column, first_won: Column) -> DataFrame:
-    """Share of right predictions so far, by place in order; ties and even predictions count as places only."""
-    w = Window.partitionBy(group).orderBy(order)
+def running_accuracy(rows: DataFrame, group: str, order: str, p: Column, first_won: Column, rows_a_part: int = ROWS_A_PART) -> DataFrame:
+    """Share of right predictions so far, by place in order within each group; ties and even predictions count as places only."""
+    return prequential(rows, [F.col(order)], p, first_won, None, [group], rows_a_part).withColumn("accuracy", F.round("accuracy", 6))
+
+
+def prequential(rows: DataFrame, order: list[Column], p: Column, first_won: Column, stop: int | None = 5001, group: list[str] | None = None, rows_a_part: int = ROWS_A_PART) -> DataFrame:
+    """rows with place and accuracy, the share of right predictions up to each, in one order (or one for each group).
+
+    A game without a winner (null) and a prediction of a half are places, but neither right nor reported, and the first
+    place is not reported. Nothing counts after ``stop`` places. Scanned in range partitions, so no order lies in one task.
+    """
     decided = first_won.isNotNull() & (p != 0.5)
-    right = F.when(decided & ((p > 0.5) == first_won), 1).otherwise(0)
-    marked = rows.withColumns({"place": F.row_number().over(w).cast("long"), "__right": F.sum(right).over(w), "__emit": decided})
-    return marked.where("__emit and place > 1").withColumn("accuracy", F.round(F.col("__right") / F.col("place"), 6)).drop("__right", "__emit")
+    right = F.when(decided & ((p > 0.5) == first_won), 1).otherwise(0).cast("long")
+    marked = prefix_scan(rows.withColumn("__decided", decided), order, {"place": F.lit(1).cast("long"), "__right": right}, group, rows_a_part)
+    marked = marked.where("__decided and place > 1")
+    if stop is not None:
+        marked = marked.where(F.col("place") <= stop)
+    return marked.withColumn("accuracy", F.col("__right") / F.col("place")).drop("__right", "__decided")
 
 
 def stale(rows: DataFrame, by: str, ts: str, now: Column, hours: float) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scorelane.operators.replay import replay
+
 K, START, SPREAD = 128.0, 1000.0, 400.0
 #: Published defaults of the two-team Gaussian rating.
 MU, SIGMA, BETA, TAU, DRAW = 25.0, 25 / 3, 25 / 6, 25 / 300, 0.10
@@ -45,70 +46,58 @@ def implied(odds: Column) -> Column:
     return F.round(1 / F.nullif(odds, F.lit(0.0)), 2)
 
 
-#: Games are replayed in batches of about so many, in order: what a task holds is a league's share of one.
-GAMES_A_BATCH = 2_000_000
+def elo_fold(games: DataFrame, league: str = "league", order: str = "game_id", side_a: str = "a", side_b: str = "b", won: str = "a_won", **sizes) -> DataFrame:
+    """Final (league, player, elo, games) of one-against-one games in order; see ``replay`` for ties, nulls and sizes."""
+
+    def fold(game: dict, held: dict) -> None:
+        x, y, w = game[side_a], game[side_b], game[won]
+        rx, ry = held[x]["elo"], held[y]["elo"]
+        ex = 1 / (1 + 10 ** ((ry - rx) / SPREAD))
+        held[x] = {"elo": rx + K * (w - ex), "games": held[x]["games"] + 1}
+        held[y] = {"elo": ry + K * ((1 - w) - (1 - ex)), "games": held[y]["games"] + 1}
 
+    used = games.select(league, order, side_a, side_b, won)
+    final = replay(used, league, order, F.array(side_a, side_b), fold, {"elo": "double", "games": "bigint"}, {"elo": START, "games": 0}, **sizes)[1]
+    return final.withColumnRenamed("league", league)
 
-def _replay(games: DataFrame, league: str, order: str, players: Column, fold, out: str, state: str, batch: int) -> tuple[DataFrame, DataFrame]:
-    """(rows that ``fold`` gives for games, final state) of a replay in order.
 
-    fold(games, known) takes one league's games of a batch, in order, and a dict from player to a tuple of state columns; it
-    changes the dict and returns rows as a frame with the columns of ``out``. Leagues of a batch run side by side; batches
-    follow each other, and between them the state is a table in the shared folder, of which a batch reads its own players.
+def elo_rounds(one: list[float], two: list[float], rounds: list[int], faithful: bool = True) -> tuple[list[float], list[float]]:
+    """Ratings of both teams after rounds won by side 0 or 1; others (unknown) change nothing.
+
+    Each player is measured against the other team's mean. faithful: a mean is of a sum that starts at -1, by the size of
+    the first team.
     """
-    from scorelane.sources.files import checkpointed
-
-    kind = dict(games.dtypes)
-    names = [f.split()[0] for f in state.split(", ")]
-    n = games.count()
-    many = max(1, -(-n // batch))
-    cuts = games.approxQuantile(order, [k / many for k in range(1, many)], 0.1 / many) if many > 1 else []
-    bounds = list(zip([None, *cuts], [*cuts, None], strict=True))
-    player = games.select(players.alias("p")).schema["p"].dataType.elementType.simpleString()
-    known = games.sparkSession.createDataFrame([], f"`{league}` {kind[league]}, player {player}, {state}")
-    made = []
-    columns = [f.split()[0].strip("`") for f in out.split(", ")]
-    schema = f"`{league}` {kind[league]}, player {player}, {state}, {out}"
-
-    def run(key, pdf: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
-        held = {row[0]: tuple(row[1:]) for row in before[["player", *names]].itertuples(index=False)}
-        rows = fold(pdf.sort_values(order), held)
-        after = pd.DataFrame([(p, *v) for p, v in held.items()], columns=["player", *names])
-        both = pd.concat([after.astype(object), rows[columns].astype(object)], ignore_index=True) if len(rows) else after.astype(object)
-        both[league] = key[0]
-        both = both.reindex(columns=[league, "player", *names, *columns])
-        return both.astype(object).where(both.notna(), None)
-
-    for low, high in bounds:
-        part = games
-        part = part if low is None else part.where(F.col(order) > low)
-        part = part if high is None else part.where(F.col(order) <= high)
-        mine = known.join(part.select(league, F.explode(players).alias("player")).distinct(), [league, "player"], "left_semi")
-        both = checkpointed(part.groupBy(league).cogroup(mine.groupBy(league)).applyInPandas(run, schema))
-        fresh = both.where(F.col("player").isNotNull()).select(league, "player", *names)
-        known = checkpointed(known.join(fresh, [league, "player"], "left_anti").unionByName(fresh))
-        made.append(both.where(F.col("player").isNull()).select(league, *columns))
-    rows = made[0]
-    for more in made[1:]:
-        rows = rows.unionByName(more)
-    return rows, known
-
-
-def elo_fold(games: DataFrame, league: str = "league", order: str = "game_id", side_a: str = "a", side_b: str = "b", won: str = "a_won", batch: int = GAMES_A_BATCH) -> DataFrame:
-    """Final (league, player, elo, games) of one-against-one games replayed in order.
-
-    Ratings depend on all earlier games of a league, so its games are sequential by nature; see ``_replay``.
+    for w in rounds:
+        if w not in (0, 1):
+            continue
+        less, sizes = (1, (len(one), len(one))) if faithful else (0, (len(one), len(two)))
+        m1, m2 = (sum(one) - less) / sizes[0], (sum(two) - less) / sizes[1]
+        expected = lambda r, m: 1 / (1 + 10 ** ((m - r) / SPREAD))
+        one, two = [r + K * ((w == 0) - expected(r, m2)) for r in one], [r + K * ((w == 1) - expected(r, m1)) for r in two]
+    return one, two
+
+
+def elo_dataset(rows: DataFrame, mark=None, league: str = "league", game: str = "game_id", player: str = "player_id", side: str = "side", score1: str = "score1", score2: str = "score2", faithful: bool = True, known: DataFrame | None = None, **sizes) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(final ratings (league, player, elo), games refused, new mark) of rows of players, ten a game.
+
+    Games above the mark are replayed by game id, each in the rounds that its series of scores gives (see
+    ``series_to_rounds``). Games of other than ten rows or without one side are refused, as are those at or below the
+    mark; the mark passes all of them. ``side`` is 1 or 2. ``known`` holds ratings of an earlier run.
     """
+    team = lambda k: F.collect_list(F.when(F.col(side) == k, F.col(player)))  # noqa: E731 (of one game)
+    games = rows.groupBy(league, game).agg(F.array_sort(team(1)).alias("one"), F.array_sort(team(2)).alias("two"), F.max(score1).alias("s1"), F.max(score2).alias("s2"), F.count("*").alias("n"))
+    games = games.withColumn("rounds", series_to_rounds(F.col("s1"), F.col("s2"), faithful)).drop("s1", "s2")
+    beyond = F.lit(True) if mark is None else F.col(game) > F.lit(mark)
+    good = (F.col("n") == 10) & (F.size("one") > 0) & (F.size("two") > 0) & F.coalesce(beyond, F.lit(False))
 
-    def fold(pdf: pd.DataFrame, held: dict) -> pd.DataFrame:
-        for x, y, w in pdf[[side_a, side_b, won]].itertuples(index=False):
-            (rx, nx), (ry, ny) = held.get(x, (START, 0)), held.get(y, (START, 0))
-            ex = 1 / (1 + 10 ** ((ry - rx) / SPREAD))
-            held[x], held[y] = (rx + K * (w - ex), nx + 1), (ry + K * ((1 - w) - (1 - ex)), ny + 1)
-        return pd.DataFrame({"none": []})
+    def fold(g: dict, held: dict) -> None:
+        one, two = elo_rounds([held[p]["elo"] for p in g["one"]], [held[p]["elo"] for p in g["two"]], g["rounds"], faithful)
+        for p, r in zip([*g["one"], *g["two"]], [*one, *two], strict=True):
+            held[p] = {"elo": r}
 
-    used = games.select(league, order, side_a, side_b, won)
-    return _replay(used, league, order, F.array(side_a, side_b), fold, "none int", "elo double, games long", batch)[1]
+    final = replay(games.where(good).drop("n"), league, game, F.concat("one", "two"), fold, {"elo": "double"}, {"elo": START}, known=known, **sizes)[1]
+    new = games.agg(F.greatest(F.max(game), F.lit(mark)).alias("mark"))
+    return final.withColumnRenamed("league", league), games.where(~good).select(league, game, "n"), new
 
 
 def _cdf(x: float) -> float:
@@ -131,31 +120,35 @@ def gaussian_update(winners: list[tuple[float, float]], losers: list[tuple[float
     return new(winners, s2[0], 1), new(losers, s2[1], -1)
 
 
-def gaussian_fold(games: DataFrame, league: str = "league", order: str = "game_id", inverted: bool = False, batch: int = GAMES_A_BATCH) -> DataFrame:
-    """Per game: game_id, p (chance of the first side before the game), first_won and league, replayed in order.
+def gaussian_replay(games: DataFrame, league: str = "league", order: str = "game_id", inverted: bool = False, rounds: str | None = None, known: DataFrame | None = None, **sizes) -> tuple[DataFrame, DataFrame]:
+    """(games with p, the chance of the first side before the game; final (league, player, mu, sigma)), replayed in order.
 
-    Games have players1, players2 (arrays) and first_won. ``inverted`` credits the losing side, as a rank
-    convention the wrong way round would. See ``_replay``.
+    Games have players1, players2 (arrays) and first_won; with ``rounds``, a column of winners (1 or 2), each round is an
+    update of its own. ``inverted`` credits the losing side, as a rank convention the wrong way round would. ``known`` holds
+    ratings of an earlier run. See ``replay`` for ties, nulls and sizes.
     """
-    start = (MU, SIGMA)
-
-    def fold(pdf: pd.DataFrame, held: dict) -> pd.DataFrame:
-        out = []
-        for game, one, two, won in pdf[[order, "players1", "players2", "first_won"]].itertuples(index=False):
-            a, b = [held.get(p, start) for p in one], [held.get(p, start) for p in two]
-            spread = math.sqrt((len(a) + len(b)) * BETA * BETA + sum(s * s for _, s in a + b))
-            out.append((game, _cdf((sum(m for m, _ in a) - sum(m for m, _ in b)) / spread), bool(won)))
+
+    def fold(game: dict, held: dict) -> dict:
+        one, two = game["players1"], game["players2"]
+        a, b = ([(held[p]["mu"], held[p]["sigma"]) for p in side] for side in (one, two))
+        spread = math.sqrt((len(a) + len(b)) * BETA * BETA + sum(s * s for _, s in a + b))
+        p = _cdf((sum(m for m, _ in a) - sum(m for m, _ in b)) / spread) if spread else 0.5
+        for won in [game["first_won"]] if rounds is None else [r == 1 for r in game[rounds] or []]:
             if bool(won) != inverted:
                 a, b = gaussian_update(a, b)
             else:
                 b, a = gaussian_update(b, a)
-            held.update(zip([*one, *two], [*a, *b], strict=True))
-        return pd.DataFrame(out, columns=[order, "p", "first_won"])
+        held.update((q, {"mu": m, "sigma": s}) for q, (m, s) in zip([*one, *two], [*a, *b], strict=True))
+        return {"p": p}
+
+    used = games.select(league, order, "players1", "players2", "first_won", *([rounds] if rounds else []))
+    both = replay(used, league, order, F.concat("players1", "players2"), fold, {"mu": "double", "sigma": "double"}, {"mu": MU, "sigma": SIGMA}, "p double", known, **sizes)
+    return both[0], both[1].withColumnRenamed("league", league)
+
 
-    used = games.select(league, order, "players1", "players2", "first_won")
-    out = f"`{order}` {dict(games.dtypes)[order]}, p double, first_won boolean"
-    rows, _ = _replay(used, league, order, F.concat("players1", "players2"), fold, out, "mu double, sigma double", batch)
-    return rows.select(order, "p", "first_won", league)
+def gaussian_fold(games: DataFrame, league: str = "league", order: str = "game_id", inverted: bool = False, **more) -> DataFrame:
+    """The games' order, p, first_won and league of ``gaussian_replay``."""
+    return gaussian_replay(games, league, order, inverted, **more)[0].select(order, "p", "first_won", league)
 
 
 def percent_text(p: Column, faithful: bool = False) -> Column:
@@ -207,12 +200,18 @@ def since(rows: DataFrame, key: str, mark: int) -> tuple[DataFrame, DataFrame]:
     return rows.where(F.col(key) > mark), rows.where(F.col(key) <= mark)
 
 
-def rating_run(games: DataFrame, mark: int, league: str = "league", order: str = "game_id", batch: int = GAMES_A_BATCH) -> tuple[DataFrame, DataFrame, Column]:
-    """(predictions, skipped, new mark) of the games beyond a mark: those without five a side are skipped, and pass the mark too."""
+def rating_run(games: DataFrame, mark: int, league: str = "league", order: str = "game_id", known: DataFrame | None = None, **more) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(predictions, final ratings, skipped games, new mark) of the games beyond a mark.
+
+    Games without five a side are skipped, and pass the mark too; those at or below the mark are refused by leaving them
+    out. ``known`` holds the ratings that the run before left.
+    """
     fresh, _ = since(games, order, mark)
     good = five_a_side(fresh)
-    skipped = fresh.join(good.select(order), order, "left_anti")
-    return gaussian_fold(good, league, order, batch=batch), skipped, F.coalesce(F.max(order), F.lit(mark))
+    bad = ~((F.size("players1") == 5) & (F.size("players2") == 5))
+    skipped = fresh.where(F.coalesce(bad, F.lit(True)))
+    predictions, final = gaussian_replay(good, league, order, known=known, **more)
+    return predictions, final, skipped, games.agg(F.greatest(F.max(order), F.lit(mark)).alias("mark"))
 
 
 def resume_mark(rows: DataFrame, key: str, start: int) -> DataFrame:

@@ -177,39 +177,6 @@ def test_enqueue_and_discovery_runs(spark, tmp_path):
     assert {(r["run_id"], r["way"], r["session"]) for r in work.collect()} == {(1, "inline", "k"), (2, "enqueued", "default")}
 
 
-def test_folds_in_batches_equal_one_pass(spark):
-    import random
-
-    rng = random.Random(4)
-    games = [(g % 3, g, rng.randrange(6), 6 + rng.randrange(6), rng.random() < 0.6) for g in range(300)]
-    frame = spark.createDataFrame([(lg, g, a, b, int(w)) for lg, g, a, b, w in games], "league long, game_id long, a long, b long, a_won int")
-    elo: dict = {}
-    for lg, _, a, b, w in games:
-        x, y = elo.get((lg, a), 1000.0), elo.get((lg, b), 1000.0)
-        ex = 1 / (1 + 10 ** ((y - x) / 400))
-        elo[lg, a], elo[lg, b] = x + 128 * (w - ex), y + 128 * (ex - w)
-    for batch in (1000, 70):
-        got = {(r["league"], r["player"]): r["elo"] for r in ratings.elo_fold(frame, batch=batch).collect()}
-        assert got == pytest.approx(elo)
-    teams = frame.select("league", "game_id", F.array("a", F.col("a") + 100).alias("players1"), F.array("b", F.col("b") + 100).alias("players2"), (F.col("a_won") == 1).alias("first_won"))
-    whole = {r["game_id"]: r["p"] for r in ratings.gaussian_fold(teams).collect()}
-    assert {r["game_id"]: r["p"] for r in ratings.gaussian_fold(teams, batch=70).collect()} == pytest.approx(whole) and len(whole) == 300
-    known: dict = {}
-    for lg, g, a, b, w in games:
-        one_, two = [known.get((lg, p), (25.0, 25 / 3)) for p in (a, a + 100)], [known.get((lg, p), (25.0, 25 / 3)) for p in (b, b + 100)]
-        spread = (4 * (25 / 6) ** 2 + sum(s * s for _, s in one_ + two)) ** 0.5
-        assert whole[g] == pytest.approx(ratings._cdf((sum(m for m, _ in one_) - sum(m for m, _ in two)) / spread), abs=1e-9)
-        one_, two = ratings.gaussian_update(one_, two) if w else ratings.gaussian_update(two, one_)[::-1]
-        known.update(zip([(lg, p) for p in (a, a + 100, b, b + 100)], [*one_, *two], strict=True))
-
-
-def test_rating_run_from_a_mark(spark):
-    games = spark.createDataFrame([(0, g, list(range(5)), list(range(5, 10 if g != 4 else 9)), True) for g in range(1, 7)], "league long, game_id long, players1 array<long>, players2 array<long>, first_won boolean")
-    done, skipped, mark = ratings.rating_run(games, 2)
-    assert sorted(r["game_id"] for r in done.collect()) == [3, 5, 6] and [r["game_id"] for r in skipped.collect()] == [4]
-    assert games.agg(mark).first()[0] == 6
-
-
 def test_lines_and_lookups_of_files(spark, tmp_path):
     (tmp_path / "a.dem").write_bytes(b"12345")
     assert [(r["name"], r["size"]) for r in files.read_demos(spark, str(tmp_path / "a.dem")).collect()] == [("a.dem", 5)]
