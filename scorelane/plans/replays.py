@@ -84,3 +84,22 @@ def prequential_accuracy(spark, sf_dir):
     winner = F.when(~F.col("tied"), F.col("first_won"))
     done = evaluation.prequential(met, [F.col("game_id")], F.bround("p", 2), winner)
     return done.select("game_id", "place", F.round("accuracy", 6).alias("accuracy"))
+
+
+@_query(_gaussian_sql(_LEAGUES) + """, h AS (SELECT max(event_id) // 2 AS half FROM events)
+      SELECT event_id AS game_id, round(f.p, 6) AS p, league::VARCHAR AS league, 'rated' AS outcome FROM e JOIN f USING (league, k)
+      UNION ALL SELECT event_id, NULL, league::VARCHAR, 'refused' FROM e, h WHERE event_id <= half AND event_id % 10 = 0""")
+def rating_stream(spark, sf_dir):
+    """The games of trueskill_fold as a stream that is stopped and started again; some games come twice and are refused."""
+    from scorelane.sources.files import shared_folder
+    from scorelane.streaming.ratings import rate_stream
+
+    e = _read(spark, sf_dir, "events")
+    root, half = shared_folder(spark, "ratings"), e.agg(F.floor(F.max("event_id") / 2)).first()[0]
+    team = lambda c: F.array(*[c * 10 + k for k in range(5)])
+    two = F.col("user_id") + 4 * (1 + F.col("event_id") % 3)
+    games = e.select((F.col("user_id") % 4).alias("league"), F.col("event_id").alias("game_id"), team(F.col("user_id")).alias("players1"), team(two).alias("players2"), (F.col("value") > 15).alias("first_won"))
+    for part in (games.where(F.col("game_id") <= half), games.where((F.col("game_id") > half) | (F.col("game_id") % 10 == 0))):
+        part.write.mode("append").parquet(f"{root}/in")
+        rate_stream(spark.readStream.schema(games.schema).parquet(f"{root}/in"), f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out").select("game_id", F.round("p", 6).alias("p"), "league", "outcome")
