@@ -82,3 +82,19 @@ def nearest_ranks(rows: DataFrame, by: str, value: str, shares: dict[str, str],
     else:
         raise RuntimeError("a selection did not end")
     return state.groupBy(F.col("g").alias(by)).agg(*[F.max(F.when(F.col("k") == k, F.col("lo"))).alias(name) for k, name in enumerate(at)])
+
+
+def as_of(left: DataFrame, right: DataFrame, key: str, left_at: str, right_at: str, columns: list[str], rows_a_part: int = ROWS_A_PART) -> DataFrame:
+    """left with ``columns`` of the last row of right with its key that is strictly earlier; nulls where there is none.
+
+    Both are scanned in one order: a row of left gets the number of right's rows before it, and an equi-join on key and
+    number does the rest, so no key lies in one task. Of right's rows of one instant the greatest by columns counts. Rows
+    of right without an instant count for none, rows of left without one get nulls; a null key is one key.
+    """
+    rows = right.where(F.col(right_at).isNotNull()).select(F.col(key).alias("k"), F.col(right_at).alias("at"), F.struct(*columns).alias("v"))
+    both = left.select(F.struct("*").alias("l"), F.col(key).alias("k"), F.col(left_at).alias("at"), F.lit(0).alias("kind"))
+    both = both.unionByName(rows.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    both = prefix_scan(both, [F.col("at"), F.col("kind"), F.col("v")], {"upto": F.col("kind").cast("long")}, ["k"], rows_a_part)
+    found = both.where("kind = 1").select(F.col("k").alias("k2"), F.col("upto").alias("n"), F.col("v").alias("found"))
+    met = both.where("kind = 0").join(found, F.col("k").eqNullSafe(F.col("k2")) & (F.col("upto") == F.col("n")), "left")
+    return met.select("l.*", *[F.col(f"found.{c}").alias(c) for c in columns])

@@ -103,3 +103,29 @@ def rating_stream(spark, sf_dir):
         part.write.mode("append").parquet(f"{root}/in")
         rate_stream(spark.readStream.schema(games.schema).parquet(f"{root}/in"), f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out").select("game_id", F.round("p", 6).alias("p"), "league", "outcome")
+
+
+@_query("""WITH r AS (SELECT o_orderkey AS game_id, any_value(o_orderdate) AS ts, l_suppkey AS player, any_value(o_custkey % 20) AS team, any_value(o_orderkey % 7) AS map, any_value(o_orderstatus = 'F') AS won,
+            sum(l_quantity)::BIGINT AS kills, sum(l_linenumber)::BIGINT AS headshots, max(l_partkey) AS damage FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, l_suppkey),
+      h AS (SELECT l_suppkey AS player, l_shipdate AS at, max(l_partkey)::DOUBLE AS mu FROM lineitem GROUP BY ALL),
+      w AS (SELECT game_id, player, count(*) OVER t AS games, sum(won::INT) OVER t AS wins, sum(kills) OVER t AS kills, sum(headshots) OVER t AS heads, sum(damage) OVER t AS damage, avg(won::INT) OVER m AS map_rate
+            FROM r WINDOW t AS (PARTITION BY player ORDER BY ts RANGE BETWEEN INTERVAL 3 MONTH PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING),
+            m AS (PARTITION BY player, map ORDER BY ts, game_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)),
+      c AS (SELECT team, game_id, any_value(ts) AS ts, array_to_string(list_sort(list(DISTINCT player)), ';') AS roster FROM r GROUP BY team, game_id),
+      d AS (SELECT *, lag(roster) OVER (PARTITION BY team ORDER BY ts, game_id) <> roster AS changed FROM c),
+      s AS (SELECT team, game_id, date_diff('second', max(CASE WHEN changed THEN ts END) OVER (PARTITION BY team ORDER BY ts, game_id), ts) AS age FROM d)
+      SELECT r.game_id, r.player, h.mu AS rating, round(wins / nullif(games, 0), 6) AS win_rate, games, round(heads / nullif(w.kills, 0), 6) AS headshot_ratio, round(w.damage / nullif(games, 0), 6) AS adr, round(map_rate, 6) AS map_win_rate, age AS roster_seconds
+      FROM r JOIN w USING (game_id, player) JOIN s ON s.game_id = r.game_id AND s.team = r.team ASOF LEFT JOIN h ON h.player = r.player AND h.at < r.ts""")
+def game_features(spark, sf_dir):
+    """Orders as games, suppliers as players, ship dates as the instants of ratings."""
+    from scorelane.operators.features import game_features
+
+    o, lines = _read(spark, sf_dir, "orders"), _read(spark, sf_dir, "lineitem")
+    joined = o.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    rows = joined.groupBy(F.col("o_orderkey").alias("game_id"), F.col("l_suppkey").alias("player")).agg(
+        F.first("o_orderdate").alias("ts"), F.first(F.col("o_custkey") % 20).alias("team"), F.first(F.col("o_orderkey") % 7).alias("map"), F.first(F.col("o_orderstatus") == "F").alias("won"),
+        F.sum("l_quantity").cast("long").alias("kills"), F.sum("l_linenumber").alias("headshots"), F.max("l_partkey").alias("damage"),
+    )
+    history = lines.groupBy(F.col("l_suppkey").alias("player"), F.col("l_shipdate").alias("at")).agg(F.max("l_partkey").cast("double").alias("mu"))
+    six = lambda c: F.round(c, 6).alias(c)
+    return game_features(rows, history).select("game_id", "player", "rating", six("win_rate"), "games", six("headshot_ratio"), six("adr"), six("map_win_rate"), "roster_seconds")
