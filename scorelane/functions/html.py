@@ -72,3 +72,23 @@ def instant_of_epoch(value: Column) -> Column:
     """Epoch seconds, or milliseconds beyond ten digits, as a timestamp."""
     value = value.cast("long")
     return F.timestamp_millis(F.when(value > 9_999_999_999, value).otherwise(value * 1000))
+
+
+def origin(url: Column) -> Column:
+    """Scheme and host (with a port) of an absolute URL, in small letters; null for any other text."""
+    found = F.regexp_extract(url, r"(?i)^([a-z][a-z0-9+.-]*://[^/?#]+)", 1)
+    return F.nullif(F.lower(found), F.lit(""))
+
+
+def url_path(url: Column) -> Column:
+    """The path of an absolute URL, / where it has none; null for any other text."""
+    path = F.regexp_extract(url, r"(?i)^[a-z][a-z0-9+.-]*://[^/?#]+([^?#]*)", 1)
+    return F.when(origin(url).isNotNull(), F.coalesce(F.nullif(path, F.lit("")), F.lit("/")))
+
+
+def with_query(url: Column, parameters: dict[str, Column]) -> Column:
+    """The URL with parameters put after those that it has, encoded; null ones are left out, a fragment stays last."""
+    pairs = F.array_compact(F.array(*[F.when(v.isNotNull(), F.concat(F.lit(f"{k}="), F.url_encode(v.cast("string")))) for k, v in parameters.items()]))
+    plain, fragment = F.regexp_extract(url, r"^([^#]*)", 1), F.regexp_extract(url, r"(#.*)$", 1)
+    joint = F.when(F.contains(plain, F.lit("?")), "&").otherwise("?")
+    return F.when(F.size(pairs) == 0, url).otherwise(F.concat(plain, joint, F.array_join(pairs, "&"), fragment))

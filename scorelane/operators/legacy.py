@@ -138,3 +138,42 @@ def page_sections(html: Column) -> Column:
         F.regexp_extract_all(html, F.lit(r'id="(\d+|all)"'), F.lit(1)).alias("menu"),
         F.size(F.regexp_extract_all(html, F.lit(r'class="mapholder'), F.lit(0))).alias("n_maps"),
     )
+
+
+def general_info(html: Column) -> Column:
+    """What the oldest scraper reads of a page: both teams and scores, the date's parts, and the scores of played maps.
+
+    A team's id is that of the first, or second unlike, link in a header row of the statistics. A score is that of a block
+    with ``won``, ``lost`` or ``tie``; a played map without a winner has no score.
+    """
+    block = lambda n: F.regexp_extract(html, rf'(?s)class="team{n}-gradient(.*?)(?:class="team{3 - n}-gradient|class="mapholder|\z)', 1)
+    score = lambda n: F.nullif(F.regexp_extract(block(n), r'class="(?:won|lost|tie)">\s*(\d+)', 1), F.lit("")).try_cast("int")
+    name = lambda n: F.nullif(trimmed(F.regexp_extract(block(n), r'class="teamName">([^<]*)', 1)), F.lit(""))
+    ids = F.array_distinct(F.regexp_extract_all(html, F.lit(r'(?s)class="header-row">.*?href="/team/(\d+)/'), F.lit(1)))
+    date = F.regexp_extract(html, r'class="date">([^<]*)', 1)
+    part = lambda k: F.nullif(F.regexp_extract(date, r"^\s*(\d{1,2})[a-z]{2} of ([A-Za-z]+) (\d{4})\s*$", k), F.lit(""))
+    blocks = F.filter(F.slice(F.split(html, 'class="mapholder">'), 2, F.greatest(F.lit(1), F.size(F.split(html, 'class="mapholder">')))), lambda b: F.contains(b, F.lit('class="played"')) & ~F.contains(b, F.lit('class="mapname">Default<')))
+    pair = lambda b: F.concat(F.regexp_extract(b, r'class="won">(\d+)', 1), F.lit(":"), F.regexp_extract(b, r'class="lost">(\d+)', 1))
+    maps = F.transform(blocks, lambda b: F.struct(F.regexp_extract(b, r'class="mapname">([^<]*)', 1).alias("map"), F.when(F.contains(b, F.lit('class="won"')), pair(b)).alias("score")))
+    return F.struct(
+        name(1).alias("team1"), name(2).alias("team2"), F.get(ids, F.lit(0)).try_cast("long").alias("team1_id"), F.get(ids, F.lit(1)).try_cast("long").alias("team2_id"),
+        score(1).alias("score1"), score(2).alias("score2"), part(1).try_cast("int").alias("day"), month_number(part(2)).alias("month"), part(3).try_cast("int").alias("year"), maps.alias("maps"),
+    )
+
+
+#: The tables of a page that hold kills of each against each, by their place.
+KILL_TABLES = {1: "all", 2: "first", 3: "awp"}
+
+
+def kill_matrix(cells: DataFrame, key: str) -> DataFrame:
+    """Rows (key, kind, killer, victim, kills, deaths) of kill tables given as cells (key, table, row, col, cell).
+
+    The first row names the victims, the first cell of each other row the killer, and a cell such as 3:5 has the kills of both.
+    """
+    of = cells.where(F.col("table").isin(*KILL_TABLES))
+    kind = F.element_at(F.create_map(*[F.lit(x) for kv in KILL_TABLES.items() for x in kv]), F.col("table"))
+    names = of.where("row = 0").select(key, "table", "col", F.col("cell").alias("victim"))
+    killers = of.where("col = 0").select(key, "table", "row", F.col("cell").alias("killer"))
+    met = of.where("row > 0 and col > 0").join(names, [key, "table", "col"]).join(killers, [key, "table", "row"])
+    pair = F.split("cell", ":")
+    return met.select(key, kind.alias("kind"), "killer", "victim", trimmed(pair[0]).try_cast("int").alias("kills"), trimmed(F.get(pair, F.lit(1))).try_cast("int").alias("deaths"))

@@ -24,6 +24,10 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def _after_first(parts: Column) -> Column:
+    return F.filter(parts, lambda _, i: i > 0)
+
+
 def _team(head: Column, html: Column, n: int) -> Column:
     pattern = rf'(?is)(<div[^>]*class="team{n}-gradient[^"]*".*?</div>)'
     block = F.coalesce(first_of((head, html), pattern), F.lit(""))
@@ -36,12 +40,12 @@ def _score(head: Column, html: Column, n: int, faithful: bool) -> Column:
     if not faithful:
         # a block ends at the first map; the other team's may come first, and the head holds both or the page does
         html = F.when(F.contains(head, F.lit(f'class="team{n}-gradient')), head).otherwise(html)
-        html = F.concat(F.lit('class="team'), F.lit(f"{n}-gradient"), F.regexp_extract(html, rf'(?is)class="team{n}-gradient(.*?)(?:class="team{3 - n}-gradient|<div class="mapholder"|\z)', 1))
+        html = F.concat(F.lit(f'class="team{n}-gradient'), F.regexp_extract(html, rf'(?is)class="team{n}-gradient(.*?)(?:class="team{3 - n}-gradient|<div class="mapholder"|\z)', 1))
     return capture_number(html, *[rf'(?is)class="team{n}-gradient.*?class="{c}"[^>]*>(\d+)' for c in ("won", "score")]).cast("int")
 
 
 def _maps(html: Column, url: Column, base: str) -> Column:
-    blocks = F.transform(F.slice(F.split(html, MAP_OPEN, -1), 2, 1_000_000), lambda b: F.split(b, SECTION, 2)[0])
+    blocks = F.transform(_after_first(F.split(html, MAP_OPEN, -1)), lambda b: F.split(b, SECTION, 2)[0])
 
     def one(block: Column) -> Column:
         link = first_group(block, MAP_LINK)
@@ -68,7 +72,7 @@ def _stats(html: Column, maps: Column, team1: Column, team2: Column) -> Column:
 
 def _stats_of(html: Column, maps: Column, team1: Column, team2: Column) -> Column:
     ids = F.regexp_extract_all(html, F.lit(r'(?i)<div class="stats-content" id="([^"\s]+)-content">'), F.lit(1))
-    bodies = F.transform(F.slice(F.split(html, SECTION_OPEN, -1), 2, 1_000_000), lambda b: F.split(b, SECTION, 2)[0])
+    bodies = F.transform(_after_first(F.split(html, SECTION_OPEN, -1)), lambda b: F.split(b, SECTION, 2)[0])
 
     def player(row: Column, game: Column, team: Column) -> Column:
         pair = r'(?i)class="kd text-center traditional-data">\s*(\d+)\s*-\s*(\d+)\s*<'

@@ -124,3 +124,23 @@ def answer(error: Column, challenge: Column, failed: Column) -> Column:
     said = F.coalesce(error, F.when(challenge, F.lit("challenge page")), failed)
     body = F.when(status == DONE, F.to_json(F.struct(F.lit(True).alias("ok")))).otherwise(F.to_json(F.struct(F.lit(False).alias("ok"), said.alias("error"))))
     return F.struct(status.alias("status"), body.alias("body"))
+
+
+def acquisitions(requests: DataFrame, mode: str = "acquisition_mode", session: str = "browser_session_key") -> DataFrame:
+    """How often pages are acquired in each way and session: plainly unless a known mode asks for a browser; sessions have a key."""
+    way = F.when(F.col(mode).isin("browser", "browser-session"), F.col(mode)).otherwise("http")
+    marked = requests.select(way.alias("way"), F.when(way == "browser-session", session_key(F.col(session))).alias("session"))
+    return marked.groupBy("way", "session").agg(F.count("*").alias("n"))
+
+
+def ingest_outcomes(checked: DataFrame, pages: DataFrame, base: str) -> DataFrame:
+    """Adds url and outcome to validated ingest messages: ``done``, ``dropped`` (invalid) or ``retry`` (no page, or a challenge).
+
+    ``checked`` has error, match_url and match_id; ``pages`` a row a url with ``challenge``.
+    """
+    from scorelane.operators.pages import match_url
+
+    asked = checked.withColumn("url", match_url(base, F.col("match_url"), F.col("match_id")))
+    met = asked.join(pages.select(F.col("url").alias("of"), "challenge"), F.col("url") == F.col("of"), "left")
+    failed = F.col("url").isNull() | F.coalesce("challenge", F.lit(True))
+    return met.withColumn("outcome", F.when(F.col("error").isNotNull(), "dropped").when(failed, "retry").otherwise("done")).drop("of", "challenge")

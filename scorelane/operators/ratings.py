@@ -265,3 +265,31 @@ def series_to_rounds(score1: Column, score2: Column, faithful: bool = False) ->
 def winner_number(score1: Column, score2: Column) -> Column:
     """1 or 2 for the side with more points, 0 for a tie; null if a score is missing."""
     return F.when(score1 > score2, 1).when(score1 < score2, 2).when(score1 == score2, 0)
+
+
+def page_players(html: Column) -> Column:
+    """The unlike player ids of a match page's two tables of players, by table."""
+    blocks = F.split(html, 'class="players"')
+    ids = lambda k: F.array_distinct(F.transform(F.regexp_extract_all(F.get(blocks, F.lit(k)), F.lit(r"/player/(\d+)/"), F.lit(1)), lambda x: x.cast("long")))
+    return F.struct(ids(1).alias("players1"), ids(2).alias("players2"))
+
+
+def predict_line_ups(line_ups: DataFrame, ratings: DataFrame, key: str) -> DataFrame:
+    """(key, p1, p2) of line-ups (key, players1, players2) from ratings (player, mu, sigma); players without one have the start."""
+    sides = F.array(F.struct(F.lit(1).alias("side"), F.col("players1").alias("ps")), F.struct(F.lit(-1).alias("side"), F.col("players2").alias("ps")))
+    rows = line_ups.select(key, F.explode(sides).alias("s")).select(key, "s.side", F.explode("s.ps").alias("player"))
+    rated = with_ratings(rows, ratings, "player", {"mu": MU, "sigma": SIGMA})
+    sums = rated.groupBy(key).agg(F.sum(F.col("mu") * F.col("side")).alias("ahead"), F.sum(F.col("sigma") * F.col("sigma")).alias("var"), F.count("*").alias("n"))
+    p = win_probability(F.col("ahead"), F.lit(0.0), F.col("var"), F.col("n"))
+    return sums.select(key, predicted_pair(p).alias("pair")).select(key, "pair.*")
+
+
+def predict_pages(pages: DataFrame, ratings: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """Predictions of match pages by URL, from the players that the page lists."""
+    found = pages.select(url, page_players(F.col(html)).alias("p")).select(url, "p.*").where("size(players1) > 0 and size(players2) > 0")
+    return predict_line_ups(found, ratings, url)
+
+
+def predict_games(games: DataFrame, asked: DataFrame, ratings: DataFrame, game: str = "game_id") -> DataFrame:
+    """Predictions of the stored games (game, players1, players2) that are asked for by id."""
+    return predict_line_ups(games.join(asked.select(game).distinct(), game, "left_semi"), ratings, game)

@@ -135,9 +135,31 @@ def record_demos(matches: DataFrame, artifacts: DataFrame, demos: DataFrame, key
 
 
 def append_new(old: DataFrame, new: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows after a plain append, rows refused because their key is there already, or came first in the batch)."""
-    w = Window.partitionBy(*key).orderBy(*new.columns)
-    once = new.withColumn("first_of_key", F.row_number().over(w) == 1)
+    """(rows after a plain append, rows refused because their key is there already, or came first in the batch).
+
+    Of a key's rows in the batch the smallest comes first; of equal ones, one is taken and the others are refused.
+    """
+    many = new.groupBy(*new.columns).agg(F.count("*").alias("copies"))  # aggregated before the shuffle, whatever a key holds
+    row = F.struct(*new.columns)
+    firsts = many.groupBy(*key).agg(F.min(row).alias("first"))
     known = old.select(*key).distinct().withColumn("known", F.lit(True))
-    marked = once.join(known, key, "left").withColumn("taken", F.col("first_of_key") & F.col("known").isNull())
-    return old.unionByName(marked.where("taken").select(*old.columns)), marked.where(~F.col("taken")).select(*new.columns)
+    marked = many.join(firsts, key).join(known, key, "left").withColumn("taken", (row == F.col("first")) & F.col("known").isNull())
+    refused = marked.withColumn("n", F.col("copies") - F.col("taken").cast("int")).where("n > 0").withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    return old.unionByName(marked.where("taken").select(*old.columns)), refused.select(*new.columns)
+
+
+def record_html(artifacts: DataFrame, new: DataFrame) -> DataFrame:
+    """artifacts (kind, object_key, match_id, source_url, byte_size, checksum, status, created_at, updated_at) with stored pages.
+
+    ``new`` has a row a key; a page stored again under its key is written over, but for the instant of creation.
+    """
+    rows = new.withColumns({"kind": F.lit("raw_html"), "status": F.lit("stored"), "created_at": F.col("updated_at")})
+    return merge(artifacts, rows.select(*artifacts.columns), ["kind", "object_key"], keep=("created_at",))
+
+
+def distinct_union(*tables: DataFrame) -> DataFrame:
+    """The unlike rows of all tables."""
+    rows = tables[0]
+    for more in tables[1:]:
+        rows = rows.unionByName(more)
+    return rows.distinct()

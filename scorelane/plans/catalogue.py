@@ -35,7 +35,7 @@ def flagship(spark, sf_dir):
 
 
 def queries():
-    from scorelane.plans import ingests, replays, runs  # noqa: F401 (these register their queries)
+    from scorelane.plans import ingests, replays, runs, stores  # noqa: F401 (these register their queries)
 
     return dict(_QUERIES)
 

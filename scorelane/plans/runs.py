@@ -440,8 +440,10 @@ def stats_preserved(spark, sf_dir):
     return _ingested(spark, sf_dir, True)["stats"]
 
 
-@_query("""SELECT user_id, max(ts) AS last_seen FROM events GROUP BY 1 HAVING max(ts) < TIMESTAMP '2024-01-20 00:00:00' - INTERVAL 24 HOUR AND (user_id % 3 <> 0 OR user_id % 2 = 0)""")
+@_query("""WITH f AS (SELECT user_id || event_type AS feed, max(ts) AS last_seen, max(user_id) AS user_id FROM events GROUP BY 1)
+      SELECT feed, last_seen FROM f WHERE last_seen < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 24 HOUR AND (user_id % 3 <> 0 OR user_id % 2 = 0)""")
 def staleness_alerts(spark, sf_dir):
-    e, now = _read(spark, sf_dir, "events"), F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
-    last = e.where("user_id % 3 = 0").select("user_id", F.when(F.col("user_id") % 2 == 0, F.lit("2024-01-18 00:00:00")).otherwise("2024-01-19 12:00:00").cast("timestamp_ntz").alias("alerted_at")).distinct()
-    return evaluation.alerts(evaluation.stale(e, "user_id", "ts", now, 24), last, "user_id", now, 24).select("user_id", "last_seen")
+    """A feed is a user's events of a kind; some had their alert lately."""
+    e, now = _read(spark, sf_dir, "events").withColumn("feed", F.concat(F.col("user_id").cast("string"), "event_type")), F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
+    last = e.where("user_id % 3 = 0").select("feed", F.when(F.col("user_id") % 2 == 0, F.lit("2024-01-29 00:00:00")).otherwise("2024-01-30 12:00:00").cast("timestamp_ntz").alias("alerted_at")).distinct()
+    return evaluation.alerts(evaluation.stale(e, "feed", "ts", now, 24), last, "feed", now, 24).select("feed", "last_seen")

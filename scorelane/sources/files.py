@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,66 +40,56 @@ def append_rows(rows: DataFrame, path: str, place: str = "place") -> None:
     rows.select(F.concat_ws(";", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (place, *[x for x in rows.columns if x != place])]).alias("value")).write.mode("append").text(path)
 
 
-class _Tables(HTMLParser):
-    def __init__(self):
-        super().__init__()
-        self.tables, self.cell = [], None
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "table":
-            self.tables.append([])
-        elif tag == "tr" and self.tables:
-            self.tables[-1].append([])
-        elif tag in ("td", "th") and self.tables and self.tables[-1]:
-            self.cell = []
-
-    def handle_data(self, data):
-        if self.cell is not None:
-            self.cell.append(data)
+def html_tables(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """Cells of the tables of each page: key, table, row, col (from 0) and cell, its text without tags, decoded.
 
-    def handle_endtag(self, tag):
-        if tag in ("td", "th") and self.cell is not None:
-            self.tables[-1][-1].append("".join(self.cell).strip())
-            self.cell = None
+    In column functions alone: tables, rows and cells are exploded one after the other, so a large page is spread over rows.
+    A table within a cell ends the outer one.
+    """
+    from scorelane.functions.html import decoded, trimmed
 
+    parts = lambda text, tag: F.regexp_extract_all(text, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)(?=</?{tag}\b|\z)"), F.lit(2 if "(" in tag else 1))
+    t = pages.select(key, F.posexplode(parts(F.col(html), "table")).alias("table", "x"))
+    t = t.select(key, "table", F.posexplode(parts(F.col("x"), "tr")).alias("row", "x"))
+    t = t.select(key, "table", "row", F.posexplode(parts(F.col("x"), "(td|th)")).alias("col", "x"))
+    return t.select(key, "table", "row", "col", decoded(trimmed(F.regexp_replace("x", "<[^>]*>", ""))).alias("cell"))
 
-def html_tables(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """Cells of the tables of each page: key, table, row, col, cell."""
 
-    @F.pandas_udf("array<array<array<string>>>")
-    def tables(texts: pd.Series) -> pd.Series:
-        def one(text):
-            p = _Tables()
-            p.feed(text or "")
-            return p.tables
+def snapshots_of(requests: DataFrame, stored: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """Adds final_url, html and title to requests: their own html if it is not empty (no title then), else the stored snapshot of their URL."""
+    kept = stored.select(F.col("requested_url").alias("of"), F.struct("final_url", "html", "title").alias("s"))
+    inline = F.coalesce(F.col(html), F.lit("")) != ""
+    met = requests.join(kept, F.col(url) == F.col("of"), "left").withColumn("inline", inline)
+    own = F.struct(F.col(url).alias("final_url"), F.col(html).alias("html"), F.lit(None).cast("string").alias("title"))
+    rest = [c for c in requests.columns if c != html]
+    return met.withColumn("s", F.when(F.col("inline"), own).otherwise(F.col("s"))).select(*rest, "inline", "s.*")
 
-        return texts.map(one)
 
-    t = pages.select(key, F.posexplode(tables(F.col(html))).alias("table", "rows"))
-    t = t.select(key, "table", F.posexplode("rows").alias("row", "cells"))
-    return t.select(key, "table", "row", F.posexplode("cells").alias("col", "cell"))
+def append_predictions(predictions: DataFrame, path: str, run: str) -> None:
+    """Appends a run's predictions, with the run's name, to those stored at a path."""
+    predictions.withColumn("run", F.lit(run)).write.mode("append").parquet(path)
 
 
 def publish(tables: dict[str, DataFrame], root: str, version: int) -> str:
     """Writes all tables to a fresh folder each, then a pointer to these for the version; readers see whole versions only.
 
-    A second try of a version writes to folders of its own; of two that end, the later pointer counts.
+    A version is published once: a second writer of it fails when it comes to the pointer, and its folders stay unread.
     """
     import uuid
 
     spark = next(iter(tables.values())).sparkSession
     made = []
     for name, df in tables.items():
-        made.append((version, name, f"{root}/{name}/v={version}-{uuid.uuid4().hex}"))
-        df.write.parquet(made[-1][2])
-    pointer = spark.createDataFrame(made, "version long, name string, path string").withColumn("at", F.current_timestamp())
-    pointer.coalesce(1).write.mode("append").parquet(f"{root}/_pointer")
+        made.append((name, f"{root}/{name}/v={version}-{uuid.uuid4().hex}"))
+        df.write.parquet(made[-1][1])
+    spark.createDataFrame(made, "name string, path string").coalesce(1).write.mode("error").parquet(f"{root}/_pointer/version={version}")
     return root
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The table of the latest version."""
     pointer = spark.read.parquet(f"{root}/_pointer").where(F.col("name") == name)
-    return spark.read.parquet(pointer.agg(F.max_by("path", F.struct("version", "at", "path"))).first()[0])
+    return spark.read.parquet(pointer.agg(F.max_by("path", "version")).first()[0])
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
