@@ -19,15 +19,6 @@ MAP_LINK = r'(?i)href="([^"]*/stats/matches/(?:performance/)?mapstatsid/(\d+)/[^
 SKIPPED_MAPS = ("Default", "TBA")
 
 
-def _let(value: Column, use) -> Column:
-    """use(value), with value worked out once: an expression that a lambda names twice is run twice."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def _after_first(parts: Column) -> Column:
-    return F.filter(parts, lambda _, i: i > 0)
-
-
 def _team(head: Column, html: Column, n: int) -> Column:
     pattern = rf'(?is)(<div[^>]*class="team{n}-gradient[^"]*".*?</div>)'
     block = F.coalesce(first_of((head, html), pattern), F.lit(""))
@@ -44,99 +35,119 @@ def _score(head: Column, html: Column, n: int, faithful: bool) -> Column:
     return capture_number(html, *[rf'(?is)class="team{n}-gradient.*?class="{c}"[^>]*>(\d+)' for c in ("won", "score")]).cast("int")
 
 
-def _maps(html: Column, url: Column, base: str) -> Column:
-    blocks = F.transform(_after_first(F.split(html, MAP_OPEN, -1)), lambda b: F.split(b, SECTION, 2)[0])
+TABLE, ROW = r'(?is)<table class="table totalstats">(.*?)</table>', r"(?is)<tr>(.*?)</tr>"
 
-    def one(block: Column) -> Column:
-        link = first_group(block, MAP_LINK)
-        scores = F.transform(F.regexp_extract_all(block, F.lit(r'(?i)class="results-team-score[^"]*"[^>]*>([^<]+)'), F.lit(1)), trimmed)
-        number = F.transform(scores, lambda s: F.when(s == "", F.lit(0.0)).otherwise(s.try_cast("double")))
-        return F.struct(
-            first_group(block, MAP_LINK, 2).cast("long").alias("map_id"),
-            capture_text(block, r'(?i)class="mapname[^"]*"[^>]*>([^<]+)').alias("map_name"),
-            F.coalesce(absolute(link, base), url).alias("source_url"),
-            F.get(number, F.lit(0)).cast("int").alias("team1_score"),
-            F.get(number, F.lit(1)).cast("int").alias("team2_score"),
-        )
 
-    named = F.filter(F.transform(blocks, one), lambda m: (F.coalesce(m["map_name"], F.lit("")) != "") & ~m["map_name"].isin(*SKIPPED_MAPS))
-    key = lambda m: F.coalesce(F.concat(F.lit("id:"), m["map_id"].cast("string")), F.concat(F.lit("name:"), m["map_name"]))
-    keyed = F.struct(named.alias("maps"), F.transform(named, key).alias("keys"))
-    return _let(keyed, lambda k: F.filter(k["maps"], lambda m, i: F.array_position(k["keys"], key(m)) == i + 1))  # the first of equal maps
-
-
-def _stats(html: Column, maps: Column, team1: Column, team2: Column) -> Column:
-    page = F.struct(html.alias("html"), maps.alias("maps"), team1.alias("team1"), team2.alias("team2"))
-    return _let(page, lambda p: _stats_of(p["html"], p["maps"], p["team1"], p["team2"]))
-
-
-def _stats_of(html: Column, maps: Column, team1: Column, team2: Column) -> Column:
-    ids = F.regexp_extract_all(html, F.lit(r'(?i)<div class="stats-content" id="([^"\s]+)-content">'), F.lit(1))
-    bodies = F.transform(_after_first(F.split(html, SECTION_OPEN, -1)), lambda b: F.split(b, SECTION, 2)[0])
-
-    def player(row: Column, game: Column, team: Column) -> Column:
-        pair = r'(?i)class="kd text-center traditional-data">\s*(\d+)\s*-\s*(\d+)\s*<'
-        nick = capture_text(row, r'(?i)class="player-nick">([^<]+)', r'(?i)class="smartphone-only statsPlayerName text-ellipsis">([^<]+)', r'(?i)class="statsPlayerName text-ellipsis">([^<]+)')
-        return F.struct(
-            first_group(row, r'(?i)href="/player/(\d+)/').cast("long").alias("player_id"),
-            F.coalesce(nick, F.lit("Unknown")).alias("nickname"),
-            team.alias("team_id"),
-            game["map_name"].alias("map_name"),
-            first_group(row, pair).cast("int").alias("kills"),
-            first_group(row, pair, 2).cast("int").alias("deaths"),
-            capture_number(row, r'(?i)class="adr[^"]*traditional-data[^>]*>([0-9.]+)').alias("adr"),
-            capture_number(row, r'(?i)class="rating[^"]*">([0-9.]+)').alias("rating"),
-            capture_number(row, r'(?i)class="kast[^"]*traditional-data[^>]*>([0-9.]+)%').alias("kast"),
-            game["source_url"].alias("source_url"),
-        )
-
-    def table(html_: Column, game: Column) -> Column:
-        head = trimmed(first_group(html_, r'(?i)class="teamName team">([^<]+)'))
-        team = F.coalesce(first_group(html_, r'(?i)href="/team/(\d+)/[^"]*" class="teamName team"').cast("long"), F.when(head == team1["name"], team1["team_id"]).when(head == team2["name"], team2["team_id"]))
-        rows = F.regexp_extract_all(html_, F.lit(r"(?is)<tr>(.*?)</tr>"), F.lit(1))
-        return _let(F.struct(team.alias("team"), game.alias("game")), lambda x: F.transform(rows, lambda r: player(r, x["game"], x["team"])))
-
-    def section(s: Column) -> Column:
-        game = F.get(F.filter(maps, lambda m: m["map_id"].cast("string") == s["id"]), F.lit(0))
-        tables = F.regexp_extract_all(s["body"], F.lit(r'(?is)<table class="table totalstats">(.*?)</table>'), F.lit(1))
-        return _let(game, lambda g: F.when(g.isNotNull(), F.flatten(F.transform(tables, lambda t: table(t, g)))))
-
-    sections = F.filter(F.arrays_zip(ids.alias("id"), bodies.alias("body")), lambda s: s["id"] != "all")
-    found = F.flatten(F.array_compact(F.transform(sections, section)))
-    return F.filter(found, lambda p: p["player_id"].isNotNull())
+def _map_fields(block: Column, url: Column, base: str) -> Column:
+    """A map of a block; null without a name, or with that of a map not chosen."""
+    name = capture_text(block, r'(?i)class="mapname[^"]*"[^>]*>([^<]+)')
+    scores = F.regexp_extract_all(block, F.lit(r'(?i)class="results-team-score[^"]*"[^>]*>([^<]+)'), F.lit(1))
+    number = lambda k: F.when(trimmed(F.get(scores, F.lit(k))) == "", F.lit(0)).otherwise(trimmed(F.get(scores, F.lit(k))).try_cast("double").cast("int"))
+    fields = F.struct(
+        first_group(block, MAP_LINK, 2).cast("long").alias("map_id"),
+        name.alias("map_name"),
+        F.coalesce(absolute(first_group(block, MAP_LINK), base), url).alias("source_url"),
+        number(0).alias("team1_score"),
+        number(1).alias("team2_score"),
+    )
+    return F.when((F.coalesce(name, F.lit("")) != "") & ~name.isin(*SKIPPED_MAPS), fields)
+
+
+def _player_fields(row: Column, team: Column) -> Column:
+    pair = r'(?i)class="kd text-center traditional-data">\s*(\d+)\s*-\s*(\d+)\s*<'
+    nick = capture_text(row, r'(?i)class="player-nick">([^<]+)', r'(?i)class="smartphone-only statsPlayerName text-ellipsis">([^<]+)', r'(?i)class="statsPlayerName text-ellipsis">([^<]+)')
+    return F.struct(
+        first_group(row, r'(?i)href="/player/(\d+)/').cast("long").alias("player_id"),
+        F.coalesce(nick, F.lit("Unknown")).alias("nickname"),
+        team.alias("team_id"),
+        first_group(row, pair).cast("int").alias("kills"),
+        first_group(row, pair, 2).cast("int").alias("deaths"),
+        capture_number(row, r'(?i)class="adr[^"]*traditional-data[^>]*>([0-9.]+)').alias("adr"),
+        capture_number(row, r'(?i)class="rating[^"]*">([0-9.]+)').alias("rating"),
+        capture_number(row, r'(?i)class="kast[^"]*traditional-data[^>]*>([0-9.]+)%').alias("kast"),
+    )
+
+
+def _table_team(table: Column, team1: Column, team2: Column) -> Column:
+    head = trimmed(first_group(table, r'(?i)class="teamName team">([^<]+)'))
+    named = F.when(head == team1["name"], team1["team_id"]).when(head == team2["name"], team2["team_id"])
+    return F.coalesce(first_group(table, r'(?i)href="/team/(\d+)/[^"]*" class="teamName team"').cast("long"), named)
+
+
+def _with_stats(maps: Column, players: Column) -> Column:
+    """Players with the map of their section, of those whose section has one."""
+    by_id = F.map_from_entries(F.filter(F.transform(maps, lambda m: F.struct(m["map_id"].cast("string").alias("k"), m)), lambda e: e["k"].isNotNull()))
+    columns = ("player_id", "nickname", "team_id", "kills", "deaths", "adr", "rating", "kast")
+
+    def one(p: Column) -> Column:
+        game = F.try_element_at(by_id, p["section"])
+        f = {c: p["fields"][c].alias(c) for c in columns}
+        return F.struct(*[f[c] for c in columns[:3]], game["map_name"].alias("map_name"), *[f[c] for c in columns[3:]], game["source_url"].alias("source_url"))
+
+    return F.transform(F.filter(players, lambda p: F.map_contains_key(by_id, p["section"])), one)
 
 
 def parse_matches(pages: DataFrame, base: str, url: str = "match_url", html: str = "html", faithful_scores: bool = False) -> DataFrame:
-    """One nested record per page (columns match_url and html). A challenge page gives an empty record."""
-    h, u = F.col(html), F.col(url)
-    page = pages.select(u.alias("source_url"), h.alias("__h"), (F.size(challenge_markers(h)) > 0).alias("__c"))
-    h, c = F.when(F.col("__c"), F.lit("")).otherwise(F.col("__h")), F.col("__c")
-    page = page.withColumn("__h", h)
+    """One nested record per page (columns match_url and html). A challenge page gives an empty record.
+
+    A page is split once into its map blocks and sections, and these into tables and rows, each a row of its own, from which
+    fields are read in generated code; a shuffle of these fields, not of pages, puts the records together. Pages that
+    are repeated give a record each; a null page counts as empty.
+    """
+    h, u = F.coalesce(F.col(html), F.lit("")), F.col(url)
+    page = pages.select(F.monotonically_increasing_id().alias("page"), u.alias("source_url"), h.alias("h"), (F.size(challenge_markers(h)) > 0).alias("challenge"))
+    page = page.withColumn("h", F.when(F.col("challenge"), F.lit("")).otherwise(F.col("h")))
     # what is said of the match as a whole stands before its maps and sections: that part is searched first
-    page = page.withColumn("__head", F.split("__h", HEAD_END, 2)[0])
-    h, head = F.col("__h"), (F.col("__head"), F.col("__h"))
-    teams = page.withColumns({"team1": _team(*head, 1), "team2": _team(*head, 2), "maps": _maps(h, F.col("source_url"), base)})
+    page = page.withColumn("head", F.split("h", HEAD_END, 2)[0])
+    h, head = F.col("h"), (F.col("head"), F.col("h"))
     demo = first_of(head, r'(?i)data-demo-link="([^"]+)"', r'(?i)href="([^"]*/download/demo/[^"]+)"')
-    record = teams.select(
+    page = page.withColumns({"team1": _team(*head, 1), "team2": _team(*head, 2)})
+    whole = F.struct(
         match_id(F.col("source_url")).alias("match_id"),
         match_slug(F.col("source_url")).alias("slug"),
-        "source_url",
+        F.col("source_url").alias("source_url"),
         capture_text(head, r'(?i)class="event text-ellipsis"[^>]*title="([^"]+)', r'(?i)class="event"[^>]*>\s*<a[^>]*>([^<]+)').alias("event_name"),
         capture_number(head, r"(?i)Best of (\d+)", r"(?i)bo(\d+)").cast("int").alias("best_of"),
         instant_of_epoch(capture_number(head, r'(?i)data-unix="(\d{10,13})"')).alias("scheduled_at"),
-        "team1",
-        "team2",
+        F.col("team1").alias("team1"),
+        F.col("team2").alias("team2"),
         _score(*head, 1, faithful_scores).alias("team1_score"),
         _score(*head, 2, faithful_scores).alias("team2_score"),
-        "maps",
-        _stats(h, F.col("maps"), F.col("team1"), F.col("team2")).alias("player_stats"),
         absolute(demo, base).alias("raw_demo_url"),
-        "__c",
+        F.col("challenge").alias("challenge"),
     )
+    # the parts before the first map and the first section stand for the page itself and for nothing
+    blocks, sections = F.split(h, MAP_OPEN, -1), F.split(h, SECTION_OPEN, -1)
+    ids = F.regexp_extract_all(h, F.lit(r'(?i)<div class="stats-content" id="([^"\s]+)-content">'), F.lit(1))
+    page = page.select("page", "source_url", "team1", "team2", whole.alias("whole"), F.size(blocks).alias("n_maps"), ids.alias("ids"), F.concat(blocks, sections).alias("parts"))
+    part = page.select("page", "source_url", "team1", "team2", "whole", "n_maps", "ids", F.posexplode("parts").alias("pos", "text"))
+    is_map, number = (F.col("pos") > 0) & (F.col("pos") < F.col("n_maps")), F.col("pos") - F.col("n_maps")
+    section = F.when(number > 0, F.get("ids", number - 1))
+    text = F.split("text", SECTION, 2)[0]
+    part = part.select("page", "source_url", "team1", "team2", F.when(F.col("pos") == 0, F.col("whole")).alias("whole"), "pos", is_map.alias("is_map"), section.alias("section"), text.alias("text"))
+    part = part.where("pos = 0 or is_map or (section is not null and section <> 'all')")
+    inner = F.when(F.col("section").isNotNull(), F.regexp_extract_all("text", F.lit(TABLE), F.lit(1))).otherwise(F.array(F.when(F.col("is_map"), F.col("text"))))
+    part = part.withColumn("inner", inner).select("page", "source_url", "team1", "team2", "whole", "pos", "is_map", "section", F.posexplode_outer("inner").alias("table", "text"))
+    team = F.when(F.col("section").isNotNull(), _table_team(F.col("text"), F.col("team1"), F.col("team2")))
+    inner = F.when(F.col("section").isNotNull(), F.regexp_extract_all("text", F.lit(ROW), F.lit(1))).otherwise(F.array("text"))
+    part = part.select("page", "source_url", "whole", "pos", "is_map", "section", "table", team.alias("team"), inner.alias("inner"))
+    part = part.select("page", "source_url", "whole", "pos", "is_map", "section", "table", "team", F.posexplode_outer("inner").alias("row", "text"))
+    game = F.when(F.col("is_map"), _map_fields(F.col("text"), F.col("source_url"), base))
+    player = F.when(F.col("section").isNotNull(), _player_fields(F.col("text"), F.col("team")))
+    part = part.select("page", "whole", "pos", "table", "row", "section", game.alias("game"), player.alias("player"))
+    games = F.collect_list(F.when(F.col("game").isNotNull(), F.struct("pos", "game")))
+    players = F.collect_list(F.when(F.col("player.player_id").isNotNull(), F.struct("pos", "table", "row", "section", F.col("player").alias("fields"))))
+    found = part.groupBy("page").agg(F.first("whole", True).alias("whole"), F.array_sort(games).alias("games"), F.array_sort(players).alias("players"))  # of one page
+    key = lambda m: F.coalesce(F.concat(F.lit("id:"), m["map_id"].cast("string")), F.concat(F.lit("name:"), m["map_name"]))
+    found = found.withColumn("games", F.transform("games", lambda g: g["game"]))
+    found = found.withColumn("keys", F.transform("games", key))
+    found = found.withColumn("maps", F.filter("games", lambda m, i: F.array_position(F.col("keys"), key(m)) == i + 1))  # the first of equal maps
+    found = found.withColumn("player_stats", _with_stats(F.col("maps"), F.col("players"))).select("whole.*", "maps", "player_stats")
     s1, s2 = F.col("team1_score"), F.col("team2_score")
-    status = F.when(F.col("__c"), "challenge").when((F.size("maps") > 0) & (F.size("player_stats") > 0), "parsed").otherwise("partial")
+    status = F.when(F.col("challenge"), "challenge").when((F.size("maps") > 0) & (F.size("player_stats") > 0), "parsed").otherwise("partial")
     winner = F.when(s1 > s2, F.col("team1.team_id")).when(s2 > s1, F.col("team2.team_id"))
-    return record.withColumns({"winner_team_id": winner, "status": status, "parser_version": F.lit(PARSER_VERSION)}).drop("__c")
+    order = ("match_id", "slug", "source_url", "event_name", "best_of", "scheduled_at", "team1", "team2", "team1_score", "team2_score", "maps", "player_stats", "raw_demo_url")
+    return found.select(*order, winner.alias("winner_team_id"), status.alias("status"), F.lit(PARSER_VERSION).alias("parser_version"))
 
 
 def maps_of(parsed: DataFrame) -> DataFrame:
