@@ -110,6 +110,20 @@ def _strength(groups: DataFrame, total: float, mean: float) -> float:
     return float(min(1e6, max(1.0, inside / spread - 1))) if spread > 0 else 1e6
 
 
+def _path_strength(paths: DataFrame) -> float:
+    """As ``_strength`` for paths (path_good, path_n, host_good, host_n), around each host's own mean: what tells hosts apart is not counted again."""
+    own, host = F.col("path_good") / F.col("path_n"), F.col("host_good") / F.col("host_n")
+    share = 1 - F.col("path_n") / F.col("host_n")  # adds up to a host's paths less one
+    row = paths.agg(
+        F.sum(F.col("path_n") * F.pow(own - host, 2)).alias("between"), F.sum(share * host * (1 - host)).alias("chance"),
+        F.sum(F.col("path_n") * share).alias("effective"), F.sum(F.col("path_n") * host * (1 - host)).alias("inside"), F.sum("path_n").alias("total"),
+    ).first()
+    if not row["effective"] or not row["inside"]:
+        return 1e6
+    spread = (row["between"] - row["chance"]) / row["effective"]
+    return float(min(1e6, max(1.0, row["inside"] / row["total"] / spread - 1))) if spread > 0 else 1e6
+
+
 class Sites:
     """Sums of evidence: host and path groups with their sizes, and the prior of each level."""
 
@@ -127,7 +141,7 @@ def gather(evidence: DataFrame) -> Sites:
     named = paths.select("site", F.col("site.host").alias("host"), F.col("good").alias("path_good"), F.col("n").alias("path_n"))
     both = checkpointed(hot_join(named, hosts, "host").drop("host"))
     levels = hosts.select(F.col("host_good").alias("good"), F.col("host_n").alias("n"))
-    return Sites(both, both.count(), mean, _strength(levels, total, mean), _strength(paths, total, mean))
+    return Sites(both, both.count(), mean, _strength(levels, total, mean), _path_strength(both))
 
 
 def with_quality(rows: DataFrame, sites: Sites) -> DataFrame:
