@@ -21,7 +21,8 @@ from .bpe import WordEncoder, cached, slices
 from .shared import checkpointed
 
 CAPACITY = 2048
-SALTS = 64
+#: A length is ranked in so many parts at least, and in parts of about so many rows of the whole.
+SALTS, SALT_ROWS = 64, 100_000
 #: Places up to which their list is broadcast, some 8 MB; a longer list is joined by shuffle on the length.
 BROADCAST_PLACES = 200_000
 
@@ -285,7 +286,9 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, pattern: str, capacit
 def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds sequence_id and offset to rows with a length between 1 and capacity."""
     spark = pieces.sparkSession
-    pieces = checkpointed(pieces.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int")))
+    pieces = checkpointed(pieces.withColumn("__hash", F.xxhash64("doc_id", "piece")))
+    salts = max(SALTS, -(-pieces.count() // SALT_ROWS))
+    pieces = pieces.withColumn("__salt", F.pmod("__hash", F.lit(salts))).drop("__hash")
     counts = pieces.groupBy("length", "__salt").count()
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     # a rank within each length: a rank within the salt and the sizes of the salts before it
@@ -296,9 +299,12 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranked = ranked.join(base, ["length", "__salt"]).withColumn("__rank", F.col("__rank") + F.col("__base"))
     dealt = pack_lengths(histogram, capacity)
     places = spark.createDataFrame(dealt or [(0, 0, -1, 0, 0)], "length long, first long, last long, sequence long, offset long")
-    if len(dealt) <= BROADCAST_PLACES:
-        places = F.broadcast(places)
-    inside = (ranked["length"] == places["length"]) & ranked["__rank"].between(F.col("first"), F.col("last"))
+    # places of a length meet its pieces by blocks of ranks
+    blocks = F.sequence(F.floor(F.col("first") / SALT_ROWS), F.floor(F.col("last") / SALT_ROWS))
+    places = places.where("last >= first").withColumn("block", F.explode(blocks))
+    places = F.broadcast(places) if len(dealt) <= BROADCAST_PLACES else places
+    ranked = ranked.withColumn("block", F.floor(F.col("__rank") / SALT_ROWS))
+    inside = (ranked["length"] == places["length"]) & (ranked["block"] == places["block"]) & ranked["__rank"].between(F.col("first"), F.col("last"))
     placed = ranked.join(places, inside).withColumn("sequence_id", F.col("sequence") + F.col("__rank") - F.col("first"))
     return placed.select("doc_id", "piece", "start", ranked["length"], "ids_crc32", "sequence_id", "offset")
 
