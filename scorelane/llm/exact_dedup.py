@@ -42,7 +42,8 @@ def flush_runs(docs: DataFrame, id_col: str, text_col: str, digest=sha256_digest
     rows = rows.withColumn("sha", F.unhex(F.sha2("norm", 256)))
     rows = rows.select("id", digest(F.col("sha"), F.col("norm")).alias("digest"), "sha", (F.spark_partition_id() % GENERATIONS).alias("generation"))
     path = scratch_path(docs.sparkSession, "lsm-flushed")
-    rows.sortWithinPartitions("digest", "id").write.partitionBy("generation").parquet(path)
+    # the write asks for an order by generation, and keeps one that begins with it
+    rows.sortWithinPartitions("generation", "digest", "id").write.partitionBy("generation").parquet(path)
     return docs.sparkSession.read.schema("id " + docs.schema[id_col].dataType.simpleString() + ", digest binary, sha binary, generation int").parquet(path)
 
 

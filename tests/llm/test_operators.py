@@ -486,13 +486,21 @@ def plain_battery(v):
     def reach(count, among, share):
         if among < 1:
             return 1.0
-        if among <= secrets.EXACT:
-            return min(1.0, sum(math.exp(math.lgamma(among + 1) - math.lgamma(j + 1) - math.lgamma(among - j + 1) + j * math.log(share) + (among - j) * math.log(1 - share)) for j in range(count, among + 1)))
-        x = count / among
-        return math.exp(-among * (x * math.log(x / share) + ((1 - x) * math.log((1 - x) / (1 - share)) if x < 1 else 0))) if x > share else 1.0
+        if count <= 0:
+            return 1.0
+        y, spread = count - 0.5, math.sqrt(among * share * (1 - share))  # the saddle point; test_one_tail_for_all_lengths has the exact sums
+        density = lambda z: math.exp(-z * z / 2) / math.sqrt(2 * math.pi)
+        t = math.log(y * (1 - share) / (share * (among - y)))
+        if abs(t) < 0.02:
+            z = (y - among * share) / spread
+            tail = below(-z) - density(z) * (1 - 2 * share) / spread / 6 * (1 - z * z)
+        else:
+            r = math.copysign(math.sqrt(max(2 * (t * y - among * math.log(1 - share + share * math.exp(t))), 1e-300)), t)
+            tail = below(-r) + density(r) * (1 / (2 * math.sinh(t / 2) * math.sqrt(y * (among - y) / among)) - 1 / r)
+        return min(1.0, max(0.0, tail))
 
     pairs, every = sum(c * (c - 1) // 2 for c in Counter(v).values()), n * (n - 1) // 2
-    uniform = reach(pairs, every, 1 / k) if every <= secrets.EXACT else below(-(pairs - every / k) / math.sqrt(every / k * (1 - 1 / k)))
+    uniform = reach(pairs, every, 1 / k)
     d = [symbols.index(c) - (k - 1) / 2 for c in v]
     above = sum(x > 0 for x in d)
     mu = 2 * above * (n - above) / n + 1
@@ -573,7 +581,19 @@ def plain_quality(data, model):
         spread = (sum(len(g) * (sum(g) / len(g) - mean) ** 2 for g in groups) - (k - 1) * inside) / effective if k > 1 and effective > 0 else 0
         return min(1e6, max(1.0, inside / spread - 1)) if spread > 0 else 1e6
 
-    s_host, s_path = strength(host.values()), strength(path.values())
+    def path_strength():
+        between = chance = effective = inside = 0.0
+        for h, ps in host.items():
+            m, n = sum(ps) / len(ps), len(ps)
+            mine = [g for (k, _), g in path.items() if k == h]
+            between += sum(len(g) * (sum(g) / len(g) - m) ** 2 for g in mine)
+            chance += (len(mine) - 1) * m * (1 - m)
+            effective += n - sum(len(g) ** 2 for g in mine) / n
+            inside += n * m * (1 - m)
+        spread = (between - chance) / effective if effective > 0 else 0
+        return min(1e6, max(1.0, inside / len(own) / spread - 1)) if spread > 0 else 1e6
+
+    s_host, s_path = strength(host.values()), path_strength()
     odds = lambda p: math.log(min(1 - 1e-6, max(1e-6, p)) / (1 - min(1 - 1e-6, max(1e-6, p))))
     out = {}
     for i, t, h, p in data:
@@ -583,6 +603,21 @@ def plain_quality(data, model):
     return out
 
 
+def test_hosts_that_differ_do_not_pass_for_paths(spark):
+    """Bad hosts are told by the host level; where their paths are alike, the path level is shrunk away."""
+    rng = random.Random(7)
+    sites = [(h, p, min(0.98, max(0.02, rng.gauss(0.1 if h < 3 else 0.9, 0.05)))) for h in range(30) for p in range(4) for _ in range(25)]
+    evidence = spark.createDataFrame([((f"h{h}", f"p{p}"), 1.0 if rng.random() < q else 0.0) for h, p, q in sites], "site struct<host: string, path: string>, p double")
+    flat = quality.gather(evidence)
+    assert flat.host_prior < 20 and flat.path_prior > 50 * flat.host_prior
+    told = [((f"h{h}", f"p{p}"), 1.0 if rng.random() < (0.95 if p == 0 else 0.3) else 0.0) for h in range(30) for p in range(4) for _ in range(25)]
+    steep = quality.gather(spark.createDataFrame(told, "site struct<host: string, path: string>, p double"))
+    assert steep.path_prior < 10
+    doubt = spark.createDataFrame([(1, ("h0", "p1"), 0.0), (2, ("h9", "p1"), 0.0)], "id int, site struct<host: string, path: string>, logit double")
+    moved = {r["id"]: r["quality"] for r in quality.with_quality(doubt, flat).collect()}
+    assert moved[1] < 0.2 < 0.6 < moved[2]  # one evidence, two decisions
+
+
 @pytest.mark.parametrize("broadcast", [100_000, 0])
 def test_quality_equals_plain_version(spark, monkeypatch, broadcast):
     monkeypatch.setattr(quality, "BROADCAST_ROWS", broadcast)
@@ -641,3 +676,49 @@ def test_licenses_planted_with_edits_in_long_texts(spark):
     got = rows(licenses.scan_licenses(spark.createDataFrame(data, "doc_id long, text string")))
     assert sorted((str(r["doc_id"]), r["licenses"]) for r in got) == [("1", ""), ("2", ""), ("3", "MIT"), ("3", "MIT"), ("4", "ISC"), ("None", "")]
     assert not rows(licenses.scan_licenses(spark.createDataFrame([], "doc_id long, text string")))
+
+
+def test_flushed_runs_are_sorted_on_disk(spark):
+    """Each file of a generation is in order of digest and identifier."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    frame = spark.range(0, 3000, 1, 6).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), (F.col("id") % 700).cast("string")).alias("text"))
+    flushed = exact_dedup.flush_runs(frame, "doc_id", "text")
+    files = [f.removeprefix("file://") for f in flushed.inputFiles()]
+    assert len(files) == 6 and sum(pq.read_table(f, partitioning=None).num_rows for f in files) == 3000
+    for f in files:
+        rows = pq.read_table(f, partitioning=None).select(["digest", "id"]).to_pylist()
+        assert [(r["digest"], r["id"]) for r in rows] == sorted((r["digest"], r["id"]) for r in rows)
+    assert glob.glob(files[0])
+
+
+def test_one_tail_for_all_lengths(spark):
+    """The saddle point against exact sums, across what was a seam between two formulas."""
+    import math
+
+    cases = [(k, n, p) for n in (1, 3, 19, 45, 46, 190, 999, 1001, 4950) for p in (0.2, 0.3, 1 / 16, 1 / 64) for k in {0, 1, int(n * p), int(n * p) + 1, int(n * p + 3 * math.sqrt(n * p)), int(n * p + 6 * math.sqrt(n * p))} if k <= n]
+    frame = spark.createDataFrame([(float(k), float(n), float(p)) for k, n, p in cases], "k double, n double, p double")
+    for r in frame.select("*", secrets._reach(F.col("k"), F.col("n"), F.col("p")).alias("got")).collect():
+        k, n, p = int(r["k"]), int(r["n"]), r["p"]
+        want = sum(math.exp(math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(p) + (n - j) * math.log(1 - p)) for j in range(k, n + 1))
+        assert r["got"] == pytest.approx(want, rel=0.15 if n < 19 else 0.05)
+
+
+def test_ranks_of_packing_do_not_depend_on_blocks(spark, monkeypatch):
+    pieces = spark.createDataFrame([(k, 0, 0, 2048 if k % 3 else 700, k) for k in range(900)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    for rows, most in ((100_000, 200_000), (7, 0)):
+        monkeypatch.setattr(packing, "SALT_ROWS", rows)
+        monkeypatch.setattr(packing, "BROADCAST_PLACES", most)
+        got = packing.assign(pieces).collect()
+        held = defaultdict(list)
+        for r in got:
+            held[r["sequence_id"]].append((r["offset"], r["length"]))
+        assert len(got) == 900 and len(held) == 600 + 150
+        for bin_ in held.values():
+            at = 0
+            for offset, length in sorted(bin_):
+                assert offset == at
+                at += length
+            assert at <= 2048
