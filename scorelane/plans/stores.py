@@ -355,3 +355,42 @@ def bucketed_lookups(spark, sf_dir):
     games = _read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("match_id")).agg(F.when(F.max("l_linenumber") > 3, "one").otherwise("two").alias("winner"))
     few = table.lookup([2, 4, 10, 1000]).select("match_id", "event_name", F.lit(None).cast("string").alias("winner"))
     return few.unionByName(table.of(games).select("match_id", "event_name", "winner"))
+
+
+# pages of all kinds
+
+_KINDS_SQL = """WITH k AS (SELECT *, c_custkey % 5 AS kind FROM customer) """
+
+
+def _kind_pages(spark, sf_dir):
+    """Match pages by kind: 0 a challenge, 1 scores marked as won, 2 a map twice and one to be chosen, 3 a section without a map, 4 none of these."""
+    k, kind = F.col("c_custkey"), F.col("c_custkey") % 5
+    team = lambda n, word: F.concat(F.lit(f'<div class="team{n}-gradient"><a href="/team/'), _text(k + n), F.lit(f'/t"><div class="teamName">T{n} &amp; '), _text(k), F.lit("</div></a>"), word, F.lit("</div>"))
+    score = lambda word, value: F.concat(F.lit(f'<div class="{word}">'), _text(value), F.lit("</div>"))
+    game = lambda number, name: F.concat(F.lit('<div class="mapholder"><div class="mapname">'), F.lit(name), F.lit('</div><a href="/stats/matches/mapstatsid/'), _text(number), F.lit('/x">s</a><div class="results-team-score">9</div><div class="results-team-score"> </div></div>'))
+    row = F.concat(F.lit('<table class="table totalstats"><tr class="h"><td><span class="teamName team">T2 &amp; '), _text(k), F.lit('</span></td></tr><tr><td><a href="/player/'), _text(k), F.lit('/p"><span class="statsPlayerName text-ellipsis">p</span></a></td></tr></table></div>'))
+    section = lambda number: F.concat(F.lit('<div class="stats-content" id="'), _text(number), F.lit('-content">'), row)
+    html = F.concat(
+        F.when(kind == 0, "<title>Just a moment...</title>").otherwise(""),
+        team(1, F.when(kind == 1, F.concat(score("won", k % 4), score("score", F.lit(77)))).otherwise(score("score", k % 4))), team(2, F.when(kind == 1, score("lost", F.lit(5))).otherwise(score("score", k % 3))),
+        game(k, "One"), F.when(kind == 2, F.concat(game(k, "Again"), game(k + 1, "TBA"))).otherwise(""), F.when(kind == 3, section(k + 9)).otherwise(section(k)), section(F.lit("all")),
+    )
+    return _read(spark, sf_dir, "customer").select(F.concat(F.lit(f"{BASE}/matches/"), _text(k), F.lit("/s")).alias("match_url"), html.alias("html"))
+
+
+@_query(_KINDS_SQL + """SELECT c_custkey AS match_id, CASE kind WHEN 0 THEN 'challenge' WHEN 3 THEN 'partial' ELSE 'parsed' END AS status, CASE WHEN kind = 0 THEN 'Unknown' ELSE 'T1 & ' || c_custkey END AS team1, CASE WHEN kind = 0 THEN NULL ELSE c_custkey + 2 END AS team2_id,
+      CASE WHEN kind > 0 THEN (c_custkey % 4)::INT END AS team1_score, CASE WHEN kind > 1 THEN (c_custkey % 3)::INT END AS team2_score,
+      CASE WHEN kind < 2 THEN NULL WHEN c_custkey % 4 > c_custkey % 3 THEN c_custkey + 1 WHEN c_custkey % 4 < c_custkey % 3 THEN c_custkey + 2 END AS winner_team_id,
+      CASE WHEN kind = 0 THEN '' ELSE 'One' END AS maps, CASE WHEN kind IN (0, 3) THEN 0 ELSE 1 END AS n_players FROM k""")
+def parse_page_kinds(spark, sf_dir):
+    from scorelane.operators import matches
+
+    parsed = matches.parse_matches(_kind_pages(spark, sf_dir), BASE)
+    names = F.array_join(F.transform("maps", lambda m: m["map_name"]), ",")
+    return parsed.select("match_id", "status", F.col("team1.name").alias("team1"), F.col("team2.team_id").alias("team2_id"), "team1_score", "team2_score", "winner_team_id", names.alias("maps"), F.size("player_stats").alias("n_players"))
+
+
+@_query(_KINDS_SQL + """SELECT c_custkey AS match_id, kind = 0 AS challenge, CASE WHEN kind = 0 THEN 'Just a moment...' END AS title FROM k""")
+def challenged_pages(spark, sf_dir):
+    shown = _kind_pages(spark, sf_dir).withColumn("page_id", pages.match_id(F.col("match_url")))
+    return pages.summary(shown, BASE).select(F.col("page_id").alias("match_id"), "challenge", "title")
