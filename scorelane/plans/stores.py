@@ -357,6 +357,19 @@ def bucketed_lookups(spark, sf_dir):
     return few.unionByName(table.of(games).select("match_id", "event_name", "winner"))
 
 
+@_query("SELECT event_id, CASE WHEN event_id % 8 IN (2, 3, 4, 5, 6) THEN 'dropped' WHEN event_type = 'error' THEN 'retry' ELSE 'done' END AS outcome FROM events")
+def bounded_queue(spark, sf_dir):
+    """The queue read in batches of a bounded number of messages, whatever its files hold."""
+    from scorelane.streaming.queue import process_queue
+    from scorelane.streaming.source import read_messages
+
+    e, root = _read(spark, sf_dir, "events"), files.shared_folder(spark, "bounded")
+    _bodies(e).repartition(3).write.parquet(f"{root}/in")
+    stream = read_messages(spark, f"{root}/in", "event_id long, event_type string, body string", max(10, e.count() // 8))
+    process_queue(stream, f"{root}/out", f"{root}/checkpoint", F.col("event_type") == "error", bounded=True)
+    return spark.read.parquet(f"{root}/out").select("event_id", "outcome")
+
+
 # pages of all kinds
 
 _KINDS_SQL = """WITH k AS (SELECT *, c_custkey % 5 AS kind FROM customer) """

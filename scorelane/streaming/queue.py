@@ -17,9 +17,11 @@ def read_queue(spark: SparkSession, path: str, schema: str, files: int = FILES_A
     return reader.parquet(path)
 
 
-def process_queue(messages: DataFrame, out: str, checkpoint: str, failed: Column | None = None, body: str = "body", again: str | None = None, tries: int = TRIES):
+def process_queue(messages: DataFrame, out: str, checkpoint: str, failed: Column | None = None, body: str = "body", again: str | None = None, tries: int = TRIES, bounded: bool = False):
     """Validates each batch and appends it by outcome; ends when what is there is processed.
 
+    ``bounded`` is for sources that give out a batch at a time (see ``read_messages``), which end when nothing is left.
+
     A batch that is run again overwrites its own folder, so every message is written once. With ``again``, the folder of
     the queue, messages (which then have a column attempt, from 0) with outcome ``retry`` come back as new files for the
     next run; after so many tries the outcome is ``dead``.
@@ -37,6 +39,14 @@ def process_queue(messages: DataFrame, out: str, checkpoint: str, failed: Column
             back = done.where("outcome = 'retry'").withColumn("attempt", (F.col("attempt") + 1).cast(df.schema["attempt"].dataType))
             back.select(*columns).write.mode("overwrite").parquet(f"{again}/retry-{number}")
 
-    query = messages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    writer = messages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    if bounded:
+        query = writer.start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    else:
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
     return query

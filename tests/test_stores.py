@@ -131,3 +131,23 @@ def test_features_do_not_look_ahead(spark):
         assert [got[g]["map_win_rate"] for g in range(5)] == [None, 1.0, 0.5, 0.5, 1.0]
         assert [got[g]["roster_seconds"] for g in range(5)] == [None, None, None, 0, 30 * 86400]
     assert features.game_features(frame.where("false"), rated).count() == 0
+
+
+def test_batches_of_messages_are_bounded_and_written_once(spark, tmp_path):
+    from scorelane.streaming.queue import process_queue
+    from scorelane.streaming.source import read_messages
+
+    schema, body = "id long, body string", '{"type":"ingest-match","payload":{"matchId":1}}'
+    at = {k: str(tmp_path / k) for k in ("in", "out", "checkpoint")}
+    spark.createDataFrame([(k, body) for k in range(23)], schema).coalesce(2).write.mode("append").parquet(at["in"])
+    failing = F.when(F.col("id") == 15, F.raise_error(F.lit("down"))).otherwise(False)
+    with pytest.raises(Exception, match="down"):
+        process_queue(read_messages(spark, at["in"], schema), at["out"], at["checkpoint"], failing, bounded=True)
+    assert spark.read.parquet(at["out"]).count() == 10
+    for more in ([], [(100 + k, body) for k in range(4)]):
+        if more:
+            spark.createDataFrame(more, schema).write.mode("append").parquet(at["in"])
+        process_queue(read_messages(spark, at["in"], schema), at["out"], at["checkpoint"], F.lit(False), bounded=True)
+    got = spark.read.parquet(at["out"])
+    assert sorted(r["id"] for r in got.collect()) == [*range(23), *range(100, 104)]
+    assert max(r["count"] for r in got.groupBy("batch").count().collect()) == 10
