@@ -129,3 +129,18 @@ def game_features(spark, sf_dir):
     history = lines.groupBy(F.col("l_suppkey").alias("player"), F.col("l_shipdate").alias("at")).agg(F.max("l_partkey").cast("double").alias("mu"))
     six = lambda c: F.round(c, 6).alias(c)
     return game_features(rows, history).select("game_id", "player", "rating", six("win_rate"), "games", six("headshot_ratio"), six("adr"), six("map_win_rate"), "roster_seconds")
+
+
+@_query(_gaussian_sql(_LEAGUES) + ", h AS (SELECT max(event_id) // 2 AS half, max(event_id) AS last FROM events) SELECT event_id AS game_id, round(f.p, 6) AS p, CASE WHEN event_id <= half THEN half ELSE last END AS mark FROM e JOIN f USING (league, k), h")
+def incremental_ratings(spark, sf_dir):
+    """Two rating runs, of which the second goes on from the ratings and the mark that the first left."""
+    e = _read(spark, sf_dir, "events")
+    team = lambda c: F.array(*[c * 10 + k for k in range(5)])
+    two = F.col("user_id") + 4 * (1 + F.col("event_id") % 3)
+    games = e.select((F.col("user_id") % 4).alias("league"), F.col("event_id").alias("game_id"), team(F.col("user_id")).alias("players1"), team(two).alias("players2"), (F.col("value") > 15).alias("first_won"))
+    half = e.agg(F.floor(F.max("event_id") / 2)).first()[0]
+    first, state, _, mark = ratings.rating_run(games.where(F.col("game_id") <= half), -1)
+    mark = mark.first()[0]
+    second, _, _, last = ratings.rating_run(games, mark, known=state)
+    both = first.withColumn("mark", F.lit(mark)).unionByName(second.withColumn("mark", F.lit(last.first()[0])))
+    return both.select("game_id", F.round("p", 6).alias("p"), "mark")
