@@ -329,7 +329,8 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     Vectors that are null, empty or zero, or hold null or non-finite components, link with nothing; vectors of
     unlike dimension do not link. Equal vectors are one node with a weight, so copies are never paired up one by
     one. Rows that repeat an id count as vectors of their own. A row with a null id links like others, and never
-    names a component unless that has no other id. No labels or other columns are read, whatever their names. Very
+    names a component unless that has no other id. A pair links at a cosine of exactly ``threshold``, worked out in doubles
+    from the vectors themselves. No labels or other columns are read, whatever their names. Very
     long vectors are taken whole. An empty table gives no rows.
     """
     kind = vectors.schema[id_col].dataType.simpleString()

@@ -209,7 +209,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``blocks`` is array<struct<license, start, end, differing, saved>>: code points of the wording, end exclusive,
     the words that differ from the template, and the bytes the template saves. Null and empty texts have none.
     Whole texts are scanned; only texts with a licence word leave the JVM. Rows with null or repeated ids are
-    scanned like others, columns besides id_col and text_col are not read, and an empty table gives no rows.
+    scanned like others, columns besides id_col and text_col are not read, and an empty table gives no rows. Of
+    overlapping wordings the one with most words agreed stays; ties go to the earlier place, then to the identifier.
     """
 
     def run(batches):

@@ -722,3 +722,10 @@ def test_ranks_of_packing_do_not_depend_on_blocks(spark, monkeypatch):
                 assert offset == at
                 at += length
             assert at <= 2048
+
+
+def test_components_of_nulls_loops_and_repeats(spark):
+    edges = [(1, 2), (2, 1), (2, 3), (5, 5), (None, 7), (8, None), (None, None), (9, 10), (9, 10)]
+    got = connected_components(spark.createDataFrame(edges, "u long, v long")).collect()
+    assert {(r["node"], r["component"]) for r in got} == {(1, 1), (2, 1), (3, 1), (9, 9), (10, 9)} and len(got) == 5
+    assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
