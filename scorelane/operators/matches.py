@@ -19,36 +19,33 @@ MAP_LINK = r'(?i)href="([^"]*/stats/matches/(?:performance/)?mapstatsid/(\d+)/[^
 SKIPPED_MAPS = ("Default", "TBA")
 
 
-def _team(head: Column, html: Column, n: int) -> Column:
-    pattern = rf'(?is)(<div[^>]*class="team{n}-gradient[^"]*".*?</div>)'
-    block = F.coalesce(first_of((head, html), pattern), F.lit(""))
-    name = F.coalesce(F.nullif(capture_text(block, r'(?i)class="teamName[^"]*"[^>]*>([^<]+)'), F.lit("")), F.lit("Unknown"))
-    return F.struct(first_group(block, r"(?i)/team/(\d+)/").cast("long").alias("team_id"), name.alias("name"))
+def _block(head: Column, html: Column, n: int) -> Column:
+    return F.coalesce(first_of((head, html), rf'(?is)(<div[^>]*class="team{n}-gradient[^"]*".*?</div>)'), F.lit(""))
 
 
-def _score(head: Column, html: Column, n: int, faithful: bool) -> Column:
-    """faithful: the search runs on past the team's own block, as far as the end of the page."""
-    if not faithful:
-        # a block ends at the first map; the other team's may come first, and the head holds both or the page does
-        html = F.when(F.contains(head, F.lit(f'class="team{n}-gradient')), head).otherwise(html)
-        html = F.concat(F.lit(f'class="team{n}-gradient'), F.regexp_extract(html, rf'(?is)class="team{n}-gradient(.*?)(?:class="team{3 - n}-gradient|<div class="mapholder"|\z)', 1))
-    return capture_number(html, *[rf'(?is)class="team{n}-gradient.*?class="{c}"[^>]*>(\d+)' for c in ("won", "score")]).cast("int")
+def _cut(head: Column, html: Column, n: int) -> Column:
+    """A team's own part of the page: a block ends at the first map; the other team's may come first, and the head holds both or the page does."""
+    html = F.when(F.contains(head, F.lit(f'class="team{n}-gradient')), head).otherwise(html)
+    return F.concat(F.lit(f'class="team{n}-gradient'), F.regexp_extract(html, rf'(?is)class="team{n}-gradient(.*?)(?:class="team{3 - n}-gradient|<div class="mapholder"|\z)', 1))
+
+
+def _score(text: Column | tuple, n: int) -> Column:
+    return capture_number(text, *[rf'(?is)class="team{n}-gradient.*?class="{c}"[^>]*>(\d+)' for c in ("won", "score")]).cast("int")
 
 
 TABLE, ROW = r'(?is)<table class="table totalstats">(.*?)</table>', r"(?is)<tr>(.*?)</tr>"
 
 
 def _map_fields(block: Column, url: Column, base: str) -> Column:
-    """A map of a block; null without a name, or with that of a map not chosen."""
-    name = capture_text(block, r'(?i)class="mapname[^"]*"[^>]*>([^<]+)')
-    scores = F.regexp_extract_all(block, F.lit(r'(?i)class="results-team-score[^"]*"[^>]*>([^<]+)'), F.lit(1))
-    number = lambda k: F.when(trimmed(F.get(scores, F.lit(k))) == "", F.lit(0)).otherwise(trimmed(F.get(scores, F.lit(k))).try_cast("double").cast("int"))
+    """A map of a block, from the columns name, score1 and score2; null without a name, or with that of a map not chosen."""
+    name = F.col("name")
+    number = lambda c: F.when(F.col(c) == "", F.lit(0)).otherwise(F.col(c).try_cast("double").cast("int"))
     fields = F.struct(
         first_group(block, MAP_LINK, 2).cast("long").alias("map_id"),
         name.alias("map_name"),
-        F.coalesce(absolute(first_group(block, MAP_LINK), base), url).alias("source_url"),
-        number(0).alias("team1_score"),
-        number(1).alias("team2_score"),
+        F.coalesce(absolute(F.col("link"), base), url).alias("source_url"),
+        number("score1").alias("team1_score"),
+        number("score2").alias("team2_score"),
     )
     return F.when((F.coalesce(name, F.lit("")) != "") & ~name.isin(*SKIPPED_MAPS), fields)
 
@@ -68,12 +65,6 @@ def _player_fields(row: Column, team: Column) -> Column:
     )
 
 
-def _table_team(table: Column, team1: Column, team2: Column) -> Column:
-    head = trimmed(first_group(table, r'(?i)class="teamName team">([^<]+)'))
-    named = F.when(head == team1["name"], team1["team_id"]).when(head == team2["name"], team2["team_id"])
-    return F.coalesce(first_group(table, r'(?i)href="/team/(\d+)/[^"]*" class="teamName team"').cast("long"), named)
-
-
 def _with_stats(maps: Column, players: Column) -> Column:
     """Players with the map of their section, of those whose section has one."""
     by_id = F.map_from_entries(F.filter(F.transform(maps, lambda m: F.struct(m["map_id"].cast("string").alias("k"), m)), lambda e: e["k"].isNotNull()))
@@ -101,7 +92,12 @@ def parse_matches(pages: DataFrame, base: str, url: str = "match_url", html: str
     page = page.withColumn("head", F.split("h", HEAD_END, 2)[0])
     h, head = F.col("h"), (F.col("head"), F.col("h"))
     demo = first_of(head, r'(?i)data-demo-link="([^"]+)"', r'(?i)href="([^"]*/download/demo/[^"]+)"')
-    page = page.withColumns({"team1": _team(*head, 1), "team2": _team(*head, 2)})
+    # what is used twice is a column of its own: an expression in two places is worked out twice
+    page = page.withColumns({f"block{n}": _block(*head, n) for n in (1, 2)} | ({} if faithful_scores else {f"cut{n}": _cut(*head, n) for n in (1, 2)}))
+    page = page.withColumns({f"name{n}": capture_text(F.col(f"block{n}"), r'(?i)class="teamName[^"]*"[^>]*>([^<]+)') for n in (1, 2)})
+    named = lambda n: F.when(F.col(f"name{n}") != "", F.col(f"name{n}")).otherwise("Unknown")
+    page = page.withColumns({f"team{n}": F.struct(first_group(F.col(f"block{n}"), r"(?i)/team/(\d+)/").cast("long").alias("team_id"), named(n).alias("name")) for n in (1, 2)})
+    score = lambda n: _score(head if faithful_scores else F.col(f"cut{n}"), n).alias(f"team{n}_score")
     whole = F.struct(
         match_id(F.col("source_url")).alias("match_id"),
         match_slug(F.col("source_url")).alias("slug"),
@@ -111,8 +107,8 @@ def parse_matches(pages: DataFrame, base: str, url: str = "match_url", html: str
         instant_of_epoch(capture_number(head, r'(?i)data-unix="(\d{10,13})"')).alias("scheduled_at"),
         F.col("team1").alias("team1"),
         F.col("team2").alias("team2"),
-        _score(*head, 1, faithful_scores).alias("team1_score"),
-        _score(*head, 2, faithful_scores).alias("team2_score"),
+        score(1),
+        score(2),
         absolute(demo, base).alias("raw_demo_url"),
         F.col("challenge").alias("challenge"),
     )
@@ -128,10 +124,16 @@ def parse_matches(pages: DataFrame, base: str, url: str = "match_url", html: str
     part = part.where("pos = 0 or is_map or (section is not null and section <> 'all')")
     inner = F.when(F.col("section").isNotNull(), F.regexp_extract_all("text", F.lit(TABLE), F.lit(1))).otherwise(F.array(F.when(F.col("is_map"), F.col("text"))))
     part = part.withColumn("inner", inner).select("page", "source_url", "team1", "team2", "whole", "pos", "is_map", "section", F.posexplode_outer("inner").alias("table", "text"))
-    team = F.when(F.col("section").isNotNull(), _table_team(F.col("text"), F.col("team1"), F.col("team2")))
+    in_table = lambda c: F.when(F.col("section").isNotNull(), c)
+    part = part.withColumns({"said": in_table(trimmed(first_group(F.col("text"), r'(?i)class="teamName team">([^<]+)'))), "linked": in_table(first_group(F.col("text"), r'(?i)href="/team/(\d+)/[^"]*" class="teamName team"').cast("long"))})
+    team = F.coalesce("linked", F.when(F.col("said") == F.col("team1.name"), F.col("team1.team_id")).when(F.col("said") == F.col("team2.name"), F.col("team2.team_id")))
     inner = F.when(F.col("section").isNotNull(), F.regexp_extract_all("text", F.lit(ROW), F.lit(1))).otherwise(F.array("text"))
     part = part.select("page", "source_url", "whole", "pos", "is_map", "section", "table", team.alias("team"), inner.alias("inner"))
     part = part.select("page", "source_url", "whole", "pos", "is_map", "section", "table", "team", F.posexplode_outer("inner").alias("row", "text"))
+    of_map = lambda c: F.when(F.col("is_map"), c)
+    scores = F.regexp_extract_all("text", F.lit(r'(?i)class="results-team-score[^"]*"[^>]*>([^<]+)'), F.lit(1))
+    part = part.withColumns({"name": of_map(capture_text(F.col("text"), r'(?i)class="mapname[^"]*"[^>]*>([^<]+)')), "link": of_map(first_group(F.col("text"), MAP_LINK)), "scores": of_map(scores)})
+    part = part.withColumns({f"score{k + 1}": trimmed(F.get("scores", F.lit(k))) for k in (0, 1)})
     game = F.when(F.col("is_map"), _map_fields(F.col("text"), F.col("source_url"), base))
     player = F.when(F.col("section").isNotNull(), _player_fields(F.col("text"), F.col("team")))
     part = part.select("page", "whole", "pos", "table", "row", "section", game.alias("game"), player.alias("player"))
