@@ -165,6 +165,12 @@ def team_mean(ratings: Column, faithful: bool = False, first_size: Column | None
     return total / F.nullif(F.size(ratings), F.lit(0))
 
 
+def team_means(rows: DataFrame, team: str, rating: str, first_size: int = 5) -> DataFrame:
+    """(team, mean, faithful) of rows of players, by partial sums: no team's players are gathered. See ``team_mean``."""
+    total = F.sum(F.coalesce(F.col(rating).cast("double"), F.lit(0.0)))
+    return rows.groupBy(team).agg(F.avg(rating).alias("mean"), ((total - 1) / first_size).alias("faithful"))
+
+
 def predicted_pair(p: Column) -> Column:
     """Both sides' chances in two digits, the first rounded half to even."""
     first = F.bround(p, 2)

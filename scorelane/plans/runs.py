@@ -206,9 +206,8 @@ def percent_forms(spark, sf_dir):
 
 @_query("""SELECT o_custkey, round(avg(o_totalprice), 2) AS mean, round((sum(o_totalprice) - 1) / 5, 2) AS faithful FROM orders GROUP BY 1""")
 def team_means(spark, sf_dir):
-    teams = _read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.collect_list("o_totalprice").alias("elo"))  # the orders of one customer
-    mean = ratings.team_mean(F.col("elo"))
-    return teams.select("o_custkey", F.round(mean, 2).alias("mean"), F.round(ratings.team_mean(F.col("elo"), True, F.lit(5)), 2).alias("faithful"))
+    means = ratings.team_means(_read(spark, sf_dir, "orders"), "o_custkey", "o_totalprice")
+    return means.select("o_custkey", F.round("mean", 2).alias("mean"), F.round("faithful", 2).alias("faithful"))
 
 
 # archived pages
