@@ -132,3 +132,24 @@ def test_nearest_ranks_are_exact(spark):
         assert got == want
     plan = evaluation.sample_summary(frame, "g", "v")._jdf.queryExecution().toString()
     assert "percentile" not in plan
+
+
+@pytest.mark.parametrize("sizes", [{}, {"games_a_task": 10, "players_a_task": 5}])
+def test_a_league_of_long_chains_takes_few_steps(spark, monkeypatch, sizes):
+    from scorelane.operators import replay
+
+    steps, kept = [], replay.checkpointed
+    monkeypatch.setattr(replay, "checkpointed", lambda df: steps.append(1) or kept(df))
+    rng = random.Random(8)
+    games = [(0, g, *rng.sample(range(20), 2), g % 2) for g in range(400)]
+    elo, _ = plain_elo(games)
+    final = ratings.elo_fold(spark.createDataFrame(games, "league long, game_id long, a long, b long, a_won int"), **sizes)
+    assert {(r["league"], r["player"]): r["elo"] for r in final.collect()} == pytest.approx(elo)
+    assert len(steps) <= 1 + 3 * replay.MOST_SLICES
+
+
+def test_refused_games_need_no_replay(spark, monkeypatch):
+    monkeypatch.setattr(ratings, "replay", None)
+    rows = [(0, g, p, 1 if p < 5 or g == 5 else 2) for g in range(6) for p in range(9 if g == 4 else 10)]
+    frame = spark.createDataFrame(rows, "league int, game_id long, player_id long, side int")
+    assert {r["game_id"]: r["n"] for r in ratings.elo_dataset_refused(frame, 0).collect()} == {0: 10, 4: 9, 5: 10}
