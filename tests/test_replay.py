@@ -153,3 +153,18 @@ def test_refused_games_need_no_replay(spark, monkeypatch):
     rows = [(0, g, p, 1 if p < 5 or g == 5 else 2) for g in range(6) for p in range(9 if g == 4 else 10)]
     frame = spark.createDataFrame(rows, "league int, game_id long, player_id long, side int")
     assert {r["game_id"]: r["n"] for r in ratings.elo_dataset_refused(frame, 0).collect()} == {0: 10, 4: 9, 5: 10}
+
+
+def test_a_run_of_accuracy_replays_no_game_after_its_last(spark, monkeypatch):
+    from scorelane.plans import replays
+
+    class Seen(Exception):
+        pass
+
+    def seen(games, **_):
+        raise Seen(games.count())
+
+    monkeypatch.setattr(ratings, "gaussian_replay", seen)
+    with pytest.raises(Seen) as told:
+        replays.prequential_accuracy(spark, "/root/testdata/sf0.1")
+    assert told.value.args == (5001,)
