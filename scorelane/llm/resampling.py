@@ -186,15 +186,52 @@ def _features(buckets: int):
 
 
 NAMES = ["sha", "steps", "n_words", "n_features", "bucket", "n"]
+#: Partitions in which the counters of tasks are added up.
+ADDERS = 4
+
+
+def _packed_features(buckets: int):
+    """As ``_features``, but with a task's counters in one row (counts), whatever it read."""
+
+    def run(batches):
+        for batch in _features(buckets)(batches):
+            if len(batch) and batch.column("bucket").null_count == 0:
+                counts = np.zeros(buckets, "<i8")
+                counts[batch.column("bucket").to_numpy()] = batch.column("n").to_numpy()
+                columns = [*[pa.nulls(1, batch.schema.field(c).type) for c in NAMES[:4]], pa.array([counts.tobytes()], pa.binary())]
+            else:
+                columns = [*batch.columns[:4], pa.nulls(len(batch), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*NAMES[:4], "counts"])
+
+    return run
 
 
 def _stored_features(texts: DataFrame, buckets: int) -> DataFrame:
     path = scratch_path(texts.sparkSession, "features")
-    schema = "sha binary, steps binary, n_words long, n_features long, bucket long, n long"
-    texts.select("sha", "many", "text").mapInArrow(_features(buckets), schema).write.option("compression", "zstd").parquet(path)
+    schema = "sha binary, steps binary, n_words long, n_features long, counts binary"
+    texts.select("sha", "many", "text").mapInArrow(_packed_features(buckets), schema).write.option("compression", "zstd").parquet(path)
     return texts.sparkSession.read.parquet(path)
 
 
+def _added(buckets: int):
+    """Rows of counters to one row (bucket, n) a bucket that is not empty."""
+
+    def run(batches):
+        total = np.zeros(buckets, np.int64)
+        for batch in batches:
+            for row in batch.column("counts"):
+                total += np.frombuffer(row.as_buffer(), "<i8")
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["bucket", "n"])
+
+    return run
+
+
+def bucket_counts(stored: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, n) of stored features, in ADDERS parts: as many rows as buckets in each, however many tasks counted."""
+    return stored.where("counts is not null").select("counts").coalesce(ADDERS).mapInArrow(_added(buckets), "bucket long, n long")
+
+
 def unlike_texts(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(keys, texts): the digest of each row in the order of ``docs``'s first column, and rows (sha, many, text) of unlike texts.
 
@@ -261,8 +298,7 @@ def importance_resample(docs: DataFrame, target: DataFrame, id_col: str = "doc_i
     keys, texts = unlike_texts(docs.select(id_col, text_col), text_col)
     stored = _stored_features(texts, buckets)
     _, goal = unlike_texts(target.select(F.lit(0).cast("long").alias("id"), F.col(target_text).alias("text")), "text")
-    goal = _stored_features(goal, buckets).where("bucket is not null")
-    gains = bucket_gains(stored.where("bucket is not null"), goal, buckets)
+    gains = bucket_gains(bucket_counts(stored, buckets), bucket_counts(_stored_features(goal, buckets), buckets), buckets)
     of = stored.where("sha is not null").select("sha", "n_words", "n_features", "steps")
     weights = of.mapInArrow(_weights(gains), "sha binary, n_words long, n_features long, weight long")
     weights = weights.groupBy("sha").agg(F.sum("n_words").alias("n_words"), F.sum("n_features").alias("n_features"), F.sum("weight").alias("weight"))

@@ -265,3 +265,15 @@ def test_counters_pass_on_what_they_hold(monkeypatch):
         for t in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text):
             want[lang, source, t.lower() if t.isascii() else t] += 1
     assert got == want
+
+
+def test_resampling_counts_in_a_row_a_task(spark):
+    from scorelane.llm import resampling
+
+    rows = [(bytes([k]), 1 + k % 3, " ".join(f"w{(k * j) % 40}" for j in range(30))) for k in range(60)]
+    texts = spark.createDataFrame(rows, "sha binary, many long, text string").repartition(12)
+    stored = resampling._stored_features(texts, 100)
+    assert stored.where("counts is not null").count() <= 12 and stored.where("sha is not null").count() == 60
+    want = sum(r["many"] * r["n_features"] for r in stored.join(texts.select("sha", "many"), "sha").collect())
+    counts = resampling.bucket_counts(stored, 100)
+    assert counts.count() <= 100 * resampling.ADDERS and counts.agg({"n": "sum"}).first()[0] == want
