@@ -46,3 +46,11 @@ def test_query(spark, con, name):
 
 def test_flagship(spark):
     assert catalogue.flagship(spark, FOLDER).count() > 0
+
+
+def test_pages_are_shuffled_as_numbers(spark):
+    from scorelane.plans import catalogue
+
+    plan = catalogue._match_pages(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange") :]
+    assert "mapholder" in plan[: plan.index("Exchange")] and "mapholder" not in below
