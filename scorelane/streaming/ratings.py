@@ -1,87 +1,56 @@
-"""Ratings as a stream: games come in micro-batches, players' ratings and a high-water mark are Spark's state."""
+"""Ratings as a stream: games come in micro-batches, players' ratings and a high-water mark a league are kept between them."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from scorelane.operators.ratings import BETA, MU, SIGMA, _cdf, gaussian_update
+from scorelane.operators.ordering import BROADCAST_GROUPS
+from scorelane.operators.ratings import gaussian_replay
 
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-OUT = "league string, game_id long, p double, first_won boolean, outcome string"
+GAME = ("league", "game_id", "players1", "players2", "first_won")
 
 
-class RatingProcessor(StatefulProcessor):
-    """One league: a map from player to rating, and the largest game id so far.
+def judged(games: DataFrame, marks: DataFrame | None, size: int = 5) -> DataFrame:
+    """games with outcome: refused at or below the league's mark (league, mark) or if the id came before, rated with ``size`` a side, else skipped.
 
-    Games of a micro-batch are taken by id; those at or below the mark are refused, those without ``size`` a side skipped, and
-    both change nothing but that a skipped game passes the mark. Only the batch's players are read and written.
+    Of rows that share league and id the first by a hash counts, so a batch that is run again gives the same.
     """
-
-    def __init__(self, size: int = 5) -> None:
-        self.size = size
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.players = handle.getMapState("players", "player long", "mu double, sigma double")
-        self.mark = handle.getValueState("mark", "game long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        stored = self.mark.get()
-        mark, held, out = None if stored is None else stored[0], {}, []
-
-        def rating(player):
-            if player not in held:
-                found = self.players.getValue((player,)) if self.players.containsKey((player,)) else None
-                held[player] = (MU, SIGMA) if found is None else (found[0], found[1])
-            return held[player]
-
-        for r in sorted(rows, key=lambda r: r.game_id):
-            p = None
-            if mark is not None and r.game_id <= mark:
-                outcome = "refused"
-            else:
-                mark = r.game_id
-                one, two = r.players1 or [], r.players2 or []
-                outcome = "rated" if len(one) == len(two) == self.size else "skipped"
-            if outcome == "rated":
-                a, b = [rating(x) for x in one], [rating(x) for x in two]
-                p = _cdf((sum(m for m, _ in a) - sum(m for m, _ in b)) / math.sqrt(len(a + b) * BETA * BETA + sum(s * s for _, s in a + b)))
-                if r.first_won:
-                    a, b = gaussian_update(a, b)
-                else:
-                    b, a = gaussian_update(b, a)
-                held.update(zip([*one, *two], [*a, *b], strict=True))
-            out.append(Row(league=key[0], game_id=r.game_id, p=p, first_won=r.first_won, outcome=outcome))
-        for player, state in held.items():
-            self.players.updateValue((player,), state)
-        if mark is not None:
-            self.mark.update((mark,))
-        yield from out
-
-    def close(self) -> None:
-        pass
-
-
-def rated(games: DataFrame, league: str = "league", size: int = 5) -> DataFrame:
-    """A stream of games (league, game_id long, players1, players2, first_won) with p and outcome of each.
-
-    Ids must rise from batch to batch within a league; within one they are put in order. Games of a null id are left out.
+    again = Window.partitionBy("league", "game_id").orderBy(F.xxhash64(*GAME))
+    rows = games.withColumn("turn", F.row_number().over(again))
+    if marks is None:
+        rows = rows.withColumn("mark", F.lit(None).cast("long"))
+    else:
+        rows = rows.join(F.broadcast(marks) if marks.count() <= BROADCAST_GROUPS else marks, "league", "left")
+    whole = (F.size("players1") == size) & (F.size("players2") == size)
+    outcome = F.when((F.col("turn") > 1) | F.coalesce(F.col("game_id") <= F.col("mark"), F.lit(False)), "refused").when(F.coalesce(whole, F.lit(False)), "rated").otherwise("skipped")
+    return rows.select(*GAME, outcome.alias("outcome"))
+
+
+def rate_stream(games: DataFrame, out: str, checkpoint: str, league: str = "league", size: int = 5, **sizes) -> None:
+    """Rates what is there and ends; a later run with the same checkpoint goes on from the ratings and the marks.
+
+    ``games`` is a stream of league, game_id long, players1, players2 and first_won; below ``out`` comes a row a game with p and
+    outcome. Ids must rise from batch to batch within a league; within one they are put in order. Refused and skipped games
+    change nothing but that a skipped one passes the mark. Games of a null id are left out. A batch is replayed as a table
+    (see ``replay``, also for ``sizes``), so it may have any number of games. It reads what the batch before it left and
+    writes beside it: one that is run again starts from the same ratings, and writes over its own rows.
     """
-    keyed = games.where("game_id is not null").select(F.coalesce(F.col(league).cast("string"), F.lit("")).alias("league"), "game_id", "players1", "players2", "first_won")
-    return keyed.groupBy("league").transformWithState(RatingProcessor(size), OUT, "Append", "None")
-
 
-def rate_stream(games: DataFrame, out: str, checkpoint: str, **more) -> None:
-    """Rates what is there and ends; a later run with the same checkpoint goes on from the state and the mark."""
-    spark = games.sparkSession
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)  # maps of state need it
-    try:
-        query = rated(games, **more).writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        query.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    def batch(df: DataFrame, number: int) -> None:
+        spark = df.sparkSession
+        left, makes = (f"{checkpoint}/ratings/{k % 2}" for k in (number - 1, number))
+        known, marks = (spark.read.parquet(f"{left}/{x}") if number else None for x in ("players", "marks"))
+        keyed = df.where("game_id is not null").select(F.coalesce(F.col(league).cast("string"), F.lit("")).alias("league"), *GAME[1:])
+        rows = judged(keyed, marks, size)
+        predicted, players = gaussian_replay(rows.where("outcome = 'rated'"), known=known, **sizes)
+        predicted = predicted.select("league", "game_id", "p", "first_won", F.lit("rated").alias("outcome"))
+        others = rows.where("outcome <> 'rated'").select("league", "game_id", F.lit(None).cast("double").alias("p"), "first_won", "outcome")
+        predicted.unionByName(others).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        players.select("league", "player", "mu", "sigma").write.mode("overwrite").parquet(f"{makes}/players")
+        passed = keyed.groupBy("league").agg(F.max("game_id").alias("mark"))
+        passed = passed if marks is None else passed.unionByName(marks).groupBy("league").agg(F.max("mark").alias("mark"))
+        passed.write.mode("overwrite").parquet(f"{makes}/marks")
+
+    query = games.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()

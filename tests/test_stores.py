@@ -105,6 +105,23 @@ def test_ratings_as_a_stream_go_on_from_their_state(spark, tmp_path):
     assert sorted((r["game_id"], r["outcome"]) for r in got if r["outcome"] != "rated") == [(3, "refused"), (7, "skipped"), (20, "refused")]
 
 
+def test_a_batch_of_the_rating_stream_is_replayed_in_slices(spark, tmp_path):
+    """Slices of four games and two tasks a league give what one ordered pass gives; ids that come twice in a batch count once."""
+    import random
+
+    rng = random.Random(5)
+    games = [(None if g % 3 else "a", g, ps[:5], ps[5:], bool(rng.random() < 0.5)) for g in range(40) for ps in [rng.sample(range(14), 10)]]
+    schema = "league string, game_id long, players1 array<long>, players2 array<long>, first_won boolean"
+    whole = {r["game_id"]: r["p"] for r in ratings.gaussian_fold(spark.createDataFrame(games, schema)).collect()}
+    at = {k: str(tmp_path / k) for k in ("in", "out", "checkpoint")}
+    for part in ([*games[:20], games[4], games[4]], [*games[20:], (None, None, *games[0][2:]), ("b", 1, None, [1], True), games[2]]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(at["in"])
+        rate_stream(spark.readStream.schema(schema).parquet(at["in"]), at["out"], at["checkpoint"], games_a_task=4, players_a_task=7)
+    got = spark.read.parquet(at["out"]).collect()
+    assert {r["game_id"]: r["p"] for r in got if r["outcome"] == "rated"} == pytest.approx(whole)
+    assert sorted((r["league"], r["game_id"], r["outcome"]) for r in got if r["outcome"] != "rated") == [("", 2, "refused"), ("", 4, "refused"), ("", 4, "refused"), ("b", 1, "skipped")]
+
+
 def test_as_of_takes_the_last_earlier_row(spark):
     left = spark.createDataFrame([(k, k % 3 if k % 7 else None, t) for k in range(40) for t in [k * 5 % 23 if k % 9 else None]], "id int, k int, t int")
     right = spark.createDataFrame([(k % 3 if k % 5 else None, k * 7 % 29 if k % 11 else None, k) for k in range(60)], "k int, at int, v int")
