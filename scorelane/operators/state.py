@@ -73,10 +73,11 @@ def _next_at(asks: DataFrame, marks: DataFrame, keys: list[str], block_ms: int)
     block = F.floor(F.col("at") / block_ms).alias("block")
     both = asks.select("*", block, F.lit(None).cast("struct<at:bigint,tie:bigint>").alias("mark"))
     both = both.unionByName(marks.select(*keys, "at", "tie", block, place.alias("mark")), allowMissingColumns=True)
-    near = Window.partitionBy(*keys, "block").orderBy("at", "tie").rowsBetween(1, Window.unboundedFollowing)
+    # from the last to the first: a frame that begins at the end only grows, one that ends there is added up anew for each row
+    near = Window.partitionBy(*keys, "block").orderBy(F.desc("at"), F.desc("tie")).rowsBetween(Window.unboundedPreceding, -1)
     near = both.withColumn("near", F.min("mark").over(near)).where("mark is null").drop("mark")
     firsts = both.groupBy(*keys, "block").agg(F.min("mark").alias("first"))
-    later = Window.partitionBy(*keys).orderBy("block").rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(*keys).orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     firsts = firsts.withColumn("later", F.min("first").over(later)).drop("first")
     return near.join(firsts, [*keys, "block"]).withColumn("then", F.coalesce("near", "later")).drop("near", "later", "block")
 

@@ -187,3 +187,12 @@ def test_lines_and_lookups_of_files(spark, tmp_path):
     items = spark.createDataFrame([(1,), (2,)], "k long")
     links = spark.createDataFrame([(1, 0, "a"), (1, 1, "b")], "k long, pos long, url string")
     assert {tuple(r) for r in legacy.last_match(items, links, "k", "pos", "url").collect()} == {(1, "b"), (2, None)}
+
+
+def test_the_next_mark_is_found_by_a_frame_that_only_grows(spark):
+    asks = spark.createDataFrame([("a", t, k) for k, t in enumerate((1, 5, 5, 12, 40))], "lock string, at long, tie long")
+    marks = spark.createDataFrame([("a", 5, 1), ("a", 11, 9), ("a", 33, 0), ("b", 99, 0)], "lock string, at long, tie long")
+    met = state._next_at(asks, marks, ["lock"], 10)
+    assert {r["tie"]: r["then"] and tuple(r["then"]) for r in met.collect()} == {0: (5, 1), 1: (11, 9), 2: (11, 9), 3: (33, 0), 4: None}
+    # a frame that ends after all rows is added up anew for each row: the square of a block
+    assert "unboundedfollowing" not in met._jdf.queryExecution().analyzed().toString().lower()
