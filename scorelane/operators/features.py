@@ -18,13 +18,14 @@ def recent_sums(rows: DataFrame, months: int, rows_a_part: int = ROWS_A_PART) ->
     A window is the difference of two prefix sums: what lies before the game, less what lies before the window. Both are
     probes in one scan by player and instant, so a player's games may lie in any number of tasks.
     """
-    zero = [F.lit(0).cast("long").alias(c) for c in SUMS]
+    # a probe has no sums of its own, and its place for them is one null
+    no = F.lit(None).cast(f"struct<{', '.join(f'{c}: bigint' for c in SUMS)}>").alias("own")
     own = [F.lit(1).cast("long").alias("games"), F.col("won").cast("long").alias("wins"), *[F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(c) for c in SUMS[2:]]]
-    played = rows.select("player", "game_id", F.col("ts").alias("at"), F.lit(2).alias("kind"), *own)
-    until = rows.select("player", "game_id", F.col("ts").alias("at"), F.lit(1).alias("kind"), *zero)
-    since = rows.select("player", "game_id", (F.col("ts") - F.expr(f"INTERVAL {months} MONTHS")).alias("at"), F.lit(0).alias("kind"), *zero)
+    played = rows.select("player", "game_id", F.col("ts").alias("at"), F.lit(2).alias("kind"), F.struct(*own).alias("own"))
+    until = rows.select("player", "game_id", F.col("ts").alias("at"), F.lit(1).alias("kind"), no)
+    since = rows.select("player", "game_id", (F.col("ts") - F.expr(f"INTERVAL {months} MONTHS")).alias("at"), F.lit(0).alias("kind"), no)
     both = played.unionByName(until).unionByName(since)
-    named = {f"{c}_upto": F.col(c) for c in SUMS}
+    named = {f"{c}_upto": F.coalesce(F.col(f"own.{c}"), F.lit(0)) for c in SUMS}
     # what is played at an instant comes after all probes of that instant
     both = prefix_scan(both, [F.col("at"), F.col("kind"), F.col("game_id")], named, ["player"], rows_a_part).where("kind < 2")
     less = lambda c: F.sum(F.when(F.col("kind") == 1, F.col(c)).otherwise(-F.col(c)))
@@ -33,7 +34,7 @@ def recent_sums(rows: DataFrame, months: int, rows_a_part: int = ROWS_A_PART) ->
 
 def map_form(rows: DataFrame, games: int, rows_a_part: int = ROWS_A_PART) -> DataFrame:
     """Per (game_id, player) the share won of the player's last ``games`` earlier games on the map; null without any."""
-    seen = checkpointed(prefix_scan(rows.select("game_id", "player", "map", "ts", F.col("won").cast("long").alias("won")), [F.col("ts"), F.col("game_id")], {"place": F.lit(1).cast("long"), "wins": F.col("won")}, ["player", "map"], rows_a_part))
+    seen = prefix_scan(rows.select("game_id", "player", "map", "ts", F.col("won").cast("long").alias("won")), [F.col("ts"), F.col("game_id")], {"place": F.lit(1).cast("long"), "wins": F.col("won")}, ["player", "map"], rows_a_part)
     back = seen.select(F.col("player").alias("p"), F.col("map").alias("m"), (F.col("place") + games + 1).alias("at"), F.col("wins").alias("before"))
     met = seen.join(back, (F.col("player") == F.col("p")) & (F.col("map") == F.col("m")) & (F.col("place") == F.col("at")), "left")
     wins, many = F.col("wins") - F.col("won") - F.coalesce("before", F.lit(0)), F.least(F.col("place") - 1, F.lit(games))

@@ -133,6 +133,19 @@ def test_as_of_takes_the_last_earlier_row(spark):
         assert {r["id"]: r["v"] for r in as_of(left, right, "k", "t", "at", ["v"], size).collect()} == want
 
 
+def test_a_prefix_scan_shuffles_its_rows_once(spark):
+    from scorelane.operators.ordering import prefix_scan
+
+    frame = spark.createDataFrame([(k, (None, "a", "b")[k % 3] if k > 10 else "a", k % 5) for k in range(60)], "id long, g string, v long")
+    for size in (7, 1000):
+        scanned = prefix_scan(frame, [F.col("id")], {"total": F.col("v")}, ["g"], size)
+        want, sums = {}, {}
+        for k, g, v in frame.collect():
+            want[k] = sums[g] = sums.get(g, 0) + v
+        assert {r["id"]: r["total"] for r in scanned.collect()} == want
+        assert "SortMergeJoin" not in scanned._jdf.queryExecution().executedPlan().toString()
+
+
 def test_features_do_not_look_ahead(spark):
     import datetime as dt
 
