@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import WordEncoder, cached, slices
+from .bpe import cached, slices
 from .shared import checkpointed
 
 CAPACITY = 2048
@@ -216,11 +216,12 @@ def byte_alphabet() -> dict[str, int]:
 def _tokenizer_encoder(definition: str, pattern: str):
     """A function of texts to id bytes, as the tokenizers library gives them for a JSON definition as it is loaded.
 
-    Of a plain byte-level tokenizer whose merges come in the order of their ids, ids are ranks, and a rank encoder of
-    distinct words gives the same ids at a quarter of the time: added tokens are cut out of a text first. For all other
-    definitions the library encodes the texts.
+    Of a plain byte-level tokenizer whose merges come in the order of their ids, ids are ranks, and tiktoken, which splits by the
+    same pattern, gives the same ids of whole texts in less time: added tokens are cut out of a text first. For all
+    other definitions the library encodes the texts.
     """
     import json
+    import re
     from array import array
 
     whole = json.loads(definition)
@@ -238,8 +239,15 @@ def _tokenizer_encoder(definition: str, pattern: str):
         byte = byte_alphabet()
         ranks = {bytes(byte[c] for c in token): k for token, k in vocabulary.items()}
         encode = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        special = {t["content"]: array("I", [t["id"]]).tobytes() for t in added}
-        return WordEncoder(pattern, lambda new: [array("I", encode(w)).tobytes() for w in new], special).encode
+        special = {t["content"]: [t["id"]] for t in added}
+        cut = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")").split
+
+        def ids(text: str) -> list[int]:
+            if not any(s in text for s in special):
+                return encode(text)
+            return [i for k, part in enumerate(cut(text)) for i in (special[part] if k % 2 else encode(part))]
+
+        return lambda texts: [array("I", ids(t)).tobytes() for t in texts]
 
     from tokenizers import Tokenizer
 

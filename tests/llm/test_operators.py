@@ -729,3 +729,23 @@ def test_components_of_nulls_loops_and_repeats(spark):
     got = connected_components(spark.createDataFrame(edges, "u long, v long")).collect()
     assert {(r["node"], r["component"]) for r in got} == {(1, 1), (2, 1), (3, 1), (9, 9), (10, 9)} and len(got) == 5
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_the_packing_encoder_gives_the_library_ids_and_keeps_no_words():
+    import tracemalloc
+
+    from tokenizers import Tokenizer
+
+    from scorelane.llm.packing import _tokenizer_encoder
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as f:
+        encode = _tokenizer_encoder(f.read(), public_tokenizers.PATTERN)
+    library = Tokenizer.from_file(path)
+    for text in ("", "a<|endoftext|>b  <|endoftext|>", " \n\t x", "é ü 東京\xa0 　z", " " * 3000 + "a", "x\x00y\x1c z's"):
+        assert np.frombuffer(encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    tracemalloc.start()
+    encode([" ".join(f"w{k:x}q" for k in range(50_000))])
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 1_000_000  # a worker's memory does not grow with the words it has seen
