@@ -594,5 +594,6 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     verdict = _named(docs, id_col, text_col, width, similarity, BUCKET_LIMIT)
     same = F.col("doc_id").eqNullSafe(F.col("low.id")) & (F.col("mark") == F.col("low.mark"))
     gone = checkpointed(verdict.where(~same).select("doc_id", "mark").distinct())
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone  # then no text is shuffled
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("sum"))
     return rows.join(gone, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("sum") == F.col("mark")), "left_anti").select("row.*")

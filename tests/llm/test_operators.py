@@ -749,3 +749,10 @@ def test_the_packing_encoder_gives_the_library_ids_and_keeps_no_words():
     held = tracemalloc.get_traced_memory()[0]
     tracemalloc.stop()
     assert held < 1_000_000  # a worker's memory does not grow with the words it has seen
+
+
+def test_near_copies_are_dropped_without_a_shuffle_of_texts(spark):
+    docs = spark.createDataFrame([(k, " ".join(f"w{k // 2}x{i}" for i in range(30))) for k in range(12)], "doc_id long, text string")
+    kept = simhash.drop_near_copies(docs)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 4, 6, 8, 10]
+    assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString()
