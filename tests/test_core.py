@@ -196,3 +196,21 @@ def test_the_next_mark_is_found_by_a_frame_that_only_grows(spark):
     assert {r["tie"]: r["then"] and tuple(r["then"]) for r in met.collect()} == {0: (5, 1), 1: (11, 9), 2: (11, 9), 3: (33, 0), 4: None}
     # a frame that ends after all rows is added up anew for each row: the square of a block
     assert "unboundedfollowing" not in met._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_pages_are_parsed_where_they_lie(spark):
+    frame = spark.createDataFrame([(f"{BASE}/matches/4310/alpha-vs-beta", PAGE)], "match_url string, html string")
+    parsed = matches.parse_matches(frame, BASE)
+    for found in (parsed, matches.maps_of(parsed), matches.player_stats_of(parsed), parsed.groupBy().count(), parsed.where("status = 'parsed'")):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "collect_list" not in plan and plan.count("(s)") <= 1 and len(plan) < 60_000  # neither gathered again nor worked out twice
+    assert "Exchange" not in matches.player_stats_of(parsed)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_markup_may_be_of_either_case(spark):
+    plain = PAGE.replace('title="Cup &amp;quot; Co"', 'title="Cup Co"')
+    spelled = {"div": "DIV", "class=": "Class=", "mapholder": "MapHolder", "href=": "HREF=", "</tr>": "</TR>", "teamName": "teamname", "table": "TABLE", "-content": "-CONTENT", "player-nick": "Player-Nick", "traditional-data": "TRADITIONAL-data"}
+    pages = [plain, *[plain.replace(a, b) for a, b in spelled.items()], plain + '<a href="a>/STATS/matches/mapstatsid/5/x<">']
+    assert [scalar(spark, F.rlike(F.lit(x), F.lit(matches.PLAIN))) for x in (plain, pages[1], pages[2])] == [True, False, False]
+    want = parse(spark, plain)
+    assert len(want["player_stats"]) == 2 and all(parse(spark, page) == want for page in pages)
