@@ -168,3 +168,51 @@ def test_a_run_of_accuracy_replays_no_game_after_its_last(spark, monkeypatch):
     with pytest.raises(Seen) as told:
         replays.prequential_accuracy(spark, "/root/testdata/sf0.1")
     assert told.value.args == (5001,)
+
+
+@pytest.mark.parametrize("sizes", [{}, {"games_a_task": 60}, {"games_a_task": 60, "players_a_task": 5}])
+def test_layers_of_games_give_what_the_fold_gives(spark, monkeypatch, sizes):
+    rng = random.Random(9)
+    games, known, want = [], {}, {}
+    for g in range(400):
+        lg = g % 2 if g % 9 else None
+        one = rng.sample(range(60), rng.choice([5, 5, 5, 2]))
+        two = rng.sample([p for p in range(60) if p not in one], rng.choice([5, 5, 5, 3, 0]))
+        two = [*two, *one[:1]] if g % 50 == 7 else two
+        games.append((lg, g, [None if p == 3 else p for p in one], [None if p == 3 else p for p in two], None if g % 31 == 0 else rng.random() < 0.6))
+    for lg, g, one, two, won in games:
+        a, b = ([known.get((lg, p), (25.0, 25 / 3)) for p in side] for side in (one, two))
+        spread = math.sqrt((len(a) + len(b)) * (25 / 6) ** 2 + sum(s * s for _, s in a + b))
+        want[g] = ratings._cdf((sum(m for m, _ in a) - sum(m for m, _ in b)) / spread)
+        a, b = ratings.gaussian_update(a, b) if won else ratings.gaussian_update(b, a)[::-1]
+        known.update(zip([(lg, p) for p in [*one, *two]], [*a, *b], strict=True))
+    frame = spark.createDataFrame(random.Random(1).sample(games, len(games)), "league long, game_id long, players1 array<long>, players2 array<long>, first_won boolean")
+    predicted, final = ratings.gaussian_replay(frame, **sizes)
+    assert {r["game_id"]: r["p"] for r in predicted.collect()} == pytest.approx(want, abs=1e-11)
+    assert {(r["league"], r["player"]): (r["mu"], r["sigma"]) for r in final.collect()} == {k: pytest.approx(v) for k, v in known.items()}
+
+
+def test_a_task_of_games_plays_them_by_layers():
+    import pyarrow as pa
+
+    from scorelane.operators import replay
+
+    calls, n = [], 4000
+    layer = ratings.GaussianLayer(False)
+
+    class Counted:
+        shape = staticmethod(layer.shape)
+
+        def __call__(self, fields, places, shape, held):
+            calls.append(len(places))
+            return layer(fields, places, shape, held)
+
+    teams = [[t * 5 + k for k in range(5)] for t in range(400)]
+    one, two = [teams[g % 200] for g in range(n)], [teams[200 + (g * 7) % 200] for g in range(n)]
+    game = pa.StructArray.from_arrays([pa.array(one), pa.array(two), pa.array([g % 3 == 0 for g in range(n)])], ["players1", "players2", "first_won"])
+    state = pa.struct([("mu", pa.float64()), ("sigma", pa.float64())])
+    both = pa.array([a + b for a, b in zip(one, two, strict=True)])
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * n), game, pa.nulls(n, pa.struct([("p", pa.float64())])), both, pa.nulls(n, pa.list_(state))], ["league", "game", "made", "players", "states"])
+    out = list(replay._in_layers(None, Counted(), {"mu": 25.0, "sigma": 25 / 3})([batch]))
+    assert sum(calls) == n and len(calls) <= 40  # the fold is not called for single games
+    assert sum(b.num_rows for b in out) == n + 2000
