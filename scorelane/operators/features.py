@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorelane.operators.ordering import ROWS_A_PART, as_of, prefix_scan
+from scorelane.operators.ordering import BROADCAST_GROUPS, ROWS_A_PART, as_of, prefix_scan, range_parts
 from scorelane.operators.state import roster_key
 from scorelane.sources.files import checkpointed
 
@@ -42,19 +42,53 @@ def map_form(rows: DataFrame, games: int, rows_a_part: int = ROWS_A_PART) -> Dat
 
 
 def roster_age(rows: DataFrame, rows_a_part: int = ROWS_A_PART) -> DataFrame:
-    """Per (game_id, team) the seconds since the team's roster last changed, 0 in the game that changes it; null before any change."""
+    """Per (game_id, team) the seconds since the team's roster last changed, 0 in the game that changes it; null before any change.
+
+    One scan by team and instant: what a part needs of those before it, the team's last roster and change, is a row a part.
+    """
     rosters = rows.groupBy("team", "game_id").agg(F.min("ts").alias("ts"), roster_key(F.collect_set("player")).alias("roster"))  # of one game
-    placed = checkpointed(prefix_scan(rosters, [F.col("ts"), F.col("game_id")], {"place": F.lit(1).cast("long")}, ["team"], rows_a_part))
-    last = placed.select(F.col("team").alias("t"), (F.col("place") + 1).alias("next"), F.col("roster").alias("previous"))
-    placed = placed.join(last, (F.col("team") == F.col("t")) & (F.col("place") == F.col("next")), "left")
-    changed = F.coalesce(F.col("previous") != F.col("roster"), F.lit(False))
-    counted = checkpointed(prefix_scan(placed.select("team", "game_id", "ts", changed.alias("changed")), [F.col("ts"), F.col("game_id")], {"changes": F.col("changed").cast("long")}, ["team"], rows_a_part))
-    when = counted.where("changed").select(F.col("team").alias("t"), F.col("changes").alias("n"), F.col("ts").alias("since"))
-    met = counted.join(when, (F.col("team") == F.col("t")) & (F.col("changes") == F.col("n")), "left")
+    placed = range_parts(rosters, [F.col("team"), F.col("ts"), F.col("game_id")], rows_a_part)
+    inner, cells = Window.partitionBy("part", "team").orderBy("ts", "game_id"), Window.partitionBy("team").orderBy("part")
+    here = (F.col("part") == F.col("p")) & F.col("team").eqNullSafe(F.col("t"))
+    ends = placed.groupBy("part", "team").agg(F.max_by(F.struct("roster"), F.struct("ts", "game_id")).alias("end"))
+    carried = ends.select(F.col("part").alias("p"), F.col("team").alias("t"), F.lag("end").over(cells).alias("carried")).where("carried is not null")
+    previous = F.coalesce(F.lag(F.struct("roster")).over(inner), F.col("carried"))
+    seen = placed.join(F.broadcast(carried), here, "left").withColumn("previous", previous)
+    seen = seen.select("part", "team", "game_id", "ts", F.coalesce(F.col("previous.roster") != F.col("roster"), F.lit(False)).alias("changed"))
+    at = F.max_by(F.when(F.col("changed"), F.struct("ts")), F.when(F.col("changed"), F.struct("ts", "game_id")))
+    changes = seen.groupBy("part", "team").agg(at.alias("at"))
+    earlier = changes.select(F.col("part").alias("p"), F.col("team").alias("t"), F.last("at", True).over(cells.rowsBetween(Window.unboundedPreceding, -1)).alias("earlier")).where("earlier is not null")
+    own = F.last(F.when(F.col("changed"), F.struct("ts")), True).over(inner.rowsBetween(Window.unboundedPreceding, 0))
+    met = seen.join(F.broadcast(earlier), here, "left").withColumn("since", F.coalesce(own, F.col("earlier"))["ts"])
     seconds = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("since").cast("timestamp"))
     return met.select("game_id", "team", F.floor(seconds / 1_000_000).alias("roster_seconds"))
 
 
+def of_players(rows: DataFrame, ratings: DataFrame, months: int, map_games: int, rows_a_part: int = ROWS_A_PART) -> DataFrame:
+    """Per (game_id, player) the team, the rating mu, the SUMS of ``recent_sums`` and map_win_rate, for players whose games fit a task.
+
+    Games and ratings are dealt by player, once; probes are made and met where they lie.
+    """
+    counts = [F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(c) for c in SUMS[2:]]
+    games = rows.select("player", F.col("ts").alias("at"), "game_id", "team", "map", F.lit(1).cast("long").alias("games"), F.col("won").cast("long").alias("wins"), *counts)
+    told = ratings.where(F.col("at").isNotNull()).select("player", "at", F.struct(F.col("mu")).alias("told"))
+    both = games.unionByName(told, allowMissingColumns=True).where("player is not null")
+    many = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // rows_a_part))
+    both = both.repartition(many, "player")
+    played = F.col("games").isNotNull()
+    form = Window.partitionBy("player", "map", "games").orderBy("at", "game_id").rowsBetween(-map_games, -1)
+    both = both.withColumn("map_win_rate", F.when(played, F.sum("wins").over(form) / F.nullif(F.count("*").over(form), F.lit(0))))
+    kinds = lambda *ks: F.array(*[F.struct(F.lit(k).alias("kind"), (F.col("at") - F.expr(f"INTERVAL {months} MONTHS") if k == 0 else F.col("at")).alias("at")) for k in ks])
+    both = both.withColumn("k", F.explode(F.when(played, kinds(0, 1, 2)).otherwise(kinds(2)))).drop("at").select("*", "k.*").drop("k")
+    # what is played or told at an instant comes after all probes of that instant
+    upto = Window.partitionBy("player").orderBy("at", "kind", "told", "game_id").rowsBetween(Window.unboundedPreceding, 0)
+    sums = {f"{c}_upto": F.coalesce(F.sum(F.when(F.col("kind") == 2, F.col(c))).over(upto), F.lit(0)) for c in SUMS}
+    both = both.withColumns(sums | {"mu": F.last("told", True).over(upto)["mu"]}).where(played & (F.col("kind") < 2))
+    less = lambda c: F.sum(F.when(F.col("kind") == 1, F.col(c)).otherwise(-F.col(c)))
+    now = lambda c: F.max(F.when(F.col("kind") == 1, F.col(c))).alias(c)
+    return both.groupBy("player", "game_id").agg(now("team"), now("mu"), *[less(f"{c}_upto").alias(c) for c in SUMS], now("map_win_rate"))
+
+
 def game_features(rows: DataFrame, ratings: DataFrame, months: int = 3, map_games: int = 5, rows_a_part: int = ROWS_A_PART) -> DataFrame:
     """One row per (game_id, player): rating, win_rate, games, headshot_ratio, adr, map_win_rate and roster_seconds before the game.
 
@@ -63,9 +97,20 @@ def game_features(rows: DataFrame, ratings: DataFrame, months: int = 3, map_game
     but who plays. Rates without games are null. An empty table gives no rows.
     """
     rows = checkpointed(rows)
-    recent, form = recent_sums(rows, months, rows_a_part), map_form(rows, map_games, rows_a_part)
-    rated = as_of(rows.select("game_id", "player", "team", "ts"), ratings, "player", "ts", "at", ["mu"], rows_a_part)
-    out = rated.join(recent, ["game_id", "player"]).join(form, ["game_id", "player"]).join(roster_age(rows, rows_a_part), ["game_id", "team"])
+    # players of more games than a part has, or of as many ratings, are scanned over several tasks
+    sizes = rows.select("player").unionAll(ratings.select("player")).groupBy("player").count()
+    hot = checkpointed(sizes.where(F.col("count") > rows_a_part).select("player"))
+    if many := hot.count():
+        few = F.broadcast(hot) if many <= BROADCAST_GROUPS else hot
+        of_hot, told = rows.join(few, "player", "left_semi"), ratings.join(few, "player", "left_semi")
+        recent, form = recent_sums(of_hot, months, rows_a_part), map_form(of_hot, map_games, rows_a_part)
+        rated = as_of(of_hot.select("game_id", "player", "team", "ts"), told, "player", "ts", "at", ["mu"], rows_a_part)
+        scanned = rated.join(recent, ["game_id", "player"]).join(form, ["game_id", "player"])
+        found = of_players(rows.join(few, "player", "left_anti"), ratings.join(few, "player", "left_anti"), months, map_games, rows_a_part)
+        found = found.unionByName(scanned.select(*found.columns))
+    else:
+        found = of_players(rows, ratings, months, map_games, rows_a_part)
+    out = found.join(roster_age(rows, rows_a_part), ["game_id", "team"])
     none = lambda c: F.nullif(F.col(c), F.lit(0))
     return out.select(
         "game_id", "player", F.col("mu").alias("rating"), (F.col("wins") / none("games")).alias("win_rate"), "games",

@@ -192,3 +192,22 @@ def test_a_request_gives_one_row_whatever_is_stored(spark):
     assert got == {1: "a3", 2: "a", 3: None, 4: None, 5: "a3"} and files.snapshots_of(asked, stored).count() == 5
     got = {r["page_id"]: r["final_url"] for r in files.snapshots_of(asked, stored, also=("page_id",)).collect()}
     assert got == {1: "a1", 2: "a", 3: None, 4: None, 5: None}
+
+
+def test_features_of_few_games_are_made_where_a_player_lies(spark, monkeypatch):
+    import datetime as dt
+    import random
+
+    rng, scans, whole = random.Random(5), [], features.prefix_scan
+    monkeypatch.setattr(features, "prefix_scan", lambda *a, **k: scans.append(1) or whole(*a, **k))
+    day = lambda d: dt.datetime(2024, 1, 1) + dt.timedelta(days=d)
+    games = [(g, day(rng.randrange(300)), f"t{g % 3}", f"m{g % 2}", rng.sample([1, 1, 1, 2, 3, 4, 5], 3)) for g in range(90)]
+    rows = [(g, at, p, t, m, rng.random() < 0.5, rng.randrange(9), rng.randrange(4), rng.randrange(90)) for g, at, t, m, ps in games for p in sorted(set(ps))]
+    frame = spark.createDataFrame(rows, "game_id long, ts timestamp_ntz, player long, team string, map string, won boolean, kills long, headshots long, damage long")
+    rated = spark.createDataFrame([(p, day(d), float(d % 7)) for p in range(1, 5) for d in range(0, 300, 9)], "player long, at timestamp_ntz, mu double")
+    made = {size: sorted(map(str, features.game_features(frame, rated, 3, 2, size).collect())) for size in (1000, 70, 4)}
+    assert len(made[1000]) == len(rows) and made[1000] == made[70] == made[4]
+    scans.clear()
+    found = features.game_features(frame, rated)
+    assert not scans  # no player's rows are more than a part
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(player") <= 1
