@@ -21,6 +21,7 @@ HEAD_END = r'<div class="(?:mapholder|stats-content)"'
 SECTION = r'<div class="stats-content"'
 MAP_LINK = r'href="([^"]*(?i:/stats/matches/(?:performance/)?mapstatsid/)(\d+)/[^"]+)"'
 TABLE, TABLE_END, ROW, ROW_END = '<table class="table totalstats">', "</table>", "<tr>", "</tr>"
+PLAYER = r'href="/player/(\d+)/'
 SKIPPED_MAPS = ("Default", "TBA")
 #: Characters that stand in most places; a set of single ones is looked up in a table of bits.
 _COMMON = "".join(f"\\x{k:02x}" for k in range(128) if not 65 <= k <= 90)
@@ -48,7 +49,7 @@ def _split(text: Column, pattern: Column, limit: int = -1) -> Column:
 
 def _cast(text: Column, pattern: Column, kind: str, group: int = 1) -> Column:
     """The group as a number; null if there is none (a cast of an empty text would raise and catch)."""
-    return non_empty(_group(text, pattern, group)).try_cast(kind)
+    return F.get(F.call_function("regexp_extract_all", text, pattern, F.lit(group)), F.lit(0)).try_cast(kind)
 
 
 def _first(texts: tuple, p: Callable, *patterns: str) -> Column:
@@ -118,7 +119,7 @@ def _player(game: Column, team: Column, row: Column, p: Callable) -> Column:
     nicks = [r'class="player-nick">([^<]+)', r'class="smartphone-only stats[Pp]layer[Nn]ame text-ellipsis">([^<]+)', r'class="stats[Pp]layer[Nn]ame text-ellipsis">([^<]+)']
     share = lambda pattern: _cast(row, p(pattern), "double")
     return F.struct(
-        _cast(row, p(r'href="/player/(\d+)/'), "long").alias("player_id"),
+        _cast(row, p(PLAYER), "long").alias("player_id"),
         F.coalesce(_clean(_first((row,), p, *nicks)), F.lit("Unknown")).alias("nickname"),
         team.alias("team_id"),
         game["map_name"].alias("map_name"),
@@ -131,10 +132,19 @@ def _player(game: Column, team: Column, row: Column, p: Callable) -> Column:
     )
 
 
+def _tables(section: Column, p: Callable) -> Column:
+    return _closed(_split(section, p(SECTION), 2)[0], p(TABLE), p(TABLE_END))
+
+
+def _any_player(sections: Column, p: Callable) -> Column:
+    """Whether the sections have a player; what comes after the first is not read."""
+    row = lambda r: _cast(r, p(PLAYER), "long").isNotNull()
+    return F.exists(sections, lambda s: F.exists(_tables(s["text"], p), lambda t: F.exists(_closed(t, p(ROW), p(ROW_END)), row)))
+
+
 def _players(sections: Column, team1: Column, team2: Column, p: Callable) -> Column:
     """The players of sections (game, text), in order, by tables and rows."""
-    cut = lambda s: _split(s["text"], p(SECTION), 2)[0]
-    tables = F.flatten(F.transform(sections, lambda s: F.transform(_closed(cut(s), p(TABLE), p(TABLE_END)), lambda t: F.struct(s["game"].alias("game"), t.alias("text")))))
+    tables = F.flatten(F.transform(sections, lambda s: F.transform(_tables(s["text"], p), lambda t: F.struct(s["game"].alias("game"), t.alias("text")))))
 
     def read(t: Column) -> Column:
         linked = _cast(t["text"], p(r'href="/team/(\d+)/[^"]*" class="team[Nn]ame team"'), "long")
@@ -189,11 +199,12 @@ def parse_matches(pages: DataFrame, base: str, url: str = "match_url", html: str
     page = page.withColumn("by_id", by_id)
     of = F.transform("sections", lambda s: F.struct(F.try_element_at("by_id", s["id"]).alias("game"), s["text"].alias("text")))
     of = F.when(F.size("by_id") > 0, F.filter(of, lambda s: s["game"].isNotNull())).otherwise(F.slice(of, 1, 0))  # of those that have a map
-    page = page.withColumn("player_stats", _players(of, F.col("team1"), F.col("team2"), p))
+    page = page.withColumn("sections", of)
+    page = page.withColumn("player_stats", _players(F.col("sections"), F.col("team1"), F.col("team2"), p))
     score = lambda n: _score(head if faithful_scores else (F.col(f"cut{n}"),), n, p)
     page = page.withColumns({f"team{n}_score": score(n) for n in (1, 2)})
     s1, s2 = F.col("team1_score"), F.col("team2_score")
-    status = F.when(F.col("challenge"), "challenge").when((F.size("maps") > 0) & (F.size("player_stats") > 0), "parsed").otherwise("partial")
+    status = F.when(F.col("challenge"), "challenge").when((F.size("maps") > 0) & _any_player(F.col("sections"), p), "parsed").otherwise("partial")
     winner = F.when(s1 > s2, F.col("team1.team_id")).when(s2 > s1, F.col("team2.team_id"))
     demo = _first(head, p, r'data-demo-link="([^"]+)"', r'href="([^"]*(?i:/download/demo/)[^"]+)"')
     return page.select(
